@@ -35,3 +35,176 @@ def q_raw_users(spark, sf_dir) -> DataFrame:
 SELECT username, {rounded(DOUBLE_FEATURES)}, has_no_repos, has_complete_profile, churn FROM features""")
 def q_features(spark, sf_dir) -> DataFrame:
     return round_doubles(feature_frame(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- profiling
+from pyspark.sql import functions as F  # noqa: E402
+
+from churnlens.operators import profile as P  # noqa: E402
+from churnlens.operators.features import raw_feature_frame  # noqa: E402
+from churnlens.plans.sql_parts import (  # noqa: E402
+    RAW_COLUMNS, RAW_NUMERIC, RAW_TYPES, describe_sql, histogram_sql,
+)
+from churnlens.schemas import FEATURE_COLUMNS  # noqa: E402
+
+
+@register("churn_ratio", sql=f"""WITH {raw_users_sql()}
+SELECT round(coalesce(avg(CAST(churn AS DOUBLE)), 0.0), 6) AS churn_ratio FROM raw_users""")
+def q_churn_ratio(spark, sf_dir):
+    return round_doubles(L.churn_ratio(raw_frame(spark, sf_dir)))
+
+
+@register("label_summary", sql=f"""WITH {raw_users_sql()},
+s AS (SELECT count(*) AS total, CAST(coalesce(sum(churn), 0) AS BIGINT) AS churned FROM raw_users)
+SELECT total, churned, total - churned AS retained,
+       round(CASE WHEN total > 0 THEN churned / total ELSE 0.0 END, 6) AS churned_share,
+       round(CASE WHEN total > 0 THEN (total - churned) / total ELSE 0.0 END, 6) AS retained_share,
+       (CASE WHEN total > 0 THEN churned / total ELSE 0.0 END) >= 0.1 AS passed
+FROM s""")
+def q_label_summary(spark, sf_dir):
+    return round_doubles(L.label_summary(raw_frame(spark, sf_dir), 0.10))
+
+
+@register("label_distribution", sql=f"""WITH {raw_users_sql()}
+SELECT churn, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM raw_users GROUP BY churn""")
+def q_label_distribution(spark, sf_dir):
+    return round_doubles(L.label_distribution(raw_frame(spark, sf_dir)))
+
+
+_NULL_PARTS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS field, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS n FROM raw_users"
+    for c in RAW_COLUMNS)
+
+
+@register("null_profile", sql=f"""WITH {raw_users_sql()}, np AS ({_NULL_PARTS})
+SELECT field, null_count, round(CASE WHEN n > 0 THEN null_count * 100.0 / n ELSE 0.0 END, 6) AS null_pct
+FROM np WHERE null_count > 0""")
+def q_null_profile(spark, sf_dir):
+    return round_doubles(P.null_profile(raw_frame(spark, sf_dir)))
+
+
+_COLPROF = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS field, '{RAW_TYPES[c]}' AS dtype, count({c}) AS non_null FROM raw_users" for c in RAW_COLUMNS)
+
+
+@register("column_profile", sql=f"WITH {raw_users_sql()} {_COLPROF}")
+def q_column_profile(spark, sf_dir):
+    return P.column_profile(raw_frame(spark, sf_dir))
+
+
+@register("describe_raw", sql=f"WITH {raw_users_sql()} {describe_sql('raw_users', RAW_NUMERIC)}")
+def q_describe_raw(spark, sf_dir):
+    return round_doubles(P.describe(raw_frame(spark, sf_dir), RAW_NUMERIC))
+
+
+@register("describe_features", sql=f"WITH {features_sql()} {describe_sql('features', FEATURE_NAMES)}")
+def q_describe_features(spark, sf_dir):
+    return round_doubles(P.describe(feature_frame(spark, sf_dir), FEATURE_COLUMNS))
+
+
+_MEANS = "\nUNION ALL\n".join(
+    f"SELECT churn, '{c}' AS feature, round(avg({c}), 6) AS mean FROM features GROUP BY churn" for c in FEATURE_NAMES)
+
+
+@register("feature_means_by_label", sql=f"WITH {features_sql()} {_MEANS}")
+def q_feature_means_by_label(spark, sf_dir):
+    return round_doubles(P.means_by_label(feature_frame(spark, sf_dir), FEATURE_COLUMNS))
+
+
+_HIST_RAW = ["public_repos", "followers", "following", "days_since_update", "days_since_last_push", "public_gists"]
+
+
+@register("histogram_raw", sql=f"WITH {raw_users_sql()}, {histogram_sql('raw_users', _HIST_RAW)}")
+def q_histogram_raw(spark, sf_dir):
+    return round_doubles(P.histogram(raw_frame(spark, sf_dir), _HIST_RAW, 40))
+
+
+@register("inactivity_histogram_by_label",
+          sql=f"WITH {raw_users_sql()}, {histogram_sql('raw_users', ['days_since_last_push'], by='churn')}")
+def q_inactivity_histogram(spark, sf_dir):
+    return round_doubles(P.histogram(raw_frame(spark, sf_dir), ["days_since_last_push"], 40, by="churn"))
+
+
+_HEALTH = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, (SELECT count(*) FILTER (WHERE {c} IS NULL) FROM f0) AS missing_before_fill, "
+    f"(SELECT count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) FROM features) AS nan_after, "
+    f"(SELECT count(*) FILTER (WHERE isinf({c})) FROM features) AS inf_after"
+    for c in FEATURE_NAMES)
+
+
+@register("matrix_health", sql=f"WITH {features_sql()} {_HEALTH}")
+def q_matrix_health(spark, sf_dir):
+    raw = raw_frame(spark, sf_dir)
+    pre = raw_feature_frame(raw, AS_OF)
+    return P.matrix_health(pre, generate_features(raw, AS_OF), FEATURE_COLUMNS)
+
+
+def _corr_sql(table_cte: str, cols) -> str:
+    aggs = []
+    for i, a in enumerate(cols):
+        aggs.append(f"stddev_pop({a}) AS s_{i}")
+        for j in range(i, len(cols)):
+            aggs.append(f"covar_pop({a}, {cols[j]}) AS c_{i}_{j}")
+    parts = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            lo, hi = min(i, j), max(i, j)
+            r = f"(CASE WHEN s_{i} * s_{j} > 0 THEN c_{lo}_{hi} / (s_{i} * s_{j}) END)"
+            parts.append(f"SELECT '{a}' AS a, '{b}' AS b, {i} AS ia, {j} AS ib, round({r}, 6) AS r, "
+                         f"round(abs({r}), 6) AS abs_r FROM cm")
+    return f"cm AS (SELECT {', '.join(aggs)} FROM {table_cte})\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("correlation_matrix", sql=f"WITH {features_sql()}, {_corr_sql('features', FEATURE_NAMES)}")
+def q_correlation_matrix(spark, sf_dir):
+    return round_doubles(P.correlation_matrix(feature_frame(spark, sf_dir), FEATURE_COLUMNS))
+
+
+# A transparent rule stands in for a model where SQL has to reproduce the prediction.
+_RULE = "days_since_last_activity > 365"
+
+
+def _rule_frame(spark, sf_dir):
+    return feature_frame(spark, sf_dir).withColumn("prediction", F.expr(_RULE).cast("int"))
+
+
+@register("binary_metrics", sql=f"""WITH {features_sql()},
+c AS (SELECT count(*) FILTER (WHERE churn = 1 AND {_RULE}) AS tp, count(*) FILTER (WHERE churn = 0 AND {_RULE}) AS fp,
+             count(*) FILTER (WHERE churn = 0 AND NOT ({_RULE})) AS tn, count(*) FILTER (WHERE churn = 1 AND NOT ({_RULE})) AS fn
+      FROM features)
+SELECT tp, fp, tn, fn,
+       round(CASE WHEN tp + fp + tn + fn > 0 THEN (tp + tn) / (tp + fp + tn + fn) ELSE 0.0 END, 6) AS accuracy,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END, 6) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1
+FROM c""")
+def q_binary_metrics(spark, sf_dir):
+    return round_doubles(P.binary_metrics(_rule_frame(spark, sf_dir)))
+
+
+def _div(a, b):
+    return f"(CASE WHEN ({b}) > 0 THEN ({a}) / ({b}) ELSE 0.0 END)"
+
+
+_P1, _R1, _P0, _R0 = _div("tp", "tp + fp"), _div("tp", "tp + fn"), _div("tn", "tn + fn"), _div("tn", "tn + fp")
+_F1, _F0 = _div("2 * tp", "2 * tp + fp + fn"), _div("2 * tn", "2 * tn + fn + fp")
+_N = "(tp + fp + tn + fn)"
+
+
+@register("classification_report", sql=f"""WITH {features_sql()},
+c AS (SELECT CAST(count(*) FILTER (WHERE churn = 1 AND {_RULE}) AS DOUBLE) AS tp,
+             CAST(count(*) FILTER (WHERE churn = 0 AND {_RULE}) AS DOUBLE) AS fp,
+             CAST(count(*) FILTER (WHERE churn = 0 AND NOT ({_RULE})) AS DOUBLE) AS tn,
+             CAST(count(*) FILTER (WHERE churn = 1 AND NOT ({_RULE})) AS DOUBLE) AS fn FROM features)
+SELECT 'Retained' AS class, round({_P0}, 6) AS precision, round({_R0}, 6) AS recall, round({_F0}, 6) AS f1,
+       CAST(tn + fp AS BIGINT) AS support FROM c
+UNION ALL SELECT 'Churned', round({_P1}, 6), round({_R1}, 6), round({_F1}, 6), CAST(tp + fn AS BIGINT) FROM c
+UNION ALL SELECT 'accuracy', NULL, NULL, round({_div("tp + tn", _N)}, 6), CAST({_N} AS BIGINT) FROM c
+UNION ALL SELECT 'macro avg', round(({_P0} + {_P1}) / 2, 6), round(({_R0} + {_R1}) / 2, 6),
+       round(({_F0} + {_F1}) / 2, 6), CAST({_N} AS BIGINT) FROM c
+UNION ALL SELECT 'weighted avg', round({_div(f"{_P0} * (tn + fp) + {_P1} * (tp + fn)", _N)}, 6),
+       round({_div(f"{_R0} * (tn + fp) + {_R1} * (tp + fn)", _N)}, 6),
+       round({_div(f"{_F0} * (tn + fp) + {_F1} * (tp + fn)", _N)}, 6), CAST({_N} AS BIGINT) FROM c""")
+def q_classification_report(spark, sf_dir):
+    return round_doubles(P.classification_report(_rule_frame(spark, sf_dir)))

@@ -116,3 +116,36 @@ features AS (
 
 def rounded(cols, digits: int = 6) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+
+
+RAW_NUMERIC = ["public_repos", "public_gists", "followers", "following", "days_since_update", "days_since_last_push"]
+RAW_COLUMNS = ["username", "public_repos", "public_gists", "followers", "following", "created_at", "updated_at",
+               "bio", "blog", "company", "email", "hireable", "days_since_update", "days_since_last_push", "churn"]
+# Spark simpleString type names of the raw-user columns
+RAW_TYPES = {"username": "string", "public_repos": "bigint", "public_gists": "bigint", "followers": "bigint",
+             "following": "bigint", "created_at": "string", "updated_at": "string", "bio": "string",
+             "blog": "string", "company": "string", "email": "string", "hireable": "boolean",
+             "days_since_update": "bigint", "days_since_last_push": "bigint", "churn": "int"}
+
+
+def describe_sql(table: str, cols) -> str:
+    parts = [f"""SELECT '{c}' AS field, count(v) AS count, round(avg(v), 6) AS mean,
+       round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS p25,
+       round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, round(max(v), 6) AS max
+FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {table})""" for c in cols]
+    return "\nUNION ALL\n".join(parts)
+
+
+def histogram_sql(table: str, cols, by: str | None = None, bins: int = 40) -> str:
+    k = f"{by}, " if by else ""
+    long = "\nUNION ALL\n".join(
+        f"SELECT {k}'{c}' AS field, CAST({c} AS DOUBLE) AS v FROM {table} WHERE {c} IS NOT NULL" for c in cols)
+    return f"""hl AS ({long}),
+hr AS (SELECT {k}field, CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+              CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
+       FROM hl GROUP BY {k}field),
+hb AS (SELECT {k}field, lo, hi, CAST(least(floor((v - lo) / (hi - lo) * {bins}), {bins - 1}) AS INTEGER) AS bin
+       FROM hl JOIN hr USING ({k}field))
+SELECT {k}field, bin, round(lo + bin * ((hi - lo) / {bins}), 6) AS bin_lo,
+       round(lo + (bin + 1) * ((hi - lo) / {bins}), 6) AS bin_hi, count(*) AS count
+FROM hb GROUP BY {k}field, bin, lo, hi"""
