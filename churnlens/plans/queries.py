@@ -208,3 +208,83 @@ UNION ALL SELECT 'weighted avg', round({_div(f"{_P0} * (tn + fp) + {_P1} * (tp +
        round({_div(f"{_F0} * (tn + fp) + {_F1} * (tp + fn)", _N)}, 6), CAST({_N} AS BIGINT) FROM c""")
 def q_classification_report(spark, sf_dir):
     return round_doubles(P.classification_report(_rule_frame(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- ingestion and balance
+from churnlens.functions.scalars import iso_string  # noqa: E402
+from churnlens.operators import ingest as I  # noqa: E402
+from churnlens.plans.sql_parts import PROFILES, balance_sql, cohort_sql, collected_sql  # noqa: E402
+
+
+@register("user_accounts", sql=f"WITH {PROFILES} SELECT * FROM profiles WHERE type = 'User'")
+def q_user_accounts(spark, sf_dir):
+    _, profiles, _ = base_frames(spark, sf_dir)
+    return L.user_accounts(profiles)
+
+
+@register("cohort_active_lang", sql=f"WITH {PROFILES} SELECT login FROM profiles WHERE {cohort_sql(I.DEFAULT_COHORTS[0])}")
+def q_cohort_active_lang(spark, sf_dir):
+    _, profiles, repos = base_frames(spark, sf_dir)
+    return I.cohort_members(profiles, repos, I.DEFAULT_COHORTS[0]).select("login")
+
+
+@register("cohort_old_accounts", sql=f"WITH {PROFILES} SELECT login FROM profiles WHERE {cohort_sql(I.DEFAULT_COHORTS[2])}")
+def q_cohort_old_accounts(spark, sf_dir):
+    _, profiles, repos = base_frames(spark, sf_dir)
+    return I.cohort_members(profiles, repos, I.DEFAULT_COHORTS[2]).select("login")
+
+
+@register("candidate_users", sql=f"WITH {collected_sql(I.DEFAULT_COHORTS)} SELECT username FROM cand")
+def q_candidate_users(spark, sf_dir):
+    _, profiles, repos = base_frames(spark, sf_dir)
+    return I.candidate_users(profiles, repos)
+
+
+@register("recent_repos", sql=f"""WITH {PROFILES}
+SELECT * FROM (
+  SELECT owner, pushed_at, language,
+         row_number() OVER (PARTITION BY owner ORDER BY try_cast(pushed_at AS TIMESTAMP) DESC NULLS LAST,
+                            pushed_at DESC NULLS LAST, language ASC NULLS LAST) AS recency_rank
+  FROM repos) WHERE recency_rank <= 30""")
+def q_recent_repos(spark, sf_dir):
+    _, _, repos = base_frames(spark, sf_dir)
+    return I.recent_repos(repos, 30)
+
+
+@register("last_push", sql=f"""WITH {PROFILES}
+SELECT owner, strftime(max(try_cast(pushed_at AS TIMESTAMP)), '%Y-%m-%dT%H:%M:%SZ') AS last_pushed_at
+FROM repos GROUP BY owner""")
+def q_last_push(spark, sf_dir):
+    _, _, repos = base_frames(spark, sf_dir)
+    return L.last_push(repos).select("owner", iso_string("last_pushed_at").alias("last_pushed_at"))
+
+
+@register("fresh_candidates", sql=f"""WITH {collected_sql(I.DEFAULT_COHORTS)}
+SELECT login AS username FROM profiles WHERE {cohort_sql(I.INACTIVE_COHORTS[2])}
+  AND login NOT IN (SELECT username FROM cand)""")
+def q_fresh_candidates(spark, sf_dir):
+    _, profiles, repos = base_frames(spark, sf_dir)
+    inactive = I.cohort_members(profiles, None, I.INACTIVE_COHORTS[2]).select(F.col("login").alias("username"))
+    return I.fresh_candidates(inactive, I.candidate_users(profiles, repos))
+
+
+def _balanced(spark, sf_dir, min_ratio):
+    _, profiles, repos = base_frames(spark, sf_dir)
+    collected = I.collect_dataset(profiles, repos, AS_OF)
+    res = I.fix_low_churn_ratio(collected, profiles, AS_OF, 365, min_ratio)
+    return res.df.withColumn("balance_pass", F.lit(res.passes)).withColumn("threshold", F.lit(res.threshold))
+
+
+for _name, _min in (("collect_dataset", 0.10), ("balance_pass1", 0.50), ("balance_pass2", 0.70)):
+    register(_name, sql=f"WITH {balance_sql(I.DEFAULT_COHORTS, I.INACTIVE_COHORTS, _min)} SELECT * FROM final")(
+        lambda spark, sf_dir, _m=_min: _balanced(spark, sf_dir, _m))
+
+
+@register("collect_no_repos", sql=f"""WITH {raw_users_sql(repos=False)},
+cand AS ({" UNION ".join(f"SELECT login AS username FROM profiles WHERE {cohort_sql(c)}" for c in I.DEFAULT_COHORTS)})
+SELECT * FROM raw_users WHERE username IN (SELECT username FROM cand)""")
+def q_collect_no_repos(spark, sf_dir):
+    _, profiles, repos = base_frames(spark, sf_dir)
+    cand_users = I.candidate_users(profiles, repos)
+    users = profiles.join(cand_users.withColumnRenamed("username", "login"), "login", "left_semi")
+    return L.raw_users(users, None, AS_OF)

@@ -149,3 +149,76 @@ hb AS (SELECT {k}field, lo, hi, CAST(least(floor((v - lo) / (hi - lo) * {bins}),
 SELECT {k}field, bin, round(lo + bin * ((hi - lo) / {bins}), 6) AS bin_lo,
        round(lo + (bin + 1) * ((hi - lo) / {bins}), 6) AS bin_hi, count(*) AS count
 FROM hb GROUP BY {k}field, bin, lo, hi"""
+
+
+def cohort_sql(c) -> str:
+    """SQL predicate over ``profiles`` for one cohort (restated independently)."""
+    parts = ["type = 'User'"]
+    if c.followers is not None:
+        parts.append(f"coalesce(followers, 0) BETWEEN {c.followers[0]} AND {c.followers[1]}")
+    if c.repos is not None:
+        parts.append(f"coalesce(public_repos, 0) BETWEEN {c.repos[0]} AND {c.repos[1]}")
+    if c.created_before is not None:
+        parts.append(f"try_cast(created_at AS TIMESTAMP) < TIMESTAMP '{c.created_before} 00:00:00'")
+    if c.language is not None:
+        parts.append(f"login IN (SELECT owner FROM repos WHERE language = '{c.language}')")
+    return " AND ".join(parts)
+
+
+PARSED_COLS = ("username, public_repos, public_gists, followers, following, created_at, updated_at, bio, blog, "
+               "company, email, hireable, days_since_update, days_since_last_push")
+
+
+def collected_sql(cohorts, threshold: int = 365) -> str:
+    """CTEs ending in ``cand`` (candidate logins) and ``base`` (collected, labelled users)."""
+    cand = "\n  UNION\n  ".join(f"SELECT login AS username FROM profiles WHERE {cohort_sql(c)}" for c in cohorts)
+    return f"""{raw_users_sql(threshold)},
+cand AS (
+  {cand}),
+base AS (SELECT * FROM raw_users WHERE username IN (SELECT username FROM cand))"""
+
+
+def balance_sql(cohorts, inactive, min_ratio: float, threshold: int = 365, cap: int = 100) -> str:
+    adj = threshold - 90
+    eff = adj if adj >= 90 else threshold
+    batches = []
+    seen = ["SELECT username FROM base"]
+    for b, c in enumerate(inactive, start=1):
+        excl = " AND ".join(f"login NOT IN ({s})" for s in seen)
+        batches.append(f"""b{b} AS (SELECT login FROM profiles WHERE {cohort_sql(c)} AND {excl}
+        ORDER BY login LIMIT {cap})""")
+        seen.append(f"SELECT login FROM b{b}")
+    bunion = " UNION ALL ".join(f"SELECT login, {b} AS batch FROM b{b}" for b in range(1, len(inactive) + 1))
+    relabel_ok = "CASE WHEN adj_ok THEN 1 ELSE 0 END"
+    return f"""{collected_sql(cohorts, threshold)},
+r0 AS (SELECT coalesce(avg(CAST(churn AS DOUBLE)), 0.0) AS r, count(*) AS n0 FROM base),
+relab AS (SELECT {PARSED_COLS},
+          CASE WHEN coalesce(days_since_last_push, days_since_update) > {eff} THEN 1 ELSE 0 END AS churn FROM base),
+r1 AS (SELECT coalesce(avg(CAST(churn AS DOUBLE)), 0.0) AS r, coalesce(sum(churn), 0) AS c0 FROM relab),
+{", ".join(batches)},
+bl AS ({bunion}),
+extras AS (
+  SELECT p.login AS username, public_repos, public_gists, followers, following, created_at, updated_at, bio,
+         blog, company, email, hireable,
+         {days_sql("try_cast(updated_at AS TIMESTAMP)")} AS days_since_update,
+         CAST(NULL AS BIGINT) AS days_since_last_push,
+         CASE WHEN {days_sql("try_cast(updated_at AS TIMESTAMP)")} > {eff} THEN 1 ELSE 0 END AS churn,
+         bl.batch
+  FROM profiles p JOIN bl ON bl.login = p.login WHERE p.type = 'User'),
+bs AS (SELECT batch, count(*) AS n, sum(churn) AS c FROM extras GROUP BY batch),
+cum AS (SELECT batch, (SELECT n0 FROM r0) + sum(n) OVER (ORDER BY batch) AS n,
+               (SELECT c0 FROM r1) + sum(c) OVER (ORDER BY batch) AS c FROM bs),
+keep AS (SELECT coalesce(min(batch) FILTER (WHERE c / n >= {min_ratio}), {len(inactive)}) AS k FROM cum),
+final AS (
+  SELECT {PARSED_COLS}, churn, 0 AS balance_pass, {threshold} AS threshold FROM base
+  WHERE (SELECT r FROM r0) >= {min_ratio}
+  UNION ALL
+  SELECT {PARSED_COLS}, churn, 1, {eff} FROM relab
+  WHERE (SELECT r FROM r0) < {min_ratio} AND {"TRUE" if adj >= 90 else "FALSE"} AND (SELECT r FROM r1) >= {min_ratio}
+  UNION ALL
+  SELECT {PARSED_COLS}, churn, 2, {eff} FROM {"relab" if adj >= 90 else "base"}
+  WHERE (SELECT r FROM r0) < {min_ratio} AND NOT ({"TRUE" if adj >= 90 else "FALSE"} AND (SELECT r FROM r1) >= {min_ratio})
+  UNION ALL
+  SELECT {PARSED_COLS}, churn, 2, {eff} FROM extras
+  WHERE (SELECT r FROM r0) < {min_ratio} AND NOT ({"TRUE" if adj >= 90 else "FALSE"} AND (SELECT r FROM r1) >= {min_ratio})
+    AND batch <= (SELECT k FROM keep))"""
