@@ -140,6 +140,22 @@ def q_matrix_health(spark, sf_dir):
     return P.matrix_health(pre, generate_features(raw, AS_OF), FEATURE_COLUMNS)
 
 
+def _corr_long_sql(table_cte: str, cols) -> str:
+    """CTEs ``cm`` (moments) and ``cl`` (a, b, ia, ib, r unrounded)."""
+    aggs = []
+    for i, a in enumerate(cols):
+        aggs.append(f"stddev_pop({a}) AS s_{i}")
+        for j in range(i, len(cols)):
+            aggs.append(f"covar_pop({a}, {cols[j]}) AS c_{i}_{j}")
+    parts = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            lo, hi = min(i, j), max(i, j)
+            parts.append(f"SELECT '{a}' AS a, '{b}' AS b, {i} AS ia, {j} AS ib, "
+                         f"(CASE WHEN s_{i} * s_{j} > 0 THEN c_{lo}_{hi} / (s_{i} * s_{j}) END) AS r FROM cm")
+    return (f"cm AS (SELECT {', '.join(aggs)} FROM {table_cte}),\ncl AS (" + "\nUNION ALL\n".join(parts) + ")")
+
+
 def _corr_sql(table_cte: str, cols) -> str:
     aggs = []
     for i, a in enumerate(cols):
@@ -288,3 +304,121 @@ def q_collect_no_repos(spark, sf_dir):
     cand_users = I.candidate_users(profiles, repos)
     users = profiles.join(cand_users.withColumnRenamed("username", "login"), "login", "left_semi")
     return L.raw_users(users, None, AS_OF)
+
+
+# ---------------------------------------------------------------- filter selection, scaling, sampling
+from churnlens.operators import sampling as S  # noqa: E402
+from churnlens.operators import selection as SEL  # noqa: E402
+
+_VAR = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {i} AS ordinal, var_pop({c}) AS variance FROM features" for i, c in enumerate(FEATURE_NAMES))
+_G = (f"g AS (SELECT churn, count(*) AS n, " + ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in FEATURE_NAMES)
+      + " FROM features GROUP BY churn)")
+_AN = "\nUNION ALL\n".join(f"""SELECT '{c}' AS feature, {i} AS ordinal,
+  CASE WHEN ssw > 0 AND k > 1 AND n_all > k THEN (ssb / (k - 1)) / (ssw / (n_all - k)) END AS f_score
+FROM (SELECT sum(n) AS n_all, count(*) AS k, sum(n * (m - grand) * (m - grand)) AS ssb, sum(n * v) AS ssw
+      FROM (SELECT n, m_{c} AS m, v_{c} AS v, (SELECT sum(n * m_{c}) / sum(n) FROM g) AS grand FROM g))"""
+    for i, c in enumerate(FEATURE_NAMES))
+_SEL_CTES = f"""{features_sql()},
+vr AS ({_VAR}),
+{_G},
+an0 AS ({_AN}),
+an AS (SELECT *, row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) AS anova_rank FROM an0),
+{_corr_long_sql('features', FEATURE_NAMES)},
+surv AS (SELECT feature FROM vr WHERE coalesce(variance > {SEL.VARIANCE_THRESHOLD}, false)),
+pairs AS (
+  SELECT cl.a, cl.b, abs(cl.r) AS abs_r, fa.f_score AS f_a, fb.f_score AS f_b,
+         CASE WHEN fa.f_score < fb.f_score THEN cl.a ELSE cl.b END AS dropped
+  FROM cl JOIN an fa ON fa.feature = cl.a JOIN an fb ON fb.feature = cl.b
+  WHERE cl.ia < cl.ib AND abs(cl.r) > {SEL.CORR_THRESHOLD}
+    AND cl.a IN (SELECT feature FROM surv) AND cl.b IN (SELECT feature FROM surv))"""
+
+
+@register("variance_filter", sql=f"""WITH {features_sql()}, vr AS ({_VAR})
+SELECT feature, ordinal, round(variance, 6) AS variance, coalesce(variance > {SEL.VARIANCE_THRESHOLD}, false) AS variance_kept
+FROM vr""")
+def q_variance_filter(spark, sf_dir):
+    return round_doubles(SEL.variance_filter(feature_frame(spark, sf_dir)))
+
+
+@register("anova_ranking", sql=f"""WITH {_SEL_CTES}
+SELECT feature, ordinal, round(f_score, 6) AS f_score, anova_rank FROM an""")
+def q_anova_ranking(spark, sf_dir):
+    return round_doubles(SEL.anova_scores(feature_frame(spark, sf_dir)))
+
+
+@register("correlation_filter", sql=f"""WITH {_SEL_CTES}
+SELECT a, b, round(abs_r, 6) AS abs_r, round(f_a, 6) AS f_a, round(f_b, 6) AS f_b, dropped FROM pairs""")
+def q_correlation_filter(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir)
+    scores = SEL.anova_scores(fx)
+    surv = SEL.variance_filter(fx).where("variance_kept").select("feature")
+    return round_doubles(SEL.correlation_pairs(fx, scores, surv))
+
+
+@register("filter_selection", sql=f"""WITH {_SEL_CTES}
+SELECT vr.feature, vr.ordinal, round(vr.variance, 6) AS variance,
+       coalesce(vr.variance > {SEL.VARIANCE_THRESHOLD}, false) AS variance_kept,
+       round(an.f_score, 6) AS f_score, an.anova_rank,
+       coalesce(vr.variance > {SEL.VARIANCE_THRESHOLD}, false) AND vr.feature NOT IN (SELECT dropped FROM pairs) AS corr_kept,
+       an.anova_rank <= {SEL.TOP_K} AS anova_top,
+       coalesce(vr.variance > {SEL.VARIANCE_THRESHOLD}, false) AND vr.feature NOT IN (SELECT dropped FROM pairs)
+         AND an.anova_rank <= {SEL.TOP_K} AS filter_final
+FROM vr JOIN an ON an.feature = vr.feature""")
+def q_filter_selection(spark, sf_dir):
+    return round_doubles(SEL.filter_method(feature_frame(spark, sf_dir)))
+
+
+@register("standardized_features", sql=f"""WITH {features_sql()},
+st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURE_NAMES)} FROM features)
+SELECT username, {", ".join(f"round(({c} - (SELECT m_{c} FROM st)) / (SELECT CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END FROM st), 6) AS {c}" for c in FEATURE_NAMES)}
+FROM features""")
+def q_standardized_features(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir)
+    cols = [c for c in FEATURE_COLUMNS]
+    fx = fx.select("username", *[F.col(c).cast("double").alias(c) for c in cols])
+    return round_doubles(S.apply_standard(fx, S.fit_standard(fx, cols), keep=["username"]))
+
+
+@register("minmax_features", sql=f"""WITH {features_sql()},
+st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in FEATURE_NAMES)} FROM features)
+SELECT username, {", ".join(f"round(({c} - (SELECT lo_{c} FROM st)) / (SELECT CASE WHEN hi_{c} > lo_{c} THEN hi_{c} - lo_{c} ELSE 1 END FROM st), 6) AS {c}" for c in FEATURE_NAMES)}
+FROM features""")
+def q_minmax_features(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir)
+    cols = list(FEATURE_COLUMNS)
+    fx = fx.select("username", *[F.col(c).cast("double").alias(c) for c in cols])
+    return round_doubles(S.apply_minmax(fx, S.fit_minmax(fx, cols), keep=["username"]))
+
+
+_HASH_SQL = "CAST(('0x' || substr(md5('42:' || username), 1, 13)) AS BIGINT)"
+
+
+@register("stratified_split", sql=f"""WITH {features_sql()},
+hx AS (SELECT username, churn, {_HASH_SQL} AS h FROM features),
+cc AS (SELECT churn, count(*) AS c FROM hx GROUP BY churn),
+tot AS (SELECT sum(c) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * sum(c)) AS BIGINT) AS n_test FROM cc),
+q1 AS (SELECT churn, c, (SELECT n - n_test FROM tot) AS n_train,
+              floor((SELECT n - n_test FROM tot) * c / (SELECT n FROM tot)) AS fl,
+              (SELECT n - n_test FROM tot) * c / (SELECT n FROM tot) - floor((SELECT n - n_test FROM tot) * c / (SELECT n FROM tot)) AS rem
+       FROM cc),
+q2 AS (SELECT churn, c, fl, n_train - sum(fl) OVER () AS need, row_number() OVER (ORDER BY rem DESC, churn) AS rk FROM q1),
+quota AS (SELECT churn, c - (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) AS t FROM q2)
+SELECT username, churn, row_number() OVER (PARTITION BY hx.churn ORDER BY h, username) <= t AS is_test
+FROM hx JOIN quota USING (churn)""")
+def q_stratified_split(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir).select("username", "churn")
+    return S.stratified_split(fx)
+
+
+@register("kfold_assignment", sql=f"""WITH {features_sql()}
+SELECT username, churn, CAST({_HASH_SQL} % 5 AS INTEGER) AS fold FROM features""")
+def q_kfold_assignment(spark, sf_dir):
+    return S.kfold_assignment(feature_frame(spark, sf_dir).select("username", "churn"))
+
+
+@register("class_weights", sql=f"""WITH {features_sql()}
+SELECT churn, count(*) AS n_class, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+FROM features GROUP BY churn""")
+def q_class_weights(spark, sf_dir):
+    return round_doubles(S.class_weights(feature_frame(spark, sf_dir)))
