@@ -8,7 +8,6 @@ literals, so the final frame is again a single projection of the input.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from churnlens.functions.scalars import (
 )
 from churnlens.operators.quantiles import exact_medians
 from churnlens.schemas import FEATURE_COLUMNS, REQUIRED_RAW, require_columns
+from churnlens.session import ensure_checkpoint_dir
 
 TEXT_FIELDS = ["bio", "blog", "company"]
 
@@ -91,10 +91,13 @@ def apply_fill(frame: DataFrame, fills: dict[str, float]) -> DataFrame:
 def generate_features(raw: DataFrame, as_of, key: str = "username") -> DataFrame:
     """Raw users → key, ten finite features in contract order, churn (if labelled).
 
-    The pre-fill frame is persisted because the fill values need a few passes
-    over it; the persisted data is per user (a dozen columns), not the sources.
+    The pre-fill frame is checkpointed (written to the shared checkpoint
+    folder) because the fill values need a few passes over it: the written data
+    is per user (a dozen columns), the source joins run once, and a lost
+    executor re-reads the files instead of recomputing the joins.
     """
-    frame = raw_feature_frame(raw, as_of, key).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(raw.sparkSession)
+    frame = raw_feature_frame(raw, as_of, key).checkpoint(eager=True)
     fills = fill_values(frame)
     return apply_fill(frame, fills)
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.scalars import parse_ts
+from churnlens.session import ensure_checkpoint_dir
 from churnlens.operators.labels import (
     DEFAULT_THRESHOLD, assign_labels, churn_ratio_value, parse_users, user_accounts,
 )
@@ -142,7 +143,8 @@ def fix_low_churn_ratio(df: DataFrame, profiles: DataFrame, as_of, current_thres
             return BalanceResult(df, ratio, adjusted, 1)
     effective = adjusted if adjusted >= PASS1_FLOOR else current_threshold
 
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    base = df.checkpoint()
     known = base.select("username")
     batches = []
     for b, cohort in enumerate(inactive_cohorts, start=1):

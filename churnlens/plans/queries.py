@@ -422,3 +422,97 @@ SELECT churn, count(*) AS n_class, round(sum(count(*)) OVER () / (count(*) OVER
 FROM features GROUP BY churn""")
 def q_class_weights(spark, sf_dir):
     return round_doubles(S.class_weights(feature_frame(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- graph
+from churnlens.operators import graph as G  # noqa: E402
+from churnlens.plans.sql_parts import graph_sql, pagerank_sql  # noqa: E402
+from churnlens.session import ensure_checkpoint_dir  # noqa: E402
+
+PAGERANK_ROUNDS = 30
+
+
+def graph_frames(spark, sf_dir):
+    raw = raw_frame(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    nodes = G.graph_nodes(raw).checkpoint()
+    return raw, nodes, G.follow_edges(nodes).checkpoint()
+
+
+@register("graph_nodes", sql=f"WITH {graph_sql()} SELECT * FROM nodes")
+def q_graph_nodes(spark, sf_dir):
+    return G.graph_nodes(raw_frame(spark, sf_dir))
+
+
+@register("top_followed", sql=f"WITH {graph_sql()} SELECT dst, pos FROM top")
+def q_top_followed(spark, sf_dir):
+    return G.top_followed(G.graph_nodes(raw_frame(spark, sf_dir)))
+
+
+@register("follow_edges", sql=f"WITH {graph_sql()} SELECT src, dst FROM edges")
+def q_follow_edges(spark, sf_dir):
+    _, _, edges = graph_frames(spark, sf_dir)
+    return edges
+
+
+@register("graph_density", sql=f"""WITH {graph_sql()}
+SELECT n, m, round(CASE WHEN n > 1 THEN m / (n * (n - 1)) ELSE 0.0 END, 9) AS density
+FROM (SELECT (SELECT count(*) FROM nodes) AS n, (SELECT count(*) FROM edges) AS m)""")
+def q_graph_density(spark, sf_dir):
+    _, nodes, edges = graph_frames(spark, sf_dir)
+    return round_doubles(G.graph_density(nodes, edges), 9)
+
+
+@register("degree_centrality", sql=f"""WITH {graph_sql()},
+od AS (SELECT src AS username, count(*) AS out_degree FROM edges GROUP BY src),
+idg AS (SELECT dst AS username, count(*) AS in_degree FROM edges GROUP BY dst)
+SELECT username, coalesce(in_degree, 0) AS in_degree, coalesce(out_degree, 0) AS out_degree,
+       round((coalesce(in_degree, 0) + coalesce(out_degree, 0)) * (1.0 / ((SELECT count(*) FROM nodes) - 1)), 9) AS degree_centrality
+FROM nodes LEFT JOIN od USING (username) LEFT JOIN idg USING (username)""")
+def q_degree_centrality(spark, sf_dir):
+    _, nodes, edges = graph_frames(spark, sf_dir)
+    return round_doubles(G.degree_centrality(nodes, edges), 9)
+
+
+@register("pagerank", sql=f"WITH {graph_sql()}, {pagerank_sql(PAGERANK_ROUNDS)}")
+def q_pagerank(spark, sf_dir):
+    _, nodes, edges = graph_frames(spark, sf_dir)
+    return round_doubles(G.pagerank(nodes, edges, max_iter=PAGERANK_ROUNDS, tol=None), 9)
+
+
+@register("betweenness")
+def q_betweenness(spark, sf_dir):
+    _, nodes, edges = graph_frames(spark, sf_dir)
+    return round_doubles(G.betweenness(nodes, edges, k=50), 9)
+
+
+@register("subgraph", sql=f"""WITH {graph_sql()},
+keep AS (SELECT username FROM nodes ORDER BY username LIMIT 80)
+SELECT src, dst FROM edges WHERE src IN (SELECT username FROM keep) AND dst IN (SELECT username FROM keep)""")
+def q_subgraph(spark, sf_dir):
+    _, nodes, edges = graph_frames(spark, sf_dir)
+    return G.subgraph(nodes, edges, 80)[1]
+
+
+def network_frame(spark, sf_dir):
+    raw, nodes, edges = graph_frames(spark, sf_dir)
+    deg = G.degree_centrality(nodes, edges)
+    btw = G.betweenness(nodes, edges, k=50)
+    pr = G.pagerank(nodes, edges)
+    return G.network_features(nodes, deg, btw, pr)
+
+
+@register("network_features")
+def q_network_features(spark, sf_dir):
+    return round_doubles(network_frame(spark, sf_dir), 9)
+
+
+@register("network_means_by_label")
+def q_network_means_by_label(spark, sf_dir):
+    nf = network_frame(spark, sf_dir)
+    return round_doubles(P.means_by_label(nf, ["degree_centrality", "betweenness_centrality", "pagerank"]), 9)
+
+
+@register("aligned_features")
+def q_aligned_features(spark, sf_dir):
+    return round_doubles(G.aligned_features(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)), 9)

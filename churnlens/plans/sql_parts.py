@@ -222,3 +222,33 @@ final AS (
   SELECT {PARSED_COLS}, churn, 2, {eff} FROM extras
   WHERE (SELECT r FROM r0) < {min_ratio} AND NOT ({"TRUE" if adj >= 90 else "FALSE"} AND (SELECT r FROM r1) >= {min_ratio})
     AND batch <= (SELECT k FROM keep))"""
+
+
+def graph_sql(threshold: int = 365, hubs: int = 5, skip_top: int = 1) -> str:
+    """CTEs ``nodes``, ``top``, ``edges`` over the raw users."""
+    return f"""{raw_users_sql(threshold)},
+nodes AS (SELECT username, churn, CAST(coalesce(followers, 0) AS BIGINT) AS followers,
+                 CAST(coalesce(following, 0) AS BIGINT) AS following,
+                 CAST(coalesce(public_repos, 0) AS BIGINT) AS repos FROM raw_users),
+top AS (SELECT username AS dst, CAST(row_number() OVER (ORDER BY followers DESC, username) - 1 AS INTEGER) AS pos
+        FROM (SELECT * FROM nodes ORDER BY followers DESC, username LIMIT {skip_top + hubs})),
+edges AS (SELECT DISTINCT n.username AS src, t.dst FROM nodes n JOIN top t
+          ON n.following > 0 AND t.pos BETWEEN {skip_top} AND least(n.following, {hubs}) + {skip_top - 1}
+          WHERE t.dst <> n.username)"""
+
+
+def pagerank_sql(iters: int, alpha: float = 0.85, digits: int = 9) -> str:
+    ctes = [f"""od AS (SELECT src, count(*) AS outdeg FROM edges GROUP BY src),
+ew AS (SELECT e.src, e.dst, 1.0 / od.outdeg AS w FROM edges e JOIN od USING (src)),
+nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes),
+x0 AS MATERIALIZED (SELECT username, 1.0 / (SELECT n FROM nn) AS rank FROM nodes)"""]
+    for i in range(1, iters + 1):
+        p = f"x{i - 1}"
+        ctes.append(f"""x{i} AS MATERIALIZED (
+  SELECT nd.username,
+         CAST({alpha} AS DOUBLE) * coalesce(c.c, 0.0)
+         + (CAST({alpha} AS DOUBLE) * (SELECT coalesce(sum(rank), 0.0) FROM {p} WHERE username NOT IN (SELECT src FROM od))
+            / (SELECT n FROM nn) + (1.0 - CAST({alpha} AS DOUBLE)) / (SELECT n FROM nn)) AS rank
+  FROM nodes nd LEFT JOIN (SELECT ew.dst AS username, sum({p}.rank * ew.w) AS c
+                           FROM ew JOIN {p} ON {p}.username = ew.src GROUP BY ew.dst) c USING (username))""")
+    return ",\n".join(ctes) + f"\nSELECT username, round(rank, {digits}) AS pagerank FROM x{iters}"

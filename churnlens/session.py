@@ -34,6 +34,9 @@ def get_session(master: str | None = None, app: str = "churnlens",
         b = b.master(master)
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
+    if master and master.startswith("local") and "spark.driver.memory" not in (extra or {}):
+        # local mode: the driver JVM is the executor, so cached blocks live in its heap
+        b = b.config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "12g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
