@@ -516,3 +516,164 @@ def q_network_means_by_label(spark, sf_dir):
 @register("aligned_features")
 def q_aligned_features(spark, sf_dir):
     return round_doubles(G.aligned_features(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)), 9)
+
+
+# ---------------------------------------------------------------- models, PCA, SVD, recommendations
+from churnlens.operators import latent as LT  # noqa: E402
+from churnlens.operators import models as M  # noqa: E402
+from churnlens.schemas import FINAL_FEATURES  # noqa: E402
+
+
+def _train_split(fx):
+    return S.stratified_split(fx).where(~F.col("is_test"))
+
+
+@register("rfe_ranking")
+def q_rfe_ranking(spark, sf_dir):
+    return M.rfe_ranking(_train_split(feature_frame(spark, sf_dir)))
+
+
+@register("dt_importance")
+def q_dt_importance(spark, sf_dir):
+    return round_doubles(M.dt_importance(_train_split(feature_frame(spark, sf_dir))))
+
+
+@register("rf_importance")
+def q_rf_importance(spark, sf_dir):
+    return round_doubles(M.rf_importance(_train_split(feature_frame(spark, sf_dir))))
+
+
+@register("selection_table")
+def q_selection_table(spark, sf_dir):
+    return M.select_features(feature_frame(spark, sf_dir))["table"]
+
+
+@register("cv_metrics")
+def q_cv_metrics(spark, sf_dir):
+    return round_doubles(M.cv_metrics(feature_frame(spark, sf_dir), FINAL_FEATURES))
+
+
+@register("holdout_metrics")
+def q_holdout_metrics(spark, sf_dir):
+    return round_doubles(M.train_and_save(feature_frame(spark, sf_dir), FINAL_FEATURES)["metrics"])
+
+
+@register("holdout_report")
+def q_holdout_report(spark, sf_dir):
+    return round_doubles(M.train_and_save(feature_frame(spark, sf_dir), FINAL_FEATURES)["report"])
+
+
+@register("score_users")
+def q_score_users(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir)
+    model = M.train_and_save(fx, FINAL_FEATURES)["model"]
+    return M.score_users(model, fx.select("username", *FINAL_FEATURES))
+
+
+def _pca_fit(spark, sf_dir):
+    return LT.fit_pca(feature_frame(spark, sf_dir))
+
+
+@register("pca_variance")
+def q_pca_variance(spark, sf_dir):
+    return round_doubles(LT.pca_variance(spark, _pca_fit(spark, sf_dir)))
+
+
+@register("pca_loadings")
+def q_pca_loadings(spark, sf_dir):
+    return round_doubles(LT.pca_loadings(spark, _pca_fit(spark, sf_dir)))
+
+
+@register("pca_projection")
+def q_pca_projection(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir)
+    fit = LT.fit_pca(fx)
+    return round_doubles(LT.pca_project(fx, fit, fit.n_for(), keep=("username", "churn")))
+
+
+_MM = ", ".join(
+    f"({c} - (SELECT lo_{c} FROM st)) / (SELECT CASE WHEN hi_{c} > lo_{c} THEN hi_{c} - lo_{c} ELSE 1 END FROM st) AS {c}"
+    for c in FEATURE_NAMES)
+_GRAM = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{FEATURE_NAMES[j]}' AS b, round(sum({a} * {FEATURE_NAMES[j]}), 6) AS g FROM mm"
+    for i, a in enumerate(FEATURE_NAMES) for j in range(i, len(FEATURE_NAMES)))
+
+
+@register("svd_gram", sql=f"""WITH {features_sql()},
+st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in FEATURE_NAMES)} FROM features),
+mm AS (SELECT {_MM} FROM features)
+{_GRAM}""")
+def q_svd_gram(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir)
+    cols = list(FEATURE_COLUMNS)
+    dbl = fx.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    x = S.apply_minmax(dbl, S.fit_minmax(dbl, cols))
+    aggs = [F.struct(F.lit(a).alias("a"), F.lit(cols[j]).alias("b"), F.sum(F.col(a) * F.col(cols[j])).alias("g"))
+            for i, a in enumerate(cols) for j in range(i, len(cols))]
+    return round_doubles(x.agg(F.array(*aggs).alias("m")).select(F.inline("m")))
+
+
+def _svd(spark, sf_dir):
+    fx = feature_frame(spark, sf_dir)
+    return fx, LT.fit_svd(fx)
+
+
+@register("svd_variance")
+def q_svd_variance(spark, sf_dir):
+    return round_doubles(LT.svd_variance(spark, _svd(spark, sf_dir)[1]))
+
+
+@register("svd_reconstruction")
+def q_svd_reconstruction(spark, sf_dir):
+    fx, fit = _svd(spark, sf_dir)
+    out = LT.svd_reconstruct(fx, fit)
+    return out.select("username", F.transform("scaled", lambda v: F.round(v, 6)).alias("scaled"),
+                      F.transform("reconstructed", lambda v: F.round(v, 6)).alias("reconstructed"))
+
+
+@register("svd_coordinates")
+def q_svd_coordinates(spark, sf_dir):
+    fx, fit = _svd(spark, sf_dir)
+    return round_doubles(LT.svd_coordinates(fx, fit))
+
+
+def recommend_frame(spark, sf_dir, top_n=5):
+    fx = feature_frame(spark, sf_dir)
+    model = M.train_and_save(fx, FINAL_FEATURES)["model"]
+    scores = M.predict(model, fx.select("username", *FINAL_FEATURES))
+    latent = LT.svd_reconstruct(fx, LT.fit_svd(fx))
+    users = LT.user_index(fx.select("username"))
+    return LT.recommend(users, scores, latent, FEATURE_COLUMNS, top_n)
+
+
+@register("recommend")
+def q_recommend(spark, sf_dir):
+    return recommend_frame(spark, sf_dir)
+
+
+_REQ = ["days_since_last_activity", "activity_frequency", "repos_per_year"]
+
+
+def _request_checks(sql: bool):
+    """(condition, message) pairs, in order; the first failing one is reported."""
+    out = []
+    for c in _REQ:
+        out.append((f"{c} IS NULL" if sql else F.col(c).isNull(), f"{c} is required"))
+        out.append((f"{c} < 0" if sql else F.col(c) < 0, f"{c} must be >= 0"))
+    return out
+
+
+_REQ_CASE = "CASE " + " ".join(f"WHEN {c} THEN '{m}'" for c, m in _request_checks(True)) + " END"
+
+
+@register("validate_requests", sql=f"""WITH {features_sql()}
+SELECT username AS request_id, {", ".join(f"round({c}, 6) AS {c}" for c in _REQ)},
+       ({_REQ_CASE}) IS NULL AS valid, {_REQ_CASE} AS error
+FROM f0""")
+def q_validate_requests(spark, sf_dir):
+    """Scoring requests built from each user's three model inputs before the median
+    fill, so users with unknown dates arrive with missing fields and are rejected."""
+    from churnlens.operators.scoring import validate_score_requests
+    pre = raw_feature_frame(raw_frame(spark, sf_dir), AS_OF)
+    req = pre.select(F.col("username").alias("request_id"), *_REQ)
+    return round_doubles(validate_score_requests(req))
