@@ -222,3 +222,39 @@ def score_users(model: PipelineModel, df: DataFrame) -> DataFrame:
                       (F.col("prediction") == 1).alias("churned"),
                       F.bround("churn_probability", 3).alias("churn_probability"),
                       risk_level("churn_probability").alias("risk_level"))
+
+
+def model_comparison(fx: DataFrame, network: DataFrame | None = None, selected=None, label: str = "churn",
+                     seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> DataFrame:
+    """Hold-out F1 and CV F1 of the forest on three inputs: the selected
+    features, PCA components reaching 90 % variance (fitted on the training
+    rows), and all features plus the three network centralities."""
+    from churnlens.operators.latent import fit_pca, pca_project
+    spark = fx.sparkSession
+    selected = list(selected or FINAL_FEATURES)
+    rows = []
+
+    def evaluate(name, data, cols):
+        ho = train_and_save(data, cols, label, None, seed, trees, max_depth)["metrics"].first()["f1"]
+        cv = cv_metrics(data, cols, label, FOLDS, seed, trees, max_depth).first()["cv_f1"]
+        rows.append((name, len(cols), float(ho), float(cv)))
+
+    evaluate("selected", fx, selected)
+    train = stratified_split(fx, label).where(~F.col("is_test"))
+    pfit = fit_pca(train)
+    k = pfit.n_for()
+    evaluate("pca", pca_project(fx, pfit, k, keep=("username", label)), [f"pc{j + 1}" for j in range(k)])
+    if network is not None:
+        net_cols = ["degree_centrality", "betweenness_centrality", "pagerank"]
+        ext = fx.join(network.select("username", *net_cols), "username")
+        evaluate("all_plus_network", ext, list(FEATURE_COLUMNS) + net_cols)
+    return spark.createDataFrame(rows, "feature_set string, n_features int, holdout_f1 double, cv_f1 double")
+
+
+def extended_importance(fx: DataFrame, network: DataFrame, label: str = "churn") -> DataFrame:
+    """Forest importances over the ten features plus three centralities (training rows)."""
+    net_cols = ["degree_centrality", "betweenness_centrality", "pagerank"]
+    ext = fx.join(network.select("username", *net_cols), "username")
+    train = stratified_split(ext, label).where(~F.col("is_test"))
+    cols = list(FEATURE_COLUMNS) + net_cols
+    return rf_importance(train, cols, label).withColumn("is_network", F.col("feature").isin(net_cols))

@@ -677,3 +677,35 @@ def q_validate_requests(spark, sf_dir):
     pre = raw_feature_frame(raw_frame(spark, sf_dir), AS_OF)
     req = pre.select(F.col("username").alias("request_id"), *_REQ)
     return round_doubles(validate_score_requests(req))
+
+
+# ---------------------------------------------------------------- comparison, extended model, stream
+from churnlens.session import scratch_path  # noqa: E402
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    return round_doubles(M.model_comparison(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)))
+
+
+@register("extended_importance")
+def q_extended_importance(spark, sf_dir):
+    return round_doubles(M.extended_importance(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """Requests (each user's three inputs before the median fill) land as JSON
+    files; the stream validates and scores them with the trained model."""
+    from churnlens.streaming.scoring import start_scoring_stream
+    fx = feature_frame(spark, sf_dir)
+    model = M.train_and_save(fx, FINAL_FEATURES)["model"]
+    pre = raw_feature_frame(raw_frame(spark, sf_dir), AS_OF)
+    src, sink, ck = (scratch_path(spark, n) for n in ("requests", "scored", "stream-ckpt"))
+    pre.select(F.col("username").alias("request_id"), *FINAL_FEATURES).write.json(src)
+    start_scoring_stream(spark, model, src, sink, ck)
+    scored = spark.read.parquet(f"{sink}/scored").select("request_id", "churned", "churn_probability", "risk_level")
+    rejected = spark.read.parquet(f"{sink}/rejected").select(
+        "request_id", F.lit(None).cast("boolean").alias("churned"), F.lit(None).cast("double").alias("churn_probability"),
+        F.concat(F.lit("REJECTED: "), F.col("error")).alias("risk_level"))
+    return scored.unionByName(rejected)
