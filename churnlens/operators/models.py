@@ -35,6 +35,8 @@ DT_MAX_BINS = 256
 RFE_KEEP = 5
 TOP_K = 5
 FOLDS = 5
+RF_PASS_MB = 512
+PARALLEL_FITS = 5     # independent fits (folds, feature sets) submitted concurrently
 
 
 def _ranked(spark, values: dict[str, float], cols, score: str, rank: str) -> DataFrame:
@@ -101,8 +103,10 @@ def dt_importance(train: DataFrame, cols=FEATURE_COLUMNS, label: str = "churn",
 def forest(cols, seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH,
            weighted: bool = True) -> Pipeline:
     """VectorAssembler → balanced random forest, as one Pipeline."""
+    # node ids cached per row and a larger per-pass histogram budget: fewer passes over the data
     rf = RandomForestClassifier(featuresCol="features_vec", labelCol="label", numTrees=trees,
                                 maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
+                                maxMemoryInMB=RF_PASS_MB, cacheNodeIds=True, checkpointInterval=10,
                                 **({"weightCol": "weight"} if weighted else {}))
     return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features_vec",
                                             handleInvalid="error"), rf])
@@ -151,10 +155,12 @@ def select_features(fx: DataFrame, cols=FEATURE_COLUMNS, label: str = "churn", f
     """Split, filters (on all rows by default), RFE / tree / forest on the training rows, vote table."""
     split = stratified_split(fx, label)
     train = split.where(~F.col("is_test"))
-    filt = filter_method(fx if filter_on == "all" else train, cols, label)
-    rfe = rfe_ranking(train, cols, RFE_KEEP, label)
-    dt = dt_importance(train, cols, label)
-    rf = rf_importance(train, cols, label)
+    # the four methods are independent: submit them together
+    jobs = [lambda: filter_method(fx if filter_on == "all" else train, cols, label).checkpoint(),
+            lambda: rfe_ranking(train, cols, RFE_KEEP, label),
+            lambda: dt_importance(train, cols, label),
+            lambda: rf_importance(train, cols, label)]
+    filt, rfe, dt, rf = _concurrently(lambda f: f(), jobs)
     return {"filter": filt, "rfe": rfe, "dt": dt, "rf": rf, "split": split,
             "table": comparison_table(filt, rfe, dt, rf, filter_vote)}
 
@@ -181,17 +187,27 @@ def cv_metrics(fx: DataFrame, cols=FINAL_FEATURES, label: str = "churn", folds:
     """
     spark = fx.sparkSession
     data = kfold_assignment(fx.select("username", label, *cols), folds, seed=seed)
-    rows = []
-    for k in range(folds):
+
+    def one(k):
         tr, te = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
         model = forest(cols, seed, trees, max_depth).fit(_weighted(tr, label))
         m = P.binary_metrics(predict(model, te), label, "prediction").first()
-        rows.append((k, m["accuracy"], m["precision"], m["recall"], m["f1"]))
+        return (k, m["accuracy"], m["precision"], m["recall"], m["f1"])
+
+    rows = _concurrently(one, range(folds))
     per_fold = spark.createDataFrame(rows, "fold int, accuracy double, precision double, recall double, f1 double")
     return per_fold.agg(F.avg("accuracy").alias("cv_accuracy"), F.avg("precision").alias("cv_precision"),
                         F.avg("recall").alias("cv_recall"), F.avg("f1").alias("cv_f1"))
 
 
+def _concurrently(fn, items):
+    """Run independent fits from driver threads; Spark interleaves their jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, min(PARALLEL_FITS, len(items)))) as ex:
+        return list(ex.map(fn, items))
+
+
 def train_and_save(fx: DataFrame, selected=None, label: str = "churn", model_path: str | None = None,
                    seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> dict:
     """Final forest on the stratified 80 %, hold-out metrics and report, optional save."""
@@ -232,22 +248,23 @@ def model_comparison(fx: DataFrame, network: DataFrame | None = None, selected=N
     from churnlens.operators.latent import fit_pca, pca_project
     spark = fx.sparkSession
     selected = list(selected or FINAL_FEATURES)
-    rows = []
 
-    def evaluate(name, data, cols):
+    def evaluate(item):
+        name, data, cols = item
         ho = train_and_save(data, cols, label, None, seed, trees, max_depth)["metrics"].first()["f1"]
         cv = cv_metrics(data, cols, label, FOLDS, seed, trees, max_depth).first()["cv_f1"]
-        rows.append((name, len(cols), float(ho), float(cv)))
+        return (name, len(cols), float(ho), float(cv))
 
-    evaluate("selected", fx, selected)
+    sets = [("selected", fx, selected)]
     train = stratified_split(fx, label).where(~F.col("is_test"))
     pfit = fit_pca(train)
     k = pfit.n_for()
-    evaluate("pca", pca_project(fx, pfit, k, keep=("username", label)), [f"pc{j + 1}" for j in range(k)])
+    sets.append(("pca", pca_project(fx, pfit, k, keep=("username", label)), [f"pc{j + 1}" for j in range(k)]))
     if network is not None:
         net_cols = ["degree_centrality", "betweenness_centrality", "pagerank"]
         ext = fx.join(network.select("username", *net_cols), "username")
-        evaluate("all_plus_network", ext, list(FEATURE_COLUMNS) + net_cols)
+        sets.append(("all_plus_network", ext, list(FEATURE_COLUMNS) + net_cols))
+    rows = _concurrently(evaluate, sets)
     return spark.createDataFrame(rows, "feature_set string, n_features int, holdout_f1 double, cv_f1 double")
 
 
