@@ -23,11 +23,23 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utc_iso(value) -> str:
+    """Normalise a date, datetime or ISO string to ``YYYY-MM-DDTHH:MM:SSZ`` (UTC)."""
+    if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        return value.strftime("%Y-%m-%dT%H:%M:%SZ")
+    if isinstance(value, _dt.date):
+        return value.strftime("%Y-%m-%dT00:00:00Z")
+    s = str(value).strip().replace(" ", "T")
+    if len(s) == 10:
+        s += "T00:00:00"
+    return s if s.endswith("Z") or "+" in s[10:] else s + "Z"
+
+
 def as_of_lit(as_of) -> Column:
-    """A UTC instant literal from a datetime or ISO string."""
-    if isinstance(as_of, _dt.datetime):
-        as_of = as_of.strftime("%Y-%m-%d %H:%M:%S")
-    return F.to_timestamp(F.lit(str(as_of).replace("T", " ").rstrip("Z")))
+    """A UTC instant literal; the explicit offset makes it independent of the session time zone."""
+    return F.to_timestamp(F.lit(utc_iso(as_of)))
 
 
 def parse_ts(c) -> Column:
@@ -35,9 +47,24 @@ def parse_ts(c) -> Column:
     return F.try_to_timestamp(_c(c))
 
 
+ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
 def iso_string(c) -> Column:
-    """Render an instant as ``YYYY-MM-DDTHH:MM:SSZ`` (UTC session)."""
-    return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """Render an instant (TIMESTAMP) as ``YYYY-MM-DDTHH:MM:SSZ`` in UTC, whatever the session zone."""
+    return F.date_format(F.to_utc_timestamp(_c(c), F.current_timezone()), ISO_FMT)
+
+
+def iso_string_naive(c) -> Column:
+    """Render a zone-less TIMESTAMP_NTZ (taken as UTC wall-clock time) as an ISO string."""
+    return F.date_format(_c(c), ISO_FMT)
+
+
+def iso_of(df, name: str) -> Column:
+    """ISO string of a timestamp column, choosing the rule by its type."""
+    from pyspark.sql import types as T
+    dt = df.schema[name].dataType
+    return iso_string_naive(name) if isinstance(dt, T.TimestampNTZType) else iso_string(name)
 
 
 def days_since(ts, as_of) -> Column:

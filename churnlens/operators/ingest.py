@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.functions.scalars import parse_ts
+from churnlens.functions.scalars import as_of_lit, parse_ts
 from churnlens.session import ensure_checkpoint_dir
 from churnlens.operators.labels import (
     DEFAULT_THRESHOLD, assign_labels, churn_ratio_value, parse_users, user_accounts,
@@ -61,7 +61,7 @@ def cohort_members(profiles: DataFrame, repos: DataFrame | None, cohort: Cohort)
         lo, hi = cohort.repos
         cond = cond & F.coalesce(F.col("public_repos"), F.lit(0)).between(lo, hi)
     if cohort.created_before is not None:
-        cond = cond & (parse_ts("created_at") < F.to_timestamp(F.lit(cohort.created_before)))
+        cond = cond & (parse_ts("created_at") < as_of_lit(cohort.created_before))
     out = profiles.where(cond)
     if cohort.language is not None:
         if repos is None:

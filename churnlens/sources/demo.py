@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.functions.scalars import iso_string
+from churnlens.functions.scalars import iso_of
 from churnlens.session import table_path
 
 # Reference instant for the demo data (after the last ship date).
@@ -86,8 +86,8 @@ def demo_profiles(spark: SparkSession, sf_dir: str, tables: dict | None = None)
         F.col("public_gists").cast("long").alias("public_gists"),
         F.col("followers").cast("long").alias("followers"),
         F.col("following").cast("long").alias("following"),
-        iso_string("first_order").alias("created_at"),
-        iso_string("last_ship").alias("updated_at"),
+        iso_of(j, "first_order").alias("created_at"),
+        iso_of(j, "last_ship").alias("updated_at"),
         bio.alias("bio"),
         F.col("blog"),
         F.when(F.col("c_acctbal") >= 0, F.col("n_name")).alias("company"),
@@ -101,7 +101,7 @@ def demo_repos(spark: SparkSession, sf_dir: str, tables: dict | None = None) ->
     t = tables or load_tables(spark, sf_dir)
     cust = t["customer"].select("c_custkey", "c_name")
     od = t["orders"].select("o_custkey", "o_orderdate", "o_orderpriority")
-    return (od.join(cust, od.o_custkey == cust.c_custkey)
-            .select(F.col("c_name").alias("owner"),
-                    iso_string("o_orderdate").alias("pushed_at"),
+    j = od.join(cust, od.o_custkey == cust.c_custkey)
+    return (j.select(F.col("c_name").alias("owner"),
+                    iso_of(j, "o_orderdate").alias("pushed_at"),
                     F.col("o_orderpriority").alias("language")))
