@@ -99,3 +99,18 @@ def label_distribution(df: DataFrame) -> DataFrame:
     counts = df.groupBy("churn").agg(F.count(F.lit(1)).alias("n"))
     from pyspark.sql import Window
     return counts.select("churn", "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
+
+
+def label_sources(df: DataFrame) -> DataFrame:
+    """Which signal decided each label: push date, update-date fallback, or none (→ 0).
+
+    The fallback date is also the source of the recency feature, so its share
+    measures how much the label and that feature overlap.
+    """
+    src = (F.when(F.col("days_since_last_push").isNotNull(), F.lit("push"))
+           .when(F.col("days_since_update").isNotNull(), F.lit("update"))
+           .otherwise(F.lit("none")))
+    from pyspark.sql import Window
+    g = df.groupBy(src.alias("label_source")).agg(F.count(F.lit(1)).alias("n"),
+                                                   F.coalesce(F.sum("churn"), F.lit(0)).cast("long").alias("churned"))
+    return g.select("label_source", "n", "churned", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))

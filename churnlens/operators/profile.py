@@ -185,3 +185,11 @@ def classification_report(df: DataFrame, label: str = "churn", prediction: str =
     arr = F.array(*[F.struct(F.lit(nm).alias("class"), p.alias("precision"), r.alias("recall"),
                              f.alias("f1"), s.cast("long").alias("support")) for nm, p, r, f, s in rows])
     return c.select(F.inline(arr))
+
+
+def summarize_features(pre_fill: DataFrame, filled: DataFrame, cols, label: str | None = "churn") -> dict:
+    """The feature summary: describe, matrix health and (when labelled) means by label."""
+    out = {"describe": describe(filled, cols), "health": matrix_health(pre_fill, filled, cols)}
+    if label and label in filled.columns:
+        out["means_by_label"] = means_by_label(filled, cols, label)
+    return out

@@ -637,11 +637,17 @@ def q_svd_coordinates(spark, sf_dir):
     return round_doubles(LT.svd_coordinates(fx, fit))
 
 
-def recommend_frame(spark, sf_dir, top_n=5):
+def recommend_frame(spark, sf_dir, top_n=5, scaled_scoring=False):
+    """``scaled_scoring=True`` feeds the model min-max scaled inputs, as the
+    reference's service does (the model was trained on raw values)."""
     fx = feature_frame(spark, sf_dir)
     model = M.train_and_save(fx, FINAL_FEATURES)["model"]
-    scores = M.predict(model, fx.select("username", *FINAL_FEATURES))
-    latent = LT.svd_reconstruct(fx, LT.fit_svd(fx))
+    fit = LT.fit_svd(fx)
+    latent = LT.svd_reconstruct(fx, fit)
+    inputs = fx.select("username", *FINAL_FEATURES)
+    if scaled_scoring:
+        inputs = S.apply_minmax(inputs, {c: fit.bounds[c] for c in FINAL_FEATURES}, keep=["username"])
+    scores = M.predict(model, inputs)
     users = LT.user_index(fx.select("username"))
     return LT.recommend(users, scores, latent, FEATURE_COLUMNS, top_n)
 
@@ -709,3 +715,13 @@ def q_stream_score(spark, sf_dir):
         "request_id", F.lit(None).cast("boolean").alias("churned"), F.lit(None).cast("double").alias("churn_probability"),
         F.concat(F.lit("REJECTED: "), F.col("error")).alias("risk_level"))
     return scored.unionByName(rejected)
+
+
+@register("label_sources", sql=f"""WITH {raw_users_sql()}
+SELECT label_source, n, churned, round(n / sum(n) OVER (), 6) AS share FROM (
+  SELECT CASE WHEN days_since_last_push IS NOT NULL THEN 'push'
+              WHEN days_since_update IS NOT NULL THEN 'update' ELSE 'none' END AS label_source,
+         count(*) AS n, CAST(coalesce(sum(churn), 0) AS BIGINT) AS churned
+  FROM raw_users GROUP BY 1)""")
+def q_label_sources(spark, sf_dir):
+    return round_doubles(L.label_sources(raw_frame(spark, sf_dir)))
