@@ -16,7 +16,7 @@ from churnlens.functions.scalars import (
 )
 from churnlens.operators.quantiles import exact_medians
 from churnlens.schemas import FEATURE_COLUMNS, REQUIRED_RAW, require_columns
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import materialize
 
 TEXT_FIELDS = ["bio", "blog", "company"]
 
@@ -91,13 +91,11 @@ def apply_fill(frame: DataFrame, fills: dict[str, float]) -> DataFrame:
 def generate_features(raw: DataFrame, as_of, key: str = "username") -> DataFrame:
     """Raw users → key, ten finite features in contract order, churn (if labelled).
 
-    The pre-fill frame is checkpointed (written to the shared checkpoint
-    folder) because the fill values need a few passes over it: the written data
+    The pre-fill frame is written as a table in the shared checkpoint folder because the fill values need a few passes over it: the written data
     is per user (a dozen columns), the source joins run once, and a lost
     executor re-reads the files instead of recomputing the joins.
     """
-    ensure_checkpoint_dir(raw.sparkSession)
-    frame = raw_feature_frame(raw, as_of, key).checkpoint(eager=True)
+    frame = materialize(raw_feature_frame(raw, as_of, key), "features-prefill")
     fills = fill_values(frame)
     return apply_fill(frame, fills)
 

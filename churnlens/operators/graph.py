@@ -1,8 +1,8 @@
 """Follow graph and centralities (GRA1-GRA8, JOIN3-JOIN5).
 
 Nodes and edges are DataFrames; every centrality is a sequence of joins and
-aggregates keyed by node.  Iterative algorithms cut their lineage with
-reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir``.
+aggregates keyed by node.  Iterative algorithms cut their lineage by
+writing intermediate tables into the shared ``spark.checkpoint.dir`` folder.
 
 Skew note: in the proxy graph every edge points at one of five hub users, so
 in-degree is extremely skewed.  All per-destination sums are plain aggregates
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.operators.sampling import hash_key
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import ensure_checkpoint_dir, materialize
 
 HUB_COUNT = 5
 SKIP_TOP = 1
@@ -90,7 +90,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     ``max_iter`` rounds).  Edges are hash-partitioned by source once and kept;
     the rank table carries each node's dangling flag and previous rank, so one
     aggregate per round yields both the L1 change and the next dangling mass.
-    Lineage is cut with ``checkpoint()`` every ``checkpoint_every`` rounds.
+    Lineage is cut by writing the rank table every ``checkpoint_every`` rounds.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
@@ -100,7 +100,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
          .repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK))
     ids = (nodes.select("username").join(outdeg.withColumnRenamed("src", "username"), "username", "left")
            .select("username", F.col("outdeg").isNull().alias("dangling"))
-           .repartition(parts, "username").checkpoint())
+           .repartition(parts, "username").persist(StorageLevel.MEMORY_AND_DISK))
     stats = ids.agg(F.count(F.lit(1)).alias("n"), F.count_if("dangling").alias("nd")).first()
     n = stats["n"]
     if n == 0:
@@ -115,7 +115,10 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
         new = (x.join(contrib, "username", "left")
                .select("username", "dangling", F.col("rank").alias("old"),
                        (F.lit(alpha) * F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(base)).alias("rank")))
-        new = new.checkpoint() if it % checkpoint_every == 0 else new.persist(StorageLevel.MEMORY_AND_DISK)
+        if it % checkpoint_every == 0:
+            new = materialize(new, "pagerank").repartition(parts, "username").persist(StorageLevel.MEMORY_AND_DISK)
+        else:
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)
         row = new.agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"),
                       F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("d")).first()
         x.unpersist()
@@ -124,6 +127,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
         if tol is not None and row["err"] < n * tol:
             break
     e.unpersist()
+    ids.unpersist()
     return x.select("username", F.col("rank").alias("pagerank"))
 
 
@@ -153,18 +157,19 @@ def betweenness(nodes: DataFrame, edges: DataFrame, k: int | None = 50, seed: in
         sources = nodes.select(F.col("username").alias("source"))
         k_used = None
     e = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    frontier = sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("sigma")) \
-        .checkpoint()
+    frontier = materialize(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("sigma")),
+                           "brandes-level")
     levels = [frontier]
     visited = frontier.select("source", "node")
     for _ in range(max_levels):
         nxt = (frontier.join(e.withColumnRenamed("src", "node"), "node")
                .groupBy("source", F.col("dst").alias("node")).agg(F.sum("sigma").alias("sigma"))
-               .join(visited, ["source", "node"], "left_anti")).checkpoint()
+               .join(visited, ["source", "node"], "left_anti"))
+        nxt = materialize(nxt, "brandes-level")
         if nxt.isEmpty():
             break
         levels.append(nxt)
-        visited = visited.unionByName(nxt.select("source", "node")).checkpoint()
+        visited = materialize(visited.unionByName(nxt.select("source", "node")), "brandes-visited")
         frontier = nxt
     # backward sweep: delta(v) = Σ_{v→w, dist(w)=dist(v)+1} sigma_v / sigma_w · (1 + delta_w)
     delta_next = None  # (source, node, sigma, delta) for the deeper level
@@ -178,7 +183,8 @@ def betweenness(nodes: DataFrame, edges: DataFrame, k: int | None = 50, seed: in
                    .groupBy("source", "node")
                    .agg(F.sum(F.col("sigma") / F.col("sw") * (F.lit(1.0) + F.col("dw"))).alias("delta")))
         cur = (here.join(contrib, ["source", "node"], "left")
-               .select("source", "node", "sigma", F.coalesce("delta", F.lit(0.0)).alias("delta"))).checkpoint()
+               .select("source", "node", "sigma", F.coalesce("delta", F.lit(0.0)).alias("delta")))
+        cur = materialize(cur, "brandes-delta")
         part = cur.where(F.col("node") != F.col("source")).select("node", "delta")
         total = part if total is None else total.unionByName(part)
         delta_next = cur

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.scalars import as_of_lit, parse_ts
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import materialize
 from churnlens.operators.labels import (
     DEFAULT_THRESHOLD, assign_labels, churn_ratio_value, parse_users, user_accounts,
 )
@@ -143,8 +143,7 @@ def fix_low_churn_ratio(df: DataFrame, profiles: DataFrame, as_of, current_thres
             return BalanceResult(df, ratio, adjusted, 1)
     effective = adjusted if adjusted >= PASS1_FLOOR else current_threshold
 
-    ensure_checkpoint_dir(df.sparkSession)
-    base = df.checkpoint()
+    base = materialize(df, "balance-base")
     known = base.select("username")
     batches = []
     for b, cohort in enumerate(inactive_cohorts, start=1):

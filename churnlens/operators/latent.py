@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from churnlens.operators.sampling import apply_minmax, apply_standard, fit_minmax, fit_standard
 from churnlens.schemas import FEATURE_COLUMNS
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import materialize
 
 LATENT_FACTORS = 5
 PCA_TARGET = 0.90
@@ -221,14 +221,13 @@ def user_index(df: DataFrame, key: str = "username", name: str = "user_id") -> D
     Range-partition by key and sort inside partitions; a row's index is the
     number of rows in earlier partitions plus its position in its own.  The
     offsets table has one row per partition (bounded by the partition count),
-    and the ordered frame is checkpointed so both passes see the same layout.
+    and the ordered frame is written once so both passes read the same values.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = (df.repartitionByRange(parts, key).sortWithinPartitions(key)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id())).checkpoint()
+    o = materialize(df.repartitionByRange(parts, key).sortWithinPartitions(key)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()), "user-index")
     stats = sorted((r["_pid"], r["n"], r["m"]) for r in
                    o.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.min("_mid").alias("m")).collect())
     rows, acc = [], 0

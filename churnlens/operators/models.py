@@ -25,7 +25,7 @@ from churnlens.operators.sampling import (
 )
 from churnlens.operators.selection import filter_method
 from churnlens.schemas import FEATURE_COLUMNS, FINAL_FEATURES, require_columns
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import materialize
 
 SEED = 42
 RF_TREES = 100
@@ -67,8 +67,7 @@ def rfe_ranking(train: DataFrame, cols=FEATURE_COLUMNS, n_keep: int = RFE_KEEP,
     data = with_label(train.select(label, *[F.col(c).cast("double").alias(c) for c in cols]), label)
     st = fit_standard(data, cols)
     data = apply_standard(data, st, keep=["label"])
-    ensure_checkpoint_dir(spark)
-    data = data.checkpoint()
+    data = materialize(data, "rfe-train")
     n = data.count()
     remaining = list(cols)
     out_order: list[str] = []
@@ -156,7 +155,7 @@ def select_features(fx: DataFrame, cols=FEATURE_COLUMNS, label: str = "churn", f
     split = stratified_split(fx, label)
     train = split.where(~F.col("is_test"))
     # the four methods are independent: submit them together
-    jobs = [lambda: filter_method(fx if filter_on == "all" else train, cols, label).checkpoint(),
+    jobs = [lambda: materialize(filter_method(fx if filter_on == "all" else train, cols, label), "filter-table"),
             lambda: rfe_ranking(train, cols, RFE_KEEP, label),
             lambda: dt_importance(train, cols, label),
             lambda: rf_importance(train, cols, label)]

@@ -427,16 +427,15 @@ def q_class_weights(spark, sf_dir):
 # ---------------------------------------------------------------- graph
 from churnlens.operators import graph as G  # noqa: E402
 from churnlens.plans.sql_parts import graph_sql, pagerank_sql  # noqa: E402
-from churnlens.session import ensure_checkpoint_dir  # noqa: E402
+from churnlens.session import materialize  # noqa: E402
 
 PAGERANK_ROUNDS = 30
 
 
 def graph_frames(spark, sf_dir):
     raw = raw_frame(spark, sf_dir)
-    ensure_checkpoint_dir(spark)
-    nodes = G.graph_nodes(raw).checkpoint()
-    return raw, nodes, G.follow_edges(nodes).checkpoint()
+    nodes = materialize(G.graph_nodes(raw), "graph-nodes")
+    return raw, nodes, materialize(G.follow_edges(nodes), "graph-edges")
 
 
 @register("graph_nodes", sql=f"WITH {graph_sql()} SELECT * FROM nodes")

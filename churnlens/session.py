@@ -70,3 +70,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the input once (a
+    reliable RDD checkpoint recomputes it to write the files), and the files
+    survive the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
