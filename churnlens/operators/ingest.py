@@ -71,13 +71,46 @@ def cohort_members(profiles: DataFrame, repos: DataFrame | None, cohort: Cohort)
     return out
 
 
+def _predicate(c: Cohort, lang_col: str | None = None):
+    cond = F.col("type") == "User"
+    if c.followers is not None:
+        cond = cond & F.coalesce(F.col("followers"), F.lit(0)).between(*c.followers)
+    if c.repos is not None:
+        cond = cond & F.coalesce(F.col("public_repos"), F.lit(0)).between(*c.repos)
+    if c.created_before is not None:
+        cond = cond & (parse_ts("created_at") < as_of_lit(c.created_before))
+    if c.language is not None:
+        cond = cond & F.coalesce(F.col(lang_col), F.lit(False))
+    return cond
+
+
+def cohort_flags(profiles: DataFrame, repos: DataFrame | None, cohorts=DEFAULT_COHORTS) -> DataFrame:
+    """Profiles with one boolean column per cohort, in a single pass.
+
+    Language filters become one aggregate over repos (per owner: does any repo
+    use language X), joined once; the other filters are column predicates.
+    """
+    langs = sorted({c.language for c in cohorts if c.language is not None})
+    p = profiles
+    if langs:
+        if repos is None:
+            raise ValueError("a language cohort needs the repos table")
+        per_owner = repos.groupBy(F.col("owner").alias("login")).agg(
+            *[F.max((F.col("language") == F.lit(x)).cast("int")).cast("boolean").alias(f"_lang{i}")
+              for i, x in enumerate(langs)])
+        p = p.join(per_owner, "login", "left")
+    flags = [_predicate(c, f"_lang{langs.index(c.language)}" if c.language is not None else None)
+             .alias(f"cohort{i}") for i, c in enumerate(cohorts)]
+    return p.select(*profiles.columns, *flags)
+
+
 def candidate_users(profiles: DataFrame, repos: DataFrame | None, cohorts=DEFAULT_COHORTS) -> DataFrame:
-    """Union of every cohort's logins, de-duplicated (one row per user)."""
-    parts = [cohort_members(profiles, repos, c).select(F.col("login").alias("username")) for c in cohorts]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.union(p)
-    return u.distinct()
+    """Logins matching any cohort, one row per user (the union of the cohort results)."""
+    f = cohort_flags(profiles, repos, cohorts)
+    any_ = F.lit(False)
+    for i in range(len(cohorts)):
+        any_ = any_ | F.col(f"cohort{i}")
+    return f.where(any_).select(F.col("login").alias("username")).distinct()
 
 
 def recent_repos(repos: DataFrame, n: int = 30) -> DataFrame:
@@ -105,8 +138,11 @@ def collect_dataset(profiles: DataFrame, repos: DataFrame | None, as_of, cohorts
     ``target_records`` caps the number of *user* profiles, taken in login order
     (a top-k, planned as TakeOrderedAndProject); None keeps every candidate.
     """
-    cand = candidate_users(profiles, repos, cohorts)
-    users = user_accounts(profiles.join(cand.withColumnRenamed("username", "login"), "login", "left_semi"))
+    f = cohort_flags(profiles, repos, cohorts)
+    any_ = F.lit(False)
+    for i in range(len(cohorts)):
+        any_ = any_ | F.col(f"cohort{i}")
+    users = user_accounts(f.where(any_).select(*profiles.columns).dropDuplicates(["login"]))
     if target_records is not None:
         users = users.orderBy("login").limit(int(target_records))
     return assign_labels(parse_users(users, repos if fetch_repos else None, as_of), threshold_days)
@@ -144,10 +180,12 @@ def fix_low_churn_ratio(df: DataFrame, profiles: DataFrame, as_of, current_thres
     effective = adjusted if adjusted >= PASS1_FLOOR else current_threshold
 
     base = materialize(df, "balance-base")
+    # the pool is read once per batch: write it once
+    pool = materialize(profiles, "balance-pool")
     known = base.select("username")
     batches = []
     for b, cohort in enumerate(inactive_cohorts, start=1):
-        fresh = (cohort_members(profiles, None, cohort)
+        fresh = (cohort_members(pool, None, cohort)
                  .join(known.withColumnRenamed("username", "login"), "login", "left_anti")
                  .orderBy("login").limit(int(batch_cap)))
         added = assign_labels(parse_users(user_accounts(fresh), None, as_of), effective)
