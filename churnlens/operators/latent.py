@@ -38,6 +38,10 @@ ADVICE = {
 }
 DEFAULT_ADVICE = "Raise your {feature} toward that of similar retained users."
 
+# Response messages of the recommendation step.
+MSG_NOT_AT_RISK = "User is not at risk. No intervention needed."
+MSG_AT_RISK = "User is at risk ({pct}%). Top {n} re-engagement actions returned."
+
 
 def _sign_fix(vecs: np.ndarray) -> np.ndarray:
     """Make the largest-magnitude entry of every column positive."""
@@ -250,10 +254,12 @@ def recommend(users: DataFrame, scores: DataFrame, latent: DataFrame, cols=FEATU
     j = users.join(scores.select("username", "churn_probability"), "username").join(latent, "username")
     at_risk = F.col("churn_probability") >= F.lit(gate)
     empty = F.array().cast("array<struct<feature:string,gap_score:double,action:string>>")
-    msg_risk = F.concat(F.lit("User is at risk ("), F.format_number(F.col("churn_probability") * 100, 1),
-                        F.lit("%). Top "), n.cast("string"), F.lit(" re-engagement actions returned."))
+    head, rest = MSG_AT_RISK.split("{pct}")
+    mid, tail = rest.split("{n}")
+    msg_risk = F.concat(F.lit(head), F.format_number(F.col("churn_probability") * 100, 1),
+                        F.lit(mid), n.cast("string"), F.lit(tail))
     return j.select(
         "user_id", "username", F.bround("churn_probability", 3).alias("churn_probability"),
         at_risk.alias("at_risk"),
         F.when(at_risk, top_gaps(cols, n, positive_only=positive_only)).otherwise(empty).alias("recommendations"),
-        F.when(at_risk, msg_risk).otherwise(F.lit("User is not at risk. No intervention needed.")).alias("message"))
+        F.when(at_risk, msg_risk).otherwise(F.lit(MSG_NOT_AT_RISK)).alias("message"))

@@ -426,7 +426,7 @@ def q_class_weights(spark, sf_dir):
 
 # ---------------------------------------------------------------- graph
 from churnlens.operators import graph as G  # noqa: E402
-from churnlens.plans.sql_parts import graph_sql, pagerank_sql  # noqa: E402
+from churnlens.plans.sql_parts import betweenness_sql, graph_sql, pagerank_sql  # noqa: E402
 from churnlens.session import materialize  # noqa: E402
 
 PAGERANK_ROUNDS = 30
@@ -479,7 +479,7 @@ def q_pagerank(spark, sf_dir):
     return round_doubles(G.pagerank(nodes, edges, max_iter=PAGERANK_ROUNDS, tol=None), 9)
 
 
-@register("betweenness")
+@register("betweenness", sql=f"WITH {graph_sql()}, {betweenness_sql(50)}")
 def q_betweenness(spark, sf_dir):
     _, nodes, edges = graph_frames(spark, sf_dir)
     return round_doubles(G.betweenness(nodes, edges, k=50), 9)

@@ -252,3 +252,36 @@ x0 AS MATERIALIZED (SELECT username, 1.0 / (SELECT n FROM nn) AS rank FROM nodes
   FROM nodes nd LEFT JOIN (SELECT ew.dst AS username, sum({p}.rank * ew.w) AS c
                            FROM ew JOIN {p} ON {p}.username = ew.src GROUP BY ew.dst) c USING (username))""")
     return ",\n".join(ctes) + f"\nSELECT username, round(rank, {digits}) AS pagerank FROM x{iters}"
+
+
+HASH_SQL = "CAST(('0x' || substr(md5('42:' || username), 1, 13)) AS BIGINT)"
+
+
+def betweenness_sql(k: int = 50, depth: int = 8, digits: int = 9) -> str:
+    """Sampled-source Brandes with BFS levels and the backward sweep unrolled to ``depth`` levels."""
+    ctes = [f"src AS (SELECT username AS source FROM nodes ORDER BY {HASH_SQL}, username LIMIT {k})",
+            "L0 AS MATERIALIZED (SELECT source, source AS node, CAST(1.0 AS DOUBLE) AS sigma FROM src)",
+            "V0 AS MATERIALIZED (SELECT source, node FROM L0)"]
+    for d in range(1, depth + 1):
+        ctes.append(f"""L{d} AS MATERIALIZED (
+  SELECT l.source, e.dst AS node, sum(l.sigma) AS sigma
+  FROM L{d - 1} l JOIN edges e ON e.src = l.node
+  LEFT JOIN V{d - 1} v ON v.source = l.source AND v.node = e.dst
+  WHERE v.node IS NULL GROUP BY l.source, e.dst)""")
+        ctes.append(f"V{d} AS MATERIALIZED (SELECT source, node FROM V{d - 1} UNION ALL SELECT source, node FROM L{d})")
+    ctes.append(f"D{depth} AS MATERIALIZED (SELECT source, node, sigma, CAST(0.0 AS DOUBLE) AS delta FROM L{depth})")
+    for d in range(depth - 1, -1, -1):
+        ctes.append(f"""D{d} AS MATERIALIZED (
+  SELECT h.source, h.node, h.sigma, coalesce(c.delta, 0.0) AS delta
+  FROM L{d} h LEFT JOIN (
+    SELECT h.source, h.node, sum(h.sigma / w.sigma * (1 + w.delta)) AS delta
+    FROM L{d} h JOIN edges e ON e.src = h.node JOIN D{d + 1} w ON w.source = h.source AND w.node = e.dst
+    GROUP BY h.source, h.node) c ON c.source = h.source AND c.node = h.node)""")
+    union = " UNION ALL ".join(f"SELECT source, node, delta FROM D{d}" for d in range(0, depth + 1))
+    ctes.append(f"tot AS (SELECT node, sum(delta) AS b FROM ({union}) WHERE node <> source GROUP BY node)")
+    ctes.append("nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes)")
+    scale = (f"(CASE WHEN (SELECT n FROM nn) > 2 THEN 1.0 / (((SELECT n FROM nn) - 1) * ((SELECT n FROM nn) - 2)) "
+             f"ELSE 1.0 END) * (CASE WHEN {k} < (SELECT n FROM nn) THEN (SELECT n FROM nn) / {k} ELSE 1.0 END)")
+    return (",\n".join(ctes) + f"""
+SELECT n.username, round(coalesce(tot.b, 0.0) * {scale}, {digits}) AS betweenness_centrality
+FROM nodes n LEFT JOIN tot ON tot.node = n.username""")
