@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -82,4 +83,22 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    with _LOCK:
+        _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+_LOCK = threading.Lock()
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far (call once their results are consumed)."""
+    with _LOCK:
+        paths, _WRITTEN[:] = list(_WRITTEN), []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
