@@ -2,9 +2,10 @@
 
 ``F.median`` / ``F.percentile`` keep every distinct value of a group in one
 aggregation buffer, which does not survive a billion-row column.  Here the k-th
-smallest value is found by bracket refinement: each round is one distributed
-aggregate (``percentile_approx`` over the rows still inside the bracket plus a
-count below it), and the bracket shrinks by about the sketch accuracy per round.
+smallest value is found by bracket refinement: each round is two distributed
+aggregates (``percentile_approx`` over the rows still inside the bracket, then
+the counts that place the new bounds), and the bracket shrinks by about the
+sketch accuracy per round.
 Once a bracket holds at most ``collect_limit`` rows, those rows — and only
 those — are brought to the driver and ranked.  The number of rounds is
 logarithmic in the row count; no round materialises more than a bounded set.
@@ -30,89 +31,93 @@ def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def kth_values(long_df: DataFrame, wanted: dict[str, list[int]], key: str = "name",
-               value: str = "v", collect_limit: int = COLLECT_LIMIT) -> dict[str, dict[int, float]]:
+               value: str = "v", collect_limit: int | None = None,
+               counts: dict[str, int] | None = None) -> dict[str, dict[int, float]]:
     """Exact 0-based k-th smallest ``value`` per ``key`` for the ranks in ``wanted``.
 
-    ``long_df`` holds (key, value) rows without nulls.  Returns {key: {k: value}}.
+    ``long_df`` holds (key, value) rows without nulls; ``counts`` (rows per
+    key) saves one pass when the caller knows them.  Each bracket tracks
+    (lo, hi] — exclusive lower, inclusive upper bound — the number of rows at
+    or below ``lo`` and the number inside.  A round is two aggregates: sketch
+    quantiles + min/max inside every open bracket, then the counts that place
+    the new bounds.  Returns {key: {k: value}}.
     """
+    limit = COLLECT_LIMIT if collect_limit is None else collect_limit
     long_df = long_df.select(F.col(key).alias("_g"), F.col(value).alias("_v"))
-    # state per (group, k): lower bound (exclusive), upper bound (inclusive), rows at or below lo
-    state = {(g, k): [None, None, 0] for g, ks in wanted.items() for k in ks}
+    if counts is None:
+        counts = {r["_g"]: r["n"] for r in long_df.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).collect()}
+    state: dict[tuple, list] = {}
+    for g, ks in wanted.items():
+        for k in ks:
+            if not 0 <= k < counts.get(g, 0):
+                raise ValueError(f"rank {k} outside 0..{counts.get(g, 0) - 1} for {g!r}")
+            state[(g, k)] = [None, None, 0, counts[g]]
     out: dict[str, dict[int, float]] = {g: {} for g in wanted}
+
+    def inside(g, lo, hi):
+        cond = F.col("_g") == F.lit(g)
+        if lo is not None:
+            cond = cond & (F.col("_v") > F.lit(lo))
+        if hi is not None:
+            cond = cond & (F.col("_v") <= F.lit(hi))
+        return cond
+
     for _ in range(MAX_ROUNDS):
         if not state:
             break
-        # one aggregate: for every open bracket, the count inside it and sketch quantiles
-        conds, aggs = [], []
-        for i, ((g, k), (lo, hi, below)) in enumerate(state.items()):
-            cond = F.col("_g") == F.lit(g)
-            if lo is not None:
-                cond = cond & (F.col("_v") > F.lit(lo))
-            if hi is not None:
-                cond = cond & (F.col("_v") <= F.lit(hi))
-            conds.append(cond)
-            aggs += [F.count_if(cond).alias(f"n{i}"),
-                     F.min(F.when(cond, F.col("_v"))).alias(f"mn{i}"),
-                     F.max(F.when(cond, F.col("_v"))).alias(f"mx{i}")]
-        row = long_df.agg(*aggs).first()
-        small, big = [], []
-        for i, key_ in enumerate(list(state)):
-            if row[f"n{i}"] > collect_limit and row[f"mn{i}"] == row[f"mx{i}"]:
-                # every row inside the bracket holds the same value, so it is the answer
-                out[key_[0]][key_[1]] = row[f"mn{i}"]
-                continue
-            (small if row[f"n{i}"] <= collect_limit else big).append((i, key_, row[f"n{i}"]))
+        small = [kk for kk, st in state.items() if st[3] <= limit]
+        big = [kk for kk, st in state.items() if st[3] > limit]
         if small:
-            # collect only the rows inside the small brackets (bounded by collect_limit each)
+            # only the rows inside small brackets reach the driver (≤ limit each)
             sel = None
-            for i, key_, _ in small:
-                sel = conds[i] if sel is None else (sel | conds[i])
-            rows = long_df.where(sel).select("_g", "_v").collect()
+            for g, k in small:
+                c = inside(g, state[(g, k)][0], state[(g, k)][1])
+                sel = c if sel is None else (sel | c)
             by_g: dict[str, list[float]] = {}
-            for r in rows:
+            for r in long_df.where(sel).collect():
                 by_g.setdefault(r["_g"], []).append(r["_v"])
-            for i, (g, k), _ in small:
-                lo, hi, below = state[(g, k)]
-                vals = sorted(v for v in by_g.get(g, [])
-                              if (lo is None or v > lo) and (hi is None or v <= hi))
+            for g, k in small:
+                lo, hi, below, _ = state.pop((g, k))
+                vals = sorted(v for v in by_g.get(g, []) if (lo is None or v > lo) and (hi is None or v <= hi))
                 out[g][k] = vals[k - below]
+        if not big:
+            continue
+        eps = 2.0 / ACCURACY
+        aggs = []
+        for i, (g, k) in enumerate(big):
+            lo, hi, below, n_in = state[(g, k)]
+            c = inside(g, lo, hi)
+            r = (k - below) / max(n_in - 1, 1)
+            ps = sorted({max(0.0, r - eps), min(1.0, r + eps)})
+            v = F.when(c, F.col("_v"))
+            aggs += [F.percentile_approx(v, ps, ACCURACY).alias(f"q{i}"), F.min(v).alias(f"mn{i}"),
+                     F.max(v).alias(f"mx{i}")]
+        row = long_df.agg(*aggs).first()
+        pending, caggs = [], []
+        for i, (g, k) in enumerate(big):
+            if row[f"mn{i}"] == row[f"mx{i}"]:
+                # every row in the bracket holds one value, and rank k lies in the bracket
+                out[g][k] = row[f"mn{i}"]
                 del state[(g, k)]
-        for key_ in [k_ for k_ in state if k_[1] in out[k_[0]]]:
-            del state[key_]
-        if big:
-            # refine: sketch quantiles inside each big bracket around the wanted rank
-            sk = []
-            for i, key_, n in big:
-                lo, hi, below = state[key_]
-                r = (key_[1] - below) / max(n - 1, 1)
-                eps = 2.0 / ACCURACY
-                ps = sorted({max(0.0, r - eps), min(1.0, r + eps)})
-                sk.append(F.percentile_approx(F.when(conds[i], F.col("_v")), ps, ACCURACY).alias(f"q{i}"))
-            row = long_df.agg(*sk).first()
-            cnt = []
-            for i, key_, n in big:
-                q = row[f"q{i}"]
-                lo, hi, below = state[key_]
-                new_lo, new_hi = q[0], q[-1]
-                # the sketch may miss; keep the old bound when the new one does not bracket k
-                cnt.append((key_, lo, hi, below, new_lo, new_hi))
-            aggs = []
-            for j, (key_, lo, hi, below, new_lo, new_hi) in enumerate(cnt):
-                g = key_[0]
-                base = F.col("_g") == F.lit(g)
-                aggs.append(F.count_if(base & (F.col("_v") < F.lit(new_lo))).alias(f"a{j}"))
-                aggs.append(F.count_if(base & (F.col("_v") <= F.lit(new_hi))).alias(f"b{j}"))
-            row = long_df.agg(*aggs).first()
-            for j, (key_, lo, hi, below, new_lo, new_hi) in enumerate(cnt):
-                k = key_[1]
-                n_lt_lo, n_le_hi = row[f"a{j}"], row[f"b{j}"]
-                # new bracket (prev(new_lo), new_hi]: rows strictly below new_lo are n_lt_lo
-                if n_lt_lo <= k < n_le_hi:
-                    state[key_] = [_prev(new_lo), new_hi, n_lt_lo]
-                elif k < n_lt_lo:
-                    state[key_] = [lo, _prev(new_lo), below]
-                else:
-                    state[key_] = [new_hi, hi, n_le_hi]
+                continue
+            q = row[f"q{i}"]
+            j = len(pending)
+            pending.append(((g, k), q[0], q[-1]))
+            base = F.col("_g") == F.lit(g)
+            caggs += [F.count_if(base & (F.col("_v") < F.lit(q[0]))).alias(f"a{j}"),
+                      F.count_if(base & (F.col("_v") <= F.lit(q[-1]))).alias(f"b{j}")]
+        if not pending:
+            continue
+        row = long_df.agg(*caggs).first()
+        for j, ((g, k), new_lo, new_hi) in enumerate(pending):
+            lo, hi, below, n_in = state[(g, k)]
+            a, b = row[f"a{j}"], row[f"b{j}"]
+            if a <= k < b:
+                state[(g, k)] = [_prev(new_lo), new_hi, a, b - a]
+            elif k < a:
+                state[(g, k)] = [lo, _prev(new_lo), below, a - below]
+            else:
+                state[(g, k)] = [new_hi, hi, b, below + n_in - b]
     if state:
         raise RuntimeError(f"order statistics did not converge for {list(state)}")
     return out
@@ -129,8 +134,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     NULL, NaN and ±Inf are skipped; a column without values yields None.
     """
     long_df = _long_form(df, cols)
-    counts = long_df.groupBy("name").count().collect()
-    n = {r["name"]: r["count"] for r in counts}
+    n = {r["name"]: r["n"] for r in long_df.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
     wanted: dict[str, list[int]] = {}
     for c in cols:
         if n.get(c, 0) == 0:
@@ -140,7 +144,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
             pos = p * (n[c] - 1)
             ks.update({math.floor(pos), math.ceil(pos)})
         wanted[c] = sorted(ks)
-    vals = kth_values(long_df, wanted) if wanted else {}
+    vals = kth_values(long_df, wanted, counts=n) if wanted else {}
     res: dict[str, list[float | None]] = {}
     for c in cols:
         if c not in vals:

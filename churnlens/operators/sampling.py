@@ -51,7 +51,7 @@ def stratified_split(df: DataFrame, label: str = "churn", key: str = "username",
     quotas = class_quotas(counts, test_size)
     wanted = {str(c): [q - 1] for c, q in quotas.items() if q > 0}
     long = h.select(F.col(label).cast("string").alias("name"), F.col("_h").cast("double").alias("v"))
-    cuts = kth_values(long, wanted) if wanted else {}
+    cuts = kth_values(long, wanted, counts={str(c): n for c, n in counts.items()}) if wanted else {}
     cond = F.lit(False)
     for c, q in quotas.items():
         if q <= 0:
