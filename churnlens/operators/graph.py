@@ -83,21 +83,43 @@ def degree_centrality(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
-             tol: float | None = 1.0e-6, checkpoint_every: int = 5) -> DataFrame:
+             tol: float | None = 1.0e-6, checkpoint_every: int = 5,
+             hot_threshold: int | None = None) -> DataFrame:
     """Power iteration with uniform teleport; dangling mass is spread uniformly.
 
     Stops when the L1 change is below ``n · tol`` (``tol=None`` runs exactly
-    ``max_iter`` rounds).  Edges are hash-partitioned by source once and kept;
-    the rank table carries each node's dangling flag and previous rank, so one
-    aggregate per round yields both the L1 change and the next dangling mass.
-    Lineage is cut by writing the rank table every ``checkpoint_every`` rounds.
+    ``max_iter`` rounds).  The edge table is partitioned once by (source, salt)
+    and kept; the rank table carries each node's dangling flag and previous
+    rank, so one aggregate per round yields both the L1 change and the next
+    dangling mass.  Lineage is cut by writing the rank table every
+    ``checkpoint_every`` rounds.
+
+    Skew: a source whose out-degree exceeds ``hot_threshold`` (default: edges /
+    partitions, i.e. more than a partition's fair share) has its edges spread
+    over ⌈out-degree / threshold⌉ salts by destination hash, and only its rank
+    row is replicated once per salt.  The hot table has at most ``partitions``
+    rows (the out-degrees sum to the edge count), so broadcasting it is bounded.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
-    e = (edges.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w"))
-         .repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK))
+    outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")).persist(StorageLevel.MEMORY_AND_DISK)
+    n_edges = outdeg.agg(F.coalesce(F.sum("outdeg"), F.lit(0))).first()[0]
+    thr = hot_threshold or max(1, -(-n_edges // parts))
+    hot = (outdeg.where(F.col("outdeg") > thr)
+           .select("src", F.ceil(F.col("outdeg") / F.lit(thr)).cast("int").alias("nsalt")))
+    salted = hot.limit(1).count() > 0
+    hot = F.broadcast(hot)
+    if salted:
+        e = (edges.join(outdeg, "src").join(hot, "src", "left")
+             .select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w"),
+                     F.when(F.col("nsalt").isNull(), F.lit(0))
+                      .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt"))).cast("int").alias("salt"))
+             .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK))
+    else:
+        # no source above its fair share: partition by source, co-partitioned with the ranks
+        e = (edges.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w"))
+             .repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK))
     ids = (nodes.select("username").join(outdeg.withColumnRenamed("src", "username"), "username", "left")
            .select("username", F.col("outdeg").isNull().alias("dangling"))
            .repartition(parts, "username").persist(StorageLevel.MEMORY_AND_DISK))
@@ -106,10 +128,19 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     if n == 0:
         e.unpersist()
         return ids.select("username", F.lit(0.0).alias("pagerank"))
+    hot_ids = hot.withColumnRenamed("src", "username")
     x = ids.select("username", "dangling", F.lit(1.0 / n).alias("rank"))
     dsum = stats["nd"] / n
     for it in range(1, max_iter + 1):
-        contrib = (e.join(x.select(F.col("username").alias("src"), "rank"), "src")
+        if salted:
+            # rank rows meet their edges on (source, salt); hot sources' rows fan out per salt
+            xs = (x.select(F.col("username"), "rank").join(hot_ids, "username", "left")
+                  .select(F.col("username").alias("src"), "rank",
+                          F.explode(F.sequence(F.lit(0), F.coalesce(F.col("nsalt"), F.lit(1)) - 1)).alias("salt")))
+            joined = e.join(xs, ["src", "salt"])
+        else:
+            joined = e.join(x.select(F.col("username").alias("src"), "rank"), "src")
+        contrib = (joined
                    .groupBy(F.col("dst").alias("username")).agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
         base = alpha * dsum / n + (1.0 - alpha) / n
         new = (x.join(contrib, "username", "left")
@@ -128,6 +159,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
             break
     e.unpersist()
     ids.unpersist()
+    outdeg.unpersist()
     return x.select("username", F.col("rank").alias("pagerank"))
 
 

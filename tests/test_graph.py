@@ -102,3 +102,16 @@ def test_density(spark):
     nodes, e = _graph(spark, NAMES, EDGES)
     r = G.graph_density(nodes, e).first()
     assert r["density"] == pytest.approx(len(EDGES) / (7 * 6))
+
+
+def test_pagerank_salted_hot_source(spark):
+    names = [f"n{i}" for i in range(40)]
+    edges = [("n0", f"n{i}") for i in range(1, 40)] + [(f"n{i}", "n0") for i in range(1, 20)] + [("n5", "n6")]
+    nodes, e = _graph(spark, names, edges)
+    plain = {r["username"]: r["pagerank"] for r in
+             G.pagerank(nodes, e, tol=None, max_iter=40, hot_threshold=10**9).collect()}
+    salted = {r["username"]: r["pagerank"] for r in
+              G.pagerank(nodes, e, tol=None, max_iter=40, hot_threshold=4).collect()}
+    for v in names:
+        assert salted[v] == pytest.approx(plain[v], abs=1e-14)
+    assert sum(salted.values()) == pytest.approx(1.0)
