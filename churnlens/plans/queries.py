@@ -259,8 +259,8 @@ def q_candidate_users(spark, sf_dir):
 @register("recent_repos", sql=f"""WITH {PROFILES}
 SELECT * FROM (
   SELECT owner, pushed_at, language,
-         row_number() OVER (PARTITION BY owner ORDER BY try_cast(pushed_at AS TIMESTAMP) DESC NULLS LAST,
-                            pushed_at DESC NULLS LAST, language ASC NULLS LAST) AS recency_rank
+         CAST(row_number() OVER (PARTITION BY owner ORDER BY try_cast(pushed_at AS TIMESTAMP) DESC NULLS LAST,
+                                 pushed_at DESC NULLS LAST, language ASC NULLS LAST) AS INTEGER) AS recency_rank
   FROM repos) WHERE recency_rank <= 30""")
 def q_recent_repos(spark, sf_dir):
     _, _, repos = base_frames(spark, sf_dir)
@@ -323,7 +323,7 @@ _SEL_CTES = f"""{features_sql()},
 vr AS ({_VAR}),
 {_G},
 an0 AS ({_AN}),
-an AS (SELECT *, row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) AS anova_rank FROM an0),
+an AS (SELECT *, CAST(row_number() OVER (ORDER BY f_score DESC NULLS LAST, ordinal) AS INTEGER) AS anova_rank FROM an0),
 {_corr_long_sql('features', FEATURE_NAMES)},
 surv AS (SELECT feature FROM vr WHERE coalesce(variance > {SEL.VARIANCE_THRESHOLD}, false)),
 pairs AS (
