@@ -224,6 +224,17 @@ def train_and_save(fx: DataFrame, selected=None, label: str = "churn", model_pat
             "test_predictions": scored}
 
 
+def model_inputs(model: PipelineModel) -> list[str]:
+    """Feature columns the fitted pipeline expects, in its order."""
+    return list(model.stages[0].getInputCols())
+
+
+def request_schema(model: PipelineModel):
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField("request_id", T.StringType())] +
+                        [T.StructField(c, T.DoubleType()) for c in model_inputs(model)])
+
+
 def load_model(path: str) -> PipelineModel:
     if not path or not os.path.exists(path.replace("file:", "")) and "://" not in path:
         raise FileNotFoundError(f"no saved model at {path!r}; train and save one first")

@@ -29,7 +29,10 @@ def score_batch(model: PipelineModel, valid: DataFrame) -> DataFrame:
 def start_scoring_stream(spark: SparkSession, model: PipelineModel, source: str, sink: str, checkpoint: str,
                          fmt: str = "json", available_now: bool = True, fields=FINAL_FEATURES):
     """Start the stream; returns the StreamingQuery (already finished when ``available_now``)."""
-    req = spark.readStream.schema(SCORE_REQUEST).format(fmt).load(source)
+    from pyspark.sql import types as T
+    schema = SCORE_REQUEST if list(fields) == list(FINAL_FEATURES) else T.StructType(
+        [T.StructField("request_id", T.StringType())] + [T.StructField(c, T.DoubleType()) for c in fields])
+    req = spark.readStream.schema(schema).format(fmt).load(source)
     checked = validate_score_requests(req, fields)
 
     def write(batch: DataFrame, batch_id: int) -> None:
