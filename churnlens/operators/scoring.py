@@ -34,13 +34,31 @@ def validate_score_requests(req: DataFrame, fields=FINAL_FEATURES) -> DataFrame:
 
 
 def validate_recommend_requests(req: DataFrame, users: DataFrame) -> DataFrame:
-    """user_id ≥ 0, 1 ≤ top_n ≤ 10 (default 5), and the user must exist (left join)."""
+    """user_id ≥ 0, 1 ≤ top_n ≤ 10 (default 5), and the user must exist.
+
+    ``users`` holds (user_id, username); the existence check is a left join on
+    the index, so the result carries the username of every found user.
+    """
     r = req.withColumn("top_n", F.coalesce(F.col("top_n"), F.lit(TOP_N_DEFAULT)))
-    j = r.join(users.select("user_id", F.lit(True).alias("_found")), "user_id", "left")
+    j = r.join(users.select("user_id", "username"), "user_id", "left")
     err = _first_error([
         (F.col("user_id").isNull(), "user_id is required"),
         (F.col("user_id") < 0, "user_id must be >= 0"),
         ((F.col("top_n") < 1) | (F.col("top_n") > TOP_N_MAX), f"top_n must be between 1 and {TOP_N_MAX}"),
-        (F.col("_found").isNull(), "user_id not found"),
+        (F.col("username").isNull(), "user_id not found"),
     ])
-    return j.withColumn("error", err).withColumn("valid", F.col("error").isNull()).drop("_found")
+    return j.withColumn("error", err).withColumn("valid", F.col("error").isNull())
+
+
+def answer_recommend_requests(checked: DataFrame, per_user: DataFrame) -> DataFrame:
+    """One response per request: the user's top-``top_n`` advice when valid, else the error.
+
+    ``per_user`` is the recommendation table computed once per user with the
+    largest allowed ``top_n``; each request slices its own prefix.
+    """
+    j = checked.join(per_user.drop("user_id"), "username", "left")
+    return j.select(
+        *[c for c in checked.columns if c not in ("valid", "error")], "valid", "error",
+        F.when(F.col("valid"), F.col("churn_probability")).alias("churn_probability"),
+        F.when(F.col("valid"), F.col("at_risk")).alias("at_risk"),
+        F.when(F.col("valid"), F.slice("recommendations", 1, F.col("top_n"))).alias("recommendations"))

@@ -724,3 +724,41 @@ SELECT label_source, n, churned, round(n / sum(n) OVER (), 6) AS share FROM (
   FROM raw_users GROUP BY 1)""")
 def q_label_sources(spark, sf_dir):
     return round_doubles(L.label_sources(raw_frame(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- recommendation requests
+from churnlens.operators import scoring as SC  # noqa: E402
+
+_REC_ERR = """CASE WHEN rq.user_id IS NULL THEN 'user_id is required'
+     WHEN rq.user_id < 0 THEN 'user_id must be >= 0'
+     WHEN rq.top_n < 1 OR rq.top_n > 10 THEN 'top_n must be between 1 and 10'
+     WHEN ux.username IS NULL THEN 'user_id not found' END"""
+
+
+def _recommend_requests(spark, sf_dir):
+    """Each event is a recommendation request for user ``user_id`` (index in login
+    order) with ``top_n = floor(value) % 12`` — 0 and 11 fall outside 1..10."""
+    fx = feature_frame(spark, sf_dir)
+    users = LT.user_index(fx.select("username"))
+    ev = load_tables(spark, sf_dir, ["events"])["events"]
+    req = ev.select("event_id", "user_id", (F.floor("value").cast("int") % F.lit(12)).alias("top_n"))
+    return fx, users, SC.validate_recommend_requests(req, users)
+
+
+@register("recommend_request_validation", sql=f"""WITH {features_sql()},
+ux AS (SELECT username, CAST(row_number() OVER (ORDER BY username) - 1 AS BIGINT) AS user_id FROM features),
+rq AS (SELECT event_id, user_id, CAST(floor(value) AS INTEGER) % 12 AS top_n FROM events)
+SELECT rq.user_id, rq.event_id, rq.top_n, ux.username, {_REC_ERR} AS error, ({_REC_ERR}) IS NULL AS valid
+FROM rq LEFT JOIN ux ON ux.user_id = rq.user_id""")
+def q_recommend_request_validation(spark, sf_dir):
+    return _recommend_requests(spark, sf_dir)[2]
+
+
+@register("recommend_requests")
+def q_recommend_requests(spark, sf_dir):
+    fx, users, checked = _recommend_requests(spark, sf_dir)
+    model = M.train_and_save(fx, FINAL_FEATURES)["model"]
+    scores = M.predict(model, fx.select("username", *FINAL_FEATURES))
+    latent = LT.svd_reconstruct(fx, LT.fit_svd(fx))
+    per_user = LT.recommend(users, scores, latent, FEATURE_COLUMNS, SC.TOP_N_MAX)
+    return SC.answer_recommend_requests(checked, per_user)

@@ -79,7 +79,7 @@ def test_request_validation(spark):
                                 "repos_per_year double")
     v = {r["request_id"]: r for r in validate_score_requests(req).collect()}
     assert v["ok"]["valid"] and not v["neg"]["valid"] and "activity_frequency" in v["miss"]["error"]
-    users = spark.createDataFrame([(0,), (1,)], "user_id long")
+    users = spark.createDataFrame([(0, "a"), (1, "b")], "user_id long, username string")
     rr = spark.createDataFrame([(0, None), (5, 3), (1, 11), (-1, 2)], "user_id long, top_n int")
     out = {r["user_id"]: r for r in validate_recommend_requests(rr, users).collect()}
     assert out[0]["valid"] and out[0]["top_n"] == 5
