@@ -706,7 +706,7 @@ def q_stream_score(spark, sf_dir):
     fx = feature_frame(spark, sf_dir)
     model = M.train_and_save(fx, FINAL_FEATURES)["model"]
     pre = raw_feature_frame(raw_frame(spark, sf_dir), AS_OF)
-    src, sink, ck = (scratch_path(spark, n) for n in ("requests", "scored", "stream-ckpt"))
+    src, sink, ck = (scratch_path(spark, n, track=True) for n in ("requests", "scored", "stream-ckpt"))
     pre.select(F.col("username").alias("request_id"), *FINAL_FEATURES).write.json(src)
     start_scoring_stream(spark, model, src, sink, ck)
     scored = spark.read.parquet(f"{sink}/scored").select("request_id", "churned", "churn_probability", "risk_level")

@@ -22,6 +22,10 @@ BASE_CONF = {
 }
 
 
+_WRITTEN: list[str] = []
+_LOCK = threading.Lock()
+
+
 def get_session(master: str | None = None, app: str = "churnlens",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -63,10 +67,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/churnlens-c
     return spark.sparkContext.getCheckpointDir() or d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+def scratch_path(spark: SparkSession, name: str, track: bool = False) -> str:
+    """A fresh sub-folder of the shared checkpoint folder for written tables
+    (``track=True``: deleted by :func:`release_scratch`)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if track:
+        with _LOCK:
+            _WRITTEN.append(path)
+    return path
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -81,17 +90,11 @@ def materialize(df, name: str):
     survive the loss of any executor.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name, track=True)
     df.write.mode("overwrite").parquet(path)
-    with _LOCK:
-        _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
-_WRITTEN: list[str] = []
-_LOCK = threading.Lock()
-
-
 def release_scratch(spark: SparkSession) -> int:
     """Delete the intermediate tables written so far (call once their results are consumed)."""
     with _LOCK:
