@@ -105,3 +105,37 @@ def release_scratch(spark: SparkSession) -> int:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).delete(hp, True)
     return len(paths)
+
+
+SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
+TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (Hadoop file system, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = TARGET_SHUFFLE_BYTES,
+                            max_partitions: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size when it is still Spark's default.
+
+    Roughly one partition per ``target_bytes`` of compressed input, never fewer
+    than twice the default parallelism; AQE coalesces what turns out small.
+    An explicit setting (any value other than the default) is left alone.
+    """
+    cur = spark.conf.get("spark.sql.shuffle.partitions")
+    if cur != SPARK_DEFAULT_SHUFFLE_PARTITIONS:
+        return int(cur)
+    n = input_bytes(spark, paths) // target_bytes
+    n = int(min(max(n, 2 * spark.sparkContext.defaultParallelism), max_partitions))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.functions.scalars import iso_of
-from churnlens.session import table_path
+from churnlens.session import size_shuffle_partitions, table_path
 
 # Reference instant for the demo data (after the last ship date).
 AS_OF = "2002-01-01T00:00:00Z"
@@ -29,7 +29,9 @@ TABLES = ["customer", "orders", "lineitem", "events", "documents", "labels", "na
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(table_path(sf_dir, n)) for n in names}
+    paths = {n: table_path(sf_dir, n) for n in names}
+    size_shuffle_partitions(spark, list(paths.values()))
+    return {n: spark.read.parquet(p) for n, p in paths.items()}
 
 
 def _line_facts(t) -> DataFrame:
