@@ -762,3 +762,32 @@ def q_recommend_requests(spark, sf_dir):
     latent = LT.svd_reconstruct(fx, LT.fit_svd(fx))
     per_user = LT.recommend(users, scores, latent, FEATURE_COLUMNS, SC.TOP_N_MAX)
     return SC.answer_recommend_requests(checked, per_user)
+
+
+# ---------------------------------------------------------------- file round trips
+from churnlens.sources import files as FS  # noqa: E402
+from churnlens.session import scratch_path as _scratch  # noqa: E402
+
+_TEXT = ["username", "created_at", "updated_at", "bio", "blog", "company", "email"]
+_TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in FS.NULL_TOKENS)
+
+
+@register("raw_users_csv_roundtrip", sql=f"""WITH {raw_users_sql()}
+SELECT {", ".join(f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {c}" if c in _TEXT else c
+                  for c in RAW_COLUMNS)}
+FROM raw_users""")
+def q_raw_users_csv_roundtrip(spark, sf_dir):
+    """The raw table written as CSV and read back with the missing-token rules."""
+    path = _scratch(spark, "raw-csv", track=True)
+    FS.write_table(raw_frame(spark, sf_dir), path, fmt="csv")
+    return FS.read_raw_users(spark, path)
+
+
+@register("feature_matrix_from_raw", sql=f"""WITH {features_sql()}
+SELECT username, {rounded(DOUBLE_FEATURES)}, has_no_repos, has_complete_profile, churn FROM features""")
+def q_feature_matrix_from_raw(spark, sf_dir):
+    """No feature table yet: the loader falls back to building features from the written raw table."""
+    raw_path = _scratch(spark, "raw-parquet", track=True)
+    FS.write_table(raw_frame(spark, sf_dir), raw_path)
+    missing = _scratch(spark, "no-features")
+    return round_doubles(FS.load_feature_matrix(spark, missing, raw_path, AS_OF))

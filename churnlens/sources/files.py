@@ -61,7 +61,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """Write a table (parent folders are created by the writer) (SNK1, SNK2)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w = w.option("header", True)
+        # keep text exactly (the writer trims by default); NULL is written as an empty field
+        w = (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False))
     w.format(fmt).save(path)
     return path
 
