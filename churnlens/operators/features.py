@@ -74,11 +74,13 @@ def raw_feature_frame(raw: DataFrame, as_of, key: str = "username") -> DataFrame
 def fill_values(frame: DataFrame) -> dict[str, float]:
     """Per-column fill value for columns with missing entries: median, else 0.0."""
     doubles = [c for c in FEATURE_COLUMNS if c not in ("has_no_repos", "has_complete_profile")]
-    nulls = frame.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in doubles]).first()
-    gappy = [c for c in doubles if nulls[c] > 0]
+    # one pass: missing and present counts (NaN/Inf are already NULL in the frame)
+    r = frame.agg(*[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in doubles],
+                  *[F.count(c).alias(f"n_{c}") for c in doubles]).first()
+    gappy = [c for c in doubles if r[f"m_{c}"] > 0]
     if not gappy:
         return {}
-    med = exact_medians(frame, gappy)
+    med = exact_medians(frame, gappy, counts={c: r[f"n_{c}"] for c in gappy})
     return {c: (0.0 if med[c] is None else float(med[c])) for c in gappy}
 
 

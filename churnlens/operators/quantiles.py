@@ -128,13 +128,16 @@ def _prev(x: float) -> float:
     return math.nextafter(x, -math.inf)
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                    counts: dict[str, int] | None = None) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles (pandas / DuckDB ``quantile_cont`` rule) per column.
 
     NULL, NaN and ±Inf are skipped; a column without values yields None.
+    ``counts`` (finite values per column), when known, saves a pass.
     """
     long_df = _long_form(df, cols)
-    n = {r["name"]: r["n"] for r in long_df.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = counts if counts is not None else {
+        r["name"]: r["n"] for r in long_df.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
     wanted: dict[str, list[int]] = {}
     for c in cols:
         if n.get(c, 0) == 0:
@@ -160,5 +163,5 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     return res
 
 
-def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5]).items()}
+def exact_medians(df: DataFrame, cols: list[str], counts: dict[str, int] | None = None) -> dict[str, float | None]:
+    return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], counts).items()}
