@@ -89,9 +89,10 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
 
     Stops when the L1 change is below ``n · tol`` (``tol=None`` runs exactly
     ``max_iter`` rounds).  The edge table is partitioned once by (source, salt)
-    and kept; the rank table carries each node's dangling flag and previous
-    rank, so one aggregate per round yields both the L1 change and the next
-    dangling mass.  Lineage is cut by writing the rank table every
+    and kept; each round's rank table is the static node table joined with that
+    round's contributions (it refers to the previous table once, so the plan
+    grows linearly), and one aggregate per round yields both the L1 change and
+    the next dangling mass.  Lineage is cut by writing the rank table every
     ``checkpoint_every`` rounds.
 
     Skew: a source whose out-degree exceeds ``hot_threshold`` (default: edges /
@@ -143,17 +144,21 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
         contrib = (joined
                    .groupBy(F.col("dst").alias("username")).agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
         base = alpha * dsum / n + (1.0 - alpha) / n
-        new = (x.join(contrib, "username", "left")
-               .select("username", "dangling", F.col("rank").alias("old"),
+        # the new table refers to the previous one once (through contrib), so plans grow
+        # linearly between lineage cuts; the static node table supplies the dangling flag
+        new = (ids.join(contrib, "username", "left")
+               .select("username", "dangling",
                        (F.lit(alpha) * F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(base)).alias("rank")))
         if it % checkpoint_every == 0:
-            new = materialize(new, "pagerank").repartition(parts, "username").persist(StorageLevel.MEMORY_AND_DISK)
+            new = materialize(new, "pagerank")
         else:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        row = new.agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"),
-                      F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("d")).first()
+        # L1 change and next dangling mass in one aggregate (this join never feeds later rounds)
+        row = (new.join(x.select("username", F.col("rank").alias("old")), "username")
+               .agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"),
+                    F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("d")).first())
         x.unpersist()
-        x = new.drop("old")
+        x = new
         dsum = row["d"]
         if tol is not None and row["err"] < n * tol:
             break
