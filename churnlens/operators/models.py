@@ -261,9 +261,18 @@ def model_comparison(fx: DataFrame, network: DataFrame | None = None, selected=N
 
     def evaluate(item):
         name, data, cols = item
-        ho = train_and_save(data, cols, label, None, seed, trees, max_depth)["metrics"].first()["f1"]
-        cv = cv_metrics(data, cols, label, FOLDS, seed, trees, max_depth).first()["cv_f1"]
-        return (name, len(cols), float(ho), float(cv))
+        # the hold-out fit and the fold fits are independent: one bounded pool for all six
+        folded = kfold_assignment(data.select("username", label, *cols), FOLDS, seed=seed)
+
+        def fit(task):
+            if task == "holdout":
+                return train_and_save(data, cols, label, None, seed, trees, max_depth)["metrics"].first()["f1"]
+            tr, te = folded.where(F.col("fold") != task), folded.where(F.col("fold") == task)
+            m = forest(cols, seed, trees, max_depth).fit(_weighted(tr, label))
+            return P.binary_metrics(predict(m, te), label, "prediction").first()["f1"]
+
+        res = _concurrently(fit, ["holdout", *range(FOLDS)])
+        return (name, len(cols), float(res[0]), float(sum(res[1:]) / FOLDS))
 
     sets = [("selected", fx, selected)]
     train = stratified_split(fx, label).where(~F.col("is_test"))
