@@ -51,27 +51,8 @@ PASS1_FLOOR = 90
 BATCH_CAP = 100
 
 
-def cohort_members(profiles: DataFrame, repos: DataFrame | None, cohort: Cohort) -> DataFrame:
-    """Profiles matching one cohort (individual accounts only, as the filters say)."""
-    cond = F.col("type") == "User"
-    if cohort.followers is not None:
-        lo, hi = cohort.followers
-        cond = cond & F.coalesce(F.col("followers"), F.lit(0)).between(lo, hi)
-    if cohort.repos is not None:
-        lo, hi = cohort.repos
-        cond = cond & F.coalesce(F.col("public_repos"), F.lit(0)).between(lo, hi)
-    if cohort.created_before is not None:
-        cond = cond & (parse_ts("created_at") < as_of_lit(cohort.created_before))
-    out = profiles.where(cond)
-    if cohort.language is not None:
-        if repos is None:
-            raise ValueError("a language cohort needs the repos table")
-        langs = repos.where(F.col("language") == cohort.language).select(F.col("owner").alias("login"))
-        out = out.join(langs, "login", "left_semi")
-    return out
-
-
 def _predicate(c: Cohort, lang_col: str | None = None):
+    """Column predicate of one cohort; the language test reads ``lang_col`` when given."""
     cond = F.col("type") == "User"
     if c.followers is not None:
         cond = cond & F.coalesce(F.col("followers"), F.lit(0)).between(*c.followers)
@@ -79,11 +60,22 @@ def _predicate(c: Cohort, lang_col: str | None = None):
         cond = cond & F.coalesce(F.col("public_repos"), F.lit(0)).between(*c.repos)
     if c.created_before is not None:
         cond = cond & (parse_ts("created_at") < as_of_lit(c.created_before))
-    if c.language is not None:
+    if c.language is not None and lang_col is not None:
         cond = cond & F.coalesce(F.col(lang_col), F.lit(False))
     return cond
 
 
+def cohort_members(profiles: DataFrame, repos: DataFrame | None, cohort: Cohort) -> DataFrame:
+    """Profiles matching one cohort (individual accounts only, as the filters say)."""
+    out = profiles.where(_predicate(cohort))
+    if cohort.language is not None:
+        if repos is None:
+            raise ValueError("a language cohort needs the repos table")
+        langs = repos.where(F.col("language") == cohort.language).select(F.col("owner").alias("login"))
+        out = out.join(langs, "login", "left_semi")
+    return out
+
+
 def cohort_flags(profiles: DataFrame, repos: DataFrame | None, cohorts=DEFAULT_COHORTS) -> DataFrame:
     """Profiles with one boolean column per cohort, in a single pass.
 
