@@ -73,7 +73,7 @@ def rfe_ranking(train: DataFrame, cols=FEATURE_COLUMNS, n_keep: int = RFE_KEEP,
     out_order: list[str] = []
     while len(remaining) > n_keep:
         lr = LogisticRegression(featuresCol="fv", labelCol="label", regParam=1.0 / max(n, 1),
-                                elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-8)
+                                elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-6)
         m = lr.fit(assembled(data, remaining, "fv"))
         coef = m.coefficients.toArray()
         imp = {c: float(coef[i]) ** 2 for i, c in enumerate(remaining)}
