@@ -66,3 +66,24 @@ def test_recent_repos_per_owner(repos):
     u = sorted((x["recency_rank"], x["pushed_at"]) for x in out if x["owner"] == "u")
     assert u == [(1, "2023-01-28T00:00:00Z"), (2, "2023-01-27T00:00:00Z"), (3, "2023-01-26T00:00:00Z")]
     assert [x["recency_rank"] for x in out if x["owner"] == "v"] == [1]
+
+
+def test_flags_equal_union_of_cohorts(profiles, repos):
+    rows = [{"login": f"u{i:02d}", "followers": (i * 7) % 13 if i % 4 else None, "public_repos": i % 9,
+             "created_at": f"19{90 + i % 9}-0{1 + i % 9}-01T00:00:00Z", "type": "User" if i % 6 else "Organization"}
+            for i in range(40)]
+    p = profiles(rows)
+    r = repos([{"owner": f"u{i:02d}", "pushed_at": "2000-01-01T00:00:00Z", "language": ["1-URGENT", "2-HIGH", "x"][i % 3]}
+               for i in range(0, 40, 2)])
+    flags = sorted(x["username"] for x in I.candidate_users(p, r).collect())
+    union = set()
+    for c in I.DEFAULT_COHORTS:
+        union |= {x["login"] for x in I.cohort_members(p, r, c).collect()}
+    assert flags == sorted(union) and len(flags) > 0
+
+
+def test_label_sources(profiles, repos):
+    p = profiles([{"login": "a"}, {"login": "b"}, {"login": "c", "updated_at": None}])
+    r = repos([{"owner": "a", "pushed_at": "2020-01-01T00:00:00Z"}])
+    got = {x["label_source"]: (x["n"], x["churned"]) for x in L.label_sources(L.raw_users(p, r, AS_OF)).collect()}
+    assert got == {"push": (1, 1), "update": (1, 0), "none": (1, 0)}
