@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from churnlens.operators.quantiles import kth_values
 
 HASH_HEX = 13  # 52 bits: exact as a double, so order statistics over it stay exact
+TIE_LIMIT = 10_000  # rows sharing the cut hash that may be compared on the driver
 
 
 def hash_key(key: str = "username", seed: int = 42):
@@ -57,9 +58,14 @@ def stratified_split(df: DataFrame, label: str = "churn", key: str = "username",
         if q <= 0:
             continue
         cut = int(cuts[str(c)][q - 1])
-        below = h.where((F.col(label) == F.lit(c)) & (F.col("_h") < F.lit(cut))).count()
-        ties = sorted(r[key] for r in h.where((F.col(label) == F.lit(c)) & (F.col("_h") == F.lit(cut)))
-                      .select(key).collect())
+        cls = h.where(F.col(label) == F.lit(c))
+        cnt = cls.agg(F.count_if(F.col("_h") < F.lit(cut)).alias("below"),
+                      F.count_if(F.col("_h") == F.lit(cut)).alias("ties")).first()
+        below = cnt["below"]
+        if cnt["ties"] > TIE_LIMIT:
+            # a unique key gives (almost always) one row per hash; many means a repeated key
+            raise ValueError(f"{cnt['ties']} rows share one hash of {key!r}: the split key must be unique")
+        ties = sorted(r[key] for r in cls.where(F.col("_h") == F.lit(cut)).select(key).collect())
         last = ties[q - below - 1]
         cond = cond | ((F.col(label) == F.lit(c)) &
                        ((F.col("_h") < F.lit(cut)) | ((F.col("_h") == F.lit(cut)) & (F.col(key) <= F.lit(last)))))

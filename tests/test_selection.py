@@ -72,3 +72,10 @@ def test_scalers(small):
     assert (z.const == 0).all()
     mm = S.apply_minmax(small, S.fit_minmax(small, ["noise", "const"])).toPandas()
     assert mm.noise.min() == 0 and mm.noise.max() == 1 and (mm.const == 0).all()
+
+
+def test_split_rejects_repeated_key(spark, monkeypatch):
+    df = spark.createDataFrame([("same", i % 2) for i in range(50)], "username string, churn int")
+    monkeypatch.setattr(S, "TIE_LIMIT", 5)
+    with pytest.raises(ValueError, match="unique"):
+        S.stratified_split(df)
