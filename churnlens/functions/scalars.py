@@ -107,6 +107,7 @@ def risk_level(p) -> Column:
     return out
 
 
-def percent_text(p, digits: int = 1) -> Column:
-    """``0.8234`` → ``'82.3%'``."""
-    return F.concat(F.format_number(F.bround(_c(p) * 100, digits), digits), F.lit("%"))
+def percent_text(p, digits: int = 1, with_sign: bool = True) -> Column:
+    """``0.8234`` → ``'82.3%'`` (half-even on the last digit)."""
+    num = F.format_number(F.bround(_c(p) * 100, digits), digits)
+    return F.concat(num, F.lit("%")) if with_sign else num

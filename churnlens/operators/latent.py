@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.functions.scalars import percent_text
 from churnlens.operators.sampling import apply_minmax, apply_standard, fit_minmax, fit_standard
 from churnlens.schemas import FEATURE_COLUMNS
 from churnlens.session import materialize
@@ -256,7 +257,7 @@ def recommend(users: DataFrame, scores: DataFrame, latent: DataFrame, cols=FEATU
     empty = F.array().cast("array<struct<feature:string,gap_score:double,action:string>>")
     head, rest = MSG_AT_RISK.split("{pct}")
     mid, tail = rest.split("{n}")
-    msg_risk = F.concat(F.lit(head), F.format_number(F.col("churn_probability") * 100, 1),
+    msg_risk = F.concat(F.lit(head), percent_text("churn_probability", with_sign=False),
                         F.lit(mid), n.cast("string"), F.lit(tail))
     return j.select(
         "user_id", "username", F.bround("churn_probability", 3).alias("churn_probability"),
