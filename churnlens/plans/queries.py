@@ -512,6 +512,12 @@ def q_network_means_by_label(spark, sf_dir):
     return round_doubles(P.means_by_label(nf, ["degree_centrality", "betweenness_centrality", "pagerank"]), 9)
 
 
+@register("network_describe")
+def q_network_describe(spark, sf_dir):
+    nf = network_frame(spark, sf_dir)
+    return round_doubles(P.describe(nf, ["degree_centrality", "betweenness_centrality", "pagerank", "churn"]), 9)
+
+
 @register("aligned_features")
 def q_aligned_features(spark, sf_dir):
     return round_doubles(G.aligned_features(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)), 9)
