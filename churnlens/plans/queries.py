@@ -22,8 +22,15 @@ def raw_frame(spark, sf_dir, threshold=365):
     return L.raw_users(profiles, repos, AS_OF, threshold)
 
 
-def feature_frame(spark, sf_dir, threshold=365):
-    return generate_features(raw_frame(spark, sf_dir, threshold), AS_OF)
+def feature_frame(spark, sf_dir, threshold=365, raw=None):
+    return generate_features(raw if raw is not None else raw_frame(spark, sf_dir, threshold), AS_OF)
+
+
+def shared_raw(spark, sf_dir, threshold=365):
+    """The raw-user table written once, for queries that read it more than once
+    (the lineitem ⋈ orders build then runs a single time)."""
+    from churnlens.session import materialize
+    return materialize(raw_frame(spark, sf_dir, threshold), "raw-users")
 
 
 @register("raw_users", sql=f"WITH {raw_users_sql()} SELECT * FROM raw_users")
@@ -135,7 +142,7 @@ _HEALTH = "\nUNION ALL\n".join(
 
 @register("matrix_health", sql=f"WITH {features_sql()} {_HEALTH}")
 def q_matrix_health(spark, sf_dir):
-    raw = raw_frame(spark, sf_dir)
+    raw = shared_raw(spark, sf_dir)
     pre = raw_feature_frame(raw, AS_OF)
     return P.matrix_health(pre, generate_features(raw, AS_OF), FEATURE_COLUMNS)
 
@@ -432,8 +439,8 @@ from churnlens.session import materialize  # noqa: E402
 PAGERANK_ROUNDS = 30
 
 
-def graph_frames(spark, sf_dir):
-    raw = raw_frame(spark, sf_dir)
+def graph_frames(spark, sf_dir, raw=None):
+    raw = raw if raw is not None else raw_frame(spark, sf_dir)
     nodes = materialize(G.graph_nodes(raw), "graph-nodes")
     return raw, nodes, materialize(G.follow_edges(nodes), "graph-edges")
 
@@ -493,8 +500,8 @@ def q_subgraph(spark, sf_dir):
     return G.subgraph(nodes, edges, 80)[1]
 
 
-def network_frame(spark, sf_dir):
-    raw, nodes, edges = graph_frames(spark, sf_dir)
+def network_frame(spark, sf_dir, raw=None):
+    raw, nodes, edges = graph_frames(spark, sf_dir, raw)
     deg = G.degree_centrality(nodes, edges)
     btw = G.betweenness(nodes, edges, k=50)
     pr = G.pagerank(nodes, edges)
@@ -520,7 +527,9 @@ def q_network_describe(spark, sf_dir):
 
 @register("aligned_features")
 def q_aligned_features(spark, sf_dir):
-    return round_doubles(G.aligned_features(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)), 9)
+    raw = shared_raw(spark, sf_dir)
+    return round_doubles(G.aligned_features(feature_frame(spark, sf_dir, raw=raw),
+                                            network_frame(spark, sf_dir, raw=raw)), 9)
 
 
 # ---------------------------------------------------------------- models, PCA, SVD, recommendations
@@ -696,12 +705,15 @@ from churnlens.session import scratch_path  # noqa: E402
 
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    return round_doubles(M.model_comparison(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)))
+    raw = shared_raw(spark, sf_dir)
+    return round_doubles(M.model_comparison(feature_frame(spark, sf_dir, raw=raw), network_frame(spark, sf_dir, raw=raw)))
 
 
 @register("extended_importance")
 def q_extended_importance(spark, sf_dir):
-    return round_doubles(M.extended_importance(feature_frame(spark, sf_dir), network_frame(spark, sf_dir)))
+    raw = shared_raw(spark, sf_dir)
+    return round_doubles(M.extended_importance(feature_frame(spark, sf_dir, raw=raw),
+                                               network_frame(spark, sf_dir, raw=raw)))
 
 
 @register("stream_score")
@@ -709,9 +721,10 @@ def q_stream_score(spark, sf_dir):
     """Requests (each user's three inputs before the median fill) land as JSON
     files; the stream validates and scores them with the trained model."""
     from churnlens.streaming.scoring import start_scoring_stream
-    fx = feature_frame(spark, sf_dir)
+    raw = shared_raw(spark, sf_dir)
+    fx = feature_frame(spark, sf_dir, raw=raw)
     model = M.train_and_save(fx, FINAL_FEATURES)["model"]
-    pre = raw_feature_frame(raw_frame(spark, sf_dir), AS_OF)
+    pre = raw_feature_frame(raw, AS_OF)
     src, sink, ck = (scratch_path(spark, n, track=True) for n in ("requests", "scored", "stream-ckpt"))
     pre.select(F.col("username").alias("request_id"), *FINAL_FEATURES).write.json(src)
     start_scoring_stream(spark, model, src, sink, ck)
