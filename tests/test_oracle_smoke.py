@@ -36,3 +36,13 @@ def test_twin(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns[0] == "username"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
+def test_every_twin_runs(con):
+    qs = E.queries()
+    for name, sql in E.oracle_sql().items():
+        assert name in qs
+        rel = con.sql(sql)
+        assert len(rel.columns) == len(set(rel.columns)), name
+        rel.fetchall()
