@@ -810,3 +810,27 @@ def q_feature_matrix_from_raw(spark, sf_dir):
     FS.write_table(raw_frame(spark, sf_dir), raw_path)
     missing = _scratch(spark, "no-features")
     return round_doubles(FS.load_feature_matrix(spark, missing, raw_path, AS_OF))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Train, save the pipeline to the shared folder, load it back and score every user with it."""
+    fx = feature_frame(spark, sf_dir)
+    path = _scratch(spark, "model", track=True)
+    M.train_and_save(fx, FINAL_FEATURES, model_path=path)
+    return M.score_users(M.load_model(path), fx.select("username", *FINAL_FEATURES))
+
+
+@register("latent_roundtrip")
+def q_latent_roundtrip(spark, sf_dir):
+    """Write the latent artefact (per-user arrays + factor matrix), read it back and recommend from it."""
+    fx = feature_frame(spark, sf_dir)
+    fit = LT.fit_svd(fx)
+    path = _scratch(spark, "latent", track=True)
+    v_rows = spark.createDataFrame([(i, [float(x) for x in fit.v[i]]) for i in range(len(fit.cols))],
+                                   "row int, v array<double>")
+    FS.save_latent(LT.svd_reconstruct(fx, fit), v_rows, path)
+    latent = FS.load_latent(spark, path)
+    model = M.train_and_save(fx, FINAL_FEATURES)["model"]
+    scores = M.predict(model, fx.select("username", *FINAL_FEATURES))
+    return LT.recommend(LT.user_index(fx.select("username")), scores, latent, FEATURE_COLUMNS, 5)
