@@ -46,7 +46,9 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     column reach the driver).
     """
     spark = df.sparkSession
-    dbl = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    # NaN counts as missing (as in pandas); Spark's count/avg would include it
+    dbl = df.select(*[F.when(F.isnan(F.col(c).cast("double")), F.lit(None)).otherwise(F.col(c).cast("double"))
+                      .alias(c) for c in cols])
     aggs = []
     for c in cols:
         aggs += [F.count(c).cast("long").alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),

@@ -79,3 +79,10 @@ def test_split_rejects_repeated_key(spark, monkeypatch):
     monkeypatch.setattr(S, "TIE_LIMIT", 5)
     with pytest.raises(ValueError, match="unique"):
         S.stratified_split(df)
+
+
+def test_describe_skips_nan(spark):
+    from churnlens.operators.profile import describe
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    r = describe(df, ["x"]).first()
+    assert r["count"] == 2 and r["mean"] == 2.0 and r["p50"] == 2.0 and r["max"] == 3.0
