@@ -29,3 +29,21 @@ def test_interpolated_quantiles(spark):
 def test_constant_and_empty(spark):
     df = spark.createDataFrame([(5.0, None)] * 100, "x double, y double")
     assert Q.exact_medians(df, ["x", "y"]) == {"x": 5.0, "y": None}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.integers(-50, 50).map(float), st.floats(-1e6, 1e6, allow_nan=False)),
+                min_size=1, max_size=400),
+       st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4))
+def test_quantiles_property(spark, values, probs):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    long = Q._long_form(df, ["x"])
+    n = len(values)
+    ks = sorted({min(n - 1, int(p * (n - 1))) for p in probs})
+    got = Q.kth_values(long, {"x": ks}, collect_limit=3)["x"]
+    s = np.sort(np.array(values))
+    assert got == {k: s[k] for k in ks}
