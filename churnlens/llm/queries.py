@@ -31,3 +31,76 @@ def tokenizer_file(name: str) -> str:
 def op5(spark, sf_dir):
     from churnlens.llm.token_count import count_tokens
     return count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@register("op1_language_id")
+def op1(spark, sf_dir):
+    from churnlens.llm.common import held_out, learnable
+    from churnlens.llm.language_id import identify, train
+    docs = read_table(spark, sf_dir, "documents")
+    model = train(docs.where(learnable()))
+    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+#: Words of a text or item, as DuckDB has them, and the windows of ten.
+_OP2_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS n
+         FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, lengths WHERE len(w) >= n),
+hits AS (SELECT dw.doc_id, dw.i, wins.n, wins.item_id
+         FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM dw) dw
+         JOIN wins ON dw.win = wins.win AND dw.n = wins.n),
+hw AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+       FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM hits) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)"""
+
+
+@register("op2_decontaminate", sql=_OP2_SQL)
+def op2(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from churnlens.llm.decontaminate import decontaminate
+    got = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    named = F.array_sort(F.array_distinct(F.transform("items", lambda x: x.cast("string"))))
+    return got.select("doc_id", "n_words", "n_hit", F.size(named).cast("bigint").alias("n_items"),
+                      F.sha2(F.array_join(named, ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def quality_net(spark, sf_dir, docs):
+    """The quality network, learned from the labelled rows outside the held-out fold."""
+    from churnlens.llm.common import learnable
+    from churnlens.llm.quality import train
+    return train(docs.where(learnable()), read_table(spark, sf_dir, "labels").where(learnable()))
+
+
+#: A document is good from this probability on.
+QUALITY_THRESHOLD = 0.3
+
+
+@register("op3_quality")
+def op3(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from churnlens.llm.common import held_out
+    from churnlens.llm.quality import score
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = score(docs, quality_net(spark, sf_dir, docs))
+    return got.select("doc_id", held_out().alias("held_out"), "score",
+                      (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op4_html_text")
+def op4(spark, sf_dir):
+    from churnlens.llm.html_text import extract
+    return extract(read_table(spark, sf_dir, "pages"))
