@@ -104,3 +104,9 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     from churnlens.llm.html_text import extract
     return extract(read_table(spark, sf_dir, "pages"))
+
+
+@register("op9_simhash")
+def op9(spark, sf_dir):
+    from churnlens.llm.simhash import simhash_dedup
+    return simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
