@@ -110,3 +110,21 @@ def op4(spark, sf_dir):
 def op9(spark, sf_dir):
     from churnlens.llm.simhash import simhash_dedup
     return simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def bpe_digest(docs, ranks_path, pattern):
+    """Counts and digests of the ids and of the bytes that they decode to."""
+    from pyspark.sql import functions as F
+
+    from churnlens.llm.bpe_words import decode, encode
+    got = decode(encode(docs, ranks_path, pattern), ranks_path)
+    return got.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                      F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                      F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))
+
+
+@register("op8_byte_bpe")
+def op8(spark, sf_dir):
+    import public_tokenizers
+    return bpe_digest(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
