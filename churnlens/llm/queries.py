@@ -128,3 +128,27 @@ def op8(spark, sf_dir):
     import public_tokenizers
     return bpe_digest(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"),
                       public_tokenizers.PATTERN)
+
+
+#: Links by plain comparison of all pairs; components by following links from every vector.
+_OP7_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v
+      WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(e, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+          ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          AND list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links,
+       least(v.vec_id, coalesce(low.m, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(low.m, v.vec_id)) AS kept
+FROM v LEFT JOIN low ON v.vec_id = low.a LEFT JOIN deg ON v.vec_id = deg.a"""
+
+
+@register("op7_embedding_join", sql=_OP7_SQL)
+def op7(spark, sf_dir):
+    from churnlens.llm.embedding_join import embedding_dedup
+    return embedding_dedup(read_table(spark, sf_dir, "embeddings"))
