@@ -152,3 +152,9 @@ FROM v LEFT JOIN low ON v.vec_id = low.a LEFT JOIN deg ON v.vec_id = deg.a"""
 def op7(spark, sf_dir):
     from churnlens.llm.embedding_join import embedding_dedup
     return embedding_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op10_fuzzy_lines")
+def op10(spark, sf_dir):
+    from churnlens.llm.fuzzy_lines import line_report
+    return line_report(read_table(spark, sf_dir, "documents"))
