@@ -158,3 +158,14 @@ def op7(spark, sf_dir):
 def op10(spark, sf_dir):
     from churnlens.llm.fuzzy_lines import line_report
     return line_report(read_table(spark, sf_dir, "documents"))
+
+
+@register("op6_suffix_dedup")
+def op6(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from churnlens.llm.suffix_dedup import remove_passages
+    got = remove_passages(read_table(spark, sf_dir, "documents"), keep_first=False)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return got.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
