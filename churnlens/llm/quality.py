@@ -109,8 +109,8 @@ def _long(net: Net, text: np.ndarray) -> np.ndarray:
     return np.concatenate((most, total / len(starts), least))[None]
 
 
-def fit(texts: list[bytes], labels: np.ndarray, *, epochs: int = 14, batch: int = 32, rate: float = 5e-3,
-        seed: int = 5) -> Net:
+def fit(texts: list[bytes], labels: np.ndarray, *, epochs: int = 14, least_steps: int = 800, batch: int = 32,
+        rate: float = 5e-3, seed: int = 5) -> Net:
     """Train by back-propagation with Adam: the loss reaches each filter through the place that won the
     pooling.  Classes weigh as often as they are labelled, so the output is a probability."""
     net, rng = Net.fresh(), np.random.default_rng(seed)
@@ -123,6 +123,7 @@ def fit(texts: list[bytes], labels: np.ndarray, *, epochs: int = 14, batch: int
         x = np.frombuffer(t, np.uint8)
         r, _ = chunk_rows(x, np.array([0, len(x)]))
         rows.append(r[np.unique(np.linspace(0, len(r) - 1, min(len(r), TRAIN_CHUNKS)).astype(int))])
+    epochs = max(epochs, -(-least_steps * batch // max(len(texts), 1)))  # few rows are gone through more often
     for epoch in range(epochs):
         pace = rate * (1 - epoch / epochs)
         order = rng.permutation(len(texts))
