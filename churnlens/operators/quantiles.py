@@ -1,14 +1,14 @@
-"""Exact order statistics without pulling a whole column into one task.
+"""Exact order statistics without pulling a column into one task or the driver.
 
 ``F.median`` / ``F.percentile`` keep every distinct value of a group in one
 aggregation buffer, which does not survive a billion-row column.  Here the k-th
 smallest value is found by bracket refinement: each round is two distributed
-aggregates (``percentile_approx`` over the rows still inside the bracket, then
-the counts that place the new bounds), and the bracket shrinks by about the
-sketch accuracy per round.
-Once a bracket holds at most ``collect_limit`` rows, those rows — and only
-those — are brought to the driver and ranked.  The number of rounds is
-logarithmic in the row count; no round materialises more than a bounded set.
+aggregates (``percentile_approx`` over the rows still inside a bracket, then
+the counts that place the new bounds) and shrinks the bracket by about the
+sketch accuracy.  A bracket is done when it holds a single distinct value.  One
+path serves every size: a sketch over fewer values than its accuracy is exact, so a
+small bracket closes in one round.  The driver sees a few numbers per wanted rank and
+round; the number of rounds is logarithmic in the row count.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-COLLECT_LIMIT = 50_000
-MAX_ROUNDS = 12
 
 
 def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -30,9 +28,19 @@ def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
             .where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") != F.lit(float("inf")))))
 
 
+def _inside(g, lo, hi):
+    """Rows of key ``g`` in the bracket (lo, hi]; an open end is None."""
+    cond = F.col("_g") == F.lit(g)
+    if lo is not None:
+        cond = cond & (F.col("_v") > F.lit(lo))
+    if hi is not None:
+        cond = cond & (F.col("_v") <= F.lit(hi))
+    return cond
+
+
 def kth_values(long_df: DataFrame, wanted: dict[str, list[int]], key: str = "name",
-               value: str = "v", collect_limit: int | None = None,
-               counts: dict[str, int] | None = None) -> dict[str, dict[int, float]]:
+               value: str = "v", counts: dict[str, int] | None = None,
+               accuracy: int = ACCURACY) -> dict[str, dict[int, float]]:
     """Exact 0-based k-th smallest ``value`` per ``key`` for the ranks in ``wanted``.
 
     ``long_df`` holds (key, value) rows without nulls; ``counts`` (rows per
@@ -40,9 +48,9 @@ def kth_values(long_df: DataFrame, wanted: dict[str, list[int]], key: str = "nam
     (lo, hi] — exclusive lower, inclusive upper bound — the number of rows at
     or below ``lo`` and the number inside.  A round is two aggregates: sketch
     quantiles + min/max inside every open bracket, then the counts that place
-    the new bounds.  Returns {key: {k: value}}.
+    the new bounds; a round that cannot cut a bracket halves its value range instead,
+    so every round makes progress.  Returns {key: {k: value}}.
     """
-    limit = COLLECT_LIMIT if collect_limit is None else collect_limit
     long_df = long_df.select(F.col(key).alias("_g"), F.col(value).alias("_v"))
     if counts is None:
         counts = {r["_g"]: r["n"] for r in long_df.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -53,73 +61,48 @@ def kth_values(long_df: DataFrame, wanted: dict[str, list[int]], key: str = "nam
                 raise ValueError(f"rank {k} outside 0..{counts.get(g, 0) - 1} for {g!r}")
             state[(g, k)] = [None, None, 0, counts[g]]
     out: dict[str, dict[int, float]] = {g: {} for g in wanted}
-
-    def inside(g, lo, hi):
-        cond = F.col("_g") == F.lit(g)
-        if lo is not None:
-            cond = cond & (F.col("_v") > F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col("_v") <= F.lit(hi))
-        return cond
-
-    for _ in range(MAX_ROUNDS):
-        if not state:
-            break
-        small = [kk for kk, st in state.items() if st[3] <= limit]
-        big = [kk for kk, st in state.items() if st[3] > limit]
-        if small:
-            # only the rows inside small brackets reach the driver (≤ limit each)
-            sel = None
-            for g, k in small:
-                c = inside(g, state[(g, k)][0], state[(g, k)][1])
-                sel = c if sel is None else (sel | c)
-            by_g: dict[str, list[float]] = {}
-            for r in long_df.where(sel).collect():
-                by_g.setdefault(r["_g"], []).append(r["_v"])
-            for g, k in small:
-                lo, hi, below, _ = state.pop((g, k))
-                vals = sorted(v for v in by_g.get(g, []) if (lo is None or v > lo) and (hi is None or v <= hi))
-                out[g][k] = vals[k - below]
-        if not big:
-            continue
-        eps = 2.0 / ACCURACY
+    eps = 2.0 / accuracy
+    while state:
+        pending = list(state)
         aggs = []
-        for i, (g, k) in enumerate(big):
+        for i, (g, k) in enumerate(pending):
             lo, hi, below, n_in = state[(g, k)]
-            c = inside(g, lo, hi)
             r = (k - below) / max(n_in - 1, 1)
-            ps = sorted({max(0.0, r - eps), min(1.0, r + eps)})
-            v = F.when(c, F.col("_v"))
-            aggs += [F.percentile_approx(v, ps, ACCURACY).alias(f"q{i}"), F.min(v).alias(f"mn{i}"),
-                     F.max(v).alias(f"mx{i}")]
+            v = F.when(_inside(g, lo, hi), F.col("_v"))
+            aggs += [F.percentile_approx(v, [max(0.0, r - eps), r, min(1.0, r + eps)], accuracy).alias(f"q{i}"),
+                     F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}")]
         row = long_df.agg(*aggs).first()
-        pending, caggs = [], []
-        for i, (g, k) in enumerate(big):
-            if row[f"mn{i}"] == row[f"mx{i}"]:
-                # every row in the bracket holds one value, and rank k lies in the bracket
-                out[g][k] = row[f"mn{i}"]
+        cuts, caggs = [], []
+        for i, (g, k) in enumerate(pending):
+            mn, mx, q = row[f"mn{i}"], row[f"mx{i}"], row[f"q{i}"]
+            if mn == mx:  # one value in the bracket, and rank k lies in it
+                out[g][k] = mn
                 del state[(g, k)]
                 continue
-            q = row[f"q{i}"]
-            j = len(pending)
-            pending.append(((g, k), q[0], q[-1]))
+            if n_small := state[(g, k)][3] <= accuracy:  # the sketch is exact: the value itself is a bound
+                q = [q[1], q[1], q[1]]
+            if q[0] <= mn and q[-1] >= mx and not n_small:
+                q = [mn + (mx - mn) / 2] * 3
+            j = len(cuts)
+            cuts.append(((g, k), q[0], q[-1]))
             base = F.col("_g") == F.lit(g)
             caggs += [F.count_if(base & (F.col("_v") < F.lit(q[0]))).alias(f"a{j}"),
                       F.count_if(base & (F.col("_v") <= F.lit(q[-1]))).alias(f"b{j}")]
-        if not pending:
+        if not cuts:
             continue
         row = long_df.agg(*caggs).first()
-        for j, ((g, k), new_lo, new_hi) in enumerate(pending):
+        for j, ((g, k), new_lo, new_hi) in enumerate(cuts):
             lo, hi, below, n_in = state[(g, k)]
             a, b = row[f"a{j}"], row[f"b{j}"]
-            if a <= k < b:
+            if a <= k < b and new_lo == new_hi:
+                out[g][k] = new_lo
+                del state[(g, k)]
+            elif a <= k < b:
                 state[(g, k)] = [_prev(new_lo), new_hi, a, b - a]
             elif k < a:
                 state[(g, k)] = [lo, _prev(new_lo), below, a - below]
             else:
                 state[(g, k)] = [new_hi, hi, b, below + n_in - b]
-    if state:
-        raise RuntimeError(f"order statistics did not converge for {list(state)}")
     return out
 
 

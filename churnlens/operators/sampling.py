@@ -14,15 +14,53 @@ from pyspark.sql import functions as F
 from churnlens.operators.quantiles import kth_values
 
 HASH_HEX = 13  # 52 bits: exact as a double, so order statistics over it stay exact
-TIE_LIMIT = 10_000  # rows sharing the cut hash that may be compared on the driver
 
 
-def hash_key(key: str = "username", seed: int = 42):
-    """Uniform 52-bit integer from md5(seed:key)."""
-    hexs = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, HASH_HEX)
+def hash_key(key: str = "username", seed: int = 42, word: int = 0):
+    """Uniform 52-bit integer from md5(seed:key); ``word`` 1 gives a second, independent one."""
+    hexs = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1 + word * HASH_HEX, HASH_HEX)
     return F.conv(hexs, 16, 10).cast("long")
 
 
+def class_cuts(hashed: DataFrame, label: str, ranks: dict, counts: dict) -> dict:
+    """(first word, second word) of the rows at the wanted 0-based ranks of each class in hash order.
+
+    The first word is found by distributed order statistics; where several rows of a
+    class share it, the second word is, among those rows.  Only cuts reach the driver.
+    """
+    wanted = {str(c): sorted(set(r)) for c, r in ranks.items() if r}
+    if not wanted:
+        return {}
+    names = {str(c): c for c in ranks}
+    cls = F.col(label).cast("string")
+    first = kth_values(hashed.select(cls.alias("name"), F.col("_h").cast("double").alias("v")), wanted,
+                       counts={str(c): n for c, n in counts.items()})
+    spots = [(c, k, int(v)) for c, by in first.items() for k, v in by.items()]
+    here = lambda c, v: (cls == F.lit(c)) & (F.col("_h") == F.lit(v))
+    row = hashed.agg(*[x for i, (c, k, v) in enumerate(spots) for x in (
+        F.count_if((cls == F.lit(c)) & (F.col("_h") < F.lit(v))).alias(f"b{i}"), F.count_if(here(c, v)).alias(f"n{i}"),
+        F.min(F.when(here(c, v), F.col("_h2"))).alias(f"m{i}"))]).first()
+    out, tied = {}, []
+    for i, (c, k, v) in enumerate(spots):
+        out[(names[c], k)] = (v, row[f"m{i}"])
+        if row[f"n{i}"] > 1:
+            tied.append((c, k, v, k - row[f"b{i}"]))
+    for c, k, v, rank in tied:
+        rows = hashed.where(here(c, v)).select(F.lit("x").alias("name"), F.col("_h2").cast("double").alias("v"))
+        out[(names[c], k)] = (v, int(kth_values(rows, {"x": [rank]})["x"][rank]))
+    return out
+
+
+def _up_to(cut: tuple[int, int]):
+    """Rows at or before a cut in hash order."""
+    return (F.col("_h") < F.lit(cut[0])) | ((F.col("_h") == F.lit(cut[0])) & (F.col("_h2") <= F.lit(cut[1])))
+
+
+def _hashed(df: DataFrame, label: str, key: str, seed: int) -> tuple[DataFrame, dict]:
+    h = df.withColumn("_h", hash_key(key, seed)).withColumn("_h2", hash_key(key, seed, 1))
+    return h, {r[label]: r["n"] for r in h.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def class_quotas(counts: dict[int, int], test_size: float = 0.2) -> dict[int, int]:
     """Test rows per class: train = ⌈…⌉ split of n, per-class floor + largest remainder."""
     n = sum(counts.values())
@@ -44,37 +82,34 @@ def stratified_split(df: DataFrame, label: str = "churn", key: str = "username",
     """Adds ``is_test``: each class sends exactly its quota of smallest-hash rows to test.
 
     The cut per class is an exact order statistic found by distributed bracket
-    search over the hash; only rows sharing the cut hash (almost never more
-    than one) are compared by key on the driver.
+    search over two hash words, so ties need no comparison by key; rows that repeat a key
+    stay on one side.
     """
-    h = df.withColumn("_h", hash_key(key, seed))
-    counts = {r[label]: r["n"] for r in h.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    quotas = class_quotas(counts, test_size)
-    wanted = {str(c): [q - 1] for c, q in quotas.items() if q > 0}
-    long = h.select(F.col(label).cast("string").alias("name"), F.col("_h").cast("double").alias("v"))
-    cuts = kth_values(long, wanted, counts={str(c): n for c, n in counts.items()}) if wanted else {}
+    h, counts = _hashed(df, label, key, seed)
+    quotas = {c: q for c, q in class_quotas(counts, test_size).items() if q > 0}
+    cuts = class_cuts(h, label, {c: [q - 1] for c, q in quotas.items()}, counts)
     cond = F.lit(False)
     for c, q in quotas.items():
-        if q <= 0:
-            continue
-        cut = int(cuts[str(c)][q - 1])
-        cls = h.where(F.col(label) == F.lit(c))
-        cnt = cls.agg(F.count_if(F.col("_h") < F.lit(cut)).alias("below"),
-                      F.count_if(F.col("_h") == F.lit(cut)).alias("ties")).first()
-        below = cnt["below"]
-        if cnt["ties"] > TIE_LIMIT:
-            # a unique key gives (almost always) one row per hash; many means a repeated key
-            raise ValueError(f"{cnt['ties']} rows share one hash of {key!r}: the split key must be unique")
-        ties = sorted(r[key] for r in cls.where(F.col("_h") == F.lit(cut)).select(key).collect())
-        last = ties[q - below - 1]
-        cond = cond | ((F.col(label) == F.lit(c)) &
-                       ((F.col("_h") < F.lit(cut)) | ((F.col("_h") == F.lit(cut)) & (F.col(key) <= F.lit(last)))))
-    return h.withColumn("is_test", cond).drop("_h")
-
-
-def kfold_assignment(df: DataFrame, k: int = 5, key: str = "username", seed: int = 42) -> DataFrame:
-    """Adds ``fold`` in 0..k-1 from the key hash (balanced per class in expectation)."""
-    return df.withColumn("fold", (hash_key(key, seed) % F.lit(k)).cast("int"))
+        cond = cond | ((F.col(label) == F.lit(c)) & _up_to(cuts[(c, q - 1)]))
+    return h.withColumn("is_test", cond).drop("_h", "_h2")
+
+
+def kfold_assignment(df: DataFrame, k: int = 5, key: str = "username", seed: int = 42, label: str = "churn") -> DataFrame:
+    """Adds ``fold`` in 0..k-1, stratified: each class is cut into k runs of its hash order whose sizes
+    differ by one at most."""
+    h, counts = _hashed(df, label, key, seed)
+    # fold f of a class of n rows holds the ranks r with floor(r k / n) = f
+    lasts = {c: {f: -(-(f + 1) * n // k) - 1 for f in range(k - 1)} for c, n in counts.items()}
+    cuts = class_cuts(h, label, {c: [r for r in by.values() if r >= 0] for c, by in lasts.items()}, counts)
+    fold = F.lit(0)
+    for c, by in lasts.items():
+        here = F.lit(k - 1)
+        for f in sorted(by, reverse=True):
+            if by[f] >= 0:
+                here = F.when(_up_to(cuts[(c, by[f])]), F.lit(f)).otherwise(here)
+        same = F.col(label).isNull() if c is None else F.col(label) == F.lit(c)
+        fold = F.when(same, here).otherwise(fold)
+    return h.withColumn("fold", fold.cast("int")).drop("_h", "_h2")
 
 
 def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
@@ -87,9 +122,9 @@ def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str = "churn", weight_col: str = "weight") -> DataFrame:
-    """Attach the class weight to each row; the weight table has one row per class."""
+    """Attach the class weight to each row (one row per class: the planner broadcasts it once it knows its size)."""
     wt = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(wt), label)
+    return df.join(wt, label)
 
 
 def fit_standard(df: DataFrame, cols) -> dict[str, tuple[float, float]]:

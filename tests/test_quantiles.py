@@ -6,15 +6,14 @@ import pytest
 from churnlens.operators import quantiles as Q
 
 
-def test_matches_numpy_with_refinement(spark, monkeypatch):
+def test_matches_numpy_with_refinement(spark):
     rng = np.random.default_rng(7)
     a = rng.normal(size=3000)
     b = np.round(rng.exponential(size=3000), 1)     # many ties
     rows = [(float(x), float(y) if i % 5 else None) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double")
-    monkeypatch.setattr(Q, "COLLECT_LIMIT", 40)
     long = Q._long_form(df, ["a", "b"])
-    res = Q.kth_values(long, {"a": [0, 1499, 2999], "b": [0, 1000, 2399]}, collect_limit=40)
+    res = Q.kth_values(long, {"a": [0, 1499, 2999], "b": [0, 1000, 2399]}, accuracy=40)
     sa, sb = np.sort(a), np.sort(np.array([y for _, y in rows if y is not None]))
     assert res["a"] == {0: sa[0], 1499: sa[1499], 2999: sa[2999]}
     assert res["b"] == {0: sb[0], 1000: sb[1000], 2399: sb[2399]}
@@ -44,6 +43,6 @@ def test_quantiles_property(spark, values, probs):
     long = Q._long_form(df, ["x"])
     n = len(values)
     ks = sorted({min(n - 1, int(p * (n - 1))) for p in probs})
-    got = Q.kth_values(long, {"x": ks}, collect_limit=3)["x"]
+    got = Q.kth_values(long, {"x": ks}, accuracy=5)["x"]
     s = np.sort(np.array(values))
     assert got == {k: s[k] for k in ks}

@@ -60,7 +60,8 @@ def test_quota_rule():
 
 def test_folds_and_weights(small):
     f = S.kfold_assignment(small)
-    assert {r["fold"] for r in f.select("fold").distinct().collect()} <= set(range(5))
+    sizes = {(r["churn"], r["fold"]): r["count"] for r in f.groupBy("churn", "fold").count().collect()}
+    assert all(sizes[(1, k)] == 8 and sizes[(0, k)] == 32 for k in range(5))
     w = {r["churn"]: r["weight"] for r in S.class_weights(small).collect()}
     assert w[1] == pytest.approx(200 / (2 * 40)) and w[0] == pytest.approx(200 / (2 * 160))
 
@@ -74,11 +75,30 @@ def test_scalers(small):
     assert mm.noise.min() == 0 and mm.noise.max() == 1 and (mm.const == 0).all()
 
 
-def test_split_rejects_repeated_key(spark, monkeypatch):
+def test_repeated_key_stays_on_one_side(spark):
     df = spark.createDataFrame([("same", i % 2) for i in range(50)], "username string, churn int")
-    monkeypatch.setattr(S, "TIE_LIMIT", 5)
-    with pytest.raises(ValueError, match="unique"):
-        S.stratified_split(df)
+    assert S.stratified_split(df).select("is_test").distinct().count() == 1
+    assert S.kfold_assignment(df).select("fold").distinct().count() == 1
+
+
+def test_rare_class_is_spread_over_the_folds(spark):
+    df = spark.createDataFrame([(f"u{i:04d}", int(i % 143 == 0)) for i in range(1000)], "username string, churn int")
+    f = S.kfold_assignment(df)
+    sizes = {(r["churn"], r["fold"]): r["count"] for r in f.groupBy("churn", "fold").count().collect()}
+    for c in (0, 1):
+        each = [sizes.get((c, k), 0) for k in range(5)]
+        assert max(each) - min(each) <= 1
+    assert sum(sizes[(1, k)] for k in range(5)) == 7
+    few = S.kfold_assignment(df.where("churn = 1").limit(3))
+    assert sorted(r["count"] for r in few.groupBy("fold").count().collect()) == [1, 1, 1]
+
+
+def test_equal_first_hash_words_are_cut_by_the_second(spark, monkeypatch):
+    real = S.hash_key
+    monkeypatch.setattr(S, "hash_key", lambda key="username", seed=42, word=0: F.lit(7).cast("long") if not word else real(key, seed, 1))
+    df = spark.createDataFrame([(f"u{i}", i % 2) for i in range(100)], "username string, churn int")
+    assert S.stratified_split(df).where("is_test").count() == 20
+    assert {r["count"] for r in S.kfold_assignment(df).groupBy("churn", "fold").count().collect()} == {10}
 
 
 def test_describe_skips_nan(spark):
