@@ -24,12 +24,11 @@ SKIP_TOP = 1
 
 
 def graph_nodes(raw: DataFrame) -> DataFrame:
-    """One node per username with label and (null → 0) counts."""
-    return (raw.select("username", "churn",
+    """One node per row of the raw-user table (unique by username) with label and (null → 0) counts."""
+    return raw.select("username", "churn",
                        F.coalesce(F.col("followers"), F.lit(0)).cast("long").alias("followers"),
                        F.coalesce(F.col("following"), F.lit(0)).cast("long").alias("following"),
-                       F.coalesce(F.col("public_repos"), F.lit(0)).cast("long").alias("repos"))
-            .dropDuplicates(["username"]))
+                      F.coalesce(F.col("public_repos"), F.lit(0)).cast("long").alias("repos"))
 
 
 def top_followed(nodes: DataFrame, hubs: int = HUB_COUNT, skip_top: int = SKIP_TOP) -> DataFrame:
@@ -56,8 +55,8 @@ def follow_edges(nodes: DataFrame, hubs: int = HUB_COUNT, skip_top: int = SKIP_T
                    F.explode(F.sequence(F.lit(skip_top),
                                         F.least(F.col("following"), F.lit(hubs)).cast("int") + F.lit(skip_top - 1)))
                    .alias("pos")))
-    return (pos.join(F.broadcast(top), "pos").where(F.col("src") != F.col("dst"))
-            .select("src", "dst").distinct())
+    # nodes and positions are unique, and so are their edges
+    return pos.join(F.broadcast(top), "pos").where(F.col("src") != F.col("dst")).select("src", "dst")
 
 
 def graph_density(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -84,88 +83,75 @@ def degree_centrality(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
              tol: float | None = 1.0e-6, checkpoint_every: int = 5,
-             hot_threshold: int | None = None) -> DataFrame:
+             fair_share: int | None = None) -> DataFrame:
     """Power iteration with uniform teleport; dangling mass is spread uniformly.
 
-    Stops when the L1 change is below ``n · tol`` (``tol=None`` runs exactly
-    ``max_iter`` rounds).  The edge table is partitioned once by (source, salt)
-    and kept; each round's rank table is the static node table joined with that
-    round's contributions (it refers to the previous table once, so the plan
-    grows linearly), and one aggregate per round yields both the L1 change and
-    the next dangling mass.  Lineage is cut by writing the rank table every
-    ``checkpoint_every`` rounds.
-
-    Skew: a source whose out-degree exceeds ``hot_threshold`` (default: edges /
-    partitions, i.e. more than a partition's fair share) has its edges spread
-    over ⌈out-degree / threshold⌉ salts by destination hash, and only its rank
-    row is replicated once per salt.  The hot table has at most ``partitions``
-    rows (the out-degrees sum to the edge count), so broadcasting it is bounded.
+    Stops when the L1 change is below ``n · tol`` and raises if ``max_iter`` rounds do not
+    get there; ``tol=None`` runs exactly ``max_iter`` rounds and then reads only the
+    dangling mass of each round.  The edge table is partitioned once by (source, salt)
+    and kept; each round's rank table is the static node table joined with that round's
+    contributions (it refers to the previous table once, so the plan grows linearly).
+    Lineage is cut by writing the rank table every ``checkpoint_every`` rounds.
+
+    Skew: every source's edges are spread over ⌈out-degree / fair share⌉ salts by
+    destination hash (fair share: edges / partitions, so one salt for all but hot
+    sources), and its rank row is repeated once per salt: no more than sources plus
+    partitions rows in all.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")).persist(StorageLevel.MEMORY_AND_DISK)
     n_edges = outdeg.agg(F.coalesce(F.sum("outdeg"), F.lit(0))).first()[0]
-    thr = hot_threshold or max(1, -(-n_edges // parts))
-    hot = (outdeg.where(F.col("outdeg") > thr)
-           .select("src", F.ceil(F.col("outdeg") / F.lit(thr)).cast("int").alias("nsalt")))
-    salted = hot.limit(1).count() > 0
-    hot = F.broadcast(hot)
-    if salted:
-        e = (edges.join(outdeg, "src").join(hot, "src", "left")
-             .select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w"),
-                     F.when(F.col("nsalt").isNull(), F.lit(0))
-                      .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt"))).cast("int").alias("salt"))
-             .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK))
-    else:
-        # no source above its fair share: partition by source, co-partitioned with the ranks
-        e = (edges.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w"))
-             .repartition(parts, "src").persist(StorageLevel.MEMORY_AND_DISK))
-    ids = (nodes.select("username").join(outdeg.withColumnRenamed("src", "username"), "username", "left")
-           .select("username", F.col("outdeg").isNull().alias("dangling"))
-           .repartition(parts, "username").persist(StorageLevel.MEMORY_AND_DISK))
-    stats = ids.agg(F.count(F.lit(1)).alias("n"), F.count_if("dangling").alias("nd")).first()
+    share = fair_share or max(1, -(-n_edges // parts))
+    salts = F.ceil(F.col("outdeg") / F.lit(share)).cast("int")
+    e = (edges.join(outdeg.withColumn("salts", salts), "src")
+         .select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w"),
+                 F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"))
+         .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK))
+    ids = (nodes.select("username").join(outdeg.select(F.col("src").alias("username"), salts.alias("salts")), "username", "left")
+           .select("username", "salts").repartition(parts, "username").persist(StorageLevel.MEMORY_AND_DISK))
+    stats = ids.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("salts").isNull()).alias("nd")).first()
     n = stats["n"]
     if n == 0:
-        e.unpersist()
-        return ids.select("username", F.lit(0.0).alias("pagerank"))
-    hot_ids = hot.withColumnRenamed("src", "username")
-    x = ids.select("username", "dangling", F.lit(1.0 / n).alias("rank"))
-    dsum = stats["nd"] / n
+        for x in (e, ids, outdeg):
+            x.unpersist()
+        return nodes.select("username", F.lit(0.0).alias("pagerank"))
+    x = ids.withColumn("rank", F.lit(1.0 / n))
+    dsum, converged, held = stats["nd"] / n, tol is None, []
     for it in range(1, max_iter + 1):
-        if salted:
-            # rank rows meet their edges on (source, salt); hot sources' rows fan out per salt
-            xs = (x.select(F.col("username"), "rank").join(hot_ids, "username", "left")
-                  .select(F.col("username").alias("src"), "rank",
-                          F.explode(F.sequence(F.lit(0), F.coalesce(F.col("nsalt"), F.lit(1)) - 1)).alias("salt")))
-            joined = e.join(xs, ["src", "salt"])
-        else:
-            joined = e.join(x.select(F.col("username").alias("src"), "rank"), "src")
-        contrib = (joined
+        # rank rows meet their edges on (source, salt); a node without edges sends none
+        sent = x.where(F.col("salts").isNotNull()).select(
+            F.col("username").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        contrib = (e.join(sent, ["src", "salt"])
                    .groupBy(F.col("dst").alias("username")).agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
         base = alpha * dsum / n + (1.0 - alpha) / n
-        # the new table refers to the previous one once (through contrib), so plans grow
-        # linearly between lineage cuts; the static node table supplies the dangling flag
         new = (ids.join(contrib, "username", "left")
-               .select("username", "dangling",
+               .select("username", "salts",
                        (F.lit(alpha) * F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(base)).alias("rank")))
-        if it % checkpoint_every == 0:
+        if it % checkpoint_every == 0 or it == max_iter:
             new = materialize(new, "pagerank")
         else:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        # L1 change and next dangling mass in one aggregate (this join never feeds later rounds)
-        row = (new.join(x.select("username", F.col("rank").alias("old")), "username")
-               .agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"),
-                    F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("d")).first())
-        x.unpersist()
-        x = new
-        dsum = row["d"]
+            held.append(new)
+        dangling = F.coalesce(F.sum(F.when(F.col("salts").isNull(), F.col("rank"))), F.lit(0.0)).alias("d")
+        if tol is None:
+            row = new.agg(dangling).first()
+        else:  # the join with the previous ranks serves the L1 change only and never feeds later rounds
+            row = (new.join(x.select("username", F.col("rank").alias("old")), "username")
+                   .agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"), dangling).first())
+        x, dsum = new, row["d"]
+        while len(held) > 1:
+            held.pop(0).unpersist()
         if tol is not None and row["err"] < n * tol:
+            converged = True
             break
-    e.unpersist()
-    ids.unpersist()
-    outdeg.unpersist()
-    return x.select("username", F.col("rank").alias("pagerank"))
+    if not converged:
+        raise RuntimeError(f"PageRank did not converge to {tol} in {max_iter} rounds")
+    out = x if not held or x is not held[-1] else materialize(x, "pagerank")
+    for y in (*held, e, ids, outdeg):
+        y.unpersist()
+    return out.select("username", F.col("rank").alias("pagerank"))
 
 
 def sample_sources(nodes: DataFrame, k: int = 50, seed: int = 42) -> DataFrame:
@@ -174,12 +160,14 @@ def sample_sources(nodes: DataFrame, k: int = 50, seed: int = 42) -> DataFrame:
         .select(F.col("username").alias("source"))
 
 
-def betweenness(nodes: DataFrame, edges: DataFrame, k: int | None = 50, seed: int = 42,
-                normalized: bool = True, max_levels: int = 10_000) -> DataFrame:
+def betweenness(nodes: DataFrame, edges: DataFrame, k: int = 50, seed: int = 42,
+                normalized: bool = True) -> DataFrame:
     """Directed shortest-path betweenness from sampled sources (Brandes).
 
     Forward: level-synchronous BFS over (source, node, dist, sigma) — one
-    join with the edge table and one aggregate per level.  Backward: for each
+    join with the edge table and one aggregate per level, until no new node is
+    found (each level is written once, and later ones are checked against all of
+    them).  ``k`` sources are always given; all nodes only where there are no more.  Backward: for each
     level, deltas flow from a level to the one before it through the same
     join.  State grows with sources × reachable nodes, not with n².
     Scaling: 1 / ((n−1)(n−2)), times n/k when sampling.
@@ -187,18 +175,16 @@ def betweenness(nodes: DataFrame, edges: DataFrame, k: int | None = 50, seed: in
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
     n = nodes.count()
-    if k is not None and k < n:
-        sources = sample_sources(nodes, k, seed)
-        k_used = k
-    else:
-        sources = nodes.select(F.col("username").alias("source"))
-        k_used = None
+    sources = sample_sources(nodes, k, seed)
+    k_used = k if k < n else None
     e = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     frontier = materialize(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("sigma")),
                            "brandes-level")
     levels = [frontier]
-    visited = frontier.select("source", "node")
-    for _ in range(max_levels):
+    while True:
+        visited = levels[0].select("source", "node")
+        for x in levels[1:]:
+            visited = visited.unionByName(x.select("source", "node"))
         nxt = (frontier.join(e.withColumnRenamed("src", "node"), "node")
                .groupBy("source", F.col("dst").alias("node")).agg(F.sum("sigma").alias("sigma"))
                .join(visited, ["source", "node"], "left_anti"))
@@ -206,7 +192,6 @@ def betweenness(nodes: DataFrame, edges: DataFrame, k: int | None = 50, seed: in
         if nxt.isEmpty():
             break
         levels.append(nxt)
-        visited = materialize(visited.unionByName(nxt.select("source", "node")), "brandes-visited")
         frontier = nxt
     # backward sweep: delta(v) = Σ_{v→w, dist(w)=dist(v)+1} sigma_v / sigma_w · (1 + delta_w)
     delta_next = None  # (source, node, sigma, delta) for the deeper level
@@ -246,12 +231,12 @@ def network_features(users: DataFrame, degree: DataFrame, between: DataFrame, pr
             .fillna(0.0, subset=["degree_centrality", "betweenness_centrality", "pagerank"]))
 
 
-def subgraph(nodes: DataFrame, edges: DataFrame, first: int = 80):
-    """The first ``first`` nodes (login order) and the edges among them."""
-    keep = nodes.orderBy("username").limit(first).select("username")
-    sub_e = (edges.join(keep.withColumnRenamed("username", "src"), "src", "left_semi")
-             .join(keep.withColumnRenamed("username", "dst"), "dst", "left_semi"))
-    return nodes.join(keep, "username", "left_semi"), sub_e
+def subgraph(nodes: DataFrame, edges: DataFrame, keep: DataFrame):
+    """The subgraph that the nodes of ``keep`` (username) induce: those nodes and the edges among them."""
+    names = keep.select("username").distinct()
+    sub_e = (edges.join(names.withColumnRenamed("username", "src"), "src", "left_semi")
+             .join(names.withColumnRenamed("username", "dst"), "dst", "left_semi").select("src", "dst"))
+    return nodes.join(names, "username", "left_semi"), sub_e
 
 
 def aligned_features(features: DataFrame, network: DataFrame, label: str = "churn") -> DataFrame:

@@ -49,7 +49,7 @@ NAMES = list("abcdefg")
 
 def test_betweenness_all_sources(spark):
     nodes, e = _graph(spark, NAMES, EDGES)
-    got = {r["username"]: r["betweenness_centrality"] for r in G.betweenness(nodes, e, k=None).collect()}
+    got = {r["username"]: r["betweenness_centrality"] for r in G.betweenness(nodes, e, k=len(NAMES)).collect()}
     bf = brandes(NAMES, EDGES, NAMES)
     n = len(NAMES)
     for v in NAMES:
@@ -109,9 +109,34 @@ def test_pagerank_salted_hot_source(spark):
     edges = [("n0", f"n{i}") for i in range(1, 40)] + [(f"n{i}", "n0") for i in range(1, 20)] + [("n5", "n6")]
     nodes, e = _graph(spark, names, edges)
     plain = {r["username"]: r["pagerank"] for r in
-             G.pagerank(nodes, e, tol=None, max_iter=40, hot_threshold=10**9).collect()}
+             G.pagerank(nodes, e, tol=None, max_iter=40, fair_share=10**9).collect()}
     salted = {r["username"]: r["pagerank"] for r in
-              G.pagerank(nodes, e, tol=None, max_iter=40, hot_threshold=4).collect()}
+              G.pagerank(nodes, e, tol=None, max_iter=40, fair_share=4).collect()}
     for v in names:
         assert salted[v] == pytest.approx(plain[v], abs=1e-14)
     assert sum(salted.values()) == pytest.approx(1.0)
+
+
+def test_pagerank_raises_without_convergence(spark):
+    nodes, e = _graph(spark, NAMES, EDGES)
+    with pytest.raises(RuntimeError, match="converge"):
+        G.pagerank(nodes, e, max_iter=1)
+    got = G.pagerank(nodes, e)
+    assert got.agg({"pagerank": "sum"}).first()[0] == pytest.approx(1.0)
+
+
+def test_betweenness_of_a_long_chain(spark):
+    names = [f"c{i}" for i in range(7)]
+    edges = [(names[i], names[i + 1]) for i in range(6)]
+    nodes, e = _graph(spark, names, edges)
+    got = {r["username"]: r["betweenness_centrality"] for r in G.betweenness(nodes, e, k=7).collect()}
+    assert got == {names[i]: pytest.approx(i * (6 - i) / 30) for i in range(7)}
+
+
+def test_subgraph_of_given_nodes(spark):
+    nodes, e = _graph(spark, NAMES, EDGES)
+    keep = nodes.limit(4)
+    names = {r["username"] for r in keep.collect()}
+    n, sub = G.subgraph(nodes, e, spark.createDataFrame([(x,) for x in names], "username string"))
+    assert {r["username"] for r in n.collect()} == names
+    assert {tuple(r) for r in sub.collect()} == {(a, b) for a, b in EDGES if a in names and b in names}
