@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.scalars import as_of_lit, parse_ts
 from churnlens.session import materialize
 from churnlens.operators.labels import (
-    DEFAULT_THRESHOLD, assign_labels, churn_ratio_value, parse_users, user_accounts,
+    DEFAULT_THRESHOLD, assign_labels, parse_users, user_accounts,
 )
 
 
@@ -48,7 +47,6 @@ INACTIVE_COHORTS = [
 ]
 PASS1_STEP = 90
 PASS1_FLOOR = 90
-BATCH_CAP = 100
 
 
 def _predicate(c: Cohort, lang_col: str | None = None):
@@ -150,38 +148,47 @@ class BalanceResult:
 
 def fix_low_churn_ratio(df: DataFrame, profiles: DataFrame, as_of, current_threshold: int = DEFAULT_THRESHOLD,
                         min_churn_ratio: float = 0.10, inactive_cohorts=INACTIVE_COHORTS,
-                        batch_cap: int = BATCH_CAP) -> BalanceResult:
+                        batch_cap: int | None = None) -> BalanceResult:
     """Three-pass repair of a low churned share.
 
     pass 0: accept when the share reaches the minimum;
     pass 1: relabel with the threshold lowered by 90 days (only if that stays ≥ 90);
-    pass 2: append unseen users from each inactivity cohort in turn (login order,
-            ``batch_cap`` per cohort), labelled from the update date only, and keep
-            batches up to the first one after which the share reaches the minimum.
-    The branch decisions read one scalar each; pass 2 reads one 3-row summary.
+    pass 2: append unseen users from each inactivity cohort in turn (all of them;
+            the first ``batch_cap`` logins of each only if the caller asks for that),
+            labelled from the update date only, and keep batches up to the first one
+            after which the share reaches the minimum.
+    The collected table is written once; one aggregate over it gives the shares at both
+    thresholds, and pass 2 reads one 3-row summary.
     """
-    ratio = churn_ratio_value(df)
-    if ratio >= min_churn_ratio:
-        return BalanceResult(df, ratio, current_threshold, 0)
     adjusted = current_threshold - PASS1_STEP
-    if adjusted >= PASS1_FLOOR:
-        df = assign_labels(df.drop("churn"), adjusted)
-        ratio = churn_ratio_value(df)
-        if ratio >= min_churn_ratio:
-            return BalanceResult(df, ratio, adjusted, 1)
-    effective = adjusted if adjusted >= PASS1_FLOOR else current_threshold
-
+    can_adjust = adjusted >= PASS1_FLOOR
+    effective = adjusted if can_adjust else current_threshold
     base = materialize(df, "balance-base")
-    # the pool is read once per batch: write it once
-    pool = materialize(profiles, "balance-pool")
+    relabelled = assign_labels(base.drop("churn"), effective) if can_adjust else base
+    both = assign_labels(base.withColumnRenamed("churn", "_before"), effective) if can_adjust \
+        else base.withColumn("_before", F.col("churn"))
+    s = both.withColumnRenamed("churn", "_after").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_before"), F.lit(0)).alias("b"),
+                 F.coalesce(F.sum("_after"), F.lit(0)).alias("a")).first()
+    share = lambda c: c / s["n"] if s["n"] else 0.0
+    if share(s["b"]) >= min_churn_ratio:
+        return BalanceResult(base, share(s["b"]), current_threshold, 0)
+    if can_adjust and share(s["a"]) >= min_churn_ratio:
+        return BalanceResult(relabelled, share(s["a"]), adjusted, 1)
+    base = relabelled
+    # the pool is read once per batch: write the few columns' rows that any cohort can match once
+    any_ = F.lit(False)
+    for c in inactive_cohorts:
+        any_ = any_ | _predicate(c)
+    pool = materialize(profiles.where(any_), "balance-pool")
     known = base.select("username")
     batches = []
     for b, cohort in enumerate(inactive_cohorts, start=1):
         fresh = (cohort_members(pool, None, cohort)
-                 .join(known.withColumnRenamed("username", "login"), "login", "left_anti")
-                 .orderBy("login").limit(int(batch_cap)))
+                 .join(known.withColumnRenamed("username", "login"), "login", "left_anti"))
+        if batch_cap is not None:
+            fresh = fresh.orderBy("login").limit(int(batch_cap))
         added = assign_labels(parse_users(user_accounts(fresh), None, as_of), effective)
-        added = added.withColumn("_batch", F.lit(b)).persist(StorageLevel.MEMORY_AND_DISK)
+        added = materialize(added.withColumn("_batch", F.lit(b)), "balance-batch")
         batches.append(added)
         known = known.union(added.select("username"))
     extras = batches[0]
@@ -189,14 +196,13 @@ def fix_low_churn_ratio(df: DataFrame, profiles: DataFrame, as_of, current_thres
         extras = extras.unionByName(x)
     stats = {r["_batch"]: (r["n"], r["c"]) for r in
              extras.groupBy("_batch").agg(F.count(F.lit(1)).alias("n"), F.sum("churn").alias("c")).collect()}
-    base_stats = base.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("churn"), F.lit(0)).alias("c")).first()
-    n, c = base_stats["n"], base_stats["c"]
+    n, c = s["n"], s["a"]
     keep = len(inactive_cohorts)
     for b in range(1, len(inactive_cohorts) + 1):
         bn, bc = stats.get(b, (0, 0))
         n, c = n + bn, c + (bc or 0)
-        if n > 0 and n > base_stats["n"] and c / n >= min_churn_ratio:
+        if n > s["n"] and c / n >= min_churn_ratio:
             keep = b
             break
     out = base.unionByName(extras.where(F.col("_batch") <= keep).drop("_batch"))
-    return BalanceResult(out, churn_ratio_value(out), effective, 2)
+    return BalanceResult(out, c / n if n else 0.0, effective, 2)

@@ -46,17 +46,18 @@ def test_low_threshold_skips_pass1_and_stops_early(profiles):
     pool = profiles(
         [{"login": f"a{i:03d}", "followers": 0, "public_repos": 1, "created_at": "1990-01-01T00:00:00Z",
           "updated_at": "2019-01-01T00:00:00Z"} for i in range(150)]
-        + [{"login": f"b{i:03d}", "followers": 0, "public_repos": 1, "created_at": "1990-01-01T00:00:00Z",
+        + [{"login": f"b{i:03d}", "followers": 4, "public_repos": 1, "created_at": "1990-01-01T00:00:00Z",
             "updated_at": "2019-01-01T00:00:00Z"} for i in range(150)])
     cohorts = [I.Cohort(followers=(0, 3), repos=(1, 3), created_before="1995-06-01"),
                I.Cohort(followers=(0, 5), repos=(0, 2), created_before="1995-03-01")]
     res = I.fix_low_churn_ratio(df, pool, AS_OF, 170, 0.5, cohorts)
     assert res.passes == 2 and res.threshold == 170
     out = res.df
-    # batch 1 alone (100 stale users + 10 fresh) already reaches the target → batch 2 dropped
-    assert out.count() == 110
-    assert out.select("username").distinct().count() == 110
-    assert out.where(F.col("username").startswith("a")).count() == 100
+    # batch 1 alone (150 stale users + 10 fresh) already reaches the target → batch 2 dropped
+    assert out.count() == 160 == out.select("username").distinct().count()
+    assert out.where(F.col("username").startswith("a")).count() == 150
+    # a caller may ask for a cut
+    assert I.fix_low_churn_ratio(df, pool, AS_OF, 170, 0.5, cohorts, batch_cap=100).df.count() == 110
 
 
 def test_recent_repos_per_owner(repos):
