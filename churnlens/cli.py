@@ -97,9 +97,18 @@ def main(argv=None, stop: bool = True) -> int:
     de.add_argument("--out", required=True)
     a = ap.parse_args(argv)
 
-    from churnlens.session import get_session
+    from churnlens.session import get_session, release_scratch
     spark = get_session(a.master)
+    try:
+        _run(a, spark)
+    finally:
+        release_scratch(spark)  # the intermediate tables of this job
+        if stop:
+            spark.stop()
+    return 0
+
 
+def _run(a, spark) -> None:
     if a.cmd == "demo":
         from churnlens.sources.demo import demo_profiles, demo_repos, load_tables
         tb = load_tables(spark, a.sf_dir)
@@ -133,9 +142,9 @@ def main(argv=None, stop: bool = True) -> int:
         cols = a.select.split(",") if a.select else None
         if a.use_keep:
             cols = M.keep_list(spark.read.parquet(f"{a.use_keep}/table")) or None
-        res = M.train_and_save(fx, cols or FINAL_FEATURES, model_path=a.model)
-        cv = M.cv_metrics(fx, res["selected_features"]).first().asDict()
-        out = {"selected_features": res["selected_features"], **cv, **res["metrics"].first().asDict()}
+        res = M.train_and_save(fx, cols or FINAL_FEATURES, model_path=a.model, cv=True)
+        out = {"selected_features": res["selected_features"], **res["cv_metrics"].first().asDict(),
+               **res["metrics"].first().asDict()}
         if a.metrics_out:
             res["report"].write.mode("overwrite").parquet(a.metrics_out)
         print(json.dumps(out))
@@ -150,7 +159,7 @@ def main(argv=None, stop: bool = True) -> int:
     elif a.cmd == "score":
         from churnlens.operators import models as M
         from churnlens.operators.scoring import validate_score_requests
-        model = M.load_model(a.model)
+        model = M.load_model(a.model, spark)
         fields = M.model_inputs(model)
         req = validate_score_requests(_read(spark, a.requests, M.request_schema(model)), fields)
         M.score_users(model, req.where("valid").select("request_id", *fields)) \
@@ -159,14 +168,12 @@ def main(argv=None, stop: bool = True) -> int:
     elif a.cmd == "stream":
         from churnlens.operators import models as M
         from churnlens.streaming.scoring import start_scoring_stream
-        model = M.load_model(a.model)
+        model = M.load_model(a.model, spark)
         q = start_scoring_stream(spark, model, a.source, a.sink, a.checkpoint,
                                  available_now=not a.continuous, fields=M.model_inputs(model))
         if a.continuous:
             q.awaitTermination()
-    if stop:
-        spark.stop()
-    return 0
+
 
 
 if __name__ == "__main__":

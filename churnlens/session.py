@@ -52,14 +52,22 @@ def get_session(master: str | None = None, app: str = "churnlens",
     return spark
 
 
+def is_local(master: str) -> bool:
+    """One JVM on one machine (``local``, ``local[n]``), not ``local-cluster`` or a cluster."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/churnlens-checkpoints") -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; ``fallback`` is used only when the
-    setting is absent (local tests).
+    The cluster's setting always wins; ``fallback`` is used only when the setting is
+    absent and the master is ``local``: on a cluster a machine's own folder is not seen
+    by the others, so a missing setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         d = fallback
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -124,18 +132,24 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return int(total)
 
 
-def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = TARGET_SHUFFLE_BYTES,
-                            max_partitions: int = 200_000) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the input size when it is still Spark's default.
+def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = TARGET_SHUFFLE_BYTES) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size, unless the user has set it.
 
     Roughly one partition per ``target_bytes`` of compressed input, never fewer
-    than twice the default parallelism; AQE coalesces what turns out small.
-    An explicit setting (any value other than the default) is left alone.
+    than twice the default parallelism; AQE coalesces what turns out small.  The
+    number is found anew for every input: a value set here earlier is replaced, any
+    other explicit value (200 too) is left alone.
     """
-    cur = spark.conf.get("spark.sql.shuffle.partitions")
-    if cur != SPARK_DEFAULT_SHUFFLE_PARTITIONS:
+    key, own = "spark.sql.shuffle.partitions", "churnlens.shuffle.partitions"
+    cur, mine = spark.conf.get(key), spark.conf.get(own, None)
+    if cur != mine and (cur != SPARK_DEFAULT_SHUFFLE_PARTITIONS or _is_set(spark, key)):
         return int(cur)
-    n = input_bytes(spark, paths) // target_bytes
-    n = int(min(max(n, 2 * spark.sparkContext.defaultParallelism), max_partitions))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    n = int(max(-(-input_bytes(spark, paths) // target_bytes), 2 * spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(n))
+    spark.conf.set(own, str(n))
     return n
+
+
+def _is_set(spark: SparkSession, key: str) -> bool:
+    """Whether a setting was given, in the session or at launch, rather than being the default."""
+    return bool(spark.conf._jconf.contains(key)) or spark.sparkContext.getConf().contains(key)
