@@ -42,9 +42,17 @@ def as_of_lit(as_of) -> Column:
     return F.to_timestamp(F.lit(utc_iso(as_of)))
 
 
+#: What a date string starts with.
+DATE_FIRST = r"^\s*\d{4}-\d{2}-\d{2}([T ].*|\s*)$"
+
+
 def parse_ts(c) -> Column:
-    """Lenient ISO-8601 parse: junk, empty and null all become NULL."""
-    return F.try_to_timestamp(_c(c))
+    """ISO-8601 parse: a full date (``YYYY-MM-DD``), alone or followed by ``T`` or a blank and a time.
+
+    Junk, empty and null become NULL, and so do a time alone (which would mean today), a
+    year alone and dates without leading zeros: one rule for labels and features."""
+    x = _c(c)
+    return F.when(x.cast("string").rlike(DATE_FIRST), F.try_to_timestamp(x))
 
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"

@@ -23,11 +23,11 @@ def _first_error(checks) -> F.Column:
 
 
 def validate_score_requests(req: DataFrame, fields=FINAL_FEATURES) -> DataFrame:
-    """Adds ``valid`` and ``error``: every field present and ≥ 0."""
+    """Adds ``valid`` and ``error``: every field present, a number, finite and ≥ 0."""
     checks = []
     for c in fields:
         checks.append((F.col(c).isNull(), f"{c} is required"))
-        checks.append((F.col(c) < 0, f"{c} must be >= 0"))
+        checks.append((F.isnan(c) | (F.abs(c) == F.lit(float("inf"))) | (F.col(c) < 0), f"{c} must be >= 0"))
     err = _first_error(checks)
     return req.withColumn("error", err).withColumn("valid", F.col("error").isNull()) \
         .select(*req.columns, "valid", "error")
@@ -40,7 +40,10 @@ def validate_recommend_requests(req: DataFrame, users: DataFrame) -> DataFrame:
     the index, so the result carries the username of every found user.
     """
     r = req.withColumn("top_n", F.coalesce(F.col("top_n"), F.lit(TOP_N_DEFAULT)))
-    j = r.join(users.select("user_id", "username"), "user_id", "left")
+    # a null or negative id matches no user, so those rows never enter the join
+    known = F.col("user_id") >= 0
+    j = (r.where(known).join(users.select("user_id", "username"), "user_id", "left")
+         .unionByName(r.where(~F.coalesce(known, F.lit(False))).withColumn("username", F.lit(None).cast("string"))))
     err = _first_error([
         (F.col("user_id").isNull(), "user_id is required"),
         (F.col("user_id") < 0, "user_id must be >= 0"),
@@ -56,9 +59,11 @@ def answer_recommend_requests(checked: DataFrame, per_user: DataFrame) -> DataFr
     ``per_user`` is the recommendation table computed once per user with the
     largest allowed ``top_n``; each request slices its own prefix.
     """
-    j = checked.join(per_user.drop("user_id"), "username", "left")
-    return j.select(
-        *[c for c in checked.columns if c not in ("valid", "error")], "valid", "error",
-        F.when(F.col("valid"), F.col("churn_probability")).alias("churn_probability"),
-        F.when(F.col("valid"), F.col("at_risk")).alias("at_risk"),
-        F.when(F.col("valid"), F.slice("recommendations", 1, F.col("top_n"))).alias("recommendations"))
+    answers = per_user.select("username", "churn_probability", "at_risk", "recommendations")
+    asked = [c for c in checked.columns if c not in ("valid", "error")]
+    # only valid requests meet the answers; rejected ones (all without an answer) stay out of the join
+    good = checked.where("valid").join(answers, "username", "left").select(
+        *asked, "valid", "error", "churn_probability", "at_risk",
+        F.slice("recommendations", 1, F.col("top_n")).alias("recommendations"))
+    none = [F.lit(None).cast(answers.schema[c].dataType).alias(c) for c in ("churn_probability", "at_risk", "recommendations")]
+    return good.unionByName(checked.where("not valid").select(*asked, "valid", "error", *none))

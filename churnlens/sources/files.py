@@ -36,8 +36,11 @@ def _typed(c: str, dtype: T.DataType) -> F.Column:
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV read as text, then typed column by column; extra columns are ignored."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Header CSV read as text, then typed column by column; extra columns are ignored.
+
+    Quotes inside a quoted cell are doubled, and a quoted cell may hold commas and line breaks."""
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+           .option("multiLine", True).csv(path))
     cols = [(_typed(f.name, f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields]
     return raw.select(*cols)  # absent optional columns arrive as NULL
@@ -62,12 +65,29 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w = df.write.mode(mode)
     if fmt == "csv":
         # keep text exactly (the writer trims by default); NULL is written as an empty field
-        w = (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        w = (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
              .option("ignoreTrailingWhiteSpace", False))
     w.format(fmt).save(path)
     return path
 
 
+def is_csv(spark: SparkSession, path: str) -> bool:
+    """Whether a file, or the files of a folder, are CSV by their names."""
+    if path.rstrip("/").endswith(".csv"):
+        return True
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return any(".csv" in n for n in names)
+
+
+def read_feature_table(spark: SparkSession, path: str, key: str = "username") -> DataFrame:
+    """A feature table written as CSV: the key, the known features that it has, and the label."""
+    names = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+    kinds = {key: T.StringType(), "churn": T.IntegerType()} | {c: T.DoubleType() for c in FEATURE_COLUMNS}
+    return read_csv_table(spark, path, T.StructType([T.StructField(c, kinds[c]) for c in names if c in kinds]))
+
+
 def load_feature_matrix(spark: SparkSession, features_path: str | None, raw_path: str | None, as_of,
                         key: str = "username") -> DataFrame:
     """Feature table if present, else features generated from the raw table, else an error (SRC2).
@@ -76,10 +96,10 @@ def load_feature_matrix(spark: SparkSession, features_path: str | None, raw_path
     """
     from churnlens.operators.features import generate_features
     if features_path and path_exists(spark, features_path):
-        df = spark.read.parquet(features_path)
+        df = read_feature_table(spark, features_path) if is_csv(spark, features_path) else spark.read.parquet(features_path)
     elif raw_path and path_exists(spark, raw_path):
-        reader = read_raw_users if raw_path.endswith(".csv") else (lambda s, p: s.read.parquet(p))
-        df = generate_features(reader(spark, raw_path), as_of, key)
+        raw = read_raw_users(spark, raw_path) if is_csv(spark, raw_path) else spark.read.parquet(raw_path)
+        df = generate_features(raw, as_of, key)
     else:
         raise FileNotFoundError(f"neither {features_path!r} nor {raw_path!r} exists; build the raw table first")
     if "churn" not in df.columns:

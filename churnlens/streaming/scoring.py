@@ -20,7 +20,7 @@ from churnlens.schemas import FINAL_FEATURES, SCORE_REQUEST
 
 def score_batch(model: PipelineModel, valid: DataFrame) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
-    out = model.transform(valid.withColumn("label", F.lit(0.0)))
+    out = model.transform(valid)
     p = vector_to_array("probability")[1]
     return out.select("request_id", (F.col("prediction") == 1).alias("churned"),
                       F.bround(p, 3).alias("churn_probability"), risk_level(p).alias("risk_level"))
@@ -36,11 +36,14 @@ def start_scoring_stream(spark: SparkSession, model: PipelineModel, source: str,
     checked = validate_score_requests(req, fields)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # one validation pass, two disjoint outputs
-        scored = score_batch(model, batch.where("valid"))
-        scored.write.mode("overwrite").parquet(f"{sink}/scored/batch_id={batch_id}")
-        (batch.where(~F.col("valid")).select("request_id", "error")
-         .write.mode("overwrite").parquet(f"{sink}/rejected/batch_id={batch_id}"))
+        batch = batch.persist()  # read and validated once for both outputs
+        try:
+            scored = score_batch(model, batch.where("valid"))
+            scored.write.mode("overwrite").parquet(f"{sink}/scored/batch_id={batch_id}")
+            (batch.where(~F.col("valid")).select("request_id", "error")
+             .write.mode("overwrite").parquet(f"{sink}/rejected/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
 
     w = checked.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

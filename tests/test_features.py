@@ -142,3 +142,17 @@ def test_label_monotone_in_threshold(profiles):
                                   for i in range(30)]), None, AS_OF)
     shares = [L.churn_ratio_value(L.assign_labels(raw, t)) for t in (90, 180, 365, 730, 2000)]
     assert shares == sorted(shares, reverse=True)
+
+
+def test_dates_must_come_first(spark):
+    from churnlens.functions.scalars import parse_ts
+    rows = ["2020-01-02T03:04:05Z", "2020-01-02 03:04:05", "2020-01-02", "12:30", "T12:30:00", "2020", "2020-1-1", "junk", "", None]
+    df = spark.createDataFrame([(r,) for r in rows], "s string")
+    got = [r["ok"] for r in df.select(parse_ts("s").isNotNull().alias("ok")).collect()]
+    assert got == [True] * 3 + [False] * 7
+
+
+def test_nan_and_infinite_requests_are_rejected(spark):
+    from churnlens.operators.scoring import validate_score_requests
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (-1.0,), (None,)], "x double")
+    assert [r["valid"] for r in validate_score_requests(df, ["x"]).collect()] == [True] + [False] * 4

@@ -56,3 +56,19 @@ def test_latent_absent_then_present(spark, tmp_path):
     v = spark.createDataFrame([(0, [1.0])], "row int, v array<double>")
     FS.save_latent(lat, v, str(tmp_path / "latent"))
     assert FS.load_latent(spark, str(tmp_path / "latent")).count() == 1
+
+
+def test_csv_with_quotes_commas_and_line_breaks(spark, tmp_path, profiles):
+    texts = ['says "hi", ok', "line one\nline two", 'a "quoted\nline", end', "back\\slash", " padded "]
+    raw = L.raw_users(profiles([{"login": f"u{i}", "bio": t} for i, t in enumerate(texts)]), None, AS_OF)
+    path = FS.write_table(raw, str(tmp_path / "raw-folder"), fmt="csv")
+    got = {r["username"]: r["bio"] for r in FS.read_raw_users(spark, path).collect()}
+    assert got == {f"u{i}": t for i, t in enumerate(texts)}
+    import pandas as pd  # another reader sees the same cells
+    frames = [pd.read_csv(f) for f in (tmp_path / "raw-folder").glob("*.csv")]
+    assert sorted(pd.concat(frames)["bio"]) == sorted(texts)
+    # a folder of CSV files needs no suffix of its own
+    fx = FS.load_feature_matrix(spark, None, path, AS_OF)
+    assert fx.count() == len(texts)
+    again = FS.load_feature_matrix(spark, FS.write_table(fx, str(tmp_path / "fx"), fmt="csv"), None, AS_OF)
+    assert again.columns == fx.columns and again.count() == len(texts)

@@ -10,7 +10,8 @@ def test_stream_scores_and_rejects(spark, tmp_path):
                                      "repos_per_year double, churn int")
     model = M.train_and_save(df, trees=10)["model"]
     src = tmp_path / "req"
-    req = spark.createDataFrame([("a", 800.0, 1.0, 1.0), ("b", 5.0, 3.0, 3.0), ("c", -1.0, 1.0, 1.0)],
+    req = spark.createDataFrame([("a", 800.0, 1.0, 1.0), ("b", 5.0, 3.0, 3.0), ("c", -1.0, 1.0, 1.0),
+                                 ("d", float("nan"), 1.0, 1.0), ("e", 1.0, float("inf"), 1.0)],
                                 "request_id string, days_since_last_activity double, activity_frequency double, "
                                 "repos_per_year double")
     req.write.json(str(src))
@@ -18,7 +19,7 @@ def test_stream_scores_and_rejects(spark, tmp_path):
     start_scoring_stream(spark, model, str(src), str(sink), str(ck))
     scored = {r["request_id"]: r for r in spark.read.parquet(str(sink / "scored")).collect()}
     rejected = {r["request_id"]: r for r in spark.read.parquet(str(sink / "rejected")).collect()}
-    assert set(scored) == {"a", "b"} and set(rejected) == {"c"}
+    assert set(scored) == {"a", "b"} and set(rejected) == {"c", "d", "e"}
     assert scored["a"]["churn_probability"] >= scored["b"]["churn_probability"]
     # a restart with the same checkpoint re-processes nothing
     start_scoring_stream(spark, model, str(src), str(sink), str(ck))
