@@ -24,20 +24,29 @@ LATENT_FACTORS = 5
 PCA_TARGET = 0.90
 GATE = 0.5
 
-# Advice per feature (our own wording); unknown features get DEFAULT_ADVICE.
-ADVICE = {
-    "days_since_last_activity": "Make any small contribution this week; recent activity is the clearest sign of engagement.",
-    "activity_frequency": "Start a new repository this month; retained users with a similar profile create them regularly.",
-    "repos_per_year": "Begin a fresh project; your yearly repository rate trails comparable active users.",
-    "social_volume": "Follow a handful of developers in your field to rebuild community ties.",
-    "follower_ratio": "Publish a project with a clear README so others can find and follow your work.",
-    "engagement_ratio": "Star, fork or contribute to other projects; engagement with others goes with staying active.",
-    "profile_completeness": "Fill in your bio, website and company so others can place your work.",
-    "account_age_days": "Pin your best repositories so your long history is visible at a glance.",
-    "has_no_repos": "Publish your first public repository; a first project is the biggest single step.",
-    "has_complete_profile": "Complete every optional profile field (bio, blog, company, hireable).",
+# What each feature measures and which way is better: "lower" or "higher".
+MEASURES = {
+    "follower_ratio": ("followers for every account followed", "higher"),
+    "engagement_ratio": ("social links for every public repository", "higher"),
+    "days_since_last_activity": ("days since the profile last changed", "lower"),
+    "account_age_days": ("days since the account was made", "higher"),
+    "activity_frequency": ("public repositories for every year of membership", "higher"),
+    "repos_per_year": ("public repositories for every year of membership", "higher"),
+    "social_volume": ("followers, followed accounts and gists together", "higher"),
+    "profile_completeness": ("how many of the four optional profile fields have text", "higher"),
+    "has_no_repos": ("whether the account has no public repository", "lower"),
+    "has_complete_profile": ("whether all four optional profile fields have text", "higher"),
 }
-DEFAULT_ADVICE = "Raise your {feature} toward that of similar retained users."
+
+
+def advice(feature: str) -> str:
+    """One sentence of advice, made from what the feature measures."""
+    what, better = MEASURES[feature]
+    return f"{feature} counts {what}; a {better} value goes with staying, so bring it {'down' if better == 'lower' else 'up'}."
+
+
+ADVICE = {f: advice(f) for f in MEASURES}
+DEFAULT_ADVICE = "{feature} differs most from users who stay; move it their way."
 
 # Response messages of the recommendation step.
 MSG_NOT_AT_RISK = "User is not at risk. No intervention needed."
@@ -158,8 +167,8 @@ def _scaled_exprs(fit: SvdFit) -> list:
     return out
 
 
-def svd_reconstruct(df: DataFrame, fit: SvdFit, keep=("username",)) -> DataFrame:
-    """Adds ``scaled`` and ``reconstructed`` arrays (x and x·V·Vᵀ) per row."""
+def svd_reconstruct(df: DataFrame, fit: SvdFit, keep=("username",), more=()) -> DataFrame:
+    """The ``keep`` columns and ``more`` expressions with ``scaled`` and ``reconstructed`` arrays (x and x·V·Vᵀ)."""
     xs = _scaled_exprs(fit)
     proj = fit.v @ fit.v.T
     rec = []
@@ -169,7 +178,7 @@ def svd_reconstruct(df: DataFrame, fit: SvdFit, keep=("username",)) -> DataFrame
             if proj[i, j] != 0.0:
                 e = e + xs[i] * F.lit(float(proj[i, j]))
         rec.append(e)
-    out = [F.col(x) for x in keep if x in df.columns]
+    out = [F.col(x) for x in keep if x in df.columns] + list(more)
     return df.select(*out, F.array(*xs).alias("scaled"), F.array(*rec).alias("reconstructed"))
 
 
@@ -244,23 +253,43 @@ def user_index(df: DataFrame, key: str = "username", name: str = "user_id") -> D
             .withColumn(name, F.col("_mid") + F.col("_shift")).drop("_pid", "_mid", "_shift"))
 
 
-def recommend(users: DataFrame, scores: DataFrame, latent: DataFrame, cols=FEATURE_COLUMNS,
-              top_n: int | F.Column = 5, gate: float = GATE, positive_only: bool = False) -> DataFrame:
-    """Per user: probability, at-risk flag and — only when at risk — the top-n gap advice.
-
-    ``users``: username, user_id; ``scores``: username, churn_probability;
-    ``latent``: username, scaled, reconstructed.  All joins are on username.
-    """
+def advise(rows: DataFrame, cols=FEATURE_COLUMNS, top_n: int | F.Column = 5, gate: float = GATE,
+           positive_only: bool = False) -> DataFrame:
+    """Per row (user_id, username, churn_probability, scaled, reconstructed): probability, at-risk flag and
+    — only when at risk — the top-n gap advice.  One projection."""
     n = top_n if isinstance(top_n, F.Column) else F.lit(int(top_n))
-    j = users.join(scores.select("username", "churn_probability"), "username").join(latent, "username")
     at_risk = F.col("churn_probability") >= F.lit(gate)
     empty = F.array().cast("array<struct<feature:string,gap_score:double,action:string>>")
     head, rest = MSG_AT_RISK.split("{pct}")
     mid, tail = rest.split("{n}")
     msg_risk = F.concat(F.lit(head), percent_text("churn_probability", with_sign=False),
                         F.lit(mid), n.cast("string"), F.lit(tail))
-    return j.select(
+    return rows.select(
         "user_id", "username", F.bround("churn_probability", 3).alias("churn_probability"),
         at_risk.alias("at_risk"),
         F.when(at_risk, top_gaps(cols, n, positive_only=positive_only)).otherwise(empty).alias("recommendations"),
         F.when(at_risk, msg_risk).otherwise(F.lit(MSG_NOT_AT_RISK)).alias("message"))
+
+
+def recommend(users: DataFrame, scores: DataFrame, latent: DataFrame, cols=FEATURE_COLUMNS,
+              top_n: int | F.Column = 5, gate: float = GATE, positive_only: bool = False) -> DataFrame:
+    """``advise`` over saved tables: ``users`` (username, user_id), ``scores`` (username, churn_probability) and
+    ``latent`` (username, scaled, reconstructed), joined on username."""
+    j = users.join(scores.select("username", "churn_probability"), "username").join(latent, "username")
+    return advise(j, cols, top_n, gate, positive_only)
+
+
+def recommend_users(fx: DataFrame, model, fit: SvdFit, cols=FEATURE_COLUMNS, top_n: int | F.Column = 5,
+                    gate: float = GATE, positive_only: bool = False, scaled_scoring: bool = False) -> DataFrame:
+    """Advice for every row of the feature table: score, latent arrays and gaps come from the same row, so the
+    only shuffle is the range partitioning of the user index.
+
+    ``scaled_scoring`` feeds the model min-max scaled inputs, as the service path does although
+    the model is trained on raw values."""
+    from churnlens.operators.models import model_inputs, predict
+    inputs = model_inputs(model)
+    scaled = dict(zip(fit.cols, _scaled_exprs(fit)))
+    rows = svd_reconstruct(fx, fit, keep=("username", *inputs)) if not scaled_scoring else svd_reconstruct(
+        fx, fit, keep=("username",), more=[scaled[c].alias(c) for c in inputs])
+    scored = predict(model, rows).select("username", "churn_probability", "scaled", "reconstructed")
+    return advise(user_index(scored), cols, top_n, gate, positive_only)

@@ -7,15 +7,13 @@ per-fold (four counts), never per-user.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.functions.scalars import risk_level
@@ -26,12 +24,13 @@ from churnlens.operators.sampling import (
 from churnlens.operators.selection import filter_method
 from churnlens.schemas import FEATURE_COLUMNS, FINAL_FEATURES, require_columns
 from churnlens.session import materialize
+from churnlens.sources.files import path_exists
 
 SEED = 42
 RF_TREES = 100
-RF_MAX_DEPTH = 10       # the reference grows trees without a depth bound; Spark allows ≤ 30
+RF_MAX_DEPTH = 30       # trees grow without a depth bound; 30 is the most that Spark allows
 DT_MAX_DEPTH = 5
-DT_MAX_BINS = 256
+MAX_BINS = 256          # split candidates per feature, for the tree and the forests
 RFE_KEEP = 5
 TOP_K = 5
 FOLDS = 5
@@ -93,7 +92,7 @@ def dt_importance(train: DataFrame, cols=FEATURE_COLUMNS, label: str = "churn",
     cols = list(cols)
     data = assembled(with_label(train, label), cols)
     m = DecisionTreeClassifier(featuresCol="features_vec", labelCol="label", maxDepth=max_depth,
-                               impurity="gini", maxBins=DT_MAX_BINS, seed=seed).fit(data)
+                               impurity="gini", maxBins=MAX_BINS, seed=seed).fit(data)
     imp = m.featureImportances.toArray()
     return _ranked(train.sparkSession, {c: float(imp[i]) for i, c in enumerate(cols)}, cols,
                    "dt_importance", "dt_rank")
@@ -104,7 +103,7 @@ def forest(cols, seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MA
     """VectorAssembler → balanced random forest, as one Pipeline."""
     # node ids cached per row: each pass reads the cached ids instead of re-walking every tree
     rf = RandomForestClassifier(featuresCol="features_vec", labelCol="label", numTrees=trees,
-                                maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
+                                maxDepth=max_depth, maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed,
                                 maxMemoryInMB=RF_PASS_MB, cacheNodeIds=True, checkpointInterval=10,
                                 **({"weightCol": "weight"} if weighted else {}))
     return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features_vec",
@@ -179,13 +178,13 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def cv_metrics(fx: DataFrame, cols=FINAL_FEATURES, label: str = "churn", folds: int = FOLDS,
                seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> DataFrame:
-    """k-fold accuracy / precision / recall / F1 (class 1), averaged over folds.
+    """Stratified k-fold accuracy / precision / recall / F1 (class 1), averaged over folds.
 
     One forest per fold; all four metrics come from that fold's confusion
     aggregate (the reference refits the same folds once per metric).
     """
     spark = fx.sparkSession
-    data = kfold_assignment(fx.select("username", label, *cols), folds, seed=seed)
+    data = materialize(kfold_assignment(fx.select("username", label, *cols), folds, seed=seed, label=label), "folds")
 
     def one(k):
         tr, te = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
@@ -208,8 +207,9 @@ def _concurrently(fn, items):
 
 
 def train_and_save(fx: DataFrame, selected=None, label: str = "churn", model_path: str | None = None,
-                   seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> dict:
-    """Final forest on the stratified 80 %, hold-out metrics and report, optional save."""
+                   seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH, cv: bool = False) -> dict:
+    """Final forest on the stratified 80 %, hold-out metrics and report, optional save; with ``cv`` also
+    the cross-validation figures of the same forest (``cv_metrics``, one row)."""
     selected = list(selected or FINAL_FEATURES)
     require_columns(fx, selected, "selected features")
     split = stratified_split(fx.select("username", label, *selected), label)
@@ -221,7 +221,8 @@ def train_and_save(fx: DataFrame, selected=None, label: str = "churn", model_pat
     return {"model": model, "selected_features": selected,
             "metrics": P.binary_metrics(scored, label, "prediction"),
             "report": P.classification_report(scored, label, "prediction"),
-            "test_predictions": scored}
+            "test_predictions": scored,
+            **({"cv_metrics": cv_metrics(fx, selected, label, FOLDS, seed, trees, max_depth)} if cv else {})}
 
 
 def model_inputs(model: PipelineModel) -> list[str]:
@@ -235,8 +236,10 @@ def request_schema(model: PipelineModel):
                         [T.StructField(c, T.DoubleType()) for c in model_inputs(model)])
 
 
-def load_model(path: str) -> PipelineModel:
-    if not path or not os.path.exists(path.replace("file:", "")) and "://" not in path:
+def load_model(path: str, spark: SparkSession | None = None) -> PipelineModel:
+    """A saved model from any file system; a path without a scheme lies on the session's default one."""
+    spark = spark or SparkSession.active()
+    if not path or not path_exists(spark, path):
         raise FileNotFoundError(f"no saved model at {path!r}; train and save one first")
     return PipelineModel.load(path)
 
@@ -253,45 +256,47 @@ def score_users(model: PipelineModel, df: DataFrame) -> DataFrame:
 def model_comparison(fx: DataFrame, network: DataFrame | None = None, selected=None, label: str = "churn",
                      seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> DataFrame:
     """Hold-out F1 and CV F1 of the forest on three inputs: the selected
-    features, PCA components reaching 90 % variance (fitted on the training
-    rows), and all features plus the three network centralities."""
+    features, PCA components reaching 90 % variance (fitted on each split's
+    training rows), and all features plus the three network centralities."""
     from churnlens.operators.latent import fit_pca, pca_project
     spark = fx.sparkSession
     selected = list(selected or FINAL_FEATURES)
 
-    def evaluate(item):
-        name, data, cols = item
-        # the hold-out fit and the fold fits are independent: one bounded pool for all six
-        folded = kfold_assignment(data.select("username", label, *cols), FOLDS, seed=seed)
+    def pca_of(train, frame):
+        """Components reaching the target share of the training rows' variance, applied to a frame."""
+        pfit = fit_pca(train)
+        names = [f"pc{j + 1}" for j in range(pfit.n_for())]
+        return pca_project(frame, pfit, len(names), keep=("username", label, *parts)), names
 
+    def evaluate(name, data, cols, reduce=False):
+        # the hold-out fit and the fold fits are independent: one bounded pool for all six
         def fit(task):
-            if task == "holdout":
-                return train_and_save(data, cols, label, None, seed, trees, max_depth)["metrics"].first()["f1"]
-            tr, te = folded.where(F.col("fold") != task), folded.where(F.col("fold") == task)
-            m = forest(cols, seed, trees, max_depth).fit(_weighted(tr, label))
-            return P.binary_metrics(predict(m, te), label, "prediction").first()["f1"]
+            test = F.col("is_test") if task == "holdout" else F.col("fold") == task
+            tr, frame, inputs = data.where(~test), data, cols
+            if reduce:  # fitted on this split's training rows alone
+                frame, inputs = pca_of(tr, data)
+                tr = frame.where(~test)
+            m = forest(inputs, seed, trees, max_depth).fit(_weighted(tr, label))
+            return len(inputs), P.binary_metrics(predict(m, frame.where(test)), label, "prediction").first()["f1"]
 
         res = _concurrently(fit, ["holdout", *range(FOLDS)])
-        return (name, len(cols), float(res[0]), float(sum(res[1:]) / FOLDS))
+        return name, res[0][0], float(res[0][1]), float(sum(f1 for _, f1 in res[1:]) / FOLDS)
 
-    sets = [("selected", fx, selected)]
-    train = stratified_split(fx, label).where(~F.col("is_test"))
-    pfit = fit_pca(train)
-    k = pfit.n_for()
-    sets.append(("pca", pca_project(fx, pfit, k, keep=("username", label)), [f"pc{j + 1}" for j in range(k)]))
-    if network is not None:
-        net_cols = ["degree_centrality", "betweenness_centrality", "pagerank"]
-        ext = fx.join(network.select("username", *net_cols), "username")
-        sets.append(("all_plus_network", ext, list(FEATURE_COLUMNS) + net_cols))
+    # one table with everything, written once: features, centralities, split and folds
+    parts, net_cols = ("is_test", "fold"), ["degree_centrality", "betweenness_centrality", "pagerank"]
+    data = fx if network is None else fx.join(network.select("username", *net_cols), "username")
+    data = materialize(kfold_assignment(stratified_split(data, label), FOLDS, seed=seed, label=label), "comparison")
     # sets run one after another; inside each, the fold fits run concurrently (bounded)
-    rows = [evaluate(x) for x in sets]
+    rows = [evaluate("selected", data, selected), evaluate("pca", data, None, reduce=True)]
+    if network is not None:
+        rows.append(evaluate("all_plus_network", data, list(FEATURE_COLUMNS) + net_cols))
     return spark.createDataFrame(rows, "feature_set string, n_features int, holdout_f1 double, cv_f1 double")
 
 
 def extended_importance(fx: DataFrame, network: DataFrame, label: str = "churn") -> DataFrame:
     """Forest importances over the ten features plus three centralities (training rows)."""
     net_cols = ["degree_centrality", "betweenness_centrality", "pagerank"]
-    ext = fx.join(network.select("username", *net_cols), "username")
+    ext = materialize(fx.join(network.select("username", *net_cols), "username"), "extended")
     train = stratified_split(ext, label).where(~F.col("is_test"))
     cols = list(FEATURE_COLUMNS) + net_cols
     return rf_importance(train, cols, label).withColumn("is_network", F.col("feature").isin(net_cols))

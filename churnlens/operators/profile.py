@@ -75,9 +75,6 @@ def means_by_label(df: DataFrame, cols: list[str], label: str = "churn") -> Data
     return g.unpivot(label, cols, "feature", "mean")
 
 
-BROADCAST_ROWS = 100_000
-
-
 def histogram(df: DataFrame, cols: list[str], bins: int = 40, by: str | None = None) -> DataFrame:
     """Equal-width histogram per column (and per ``by`` value) over the column's range.
 
@@ -95,20 +92,13 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 40, by: str | None = N
     rng = rng.select(*keys, "field",
                      F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")).alias("lo"),
                      F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi"))
-    # the range table has one row per (group, column) and the join has only that
-    # many distinct keys, so a shuffled join would pile every row into a few
-    # partitions: broadcast it once its row count is checked; beyond the bound
-    # (a high-cardinality ``by``) leave the strategy to the planner / AQE
-    if not keys:
-        small = True                       # one row per column
-    else:
-        rng = rng.persist()
-        small = rng.count() <= BROADCAST_ROWS
-    j = long.join(F.broadcast(rng) if small else rng, [*keys, "field"])
+    # equal values are counted first, so a (group, column) that holds most rows meets its range as
+    # its distinct values; how to join is left to the planner, which knows the range table's size
+    j = long.groupBy(*keys, "field", "v").agg(F.count(F.lit(1)).alias("_c")).join(rng, [*keys, "field"])
     b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(bins)).cast("int"),
                 F.lit(bins - 1))
     w = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    return (j.groupBy(*keys, "field", b.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
+    return (j.groupBy(*keys, "field", b.alias("bin"), "lo", "hi").agg(F.sum("_c").alias("count"))
             .select(*keys, "field", "bin",
                     (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
                     (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
