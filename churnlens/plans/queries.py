@@ -102,7 +102,8 @@ def q_column_profile(spark, sf_dir):
 
 @register("describe_raw", sql=f"WITH {raw_users_sql()} {describe_sql('raw_users', RAW_NUMERIC)}")
 def q_describe_raw(spark, sf_dir):
-    return round_doubles(P.describe(raw_frame(spark, sf_dir), RAW_NUMERIC))
+    from churnlens.session import materialize
+    return round_doubles(P.describe(materialize(raw_frame(spark, sf_dir).select(*RAW_NUMERIC), "raw-numbers"), RAW_NUMERIC))
 
 
 @register("describe_features", sql=f"WITH {features_sql()} {describe_sql('features', FEATURE_NAMES)}")
@@ -124,13 +125,16 @@ _HIST_RAW = ["public_repos", "followers", "following", "days_since_update", "day
 
 @register("histogram_raw", sql=f"WITH {raw_users_sql()}, {histogram_sql('raw_users', _HIST_RAW)}")
 def q_histogram_raw(spark, sf_dir):
-    return round_doubles(P.histogram(raw_frame(spark, sf_dir), _HIST_RAW, 40))
+    from churnlens.session import materialize
+    return round_doubles(P.histogram(materialize(raw_frame(spark, sf_dir).select(*_HIST_RAW), "raw-numbers"), _HIST_RAW, 40))
 
 
 @register("inactivity_histogram_by_label",
           sql=f"WITH {raw_users_sql()}, {histogram_sql('raw_users', ['days_since_last_push'], by='churn')}")
 def q_inactivity_histogram(spark, sf_dir):
-    return round_doubles(P.histogram(raw_frame(spark, sf_dir), ["days_since_last_push"], 40, by="churn"))
+    from churnlens.session import materialize
+    raw = materialize(raw_frame(spark, sf_dir).select("churn", "days_since_last_push"), "raw-numbers")
+    return round_doubles(P.histogram(raw, ["days_since_last_push"], 40, by="churn"))
 
 
 _HEALTH = "\nUNION ALL\n".join(
@@ -236,7 +240,7 @@ def q_classification_report(spark, sf_dir):
 # ---------------------------------------------------------------- ingestion and balance
 from churnlens.functions.scalars import iso_string  # noqa: E402
 from churnlens.operators import ingest as I  # noqa: E402
-from churnlens.plans.sql_parts import PROFILES, balance_sql, cohort_sql, collected_sql  # noqa: E402
+from churnlens.plans.sql_parts import PROFILES, balance_sql, cohort_sql, collected_sql, days_sql  # noqa: E402
 
 
 @register("user_accounts", sql=f"WITH {PROFILES} SELECT * FROM profiles WHERE type = 'User'")
@@ -268,10 +272,11 @@ SELECT * FROM (
   SELECT owner, pushed_at, language,
          CAST(row_number() OVER (PARTITION BY owner ORDER BY try_cast(pushed_at AS TIMESTAMP) DESC NULLS LAST,
                                  pushed_at DESC NULLS LAST, language ASC NULLS LAST) AS INTEGER) AS recency_rank
-  FROM repos) WHERE recency_rank <= 30""")
+  FROM repos) WHERE recency_rank <= 8""")
 def q_recent_repos(spark, sf_dir):
     _, _, repos = base_frames(spark, sf_dir)
-    return I.recent_repos(repos, 30)
+    """With a limit that owners of the driver tables exceed (the operator's default is 30)."""
+    return I.recent_repos(repos, 8)
 
 
 @register("last_push", sql=f"""WITH {PROFILES}
@@ -308,9 +313,67 @@ cand AS ({" UNION ".join(f"SELECT login AS username FROM profiles WHERE {cohort_
 SELECT * FROM raw_users WHERE username IN (SELECT username FROM cand)""")
 def q_collect_no_repos(spark, sf_dir):
     _, profiles, repos = base_frames(spark, sf_dir)
-    cand_users = I.candidate_users(profiles, repos)
-    users = profiles.join(cand_users.withColumnRenamed("username", "login"), "login", "left_semi")
-    return L.raw_users(users, None, AS_OF)
+    return I.collect_dataset(profiles, repos, AS_OF, fetch_repos=False)
+
+
+@register("collect_target", sql=f"WITH {collected_sql(I.DEFAULT_COHORTS)} SELECT * FROM base ORDER BY username LIMIT 40")
+def q_collect_target(spark, sf_dir):
+    """Collection that ends at a target number of records, in login order."""
+    _, profiles, repos = base_frames(spark, sf_dir)
+    return I.collect_dataset(profiles, repos, AS_OF, target_records=40)
+
+
+# ---------------------------------------------------------------- scalars and labels
+@register("parse_timestamps", sql="""
+WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders),
+s AS (SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN d || 'T12:30:05Z' WHEN 1 THEN d || ' 06:07:08' WHEN 2 THEN d
+        WHEN 3 THEN '12:30' WHEN 4 THEN 'T12:30:00' WHEN 5 THEN substr(d, 1, 4) WHEN 6 THEN 'not a date' WHEN 7 THEN ''
+        WHEN 8 THEN substr(d, 1, 4) || '-1-1' ELSE NULL END AS stamp FROM o)
+SELECT o_orderkey, stamp, CASE WHEN regexp_matches(stamp, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN
+         strftime(try_cast(stamp AS TIMESTAMP), '%Y-%m-%dT%H:%M:%SZ') END AS parsed FROM s""")
+def q_parse_timestamps(spark, sf_dir):
+    """Date strings in good and bad shapes, made from the orders' dates."""
+    from churnlens.functions.scalars import parse_ts
+    d = F.date_format("o_orderdate", "yyyy-MM-dd")
+    shapes = [F.concat(d, F.lit("T12:30:05Z")), F.concat(d, F.lit(" 06:07:08")), d, F.lit("12:30"), F.lit("T12:30:00"),
+              F.substring(d, 1, 4), F.lit("not a date"), F.lit(""), F.concat(F.substring(d, 1, 4), F.lit("-1-1")),
+              F.lit(None).cast("string")]
+    orders = load_tables(spark, sf_dir, ["orders"])["orders"]
+    stamp = F.array(*shapes)[(F.col("o_orderkey") % 10).cast("int")]
+    return orders.select("o_orderkey", stamp.alias("stamp")).withColumn("parsed", iso_string(parse_ts("stamp")))
+
+
+@register("account_age", sql=f"""WITH {raw_users_sql()}, a AS (
+  SELECT username, {days_sql("try_cast(created_at AS TIMESTAMP)")} AS age_days FROM raw_users)
+SELECT username, age_days, round(CASE WHEN age_days IS NOT NULL THEN greatest(CAST(age_days AS DOUBLE), 1.0) / 365.25 END, 6)
+  AS age_years FROM a""")
+def q_account_age(spark, sf_dir):
+    from churnlens.functions.scalars import days_since, parse_ts, safe_years
+    aged = raw_frame(spark, sf_dir).select("username", days_since(parse_ts("created_at"), AS_OF).alias("age_days"))
+    return round_doubles(aged.withColumn("age_years", safe_years("age_days")))
+
+
+@register("labels", sql=f"""WITH {raw_users_sql()}
+SELECT username, t.threshold, CASE WHEN coalesce(days_since_last_push, days_since_update) > t.threshold THEN 1 ELSE 0 END AS churn
+FROM raw_users, (VALUES (90), (365), (1500), (2300)) AS t(threshold)""")
+def q_labels(spark, sf_dir):
+    """The label at several thresholds, from the same day counts."""
+    raw = raw_frame(spark, sf_dir).drop("churn")
+    out = F.array(*[F.struct(F.lit(t).alias("threshold"), L.churn_label(t).alias("churn")) for t in (90, 365, 1500, 2300)])
+    return raw.select("username", F.inline(out))
+
+
+_SHARE = "least(1.0, greatest(0.0, days_since_last_activity / 3000.0))"
+
+
+@register("risk_tiers", sql=f"""WITH {features_sql()}, s AS (SELECT username, {_SHARE} AS p FROM features)
+SELECT username, round(p, 6) AS p, CASE WHEN p < 0.3 THEN 'LOW' WHEN p < 0.6 THEN 'MEDIUM' WHEN p < 0.8 THEN 'HIGH'
+       ELSE 'CRITICAL' END AS risk FROM s""")
+def q_risk_tiers(spark, sf_dir):
+    """Tiers of a probability that is a plain function of the activity recency."""
+    from churnlens.functions.scalars import risk_level
+    p = feature_frame(spark, sf_dir).select("username", F.expr(_SHARE).alias("p"))
+    return round_doubles(p.withColumn("risk", risk_level("p")))
 
 
 # ---------------------------------------------------------------- filter selection, scaling, sampling
@@ -414,34 +477,33 @@ quota AS (SELECT churn, c - (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) AS t F
 SELECT username, churn, row_number() OVER (PARTITION BY hx.churn ORDER BY h, username) <= t AS is_test
 FROM hx JOIN quota USING (churn)""")
 def q_stratified_split(spark, sf_dir):
-    fx = feature_frame(spark, sf_dir).select("username", "churn")
-    return S.stratified_split(fx)
+    return S.stratified_split(shared_raw(spark, sf_dir).select("username", "churn"))
 
 
-@register("kfold_assignment", sql=f"""WITH {features_sql()}
-SELECT username, churn, CAST({_HASH_SQL} % 5 AS INTEGER) AS fold FROM features""")
+@register("kfold_assignment", sql=f"""WITH {raw_users_sql()}
+SELECT username, churn, CAST(floor((row_number() OVER (PARTITION BY churn ORDER BY {_HASH_SQL}, username) - 1) * 5
+       / count(*) OVER (PARTITION BY churn)) AS INTEGER) AS fold FROM raw_users""")
 def q_kfold_assignment(spark, sf_dir):
-    return S.kfold_assignment(feature_frame(spark, sf_dir).select("username", "churn"))
+    return S.kfold_assignment(shared_raw(spark, sf_dir).select("username", "churn"))
 
 
-@register("class_weights", sql=f"""WITH {features_sql()}
+@register("class_weights", sql=f"""WITH {raw_users_sql()}
 SELECT churn, count(*) AS n_class, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
-FROM features GROUP BY churn""")
+FROM raw_users GROUP BY churn""")
 def q_class_weights(spark, sf_dir):
-    return round_doubles(S.class_weights(feature_frame(spark, sf_dir)))
+    return round_doubles(S.class_weights(raw_frame(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- graph
 from churnlens.operators import graph as G  # noqa: E402
-from churnlens.plans.sql_parts import betweenness_sql, graph_sql, pagerank_sql  # noqa: E402
+from churnlens.plans.sql_parts import (  # noqa: E402
+    DEGREE_CTES, betweenness_ctes, graph_sql, network_ctes, pagerank_ctes,
+)
 from churnlens.session import materialize  # noqa: E402
 
-PAGERANK_ROUNDS = 30
-
-
 def graph_frames(spark, sf_dir, raw=None):
     raw = raw if raw is not None else raw_frame(spark, sf_dir)
-    nodes = materialize(G.graph_nodes(raw), "graph-nodes")
+    nodes = materialize(G.graph_nodes(raw), "graph-nodes")  # read several times from here on
     return raw, nodes, materialize(G.follow_edges(nodes), "graph-edges")
 
 
@@ -469,35 +531,34 @@ def q_graph_density(spark, sf_dir):
     return round_doubles(G.graph_density(nodes, edges), 9)
 
 
-@register("degree_centrality", sql=f"""WITH {graph_sql()},
-od AS (SELECT src AS username, count(*) AS out_degree FROM edges GROUP BY src),
-idg AS (SELECT dst AS username, count(*) AS in_degree FROM edges GROUP BY dst)
-SELECT username, coalesce(in_degree, 0) AS in_degree, coalesce(out_degree, 0) AS out_degree,
-       round((coalesce(in_degree, 0) + coalesce(out_degree, 0)) * (1.0 / ((SELECT count(*) FROM nodes) - 1)), 9) AS degree_centrality
-FROM nodes LEFT JOIN od USING (username) LEFT JOIN idg USING (username)""")
+@register("degree_centrality", sql=f"""WITH {graph_sql()}, {DEGREE_CTES}
+SELECT username, in_degree, out_degree, round(degree_centrality, 9) AS degree_centrality FROM dg""")
 def q_degree_centrality(spark, sf_dir):
     _, nodes, edges = graph_frames(spark, sf_dir)
     return round_doubles(G.degree_centrality(nodes, edges), 9)
 
 
-@register("pagerank", sql=f"WITH {graph_sql()}, {pagerank_sql(PAGERANK_ROUNDS)}")
+@register("pagerank", sql=f"WITH {graph_sql()}, {pagerank_ctes()} SELECT username, round(pagerank, 9) AS pagerank FROM pr")
 def q_pagerank(spark, sf_dir):
+    """Iterated to convergence, as the network features and the models use it."""
     _, nodes, edges = graph_frames(spark, sf_dir)
-    return round_doubles(G.pagerank(nodes, edges, max_iter=PAGERANK_ROUNDS, tol=None), 9)
+    return round_doubles(G.pagerank(nodes, edges), 9)
 
 
-@register("betweenness", sql=f"WITH {graph_sql()}, {betweenness_sql(50)}")
+@register("betweenness", sql=f"""WITH {graph_sql()}, {betweenness_ctes()}
+SELECT username, round(betweenness_centrality, 9) AS betweenness_centrality FROM bt""")
 def q_betweenness(spark, sf_dir):
     _, nodes, edges = graph_frames(spark, sf_dir)
     return round_doubles(G.betweenness(nodes, edges, k=50), 9)
 
 
 @register("subgraph", sql=f"""WITH {graph_sql()},
-keep AS (SELECT username FROM nodes ORDER BY username LIMIT 80)
+keep AS (SELECT username FROM nodes WHERE followers >= 5)
 SELECT src, dst FROM edges WHERE src IN (SELECT username FROM keep) AND dst IN (SELECT username FROM keep)""")
 def q_subgraph(spark, sf_dir):
     _, nodes, edges = graph_frames(spark, sf_dir)
-    return G.subgraph(nodes, edges, 80)[1]
+    """Edges among the users with five followers or more."""
+    return G.subgraph(nodes, edges, nodes.where("followers >= 5"))[1]
 
 
 def network_frame(spark, sf_dir, raw=None):
@@ -505,27 +566,38 @@ def network_frame(spark, sf_dir, raw=None):
     deg = G.degree_centrality(nodes, edges)
     btw = G.betweenness(nodes, edges, k=50)
     pr = G.pagerank(nodes, edges)
-    return G.network_features(nodes, deg, btw, pr)
+    return materialize(G.network_features(nodes, deg, btw, pr), "network")
+
+
+_NET = ["degree_centrality", "betweenness_centrality", "pagerank"]
 
 
-@register("network_features")
+@register("network_features", sql=f"""WITH {network_ctes()}
+SELECT username, churn, followers, following, repos, {rounded(_NET, 9)} FROM net""")
 def q_network_features(spark, sf_dir):
     return round_doubles(network_frame(spark, sf_dir), 9)
 
 
-@register("network_means_by_label")
+@register("network_means_by_label", sql=f"WITH {network_ctes()} " + " UNION ALL ".join(
+    f"SELECT churn, '{c}' AS feature, round(avg({c}), 9) AS mean FROM net GROUP BY churn" for c in _NET))
 def q_network_means_by_label(spark, sf_dir):
     nf = network_frame(spark, sf_dir)
-    return round_doubles(P.means_by_label(nf, ["degree_centrality", "betweenness_centrality", "pagerank"]), 9)
+    return round_doubles(P.means_by_label(nf, _NET), 9)
 
 
-@register("network_describe")
+@register("network_describe", sql=f"WITH {network_ctes()} {describe_sql('net', [*_NET, 'churn'], 9)}")
 def q_network_describe(spark, sf_dir):
     nf = network_frame(spark, sf_dir)
-    return round_doubles(P.describe(nf, ["degree_centrality", "betweenness_centrality", "pagerank", "churn"]), 9)
+    return round_doubles(P.describe(nf, [*_NET, "churn"]), 9)
+
+
+_NETC = network_ctes()
+_NETC = _NETC[_NETC.index("nodes AS ("):]  # the raw users come with the features
 
 
-@register("aligned_features")
+@register("aligned_features", sql=f"""WITH {features_sql()}, {_NETC}
+SELECT features.username, {rounded(DOUBLE_FEATURES, 9)}, has_no_repos, has_complete_profile, features.churn, {rounded(_NET, 9)}
+FROM features JOIN net ON net.username = features.username""")
 def q_aligned_features(spark, sf_dir):
     raw = shared_raw(spark, sf_dir)
     return round_doubles(G.aligned_features(feature_frame(spark, sf_dir, raw=raw),
@@ -656,14 +728,7 @@ def recommend_frame(spark, sf_dir, top_n=5, scaled_scoring=False):
     reference's service does (the model was trained on raw values)."""
     fx = feature_frame(spark, sf_dir)
     model = M.train_and_save(fx, FINAL_FEATURES)["model"]
-    fit = LT.fit_svd(fx)
-    latent = LT.svd_reconstruct(fx, fit)
-    inputs = fx.select("username", *FINAL_FEATURES)
-    if scaled_scoring:
-        inputs = S.apply_minmax(inputs, {c: fit.bounds[c] for c in FINAL_FEATURES}, keep=["username"])
-    scores = M.predict(model, inputs)
-    users = LT.user_index(fx.select("username"))
-    return LT.recommend(users, scores, latent, FEATURE_COLUMNS, top_n)
+    return LT.recommend_users(fx, model, LT.fit_svd(fx), FEATURE_COLUMNS, top_n, scaled_scoring=scaled_scoring)
 
 
 @register("recommend")
@@ -671,7 +736,116 @@ def q_recommend(spark, sf_dir):
     return recommend_frame(spark, sf_dir)
 
 
-_REQ = ["days_since_last_activity", "activity_frequency", "repos_per_year"]
+@register("recommend_scaled")
+def q_recommend_scaled(spark, sf_dir):
+    """The service path: the model is fed scaled inputs."""
+    return recommend_frame(spark, sf_dir, scaled_scoring=True)
+
+
+_REQ = list(FINAL_FEATURES)
+
+
+def _minmax_sql(digits=6):
+    return ", ".join(f"round((f.{c} - st.lo_{c}) / (CASE WHEN st.hi_{c} > st.lo_{c} THEN st.hi_{c} - st.lo_{c} ELSE 1 END), {digits})"
+                     for c in FEATURE_NAMES)
+
+
+_GAP_CTES = f"""{features_sql()},
+st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in FEATURE_NAMES)} FROM features),
+sc AS (SELECT f.username, f.days_since_last_activity, [{_minmax_sql()}] AS scaled FROM features f, st),
+g AS (SELECT username, i, (CASE i WHEN 1 THEN 0.5 WHEN 2 THEN 0.25 ELSE 0.75 END) - scaled[i] AS gap
+      FROM (SELECT username, scaled, unnest(generate_series(1, {len(FEATURE_NAMES)})) AS i FROM sc)),
+r AS (SELECT *, row_number() OVER (PARTITION BY username ORDER BY gap DESC, i DESC) AS k FROM g)"""
+_NAMES_SQL = "[" + ", ".join(f"'{c}'" for c in FEATURE_NAMES) + "]"
+
+
+def _gap_frame(spark, sf_dir):
+    """Scaled features against a fixed target per feature, and a probability from the activity recency."""
+    fx = feature_frame(spark, sf_dir)
+    cols = list(FEATURE_COLUMNS)
+    dbl = fx.select("username", F.expr(_SHARE).alias("churn_probability"), *[F.col(c).cast("double").alias(c) for c in cols])
+    scaled = S.apply_minmax(dbl, S.fit_minmax(dbl, cols), keep=["username", "churn_probability"])
+    target = [0.5, 0.25] + [0.75] * (len(cols) - 2)
+    return scaled.select("username", "churn_probability", F.array(*[F.round(c, 6) for c in cols]).alias("scaled"),
+                         F.array(*[F.lit(t) for t in target]).alias("reconstructed"))
+
+
+@register("gap_topn", sql=f"""WITH {_GAP_CTES}
+SELECT username, string_agg({_NAMES_SQL}[i], ',' ORDER BY k) AS features, round(sum(gap), 6) AS gap_sum
+FROM r WHERE k <= 4 GROUP BY username""")
+def q_gap_topn(spark, sf_dir):
+    rows = _gap_frame(spark, sf_dir).select("username", LT.top_gaps(FEATURE_COLUMNS, F.lit(4)).alias("top"), "scaled", "reconstructed")
+    gap = F.aggregate(F.slice(F.sort_array(F.transform(
+        F.arrays_zip("reconstructed", "scaled"), lambda x: x["reconstructed"] - x["scaled"]), asc=False), 1, 4),
+        F.lit(0.0), lambda a, x: a + x)
+    return round_doubles(rows.select("username", F.array_join(F.transform("top", lambda s: s["feature"]), ",").alias("features"),
+                                     gap.alias("gap_sum")))
+
+
+@register("recommend_gate", sql=f"""WITH {_GAP_CTES}, p AS (SELECT username, {_SHARE} AS p FROM sc)
+SELECT p.username, CAST(row_number() OVER (ORDER BY p.username) - 1 AS BIGINT) AS user_id, p >= 0.5 AS at_risk,
+       CASE WHEN p >= 0.5 THEN (SELECT string_agg({_NAMES_SQL}[i], ',' ORDER BY k) FROM r WHERE k <= 5 AND r.username = p.username)
+            ELSE '' END AS features FROM p""")
+def q_recommend_gate(spark, sf_dir):
+    """The recommendation rule on a given probability column: advice only at or above the gate."""
+    rows = LT.advise(LT.user_index(_gap_frame(spark, sf_dir)))
+    return rows.select("username", "user_id", "at_risk",
+                       F.array_join(F.transform("recommendations", lambda s: s["feature"]), ",").alias("features"))
+
+
+@register("svd_trace", sql=f"""WITH {features_sql()},
+st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in FEATURE_NAMES)} FROM features),
+mm AS (SELECT {_MM} FROM features)
+SELECT round(sum({" + ".join(f"{c} * {c}" for c in FEATURE_NAMES)}), 4) AS squared_norm FROM mm""")
+def q_svd_trace(spark, sf_dir):
+    """All squared singular values of the scaled matrix add up to its squared norm."""
+    fit = LT.fit_svd(feature_frame(spark, sf_dir), k=len(FEATURE_COLUMNS))
+    return round_doubles(spark.createDataFrame([(float((fit.sigma ** 2).sum()),)], "squared_norm double"), 4)
+
+
+@register("svd_full_reconstruction", sql=f"""WITH {features_sql()},
+st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in FEATURE_NAMES)} FROM features)
+SELECT f.username, list_sum([round(x, 6) FOR x IN [{_minmax_sql(12)}]]) AS total FROM features f, st""")
+def q_svd_full_reconstruction(spark, sf_dir):
+    """With all factors kept the reconstruction is the scaled matrix itself."""
+    fx = feature_frame(spark, sf_dir)
+    rec = LT.svd_reconstruct(fx, LT.fit_svd(fx, k=len(FEATURE_COLUMNS)))
+    # -0.0 and rounding aside, each reconstructed value is its scaled one
+    return rec.select("username", F.aggregate("reconstructed", F.lit(0.0), lambda a, x: a + F.round(x, 6)).alias("total"))
+
+
+_VOTE_CTES = f"""{_SEL_CTES},
+mv AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, {i} AS ordinal, avg({c}) AS m FROM features" for i, c in enumerate(FEATURE_NAMES))}),
+rk AS (SELECT an.feature, an.ordinal, an.anova_rank, row_number() OVER (ORDER BY vr.variance DESC, an.ordinal) AS by_var,
+              row_number() OVER (ORDER BY mv.m DESC, an.ordinal) AS by_mean
+       FROM an JOIN vr ON vr.feature = an.feature JOIN mv ON mv.feature = an.feature),
+vt AS (SELECT *, CAST(anova_rank <= 5 AS INTEGER) + CAST(by_var <= 5 AS INTEGER) + CAST(by_mean <= 5 AS INTEGER)
+              + CAST(CASE WHEN ordinal < 8 THEN by_var ELSE 99 END <= 5 AS INTEGER) AS votes FROM rk)"""
+
+
+@register("vote_decision", sql=f"""WITH {_VOTE_CTES}
+SELECT feature, ordinal, anova_rank AS filter_rank, by_var <= 5 AS rfe_selected, CAST(by_mean AS INTEGER) AS dt_rank,
+       CAST(CASE WHEN ordinal < 8 THEN by_var ELSE 99 END AS INTEGER) AS rf_rank, votes AS methods_agreeing,
+       CASE WHEN votes >= 3 THEN 'Keep' WHEN votes = 2 THEN 'Optional' ELSE 'Drop' END AS decision FROM vt""")
+def q_vote_decision(spark, sf_dir):
+    """The vote rule over rankings that SQL can make (variance and mean), with two features missing from one."""
+    from pyspark.sql import Window
+    fx = feature_frame(spark, sf_dir)
+    filt = SEL.filter_method(fx)
+    means = P.means_by_label(fx.withColumn("one", F.lit(1)), FEATURE_COLUMNS, "one").select("feature", "mean")
+    rank = lambda c: F.row_number().over(Window.orderBy(F.desc(c), "ordinal")).cast("int")  # noqa: E731  ten rows
+    t = filt.join(means, "feature").select("feature", "ordinal", rank("variance").alias("by_var"), rank("mean").alias("by_mean"))
+    return M.comparison_table(filt, t.select("feature", (F.col("by_var") <= 5).alias("rfe_selected")),
+                              t.select("feature", F.col("by_mean").alias("dt_rank")),
+                              t.where("ordinal < 8").select("feature", F.col("by_var").alias("rf_rank")))
+
+
+@register("training_result")
+def q_training_result(spark, sf_dir):
+    """The figures that training returns: hold-out and cross-validation side by side."""
+    res = M.train_and_save(feature_frame(spark, sf_dir), FINAL_FEATURES, cv=True)
+    both = [(k, res["metrics"].first()[k], res["cv_metrics"].first()[f"cv_{k}"]) for k in ("accuracy", "precision", "recall", "f1")]
+    return round_doubles(spark.createDataFrame(both, "metric string, holdout double, cv double"))
 
 
 def _request_checks(sql: bool):
@@ -679,24 +853,31 @@ def _request_checks(sql: bool):
     out = []
     for c in _REQ:
         out.append((f"{c} IS NULL" if sql else F.col(c).isNull(), f"{c} is required"))
-        out.append((f"{c} < 0" if sql else F.col(c) < 0, f"{c} must be >= 0"))
+        bad = f"({c} < 0 OR isnan({c}) OR isinf({c}))"
+        out.append((bad if sql else (F.col(c) < 0) | F.isnan(c) | (F.abs(c) == float("inf")), f"{c} must be >= 0"))
     return out
 
 
 _REQ_CASE = "CASE " + " ".join(f"WHEN {c} THEN '{m}'" for c, m in _request_checks(True)) + " END"
 
 
-@register("validate_requests", sql=f"""WITH {features_sql()}
-SELECT username AS request_id, {", ".join(f"round({c}, 6) AS {c}" for c in _REQ)},
+@register("validate_requests", sql=f"""WITH {features_sql()},
+rq AS (SELECT username, {", ".join(f"CASE WHEN profile_completeness = {i + 1} AND has_no_repos = 0 AND follower_ratio > 1 THEN CAST('{v}' AS DOUBLE) ELSE {c} END AS {c}" for i, (c, v) in enumerate(zip(_REQ, ("nan", "inf", "-1"))))} FROM f0)
+SELECT username AS request_id, {", ".join(f"CASE WHEN isfinite({c}) THEN round({c}, 6) END AS {c}" for c in _REQ)},
        ({_REQ_CASE}) IS NULL AS valid, {_REQ_CASE} AS error
-FROM f0""")
+FROM rq""")
 def q_validate_requests(spark, sf_dir):
     """Scoring requests built from each user's three model inputs before the median
-    fill, so users with unknown dates arrive with missing fields and are rejected."""
+    fill, so users with unknown dates arrive with missing fields and are rejected; some
+    rows carry a NaN, an infinity or a negative number, which are rejected too."""
     from churnlens.operators.scoring import validate_score_requests
     pre = raw_feature_frame(raw_frame(spark, sf_dir), AS_OF)
-    req = pre.select(F.col("username").alias("request_id"), *_REQ)
-    return round_doubles(validate_score_requests(req))
+    odd = lambda i: (F.col("profile_completeness") == i + 1) & (F.col("has_no_repos") == 0) & (F.col("follower_ratio") > 1)
+    req = pre.select(F.col("username").alias("request_id"), *[
+        F.when(odd(i), F.lit(v)).otherwise(F.col(c)).alias(c) for i, (c, v) in enumerate(zip(_REQ, (float("nan"), float("inf"), -1.0)))])
+    out = validate_score_requests(req)
+    finite = [F.when(~F.isnan(c) & (F.abs(c) != float("inf")), F.col(c)).alias(c) for c in _REQ]
+    return round_doubles(out.select("request_id", *finite, "valid", "error"))
 
 
 # ---------------------------------------------------------------- comparison, extended model, stream
@@ -777,9 +958,7 @@ def q_recommend_request_validation(spark, sf_dir):
 def q_recommend_requests(spark, sf_dir):
     fx, users, checked = _recommend_requests(spark, sf_dir)
     model = M.train_and_save(fx, FINAL_FEATURES)["model"]
-    scores = M.predict(model, fx.select("username", *FINAL_FEATURES))
-    latent = LT.svd_reconstruct(fx, LT.fit_svd(fx))
-    per_user = LT.recommend(users, scores, latent, FEATURE_COLUMNS, SC.TOP_N_MAX)
+    per_user = LT.recommend_users(fx, model, LT.fit_svd(fx), FEATURE_COLUMNS, SC.TOP_N_MAX)
     return SC.answer_recommend_requests(checked, per_user)
 
 
@@ -791,17 +970,33 @@ _TEXT = ["username", "created_at", "updated_at", "bio", "blog", "company", "emai
 _TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in FS.NULL_TOKENS)
 
 
-@register("raw_users_csv_roundtrip", sql=f"""WITH {raw_users_sql()}
+@register("raw_users_csv_roundtrip", sql=f"""WITH {raw_users_sql()},
+hard AS (SELECT * REPLACE (CASE WHEN bio = 'BUILDING' THEN 'line one' || chr(10) || 'line "two", end' ELSE bio END AS bio,
+                           CASE WHEN company IS NOT NULL THEN 'a "' || company || '", ok' END AS company) FROM raw_users)
 SELECT {", ".join(f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {c}" if c in _TEXT else c
                   for c in RAW_COLUMNS)}
-FROM raw_users""")
+FROM hard""")
 def q_raw_users_csv_roundtrip(spark, sf_dir):
-    """The raw table written as CSV and read back with the missing-token rules."""
+    """The raw table, with quotes, commas and line breaks in its texts, written as CSV and read back
+    with the missing-token rules."""
     path = _scratch(spark, "raw-csv", track=True)
-    FS.write_table(raw_frame(spark, sf_dir), path, fmt="csv")
+    hard = raw_frame(spark, sf_dir).withColumns({
+        "bio": F.when(F.col("bio") == "BUILDING", F.lit('line one\nline "two", end')).otherwise(F.col("bio")),
+        "company": F.concat(F.lit('a "'), F.col("company"), F.lit('", ok'))})
+    FS.write_table(hard, path, fmt="csv")
     return FS.read_raw_users(spark, path)
 
 
+@register("feature_table_roundtrip", sql=f"""WITH {features_sql()}
+SELECT username, {rounded(DOUBLE_FEATURES)}, CAST(has_no_repos AS DOUBLE) AS has_no_repos,
+       CAST(has_complete_profile AS DOUBLE) AS has_complete_profile, churn FROM features""")
+def q_feature_table_roundtrip(spark, sf_dir):
+    """The feature table written as CSV and loaded again."""
+    path = _scratch(spark, "features-csv", track=True)
+    FS.write_table(feature_frame(spark, sf_dir), path, fmt="csv")
+    return round_doubles(FS.load_feature_matrix(spark, path, None, AS_OF))
+
+
 @register("feature_matrix_from_raw", sql=f"""WITH {features_sql()}
 SELECT username, {rounded(DOUBLE_FEATURES)}, has_no_repos, has_complete_profile, churn FROM features""")
 def q_feature_matrix_from_raw(spark, sf_dir):
@@ -818,7 +1013,7 @@ def q_model_roundtrip(spark, sf_dir):
     fx = feature_frame(spark, sf_dir)
     path = _scratch(spark, "model", track=True)
     M.train_and_save(fx, FINAL_FEATURES, model_path=path)
-    return M.score_users(M.load_model(path), fx.select("username", *FINAL_FEATURES))
+    return M.score_users(M.load_model(path, spark), fx.select("username", *FINAL_FEATURES))
 
 
 @register("latent_roundtrip")

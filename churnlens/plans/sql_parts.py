@@ -4,6 +4,8 @@ Each oracle query is ``WITH <fragments> SELECT ...``; the fragments are written
 independently of the Spark code so the twin checks the DataFrame plan.
 """
 
+from churnlens.schemas import FEATURE_COLUMNS
+
 AS_OF_SQL = "TIMESTAMP '2002-01-01 00:00:00'"
 
 
@@ -71,9 +73,7 @@ raw_users AS (
   FROM parsed)"""
 
 
-FEATURE_NAMES = ["follower_ratio", "engagement_ratio", "days_since_last_activity", "account_age_days",
-                 "activity_frequency", "repos_per_year", "social_volume", "profile_completeness",
-                 "has_no_repos", "has_complete_profile"]
+FEATURE_NAMES = list(FEATURE_COLUMNS)
 DOUBLE_FEATURES = FEATURE_NAMES[:8]
 
 
@@ -128,10 +128,10 @@ RAW_TYPES = {"username": "string", "public_repos": "bigint", "public_gists": "bi
              "days_since_update": "bigint", "days_since_last_push": "bigint", "churn": "int"}
 
 
-def describe_sql(table: str, cols) -> str:
-    parts = [f"""SELECT '{c}' AS field, count(v) AS count, round(avg(v), 6) AS mean,
-       round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS p25,
-       round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, round(max(v), 6) AS max
+def describe_sql(table: str, cols, d: int = 6) -> str:
+    parts = [f"""SELECT '{c}' AS field, count(v) AS count, round(avg(v), {d}) AS mean,
+       round(stddev_samp(v), {d}) AS std, round(min(v), {d}) AS min, round(quantile_cont(v, 0.25), {d}) AS p25,
+       round(quantile_cont(v, 0.5), {d}) AS p50, round(quantile_cont(v, 0.75), {d}) AS p75, round(max(v), {d}) AS max
 FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {table})""" for c in cols]
     return "\nUNION ALL\n".join(parts)
 
@@ -178,15 +178,14 @@ cand AS (
 base AS (SELECT * FROM raw_users WHERE username IN (SELECT username FROM cand))"""
 
 
-def balance_sql(cohorts, inactive, min_ratio: float, threshold: int = 365, cap: int = 100) -> str:
+def balance_sql(cohorts, inactive, min_ratio: float, threshold: int = 365) -> str:
     adj = threshold - 90
     eff = adj if adj >= 90 else threshold
     batches = []
     seen = ["SELECT username FROM base"]
     for b, c in enumerate(inactive, start=1):
         excl = " AND ".join(f"login NOT IN ({s})" for s in seen)
-        batches.append(f"""b{b} AS (SELECT login FROM profiles WHERE {cohort_sql(c)} AND {excl}
-        ORDER BY login LIMIT {cap})""")
+        batches.append(f"b{b} AS (SELECT login FROM profiles WHERE {cohort_sql(c)} AND {excl})")
         seen.append(f"SELECT login FROM b{b}")
     bunion = " UNION ALL ".join(f"SELECT login, {b} AS batch FROM b{b}" for b in range(1, len(inactive) + 1))
     relabel_ok = "CASE WHEN adj_ok THEN 1 ELSE 0 END"
@@ -237,28 +236,45 @@ edges AS (SELECT DISTINCT n.username AS src, t.dst FROM nodes n JOIN top t
           WHERE t.dst <> n.username)"""
 
 
-def pagerank_sql(iters: int, alpha: float = 0.85, digits: int = 9) -> str:
-    ctes = [f"""od AS (SELECT src, count(*) AS outdeg FROM edges GROUP BY src),
-ew AS (SELECT e.src, e.dst, 1.0 / od.outdeg AS w FROM edges e JOIN od USING (src)),
-nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes),
-x0 AS MATERIALIZED (SELECT username, 1.0 / (SELECT n FROM nn) AS rank FROM nodes)"""]
-    for i in range(1, iters + 1):
+PAGERANK_MAX, PAGERANK_TOL = 100, 1.0e-6
+
+
+def pagerank_ctes(alpha: float = 0.85) -> str:
+    """CTEs ending in ``pr``: every round up to the limit, and the first whose L1 change is below n · tol."""
+    ctes = [f"""od AS MATERIALIZED (SELECT src, count(*) AS outdeg FROM edges GROUP BY src),
+ew AS MATERIALIZED (SELECT e.src, e.dst, 1.0 / od.outdeg AS w FROM edges e JOIN od USING (src)),
+nd AS MATERIALIZED (SELECT username, od.src IS NULL AS dangling FROM nodes LEFT JOIN od ON od.src = username),
+nn AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes),
+x0 AS MATERIALIZED (SELECT username, dangling, 1.0 / (SELECT n FROM nn) AS rank, CAST(NULL AS DOUBLE) AS old FROM nd)"""]
+    for i in range(1, PAGERANK_MAX + 1):
         p = f"x{i - 1}"
         ctes.append(f"""x{i} AS MATERIALIZED (
-  SELECT nd.username,
+  SELECT p.username, p.dangling,
          CAST({alpha} AS DOUBLE) * coalesce(c.c, 0.0)
-         + (CAST({alpha} AS DOUBLE) * (SELECT coalesce(sum(rank), 0.0) FROM {p} WHERE username NOT IN (SELECT src FROM od))
-            / (SELECT n FROM nn) + (1.0 - CAST({alpha} AS DOUBLE)) / (SELECT n FROM nn)) AS rank
-  FROM nodes nd LEFT JOIN (SELECT ew.dst AS username, sum({p}.rank * ew.w) AS c
-                           FROM ew JOIN {p} ON {p}.username = ew.src GROUP BY ew.dst) c USING (username))""")
-    return ",\n".join(ctes) + f"\nSELECT username, round(rank, {digits}) AS pagerank FROM x{iters}"
+         + (CAST({alpha} AS DOUBLE) * (SELECT coalesce(sum(rank), 0.0) FROM {p} WHERE dangling)
+            / (SELECT n FROM nn) + (1.0 - CAST({alpha} AS DOUBLE)) / (SELECT n FROM nn)) AS rank, p.rank AS old
+  FROM {p} p LEFT JOIN (SELECT ew.dst AS username, sum({p}.rank * ew.w) AS c
+                        FROM ew JOIN {p} ON {p}.username = ew.src GROUP BY ew.dst) c USING (username))""")
+    rounds = " UNION ALL ".join(f"SELECT {i} AS i, * FROM x{i}" for i in range(1, PAGERANK_MAX + 1))
+    ctes.append(f"xs AS MATERIALIZED ({rounds})")
+    ctes.append(f"""stop AS (SELECT min(i) AS i FROM (SELECT i, sum(abs(rank - old)) AS err FROM xs GROUP BY i)
+         WHERE err < (SELECT n FROM nn) * {PAGERANK_TOL})""")
+    ctes.append("pr AS (SELECT username, rank AS pagerank FROM xs WHERE i = (SELECT i FROM stop))")
+    return ",\n".join(ctes)
+
+
+DEGREE_CTES = """odg AS (SELECT src AS username, count(*) AS out_degree FROM edges GROUP BY src),
+idg AS (SELECT dst AS username, count(*) AS in_degree FROM edges GROUP BY dst),
+dg AS (SELECT username, coalesce(in_degree, 0) AS in_degree, coalesce(out_degree, 0) AS out_degree,
+       (coalesce(in_degree, 0) + coalesce(out_degree, 0)) * (1.0 / ((SELECT count(*) FROM nodes) - 1)) AS degree_centrality
+       FROM nodes LEFT JOIN odg USING (username) LEFT JOIN idg USING (username))"""
 
 
 HASH_SQL = "CAST(('0x' || substr(md5('42:' || username), 1, 13)) AS BIGINT)"
 
 
-def betweenness_sql(k: int = 50, depth: int = 8, digits: int = 9) -> str:
-    """Sampled-source Brandes with BFS levels and the backward sweep unrolled to ``depth`` levels."""
+def betweenness_ctes(k: int = 50, depth: int = 8) -> str:
+    """CTEs ending in ``bt``: sampled-source Brandes, levels and backward sweep unrolled to ``depth`` levels."""
     ctes = [f"src AS (SELECT username AS source FROM nodes ORDER BY {HASH_SQL}, username LIMIT {k})",
             "L0 AS MATERIALIZED (SELECT source, source AS node, CAST(1.0 AS DOUBLE) AS sigma FROM src)",
             "V0 AS MATERIALIZED (SELECT source, node FROM L0)"]
@@ -279,9 +295,16 @@ def betweenness_sql(k: int = 50, depth: int = 8, digits: int = 9) -> str:
     GROUP BY h.source, h.node) c ON c.source = h.source AND c.node = h.node)""")
     union = " UNION ALL ".join(f"SELECT source, node, delta FROM D{d}" for d in range(0, depth + 1))
     ctes.append(f"tot AS (SELECT node, sum(delta) AS b FROM ({union}) WHERE node <> source GROUP BY node)")
-    ctes.append("nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes)")
-    scale = (f"(CASE WHEN (SELECT n FROM nn) > 2 THEN 1.0 / (((SELECT n FROM nn) - 1) * ((SELECT n FROM nn) - 2)) "
-             f"ELSE 1.0 END) * (CASE WHEN {k} < (SELECT n FROM nn) THEN (SELECT n FROM nn) / {k} ELSE 1.0 END)")
-    return (",\n".join(ctes) + f"""
-SELECT n.username, round(coalesce(tot.b, 0.0) * {scale}, {digits}) AS betweenness_centrality
-FROM nodes n LEFT JOIN tot ON tot.node = n.username""")
+    ctes.append("bn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes)")
+    scale = (f"(CASE WHEN (SELECT n FROM bn) > 2 THEN 1.0 / (((SELECT n FROM bn) - 1) * ((SELECT n FROM bn) - 2)) "
+             f"ELSE 1.0 END) * (CASE WHEN {k} < (SELECT n FROM bn) THEN (SELECT n FROM bn) / {k} ELSE 1.0 END)")
+    ctes.append(f"""bt AS (SELECT n.username, coalesce(tot.b, 0.0) * {scale} AS betweenness_centrality
+         FROM nodes n LEFT JOIN tot ON tot.node = n.username)""")
+    return ",\n".join(ctes)
+
+
+def network_ctes() -> str:
+    """CTEs ending in ``net``: nodes with the three centralities."""
+    return f"""{graph_sql()}, {DEGREE_CTES}, {pagerank_ctes()}, {betweenness_ctes()},
+net AS MATERIALIZED (SELECT nodes.*, degree_centrality, betweenness_centrality, pagerank
+        FROM nodes JOIN dg USING (username) JOIN bt USING (username) JOIN pr USING (username))"""

@@ -15,7 +15,8 @@ NAMES = ["features", "raw_users", "describe_features", "filter_selection", "stra
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("customer", "orders", "lineitem", "events", "documents", "labels", "nation"):
+    for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+              "labels conversations").split():
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
