@@ -134,8 +134,8 @@ def op8(spark, sf_dir):
 _OP7_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v
-      WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(e, x -> x <> 0)) > 0),
+      WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN e IF x <> 0]) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
           ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
           AND list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.95),
