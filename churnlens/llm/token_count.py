@@ -152,14 +152,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
         tok = _tokenizer(tokenizer_path)
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            counts = np.zeros(len(texts), np.int64)
-            short = [i for i, t in enumerate(texts) if t and len(t) <= chunk]
+            known = {t: 0 for t in texts}  # a text that a batch repeats is encoded once
+            short = [t for t in known if t and len(t) <= chunk]
             for a in range(0, len(short), 256):
-                part = short[a:a + 256]
-                counts[part] = tok.counts([texts[i] for i in part])
-            for i, t in enumerate(texts):
+                known.update(zip(short[a:a + 256], tok.counts(short[a:a + 256])))
+            for t in known:
                 if t and len(t) > chunk:
-                    counts[i] = len(chunked_ids(t, tok.offsets, chunk, overlap))
+                    known[t] = len(chunked_ids(t, tok.offsets, chunk, overlap))
+            counts = np.array([known[t] for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(np.diff(byte_view(batch.column("_text"))[1])),
                  pa.array(counts, schema.field(0).type)], names=["_id", "n_bytes", "n_tokens"])
