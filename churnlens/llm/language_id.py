@@ -139,8 +139,8 @@ def fit(x: np.ndarray, y: list[str], steps: int = 150, rate: float = 0.15, decay
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
           rows_per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
     """Fit on at most ``rows_per_language`` rows of each non-null language, those with the smallest
-    hash of their text; None if there are none.  The choice needs one aggregate: no sort, and the
-    driver gets only the chosen rows' feature vectors."""
+    hash of their text (repeated texts count once); None if there are none.  The choice needs one
+    aggregate: no sort, and the driver gets only the chosen rows' feature vectors."""
     known = docs.select(F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")) \
         .where(F.col("_lang").isNotNull() & F.col("_text").isNotNull())
     keyed = known.withColumn("_h", F.xxhash64("_text"))
@@ -154,7 +154,8 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         share = min(1.0, 1.5 * rows_per_language / n)
         cut = int(-2**63 + share * (2**64 - 1))
         chosen = chosen | ((F.col("_lang") == lang) & (F.col("_h") <= F.lit(min(cut, 2**63 - 1))))
-    picked = keyed.where(chosen)
+    # a text that many rows repeat is one row here, so the driver's share stays bounded
+    picked = keyed.where(chosen).groupBy("_lang", "_h").agg(F.first("_text").alias("_text"))
 
     def run(batches):
         for batch in batches:

@@ -196,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
                                               pa.array(kept, pa.binary())], names=["id", "y", "x"])
 
     got = sorted((r["id"], bytes(r["x"]), r["y"]) for r in
-                 texts.mapInArrow(run, "id string, y int, x binary").toLocalIterator())
+                 texts.mapInArrow(run, "id string, y int, x binary").dropDuplicates(["id"]).toLocalIterator())
     if {y for *_, y in got} != {0, 1}:
         return None
     y = np.array([y for *_, y in got], np.float32)
