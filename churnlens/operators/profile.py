@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from churnlens.operators.quantiles import exact_quantiles
 
@@ -54,19 +53,12 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
         aggs += [F.count(c).cast("long").alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
                  F.stddev_samp(c).alias(f"{c}__std"), F.min(c).alias(f"{c}__min"),
                  F.max(c).alias(f"{c}__max")]
-    one = dbl.agg(*aggs)
-    stack = F.array(*[F.struct(F.lit(c).alias("field"),
-                               F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
-                               F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-                               F.col(f"{c}__max").alias("max")) for c in cols])
-    moments = one.select(F.inline(stack))
-    q = exact_quantiles(dbl, cols, [0.25, 0.5, 0.75])
-    qschema = T.StructType([T.StructField("field", T.StringType()),
-                            T.StructField("p25", T.DoubleType()), T.StructField("p50", T.DoubleType()),
-                            T.StructField("p75", T.DoubleType())])
-    qdf = spark.createDataFrame([(c, *q[c]) for c in cols], qschema)
-    return (moments.join(F.broadcast(qdf), "field")
-            .select("field", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+        aggs.append(F.count_if(F.abs(c) < F.lit(float("inf"))).alias(f"{c}__finite"))
+    m = dbl.agg(*aggs).first()
+    q = exact_quantiles(dbl, cols, [0.25, 0.5, 0.75], counts={c: m[f"{c}__finite"] for c in cols})
+    schema = "field string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    return spark.createDataFrame([(c, m[f"{c}__count"], m[f"{c}__mean"], m[f"{c}__std"], m[f"{c}__min"], *q[c], m[f"{c}__max"])
+                                  for c in cols], schema)
 
 
 def means_by_label(df: DataFrame, cols: list[str], label: str = "churn") -> DataFrame:

@@ -122,9 +122,12 @@ def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str = "churn", weight_col: str = "weight") -> DataFrame:
-    """Attach the class weight to each row (one row per class: the planner broadcasts it once it knows its size)."""
-    wt = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(wt, label)
+    """Attach the class weight to each row, as a literal map from the classes that a classifier tells apart."""
+    out = F.lit(None).cast("double")
+    for r in class_weights(df, label).collect():
+        same = F.col(label).isNull() if r[label] is None else F.col(label) == F.lit(r[label])
+        out = F.when(same, F.lit(float(r["weight"]))).otherwise(out)
+    return df.withColumn(weight_col, out)
 
 
 def fit_standard(df: DataFrame, cols) -> dict[str, tuple[float, float]]:

@@ -634,6 +634,12 @@ def q_selection_table(spark, sf_dir):
     return M.select_features(feature_frame(spark, sf_dir))["table"]
 
 
+@register("selection_table_final")
+def q_selection_table_final(spark, sf_dir):
+    """The variant whose filters see the training rows only and vote by their final choice."""
+    return M.select_features(feature_frame(spark, sf_dir), filter_on="train", filter_vote="filter_final")["table"]
+
+
 @register("cv_metrics")
 def q_cv_metrics(spark, sf_dir):
     return round_doubles(M.cv_metrics(feature_frame(spark, sf_dir), FINAL_FEATURES))

@@ -26,6 +26,7 @@ FINAL_FEATURES = [
 # Columns the feature build cannot do without.
 REQUIRED_RAW = ["created_at", "updated_at", "public_repos", "followers", "following"]
 
+# The field names of the profile, repository and raw-user tables.
 PROFILE = T.StructType([
     T.StructField("login", T.StringType(), False),
     T.StructField("type", T.StringType()),
