@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import byte_view, runs_of_rows
 from churnlens.session import materialize
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 BUCKET_WORDS = 400_000
+LEVEL = 5  # of compression
 #: Texts above this many characters are matched match by match, so no list of all their words is made.
 LONG_TEXT = 1 << 20
 
@@ -56,18 +57,27 @@ def _codec(path: str, pattern: str):
 
 def pack_numbers(x: np.ndarray) -> bytes:
     """Compressed 32-bit numbers, one byte plane after the other (small numbers pack best)."""
-    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    planes = np.ascontiguousarray(x.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=LEVEL).compress(planes)
 
 
 def unpack_numbers(x: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
+def pack_rising(x: np.ndarray) -> bytes:
+    """Rising numbers by their steps."""
+    return pack_numbers(np.diff(x, prepend=0))
+
+
+def unpack_rising(x: bytes) -> np.ndarray:
+    return np.cumsum(unpack_numbers(x), dtype=np.int64)
 
 
 def pack_words(words: list[bytes]) -> bytes:
     sizes = pack_numbers(np.fromiter(map(len, words), np.int64, len(words)))
-    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level=1).compress(b"".join(words))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(words))
 
 
 def unpack_words(x: bytes) -> list[bytes]:
@@ -83,42 +93,54 @@ def pre_tokens(docs: DataFrame, pattern: str, id_col: str, text_col: str, block_
     distinct words, the most frequent first."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    def block(key, ids, texts, pat):
-        number: dict[str, int] = {}
-        seen = number.setdefault
-        codes, sizes = [], []
-        for t in texts:
-            if not t:
-                sizes.append(0)
-                continue
-            if len(t) > LONG_TEXT:
-                c = np.fromiter((seen(m.group(), len(number)) for m in pat.finditer(t)), np.int64)
-            else:
-                c = np.array([seen(w, len(number)) for w in pat.findall(t)], np.int64)
-            codes.append(c)
-            sizes.append(len(c))
-        flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        count = np.bincount(flat, minlength=len(number))
-        order = np.argsort(-count, kind="stable")
-        rank = np.empty(len(number), np.int64)
-        rank[order] = np.arange(len(number))
-        names = list(number)
-        words = [names[i].encode() for i in order]
-        del names, number
-        return {"_block": [key], "_ids": [ids], "_sizes": [sizes], "_codes": [pack_numbers(rank[flat])],
-                "_words": [pack_words(words)], "_n": [len(words)]}
+    class Block:
+        """Rows of one block, batch after batch; only word numbers and distinct words are held."""
+
+        def __init__(self):
+            self.number, self.codes, self.sizes, self.ids, self.bytes = {}, [], [], [], 0
+
+        def add(self, ids, texts, pat):
+            number = self.number
+            seen = number.setdefault
+            self.ids.extend(ids)
+            for t in texts:
+                if not t:
+                    c = np.zeros(0, np.uint32)
+                elif len(t) > LONG_TEXT:
+                    c = np.fromiter((seen(m.group(), len(number)) for m in pat.finditer(t)), np.uint32)
+                else:
+                    c = np.array([seen(w, len(number)) for w in pat.findall(t)], np.uint32)
+                self.codes.append(c)
+                self.sizes.append(len(c))
+
+        def row(self, key, id_type):
+            flat = np.concatenate(self.codes) if self.codes else np.zeros(0, np.uint32)
+            self.codes = []
+            order = np.argsort(-np.bincount(flat, minlength=len(self.number)), kind="stable")
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
+            names = list(self.number)
+            words = [names[i].encode() for i in order]
+            cols = {"_block": pa.array([key], pa.int64()), "_ids": pa.array([self.ids], pa.list_(id_type)),
+                    "_sizes": pa.array([self.sizes], pa.list_(pa.int32())),
+                    "_codes": pa.array([pack_numbers(rank[flat])], pa.binary()),
+                    "_words": pa.array([pack_words(words)], pa.binary()), "_n": pa.array([len(words)], pa.int64())}
+            return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     def run(batches):
-        pat, part, k = regex.compile(pattern), TaskContext.get().partitionId(), 0
+        pat, part, k, now, kind = regex.compile(pattern), TaskContext.get().partitionId(), 0, Block(), None
         for batch in batches:
+            kind = batch.schema.field("_id").type
             _, offsets = byte_view(batch.column("_text"))
-            for a, b in runs_of_rows(offsets, block_bytes):
-                rows = batch.slice(a, b - a)
-                got = block((part << 32) + k, rows.column("_id").to_pylist(), rows.column("_text").to_pylist(), pat)
-                k += 1
-                types = [pa.int64(), pa.list_(batch.schema.field("_id").type), pa.list_(pa.int32()), pa.binary(),
-                         pa.binary(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(got.values(), types)], names=list(got))
+            for a, b in runs_of_rows(offsets, min(block_bytes, 4 << 20)):
+                size = int(offsets[b] - offsets[a])
+                if now.sizes and now.bytes + size > block_bytes:
+                    yield now.row((part << 32) + k, kind)
+                    k, now = k + 1, Block()
+                now.add(batch.column("_id").slice(a, b - a).to_pylist(), batch.column("_text").slice(a, b - a).to_pylist(), pat)
+                now.bytes += size
+        if now.sizes:
+            yield now.row((part << 32) + k, kind)
 
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
         run, f"_block bigint, _ids array<{id_type}>, _sizes array<int>, _codes binary, _words binary, _n bigint")
@@ -137,7 +159,7 @@ def deal_words(blocks: DataFrame, buckets: int) -> DataFrame:
                 for at in np.split(order, edges) if len(order) else ():
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([int(h[at[0]])], pa.int64()), pa.array([key], pa.int64()),
-                         pa.array([pack_numbers(at)], pa.binary()), pa.array([pack_words([words[i] for i in at])], pa.binary())],
+                         pa.array([pack_rising(at)], pa.binary()), pa.array([pack_words([words[i] for i in at])], pa.binary())],
                         names=["_bucket", "_block", "_at", "_words"])
 
     return blocks.select("_block", "_words").mapInArrow(run, "_bucket bigint, _block bigint, _at binary, _words binary")
@@ -197,7 +219,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
                 n = batch.column("_n")[row].as_py()
                 sizes, parts = np.zeros(n, np.int64), []
                 for f in batch.column("_found")[row].as_py() or []:
-                    at, m = unpack_numbers(f["_at"]), unpack_numbers(f["_sizes"])
+                    at, m = unpack_rising(f["_at"]), unpack_numbers(f["_sizes"]).astype(np.int64)
                     sizes[at] = m
                     parts.append((at, m, unpack_numbers(f["_ids"])))
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1])) if n else sizes

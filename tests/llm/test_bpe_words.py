@@ -24,6 +24,7 @@ def library():
 def test_packing():
     for x in ([], [0], [5, 70_000, 1 << 31, 0]):
         assert B.unpack_numbers(B.pack_numbers(np.array(x, np.int64))).tolist() == x
+        assert B.unpack_rising(B.pack_rising(np.array(sorted(x), np.int64))).tolist() == sorted(x)
     for w in ([], [b""], [b"a", b"", "é\0".encode()]):
         assert B.unpack_words(B.pack_words(w)) == w
 
