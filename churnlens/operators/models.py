@@ -30,7 +30,7 @@ SEED = 42
 RF_TREES = 100
 RF_MAX_DEPTH = 30       # trees grow without a depth bound; 30 is the most that Spark allows
 DT_MAX_DEPTH = 5
-MAX_BINS = 256          # split candidates per feature, for the tree and the forests
+MAX_BINS = 64           # split candidates per feature, for the tree and the forests alike
 RFE_KEEP = 5
 TOP_K = 5
 FOLDS = 5
