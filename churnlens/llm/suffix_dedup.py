@@ -12,7 +12,9 @@ is cut into many small ones that hold every pair that can match:
    offset, and neighbouring windows share one, so a stretch of windows becomes a row: its
    anchor's key (a hash of the bytes from the anchor on that all these windows hold)
    and a digest of all bytes that the stretch covers.
-2. Rows are shuffled by key.  A key met once: no copies.  Rows with equal digests are
+2. Stretches with equal digests that one batch of texts has are copies at once: the first stands
+   for them, so a passage that many texts share leaves a batch once.  The others and the rows
+   that are left are shuffled by key.  A key met once: no copies.  Rows with equal digests are
    copies of each other in whole, and are settled; one of them stays as their proxy.
    What is left are keys with several digests, at the ends of repeated passages.
 3. The bytes of those stretches are fetched by a join with the texts and grouped by key;
@@ -162,12 +164,13 @@ def _ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("_text"))
 
 
-def _anchors(rows: DataFrame, id_type: str, window: int, reach: int, gram: int) -> DataFrame:
+def _anchors(rows: DataFrame, id_type: str, window: int, reach: int, gram: int, keep_first: bool) -> DataFrame:
     names = ["_k", "_f", "_g", "_lo", "_hi", "_at", "_rep"]
 
     def run(batches):
         for batch in batches:
             data, offsets = byte_view(batch.column("_text"))
+            ids, texts = batch.column("_id").to_pylist(), batch.column("_h").to_pylist()
             held, owner, size = [], [], 0
             for i in range(len(offsets) - 1):
                 x = data[offsets[i]:offsets[i + 1]]
@@ -177,19 +180,39 @@ def _anchors(rows: DataFrame, id_type: str, window: int, reach: int, gram: int)
                 owner.append(np.full(len(held[-1][0]), i))
                 size += len(owner[-1])
                 if size > 50_000:
-                    yield _out(batch, held, owner)
+                    yield _out(batch, ids, texts, held, owner)
                     held, owner, size = [], [], 0
             if held:
-                yield _out(batch, held, owner)
-
-    def _out(batch, held, owner):
-        at = pa.array(np.concatenate(owner))
-        cols = [pa.array(np.concatenate(v)) for v in zip(*held)]
-        return pa.RecordBatch.from_arrays([batch.column("_id").take(at), batch.column("_h").take(at), *cols],
-                                          names=["_id", "_h", *names])
+                yield _out(batch, ids, texts, held, owner)
+
+    def _out(batch, ids, texts, held, owner):
+        at = np.concatenate(owner)
+        cols = dict(zip(names, (np.concatenate(v) for v in zip(*held))))
+        # texts of the batch in corpus order
+        said = sorted(set(at.tolist()), key=lambda i: ((x := ids[i]) is None, x if x is not None else 0, texts[i]))
+        place = np.zeros(batch.num_rows, np.int64)
+        for n, i in enumerate(said):  # rows that repeat id and text share a place
+            place[i] = n if not n or (ids[i], texts[i]) != (ids[said[n - 1]], texts[said[n - 1]]) else place[said[n - 1]]
+        order = np.lexsort((cols["_lo"], place[at], cols["_g"], cols["_f"], cols["_k"]))
+        same = np.zeros(len(at), bool)
+        same[1:] = np.logical_and.reduce([cols[c][order][1:] == cols[c][order][:-1] for c in ("_k", "_f", "_g")])
+        first = np.flatnonzero(~same)
+        size = np.diff(np.append(first, len(at)))
+        proxy = order[np.repeat(first, size)]
+        told = np.empty(len(at), bool)  # settled: a copy of the batch's first
+        told[order] = same & ((place[at][order] != place[at][proxy]) | (cols["_lo"][order] != cols["_lo"][proxy])
+                              | (not keep_first))
+        more = np.empty(len(at), bool)
+        more[order] = np.repeat(size > 1, size)
+        spread = np.arange(len(at)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        cols["_k"] = np.where(told, cols["_k"] ^ spread.view(np.int64), cols["_k"])  # they need not meet anything
+        rows_at = pa.array(at)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_id").take(rows_at), batch.column("_h").take(rows_at), *map(pa.array, cols.values()),
+             pa.array(told), pa.array(more)], names=["_id", "_h", *names, "_told", "_more"])
 
     return rows.mapInArrow(run, f"_id {id_type}, _h bigint, _k bigint, _f bigint, _g int, _lo bigint, _hi bigint, "
-                                "_at bigint, _rep int")
+                                "_at bigint, _rep int, _told boolean, _more boolean")
 
 
 def copied_windows(rows: DataFrame, *, window: int = WINDOW, reach: int = REACH, gram: int = GRAM,
@@ -203,13 +226,14 @@ def copied_windows(rows: DataFrame, *, window: int = WINDOW, reach: int = REACH,
     full, me = F.struct("_f", "_g"), F.struct("_id", "_h", "_lo")
     by_digest = Window.partitionBy("_k", "_f", "_g").orderBy(*order)  # the same shuffle and sort serve all three
     prev, nxt = (F.coalesce(full == f(full).over(by_key), F.lit(False)) for f in (F.lag, F.lead))
-    told = _anchors(rows, id_type, window, reach, gram) \
+    told = _anchors(rows, id_type, window, reach, gram, keep_first) \
         .withColumn("_after", prev).withColumn("_before", nxt) \
         .withColumn("_later", ~me.eqNullSafe(F.first(me).over(by_digest))) \
         .withColumn("_many", F.min(full).over(whole) != F.max(full).over(whole)) \
         .select("_k", "_id", "_h", "_lo", "_hi", "_at", "_rep",
-                (F.col("_later") if keep_first else F.col("_after") | F.col("_before") | (F.col("_rep") > 1)).alias("_copy"),
-                (~F.col("_after") & F.col("_many")).alias("_open")) \
+                (F.col("_told") | F.col("_later" if keep_first else "_more") | (
+                    F.lit(False) if keep_first else F.col("_after") | F.col("_before") | (F.col("_rep") > 1))).alias("_copy"),
+                (~F.col("_told") & ~F.col("_after") & F.col("_many")).alias("_open")) \
         .where("_copy or _open or _rep > 1")
     told = materialize(told, "passage-stretches")
     end = F.col("_hi") + F.col("_rep") - 1
