@@ -198,9 +198,34 @@ def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return shift + np.arange(total)
 
 
+class TokenTable:
+    """Bytes of every rank of a vocabulary file, for joining ids with them."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        table = [b""] * (max(ranks.values(), default=-1) + 1)
+        self.known = np.zeros(len(table), bool)
+        for token, k in ranks.items():
+            table[k], self.known[k] = token, True
+        self.size = np.fromiter(map(len, table), np.int64, len(table))
+        self.start = np.concatenate(([0], np.cumsum(self.size)[:-1])) if len(table) else self.size
+        self.flat = np.frombuffer(b"".join(table), np.uint8)
+
+    def has(self, ids: np.ndarray) -> bool:
+        return bool((ids >= 0).all() and (ids < len(self.known)).all() and self.known[ids].all())
+
+    def join(self, ids: np.ndarray, edges: np.ndarray) -> pa.Array:
+        """Bytes of each run of ids (``edges``: n+1 places), all of them in the table."""
+        sizes = self.size[ids]
+        flat = self.flat[_gather(self.start[ids], sizes)]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[edges]
+        return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)])
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK_BYTES, bucket_words: int = BUCKET_WORDS) -> DataFrame:
-    """One row per input row: id and ``ids`` (array<int>), each match of ``pattern`` encoded separately.
+           block_bytes: int = BLOCK_BYTES, bucket_words: int = BUCKET_WORDS, decoded: bool = False) -> DataFrame:
+    """One row per input row: id and ``ids`` (array<int>), each match of ``pattern`` encoded separately; with
+    ``decoded`` also ``bytes``, what ``decode`` makes of the ids, joined in the same task.
 
     Null and empty texts have no ids.  Repeated rows and null ids give a row each; other columns are
     not read.  An empty table gives an empty result."""
@@ -214,6 +239,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
         .join(back, "_block", "left")
 
     def run(batches):
+        table = TokenTable(ranks_path) if decoded else None
         for batch in batches:
             for row in range(batch.num_rows):
                 n = batch.column("_n")[row].as_py()
@@ -229,16 +255,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
                 codes = unpack_numbers(batch.column("_codes")[row].as_py())
                 doc = batch.column("_doc")[row].values
                 ends = np.concatenate(([0], np.cumsum(batch.column("_words")[row].values.to_numpy(zero_copy_only=False))))
-                for a, b in runs_of_rows(ends, 1 << 19):
+                for a, b in runs_of_rows(ends, 1 << 18):
                     c = codes[ends[a]:ends[b]]
                     out = flat[_gather(starts[c], sizes[c])]
                     edge = np.concatenate(([0], np.cumsum(sizes[c])))[ends[a:b + 1] - ends[a]]
-                    yield pa.RecordBatch.from_arrays(
-                        [doc.slice(a, b - a), pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(out, pa.int32()))],
-                        names=["_id", "ids"])
+                    cols = [doc.slice(a, b - a), pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(out, pa.int32()))]
+                    if table:
+                        cols.append(table.join(out, edge).cast(pa.binary()))
+                    yield pa.RecordBatch.from_arrays(cols, names=["_id", "ids", "bytes"][:len(cols)])
 
-    got = whole.mapInArrow(run, f"_id {id_type}, ids array<int>")
-    return got.select(F.col("_id").alias(id_col), "ids")
+    got = whole.mapInArrow(run, f"_id {id_type}, ids array<int>" + ", bytes binary" * decoded)
+    return got.select(F.col("_id").alias(id_col), *got.columns[1:])
 
 
 def decode(tokens: DataFrame, ranks_path: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -247,28 +274,15 @@ def decode(tokens: DataFrame, ranks_path: str, *, id_col: str = "doc_id", ids_co
     types = {f.name: f.dataType.simpleString() for f in tokens.schema.fields}
 
     def run(batches):
-        ranks = read_ranks(ranks_path)
-        table = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, k in ranks.items():
-            table[k] = token
-        size = np.fromiter(map(len, table), np.int64, len(table))
-        start = np.concatenate(([0], np.cumsum(size)[:-1])) if len(size) else size
-        flat = np.frombuffer(b"".join(table), np.uint8)
-        known = np.zeros(len(table), bool)
-        known[list(ranks.values())] = True
+        table = TokenTable(ranks_path)
         for batch in batches:
             out = []
             for x in batch.column("ids"):
-                if not x.is_valid:
-                    out.append(None)
-                    continue
-                ids = x.values
-                if ids.null_count:
-                    out.append(None)
-                    continue
-                ids = ids.to_numpy(zero_copy_only=False).astype(np.int64)
-                ok = len(ids) == 0 or bool((ids >= 0).all() and (ids < len(table)).all() and known[ids].all())
-                out.append(flat[_gather(start[ids], size[ids])].tobytes() if ok and len(ids) else b"" if ok else None)
+                ids = None
+                if x.is_valid and not x.values.null_count:
+                    ids = x.values.to_numpy(zero_copy_only=False).astype(np.int64)
+                known = ids is not None and table.has(ids)
+                out.append(table.join(ids, np.array([0, len(ids)]))[0].as_py() if known else None)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("ids"), pa.array(out, pa.binary())],
                                              names=["_id", "ids", "bytes"])
 

@@ -116,8 +116,8 @@ def bpe_digest(docs, ranks_path, pattern):
     """Counts and digests of the ids and of the bytes that they decode to."""
     from pyspark.sql import functions as F
 
-    from churnlens.llm.bpe_words import decode, encode
-    got = decode(encode(docs, ranks_path, pattern), ranks_path)
+    from churnlens.llm.bpe_words import encode
+    got = encode(docs, ranks_path, pattern, decoded=True)
     return got.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                       F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))

@@ -40,6 +40,8 @@ def test_against_library(spark, library, monkeypatch, block, bucket, long):
     got = B.decode(B.encode(df, PATH, PATTERN, block_bytes=block, bucket_words=bucket), PATH).collect()
     want = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in rows]
     assert sorted(((r.doc_id, r.ids, bytes(r.bytes)) for r in got), key=str) == sorted(want, key=str)
+    both = B.encode(df, PATH, PATTERN, block_bytes=block, bucket_words=bucket, decoded=True).collect()
+    assert sorted(((r.doc_id, r.ids, bytes(r.bytes)) for r in both), key=str) == sorted(want, key=str)
 
 
 def test_empty_and_unknown(spark):
