@@ -51,6 +51,8 @@ CUT_WORDS = re.compile(r"""(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner\w*|spo
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|
     <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S | re.X)
 _NAMED = re.compile(r"""\b(class|id|role|aria-label|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Cut by what a class or id says, which may be a layout name of the part that holds the article.
+NAMED = 2
 _SPACE = re.compile(r"\s+")
 
 
@@ -64,7 +66,7 @@ class Node:
         self.prose = False
 
 
-def _is_cut(tag: str, attrs: str, parent: Node) -> bool:
+def _is_cut(tag: str, attrs: str, parent: Node) -> bool | int:
     if tag in CUT_TAGS or (tag == "header" and not _inside(parent, "article")):
         return True
     if "=" in attrs or "hidden" in attrs:
@@ -72,9 +74,10 @@ def _is_cut(tag: str, attrs: str, parent: Node) -> bool:
             name, value = name.lower(), a or b or c
             if name == "hidden" or name == "role" and value.lower() in CUT_ROLES:
                 return True
-            if name in ("class", "id", "aria-label") and tag not in ("html", "body", "article", "main") \
-                    and CUT_WORDS.search(value):
-                return True
+            if name in ("class", "id", "aria-label") and tag not in ("html", "body", "article", "main"):
+                found = {m.strip(" _-").lower() for m in CUT_WORDS.findall(value)}
+                if found - {"header"} or found and not (_inside(parent, "article") or _inside(parent, "main")):
+                    return NAMED
     return False
 
 
@@ -154,6 +157,31 @@ def _close(here: Node, name: str) -> Node:
     return p.parent if p is not None and p.parent is not None else here
 
 
+def _rescue(root: Node) -> None:
+    """Undo cuts by name around an article or main element and, where the page has none, around most of its text."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(k for k in node.kids if isinstance(k, Node) and k.cut is not True)
+    if not any(node.cut for node in order):
+        return
+    chars, holds = {}, set()
+    for node in reversed(order):
+        inner = [k for k in node.kids if isinstance(k, Node) and k.cut is not True]
+        chars[id(node)] = sum(len(k.strip()) for k in node.kids if isinstance(k, str)) + sum(chars[id(k)] for k in inner)
+        if node.tag in ("article", "main") or any(id(k) in holds for k in inner):
+            holds.add(id(node))
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.cut:
+            if id(node) not in holds and (holds or 2 * chars[id(node)] <= chars[id(root)]):
+                continue
+            node.cut = False
+        stack.extend(k for k in node.kids if isinstance(k, Node) and k.cut is not True)
+
+
 def _measure(root: Node) -> None:
     """Characters, tags, link characters and link tags of every kept node, children first."""
     order, stack = [], [root]
@@ -268,6 +296,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _rescue(root)
     _measure(root)
     return "\n".join(blocks(select(root)))
 

@@ -24,13 +24,22 @@ def test_article_in_plain_divisions():
     assert main_text(p).split("\n") == [(PROSE * 3).strip(), (PROSE * 2).strip(), "Short end."]
 
 
+def test_names_of_layout_and_header_blocks():
+    s = PROSE.strip()
+    assert main_text(page(f"<div class='content with-sidebar'><article><div class=article-header><h1>T</h1></div><p>{PROSE}</p>"
+                          f"</article><div class=sidebar><p>{PROSE}</p></div></div>")).split("\n") == ["T", s]
+    assert main_text(page(f"<div class='layout-sidebar'><p>{PROSE}</p><p>{PROSE}</p><div class=ad>{PROSE}</div></div>"
+                          "<div class=x><a href=1>y</a></div>")).split("\n") == [s, s]
+    assert main_text(page(f"<article><p>Short.</p></article><div class=ad>{PROSE * 9}</div>")) == "Short."
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html></html>") == ""
     assert main_text("just words") == "just words"
     assert main_text("<p>unclosed <b>bold <p>next &lt;x&gt;") == "unclosed bold\nnext <x>"
     assert main_text("<article><p>a</p></article") == "a"
     deep = "<div>" * 3000 + "<p>deep text</p>"
-    assert main_text(deep) == "deep text"
+    assert main_text(deep) == "deep text" == main_text(deep.replace("<div>", "<div class=sidebar>"))
     assert main_text("<article><header>By me</header><p>x y</p></article><header>Site</header>") == "By me\nx y"
     assert len(main_text("<article>" + "<p>word and word</p>" * 20000 + "</article>")) == 20000 * 14 - 1
 
