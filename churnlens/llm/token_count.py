@@ -3,9 +3,9 @@
 A text up to ``chunk`` characters is encoded at once.  A longer one is cut into
 chunks that overlap; each is encoded with offsets and neighbours are spliced at a
 place inside their overlap that is proven stable.  A place is a candidate when a
-letter or digit stands before it and exactly one blank followed by a letter or
-digit stands after it: the pre-token pattern cannot match across a change from a
-letter or digit to white space, so whatever stands left of the place has no
+visible character stands before it and exactly one blank followed by a visible
+character stands after it: the pre-token pattern cannot match across a change from a
+visible character to white space, so whatever stands left of the place has no
 influence on the tokens right of it and the other way round, and no added token
 holds white space.  It is proven when no token of either encoding lies across it
 and both encodings give the same ids between it and the end of the overlap's
@@ -16,7 +16,8 @@ until one is found or the rest of the text is in one chunk.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,23 @@ OVERLAP_CHARS = 256
 #: Ids compared on each side of a splice.
 AGREE = 8
 
-Encoded = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+class Encoded:
+    """Ids of a chunk and their places ``(start, end)``, which rise; ``base`` is where the chunk begins."""
+
+    __slots__ = ("ids", "places", "base")
+
+    def __init__(self, ids: list[int], places: list[tuple[int, int]], base: int = 0):
+        self.ids, self.places, self.base = ids, places, base
+
+    def until(self, x: int) -> int:
+        """Number of tokens that end at or before place ``x`` of the text."""
+        return bisect_right(self.places, x - self.base, key=lambda p: p[1])
+
+    def parts(self, x: int) -> bool:
+        """No token lies across ``x``."""
+        i = self.until(x)
+        return i == len(self.places) or self.places[i][0] >= x - self.base
 
 
 class TokenizerFile:
@@ -56,35 +73,28 @@ class TokenizerFile:
     def offsets(self, text: str) -> Encoded:
         if self.sentencepiece:
             pieces = self.lib.encode(text, return_type="proto").pieces
-            got = [(p.id, p.begin, p.end) for p in pieces]
-        else:
-            e = self.lib.encode(text, add_special_tokens=False)
-            got = [(i, a, b) for i, (a, b) in zip(e.ids, e.offsets)]
-        ids, starts, ends = (np.array(x, np.int64) for x in zip(*got)) if got else (np.zeros(0, np.int64),) * 3
-        return ids, starts, ends
+            return Encoded([p.id for p in pieces], [(p.begin, p.end) for p in pieces])
+        e = self.lib.encode(text, add_special_tokens=False)
+        return Encoded(e.ids, e.offsets)
 
 
 def candidates(text: str, a: int, b: int) -> Iterator[int]:
-    """Places x in (a, b) with a letter or digit, then one blank, then a letter or digit."""
+    """Places x in (a, b) with a visible character, then one blank, then a visible character."""
     x = text.find(" ", a + 1, b - 1)
     while x != -1:
-        if text[x - 1].isalnum() and text[x + 1].isalnum():
+        if text[x - 1] != " " != text[x + 1] and text[x - 1].isprintable() and text[x + 1].isprintable():
             yield x
         x = text.find(" ", x + 1, b - 1)
 
 
-def _whole(e: Encoded, x: int) -> bool:
-    """No token of ``e`` lies across ``x``."""
-    return not bool(((e[1] < x) & (e[2] > x)).any())
-
-
-def splice(left: Encoded, right: Encoded, places: Iterator[int]) -> int | None:
-    """The first place where both encodings have a token boundary and agree on what follows and precedes."""
+def splice(left: Encoded, right: Encoded, places: Iterable[int]) -> int | None:
+    """The first place where both encodings have a token boundary and agree on the ids that follow."""
     for x in places:
-        if _whole(left, x) and _whole(right, x):
-            la, ra = left[0][left[2] > x][:AGREE], right[0][right[2] > x][:AGREE]
+        if left.parts(x) and right.parts(x):
+            i, j = left.until(x), right.until(x)
+            la, ra = left.ids[i:i + AGREE], right.ids[j:j + AGREE]
             n = max(1, min(len(la), len(ra)) - 2)  # the last tokens of a chunk may be cut by its end
-            if len(la) and len(ra) and np.array_equal(la[:n], ra[:n]):
+            if la and ra and la[:n] == ra[:n]:
                 return x
     return None
 
@@ -100,15 +110,21 @@ def chunked_ids(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK_
         width, x, follow = overlap, None, None
         while True:
             begin = max(end - width, taken)
+            places = list(candidates(text, max(begin, taken) + 1, end - min(overlap // 4, width // 4)))
+            if not places and begin > taken:  # nothing to align at: no need to encode before widening
+                width *= 2
+                continue
             stop = min(end + chunk, n)
-            follow = _shift(encode(text[begin:stop]), begin)
+            follow = encode(text[begin:stop])
+            follow.base = begin
             # half of the overlap lies before the place, so that tokens on both sides are seen by both
-            x = splice(current, follow, candidates(text, max(begin + 1, taken + 1), end - min(overlap // 4, width // 4)))
+            x = splice(current, follow, places)
             if x is not None:
                 break
             if begin == taken:  # nothing left of the chunk to fall back on: lengthen it instead
                 end = min(end + chunk, n)
-                current = _shift(encode(text[taken:end]), taken)
+                current = encode(text[taken:end])
+                current.base = taken
                 if end == n:
                     break
                 width = overlap
@@ -116,17 +132,12 @@ def chunked_ids(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK_
             width *= 2
         if x is None:
             break
-        keep = (current[2] <= x) & (current[2] > taken)
-        out.extend(current[0][keep].tolist())
+        out.extend(current.ids[current.until(taken) if taken else 0:current.until(x)])
         taken, current, end = x, follow, stop
-    out.extend(current[0][current[2] > taken].tolist() if taken else current[0].tolist())
+    out.extend(current.ids[current.until(taken) if taken else 0:])
     return out
 
 
-def _shift(e: Encoded, by: int) -> Encoded:
-    return e[0], e[1] + by, e[2] + by
-
-
 _LOADED: dict[str, TokenizerFile] = {}
 
 

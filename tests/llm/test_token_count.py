@@ -18,7 +18,7 @@ def test_chunks_equal_whole(name):
     mixed = ["".join(rng.choice(TEXTS)[:rng.randrange(1, 300)] + rng.choice(["", " ", "\n", "  "])
                      for _ in range(60)) for _ in range(6)]
     for text in TEXTS + mixed:
-        whole = tok.offsets(text)[0].tolist()
+        whole = tok.offsets(text).ids
         assert len(whole) == (tok.counts([text])[0] if text else 0)
         for chunk, overlap in ((64, 8), (300, 32), (1000, 64)):
             if name.endswith(".model") and text != " ".join(text.split()):
