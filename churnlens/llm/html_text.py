@@ -50,7 +50,7 @@ CUT_WORDS = re.compile(r"""(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner\w*|spo
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|
     <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S | re.X)
-_NAMED = re.compile(r"""\b(class|id|role|aria-label|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Cut by what a class or id says, which may be a layout name of the part that holds the article.
 NAMED = 2
 _SPACE = re.compile(r"\s+")
@@ -66,18 +66,30 @@ class Node:
         self.prose = False
 
 
-def _is_cut(tag: str, attrs: str, parent: Node) -> bool | int:
+def _attributes(raw: str) -> dict[str, str]:
+    """Attributes of a start tag by name; of a repeated name the first counts, a bare one has an empty value."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTR.findall(raw):
+        value = a or b or c
+        out.setdefault(name.lower(), _html.unescape(value) if "&" in value else value)
+    return out
+
+
+def _is_cut(tag: str, raw: str, parent: Node) -> bool | int:
     if tag in CUT_TAGS or (tag == "header" and not _inside(parent, "article")):
         return True
-    if "=" in attrs or "hidden" in attrs:
-        for name, a, b, c in _NAMED.findall(attrs):
-            name, value = name.lower(), a or b or c
-            if name == "hidden" or name == "role" and value.lower() in CUT_ROLES:
-                return True
-            if name in ("class", "id", "aria-label") and tag not in ("html", "body", "article", "main"):
-                found = {m.strip(" _-").lower() for m in CUT_WORDS.findall(value)}
-                if found - {"header"} or found and not (_inside(parent, "article") or _inside(parent, "main")):
-                    return NAMED
+    if tag in ("html", "body") or not raw.strip(" /"):
+        return False
+    attrs = _attributes(raw)
+    if "hidden" in attrs or attrs.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    if attrs.get("role", "").strip().lower() in CUT_ROLES:
+        return True
+    if tag not in ("article", "main"):
+        for name in ("class", "id", "aria-label"):
+            found = {m.strip(" _-").lower() for m in CUT_WORDS.findall(attrs.get(name, ""))}
+            if found - {"header"} or found and not (_inside(parent, "article") or _inside(parent, "main")):
+                return NAMED
     return False
 
 

@@ -33,6 +33,18 @@ def test_names_of_layout_and_header_blocks():
     assert main_text(page(f"<article><p>Short.</p></article><div class=ad>{PROSE * 9}</div>")) == "Short."
 
 
+def test_attributes_are_read_by_their_names():
+    s = PROSE.strip()
+    for attrs in ("style='overflow:hidden'", 'aria-hidden="false"', 'data-state="not hidden"', "data-id=sidebar data-role=navigation",
+                  "title='id=ads class=menu role=banner'", "data-hidden", "class='a' class='ad'"):
+        assert main_text(page(f"<article {attrs}><p>{PROSE}</p></article>")) == s, attrs
+        assert main_text(page(f"<article><div {attrs}><p>{PROSE}</p></div><section {attrs}><p>{PROSE}</p></section></article>")) == f"{s}\n{s}"
+        assert main_text(f"<html><body {attrs}><p>{PROSE}</p></body></html>") == s, attrs
+    for attrs in ("hidden", "HIDDEN", "hidden=''", "class=x hidden", 'aria-hidden="true"', "role='Navigation'", "class='x &#97;d'"):
+        assert main_text(page(f"<article><p>{PROSE}</p><div {attrs}><p>No {PROSE}</p></div></article>")) == s, attrs
+    assert main_text(f"<html><body aria-hidden=true><p>{PROSE}</p></body></html>") == s
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html></html>") == ""
     assert main_text("just words") == "just words"
