@@ -4,9 +4,10 @@ A page becomes a small DOM.  Every node gets its composite density: characters p
 tag, adjusted by the characters and tags that are links, so that prose scores high
 and menus low.  A node's density sum adds its children's densities, and the subtree
 with the largest sum is the article.  The least density on the path from it to the
-body is the threshold: a subtree elsewhere whose density sum beats it and that has a
-paragraph of its own is kept too when it stands beside the article inside the same
-parent.  Nodes that are no article text by their nature (menus, page headers and
+body is the threshold.  An article element around that subtree is taken as it is; without
+one the selection is lifted to the ancestor that holds every other part of the article: any
+subtree with prose that reaches the threshold, and headings, paragraphs, sections and blocks
+like the selected one that stand beside it.  Nodes that are no article text by their nature (menus, page headers and
 footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are
 cut before the densities are computed and again from what is selected.
 """
@@ -36,6 +37,10 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements of running text: beside the densest subtree they belong to it however short they are.
+FLOW = frozenset("p section blockquote pre ul ol dl li dt dd table figure".split())
+INLINE = frozenset("a abbr b bdi bdo cite code em i mark q s small span strong sub sup time u".split())
 #: Inside these an open paragraph of the outside is not closed by a block.
 SCOPE = frozenset("html body table td th caption button object template".split())
 
@@ -57,10 +62,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "parent", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "prose")
+    __slots__ = ("tag", "name", "kids", "parent", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "prose")
 
     def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.kids, self.cut = tag, parent, [], False
+        self.tag, self.name, self.parent, self.kids, self.cut = tag, "", parent, [], False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.prose = False
@@ -75,12 +80,11 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _is_cut(tag: str, raw: str, parent: Node) -> bool | int:
+def _is_cut(tag: str, attrs: dict[str, str], parent: Node) -> bool | int:
     if tag in CUT_TAGS or (tag == "header" and not _inside(parent, "article")):
         return True
-    if tag in ("html", "body") or not raw.strip(" /"):
+    if tag in ("html", "body") or not attrs:
         return False
-    attrs = _attributes(raw)
     if "hidden" in attrs or attrs.get("aria-hidden", "").strip().lower() == "true":
         return True
     if attrs.get("role", "").strip().lower() in CUT_ROLES:
@@ -154,7 +158,9 @@ def _open(here: Node, name: str, attrs: str, root: Node) -> Node:
         if last is not None and p is not None:
             here = last.parent
     node = Node(name, here)
-    node.cut = _is_cut(name, attrs, here)
+    named = _attributes(attrs) if attrs.strip(" /") else {}
+    node.name = named.get("class", "").strip() or named.get("id", "") and "#" + named["id"]
+    node.cut = _is_cut(name, named, here)
     here.kids.append(node)
     return node
 
@@ -258,15 +264,86 @@ def select(root: Node) -> list[Node]:
             around = node
             break
         node = node.parent
+    while around is not body and around.tag in INLINE:
+        around = around.parent
     if around.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and around.parent is not None and around is not body:
         around = around.parent
     parent = around.parent
     if around is body or parent is None:
         return [around]
-    beside = [k for k in parent.kids if isinstance(k, Node) and not k.cut]
     if around.tag in ("article", "main"):
-        return [k for k in beside if k is around or k.tag == around.tag and k.prose]
-    return [k for k in beside if k is around or k.prose and k.density >= threshold > 0 and k.link_chars * 2 < k.chars]
+        return [k for k in _kept(parent) if k is around or k.tag == around.tag and k.prose]
+    return [_lift(around, body, threshold)]
+
+
+def _kept(node: Node) -> list[Node]:
+    return [k for k in node.kids if isinstance(k, Node) and not k.cut]
+
+
+def _linked(node: Node) -> bool:
+    return node.link_chars * 2 >= node.chars
+
+
+def _lift(best: Node, body: Node, threshold: float) -> Node:
+    """The lowest node around ``best`` that holds every part of the article; what stands between and beside
+    the parts and is none (menus, teasers) is cut."""
+    order, stack = [], [body]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(_kept(node))
+    dense, headed = set(), set()  # nodes that are, or hold, a subtree over the threshold; a heading
+    for node in reversed(order):
+        inner = _kept(node)
+        if node.prose and node.density >= threshold > 0 and not _linked(node) or any(id(k) in dense for k in inner):
+            dense.add(id(node))
+        if node.tag in HEADINGS and node.chars or any(id(k) in headed for k in inner):
+            headed.add(id(node))
+
+    def is_part(k: Node, beside: Node | None) -> bool:
+        if not k.chars or k.tag in HEADINGS or id(k) in dense:
+            return k.chars > 0
+        alike = beside is not None and (k.tag, k.name) == (beside.tag, beside.name) and (k.name or k.parent is not body)
+        return k.prose and not _linked(k) and bool(
+            k.tag in FLOW or id(k) in headed or alike or 10 * (k.chars - k.link_chars) >= best.chars)
+
+    def running(node: Node) -> bool:
+        return any(isinstance(k, str) and len(_SPACE.sub("", k)) > 40 for k in node.kids)
+
+    def trim(node: Node, path: Node | None) -> None:
+        """Cut the children that are neither parts nor stand between two of them as text."""
+        text = running(node)
+        part = [isinstance(k, Node) and not k.cut and (k is path or is_part(k, path)) for k in node.kids]
+        if node is not body and any(p and k is not path and (k.tag in FLOW or k.tag in HEADINGS)
+                                    for k, p in zip(node.kids, part)):  # text runs here, so its short blocks are text too
+            part = [p or isinstance(k, Node) and not k.cut and k.prose and not _linked(k) for k, p in zip(node.kids, part)]
+        places = [i for i, p in enumerate(part) if p]
+        for i, k in enumerate(node.kids):
+            if isinstance(k, str) or k.cut or not k.chars:
+                continue
+            between = places and places[0] < i < places[-1]
+            if not (part[i] or text and k.tag in INLINE or between and (k.tag == "p" or not _linked(k))):
+                k.cut = True
+            elif k is not path and _linked(k) and id(k) in dense:
+                todo.append(k)
+        # separators of links that are gone
+        gone = [isinstance(k, Node) and k.cut for k in node.kids] + [False]
+        node.kids = [" " if isinstance(k, str) and (gone[i - 1] or gone[i + 1]) and not any(c.isalnum() for c in _html.unescape(k))
+                     else k for i, k in enumerate(node.kids)]
+
+    top = node = best
+    while node is not body:
+        if running(node.parent) or any(k is not node and is_part(k, node) for k in _kept(node.parent)):
+            top = node.parent
+        node = node.parent
+    todo: list[Node] = []
+    node = best
+    while node is not top:
+        trim(node.parent, node)
+        node = node.parent
+    while todo:
+        trim(todo.pop(), None)
+    return top
 
 
 def blocks(nodes: list[Node]) -> list[str]:

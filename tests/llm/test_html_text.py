@@ -24,6 +24,33 @@ def test_article_in_plain_divisions():
     assert main_text(p).split("\n") == [(PROSE * 3).strip(), (PROSE * 2).strip(), "Short end."]
 
 
+def test_every_part_of_an_article_without_an_element():
+    texts = [f"{w} " + "word and words " * 13 for w in "abcdefgh"]
+    ps = [f"<p>{t}</p>" for t in texts]
+    want = [t.strip() for t in texts]
+    menu = "<div class=top><a href=1>one</a> | <a href=2>two</a> | <a href=3>three</a></div>"
+    column = "<div class=col><div class=txt>{}</div></div>"
+    for box in (column, "<div><div>{}</div></div>", "<section>{}</section>"):
+        two = box.format("".join(ps[:4])) + box.format("".join(ps[4:]))
+        assert main_text(page(f"{menu}<div class=row>{two}</div>{menu}")).split("\n") == want
+        assert main_text(page(f"{menu}{two}{menu}")).split("\n") == want
+    long = "".join(ps)
+    for box in ("<section>{}</section>", "<div class=part>{}</div>", "<div>{}</div>"):
+        got = main_text(page(f"{menu}<div id=content><h1>Title</h1><p>A short intro of the text.</p>{box.format('<h2>One</h2>' + long)}<hr>"
+                             f"<h2>Between</h2>{box.format('<h2>Two</h2><p>A short end.</p>')}<p>Last words.</p></div>{menu}"
+                             "<div class=legal><p>Some rights.</p></div>"))
+        assert got.split("\n") == ["Title", "A short intro of the text.", "One", *want, "Between", "Two", "A short end.", "Last words."]
+    for box in ("<div>{}</div>", "<div class=part>{}</div>"):
+        two = box.format(long) + box.format("<p>A short end.</p>")
+        assert main_text(page(f"{menu}<div id=content>{two}</div><div id=legal><p>Some rights.</p></div>")).split("\n") == [*want, "A short end."]
+    # far apart, a linked wrapper around the second half, a teaser between, loose text
+    got = main_text(page(f"<div><div><div>{''.join(ps[:4])}</div></div></div><div><a href=1>{'teaser ' * 9}</a></div><div>By me</div>"
+                         f"<div><div><a href=2>{'link ' * 400}</a></div><div>{''.join(ps[4:])}</div></div>"))
+    assert got.split("\n") == want[:4] + ["By me"] + want[4:]
+    got = main_text(page(f"{menu}<div>{texts[0]}<b>bold</b> end<div>{''.join(ps[1:])}</div>Short.</div>"))
+    assert got.split("\n") == [f"{texts[0]}bold end", *want[1:], "Short."]
+
+
 def test_names_of_layout_and_header_blocks():
     s = PROSE.strip()
     assert main_text(page(f"<div class='content with-sidebar'><article><div class=article-header><h1>T</h1></div><p>{PROSE}</p>"
