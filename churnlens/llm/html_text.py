@@ -48,16 +48,30 @@ SCOPE = frozenset("html body table td th caption button object template".split()
 CUT_TAGS = frozenset("""head script style noscript template iframe object embed svg canvas nav footer aside form button
 select textarea input label fieldset dialog menu noembed noframes xmp title""".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-CUT_WORDS = re.compile(r"""(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|sidebar\w*|
-    side|footer\w*|header|masthead|breadcrumb\w*|cookie\w*|consent\w*|gdpr|notice\w*|popup\w*|modal\w*|overlay\w*|subscribe\w*|
-    newsletter\w*|signup|login|share\w*|sharing|social\w*|related\w*|recommend\w*|comment\w*|disqus\w*|repl(?:y|ies)|
-    discussion|respond|widget\w*|pagination|pager|skip|toolbar|toc)(?=$|[\s_-])""", re.I | re.X)
+# whole words with the endings that furniture has: "share" and "sharebar", but not "shareholders"
+_PIECE = "s|bars?|box|boxes|lists?|links?|posts?|articles?|buttons?|btns?|icons?|forms?|areas?|sections?|wrap|wrapper|containers?|blocks?|menus?|items?"
+CUT_WORDS = re.compile(rf"""(?:^|[\s_-])(?:
+    (?:ad|advert|banner|sponsor|promo|nav|menu|sidebar|footer|breadcrumb|cookie|consent|notice|popup|modal|overlay|subscribe|
+    newsletter|share|social|related|recommended|comment|widget)(?:{_PIECE})?|
+    adverti[sz]ing|adverti[sz]ements?|adsense|adsbygoogle|sponsored|promotions?|promoted|navigations?|submenus?|header|masthead|
+    side|gdpr|subscriptions?|subscribers?|signup|login|sharing|sharethis|sharedaddy|addthis|socialmedia|relatedcontent|
+    recommendations?|commenters?|commenting|commentlist|disqus|disqus_thread|repl(?:y|ies)|discussion|respond|pagination|pager|
+    skip|skiplinks?|toolbars?|toc)(?=$|[\s_-])""", re.I | re.X)
+#: Furniture words that are as often what a part of an article is about, and words that say nothing beside them.
+TOPICS = frozenset("discussion recommendation recommendations".split())
+_PLAIN = re.compile(rf"""\d+|{_PIECE}|site|page|main|top|bottom|left|right|primary|secondary|inner|outer|global|slot|unit|count|thread|
+    media|entry|content|story|blog|user|reader|inline|mobile|desktop|gpt|div|wp|js|module|component|sticky|more|the|this|to|of|and|for|a""",
+                    re.I | re.X)
+#: What these are named is a link target or a subject, rarely a kind of furniture.
+TEXT_TAGS = HEADINGS | FLOW | INLINE | {"figcaption", "tr"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|
     <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S | re.X)
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Cut by what a class or id says, which may be a layout name of the part that holds the article.
 NAMED = 2
+#: Cut as a form, which on some sites is wrapped around the whole page.
+FORM = 3
 _SPACE = re.compile(r"\s+")
 
 
@@ -81,22 +95,47 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _is_cut(tag: str, attrs: dict[str, str], parent: Node) -> bool | int:
-    if tag in CUT_TAGS or (tag == "header" and not _inside(parent, "article")):
+    if tag in CUT_TAGS and tag != "form" or tag == "header" and not _inside(parent, "article"):
         return True
-    if tag in ("html", "body") or not attrs:
+    if tag in ("html", "body"):
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden", "").strip().lower() == "true":
+    role = attrs.get("role", "").strip().lower()
+    if "hidden" in attrs or attrs.get("aria-hidden", "").strip().lower() == "true" or role in CUT_ROLES and role != "form":
         return True
-    if attrs.get("role", "").strip().lower() in CUT_ROLES:
-        return True
-    if tag not in ("article", "main"):
-        for name in ("class", "id", "aria-label"):
-            found = {m.strip(" _-").lower() for m in CUT_WORDS.findall(attrs.get(name, ""))}
-            if found - {"header"} or found and not (_inside(parent, "article") or _inside(parent, "main")):
-                return NAMED
+    if tag == "form" or role == "form":
+        return FORM
+    if tag in ("article", "main"):
+        return False
+    for name in ("class", "id", "aria-label"):
+        found = _furniture(attrs.get(name, ""))
+        if not found:
+            continue
+        within = _inside(parent, "article") or _inside(parent, "main")
+        if found <= {"header"} and (within or tag in HEADINGS):
+            continue
+        # a division that says it is a section is one
+        text = tag in TEXT_TAGS or tag == "div" and "section" in attrs.get("class", "").lower().split()
+        if within or text and (tag in HEADINGS or tag in ("p", "section", "span", "div")):
+            # an id may be a link target; other names count if they say nothing but furniture
+            if name == "id" and text and (within or tag in HEADINGS or tag == "p"):
+                continue
+            names = [attrs[name]] if name == "aria-label" else attrs[name].split()
+            if not any(_furniture_only(v, TOPICS if text else ()) for v in names):
+                continue
+        return NAMED
     return False
 
 
+def _furniture(value: str) -> set[str]:
+    """Words of a class, id or label that name furniture."""
+    return {m.strip(" _-\t\r\n\f").lower() for m in CUT_WORDS.findall(value)} if value else set()
+
+
+def _furniture_only(value: str, but) -> bool:
+    words = [w for w in re.split(r"[\s_-]+", value.lower()) if w and not _PLAIN.fullmatch(w)]
+    return bool(words) and all(w not in but and _furniture(w) for w in words)
+
+
 def _inside(node: Node | None, tag: str) -> bool:
     while node is not None:
         if node.tag == tag:
@@ -176,7 +215,8 @@ def _close(here: Node, name: str) -> Node:
 
 
 def _rescue(root: Node) -> None:
-    """Undo cuts by name around an article or main element and, where the page has none, around most of its text."""
+    """Undo cuts by name and of forms around an article or main element and, where the page has none, around most
+    of its text; a form with most of the text is kept on every page."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -194,7 +234,7 @@ def _rescue(root: Node) -> None:
     while stack:
         node = stack.pop()
         if node.cut:
-            if id(node) not in holds and (holds or 2 * chars[id(node)] <= chars[id(root)]):
+            if id(node) not in holds and (holds and node.cut != FORM or 2 * chars[id(node)] <= chars[id(root)]):
                 continue
             node.cut = False
         stack.extend(k for k in node.kids if isinstance(k, Node) and k.cut is not True)

@@ -72,6 +72,37 @@ def test_attributes_are_read_by_their_names():
     assert main_text(f"<html><body aria-hidden=true><p>{PROSE}</p></body></html>") == s
 
 
+def test_names_that_are_no_furniture():
+    s = PROSE.strip()
+    names = ("discussion", "related-work", "recommendations", "social-history", "naval-history", "shareholders", "side-effects", "notice")
+    for box in ("article", "main"):
+        for name in names:
+            got = main_text(page(f"<{box}><h1>T</h1><p>{PROSE}</p><section id={name}><h2 id={name}>H <span id={name}>I</span></h2><p id={name}>{PROSE}</p>"
+                                 f"</section><div class=section id={name}><p>{PROSE}</p></div></{box}>"))
+            assert got.split("\n") == ["T", s, "H I", s, s], (box, name)
+    for name in names[1:2] + names[3:7]:
+        got = main_text(page(f"<article><p>{PROSE}</p><section class={name} aria-label='{name}'><p class={name}>{PROSE}</p></section>"
+                             f"<div class={name}><p>{PROSE}</p></div></article>"))
+        assert got.split("\n") == [s] * 3, name
+    for name in names[:6]:  # the same without an article element
+        got = main_text(page(f"<div><section><h2 id={name}>H</h2><p>{PROSE}</p></section><section id={name}><p id={name}>{PROSE}</p></section></div>"))
+        assert got.split("\n") == ["H", s, s], name
+    for name in ("comments", "related-posts", "share", "ad-slot-3", "sidebar", "cookie-notice", "navbar", "socialIcons", "sponsored", "newsletter-box"):
+        for where in ("<article><p>{0}</p>{1}</article>", "<article><p>{0}</p></article>{1}", "<div><div><p>{0}</p><p>{0}</p></div></div>{1}"):
+            for tag in ("section", "div"):
+                got = main_text(page(where.format(PROSE, f"<{tag} class={name}><p>No {PROSE}</p></{tag}>")))
+                assert set(got.split("\n")) == {s}, (name, where, tag)
+
+
+def test_form_around_the_page():
+    s = PROSE.strip()
+    inner = f"<div class=top><a href=1>one</a></div><div><h1>T</h1><p>{PROSE}</p><p>{PROSE}</p><select><option>x</select></div>"
+    assert main_text(page(f"<form id=aspnetForm role=form>{inner}</form>")).split("\n") == ["T", s, s]
+    assert main_text(page(f"<form><main>{inner}</main></form>")).split("\n")[-3:] == ["T", s, s]
+    assert main_text(page(f"<main><form><p>{PROSE}</p><p>{PROSE}</p></form></main>")).split("\n") == [s, s]
+    assert main_text(page(f"<article><p>{PROSE}</p><form><p>Ask</p></form></article><form hidden><p>{PROSE * 9}</p></form>")) == s
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html></html>") == ""
     assert main_text("just words") == "just words"
