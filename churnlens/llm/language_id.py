@@ -139,20 +139,23 @@ def fit(x: np.ndarray, y: list[str], steps: int = 150, rate: float = 0.15, decay
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
           rows_per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
     """Fit on at most ``rows_per_language`` rows of each non-null language, those with the smallest
-    hash of their text (repeated texts count once); None if there are none.  The choice needs one
-    aggregate: no sort, and the driver gets only the chosen rows' feature vectors."""
+    hash of their text (repeated texts count once); None if there are none.  Every language with a
+    text gives one at least.  The choice needs the distinct hashes counted: no sort, and the driver gets
+    only the chosen rows' feature vectors."""
     known = docs.select(F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text")) \
         .where(F.col("_lang").isNotNull() & F.col("_text").isNotNull())
     keyed = known.withColumn("_h", F.xxhash64("_text"))
-    # hashes are even over their range, so a cut per language comes from its count alone; twice the
-    # wanted share is taken, and the smallest hashes of it
-    counts = {r["_lang"]: r["n"] for r in keyed.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # hashes are even over their range, so a cut per language comes from its count of texts alone (copies
+    # count once, as they are picked once): half as many again as wanted, the smallest hash in any case
+    texts = keyed.select("_lang", "_h").distinct()  # combined before the shuffle
+    counts = {r["_lang"]: (r["n"], r["least"]) for r in
+              texts.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"), F.min("_h").alias("least")).collect()}
     if not counts:
         return None
     chosen = F.lit(False)
-    for lang, n in counts.items():
+    for lang, (n, least) in counts.items():
         share = min(1.0, 1.5 * rows_per_language / n)
-        cut = int(-2**63 + share * (2**64 - 1))
+        cut = max(int(-2**63 + share * (2**64 - 1)), least)
         chosen = chosen | ((F.col("_lang") == lang) & (F.col("_h") <= F.lit(min(cut, 2**63 - 1))))
     # a text that many rows repeat is one row here, so the driver's share stays bounded
     picked = keyed.where(chosen).groupBy("_lang", "_h").agg(F.first("_text").alias("_text"))

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from churnlens.llm import language_id as L
 from churnlens.llm.common import byte_view, learnable
@@ -53,6 +54,21 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in L.identify(d.where("doc_id < 12"), one).collect()} == {"en"}
 
 
+def test_languages_of_many_copies_are_learned(spark):
+    letters = "abcdefghijkl"
+    copies = spark.createDataFrame([(f"l{c}", f"{c}{c} {c}o {c * 3} ") for c in letters], "lang string, text string") \
+        .crossJoin(spark.range(1000).select(F.col("id").alias("doc_id")))
+    twenty = spark.range(10000).select(F.lit("en").alias("lang"), F.concat(F.lit("the and of that "), F.col("id") % 20).alias("text"),
+                                       (F.col("id") + 1000).alias("doc_id"))
+    model = L.train(copies.unionByName(twenty))
+    assert model.languages == ["en"] + [f"l{c}" for c in letters]
+    got = L.identify(copies.where("doc_id = 0").drop("lang").withColumn("doc_id", F.col("text")), model).collect()
+    assert all(r.lang_pred == "l" + r.doc_id[0] for r in got) and len(got) == 12
+    last = copies.orderBy(F.xxhash64("text").desc()).first()["lang"]  # its only hash is high in the range
+    assert L.train(copies.where(F.col("lang") == last)).languages == [last]
+    assert L.train(twenty, rows_per_language=1).languages == ["en"]
+
+
 @pytest.mark.parametrize("n", [1])
 def test_one_language_has_an_empty_code(n):
     assert L.codewords(n).shape == (1, 0)
