@@ -152,6 +152,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     """One row per input row: id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit``).
 
     Null and empty texts have zero of both.  Repeated rows and null ids give a row each.
+    SentencePiece files (``.model``) rewrite white space at a chunk's start, so there a long text with
+    other white space than single blanks inside is encoded whole, in memory that grows with its length.
     Only the id and the text are read, so other columns may have any name.  A row is
     counted where it lies: there is no shuffle, and a lost task is run again alone.
     """
@@ -169,7 +171,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
                 known.update(zip(short[a:a + 256], tok.counts(short[a:a + 256])))
             for t in known:
                 if t and len(t) > chunk:
-                    known[t] = len(chunked_ids(t, tok.offsets, chunk, overlap))
+                    whole = tok.sentencepiece and t != " ".join(t.split())
+                    known[t] = tok.counts([t])[0] if whole else len(chunked_ids(t, tok.offsets, chunk, overlap))
             counts = np.array([known[t] for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(np.diff(byte_view(batch.column("_text"))[1])),

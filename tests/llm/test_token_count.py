@@ -36,3 +36,15 @@ def test_rows(spark):
     assert got == {(1, 0, 0, False), (2, 0, 0, False), (None, 11, 2, False), (3, 3600, n, n > 512)}
     assert count_tokens(df, tokenizer_file("byte_bpe_50k.json")).count() == 5
     assert count_tokens(df.limit(0), tokenizer_file("byte_bpe_50k.json")).count() == 0
+
+
+def test_long_texts_with_any_white_space_in_a_sentencepiece_file(spark):
+    path = tokenizer_file("piece_bpe_32k.model")
+    tok, rng = TokenizerFile(path), random.Random(8)
+    mixed = ["".join(rng.choice(TEXTS)[:rng.randrange(1, 300)] + rng.choice(["", " ", "\n", "  "])
+                     for _ in range(60)) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate([*TEXTS, *mixed]) if t]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for chunk, overlap in ((64, 8), (300, 32), (1000, 64)):
+        got = {r.doc_id: r.n_tokens for r in count_tokens(df, path, chunk=chunk, overlap=overlap).collect()}
+        assert got == {i: tok.counts([t])[0] for i, t in rows}
