@@ -175,3 +175,74 @@ def op6(spark, sf_dir):
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return got.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The tree level by level: a recursive step hashes every sixteen nodes of a tree that still has several, and
+#: carries finished trees on unchanged. crc32 is folded over the digits with a table that eight shifts make.
+_OP13_SQL = """
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) t(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS (SELECT row_number() OVER () AS rid, doc_id, source, lang, n_chars, text,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+digits(rid, s, c) AS (
+  SELECT rid, CAST(doc_id AS VARCHAR), CAST(4294967295 AS BIGINT) FROM d WHERE doc_id IS NOT NULL UNION ALL
+  SELECT rid, s[2:], xor(c // 256, t[1 + xor(c % 256, ascii(s[1]))]) FROM digits, tab WHERE len(s) > 0),
+crc AS (SELECT rid, xor(c, 4294967295) % 5 = 0 AS tampered FROM digits WHERE len(s) = 0),
+head AS (SELECT d.*, coalesce(tampered, false) AS tampered, concat(
+    coalesce(concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id), '-'), coalesce(concat(strlen(source), ':', source), '-'),
+    coalesce(concat(strlen(lang), ':', lang), '-'),
+    coalesce(concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars), '-')) AS h FROM d LEFT JOIN crc USING (rid)),
+leaf AS (SELECT rid, doc_id, coalesce('=' || source, '-') AS g,
+    sha256(concat(h, coalesce(concat(strlen(text), ':', text), '-'))) AS dig,
+    sha256(concat(h, CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', CASE WHEN tampered THEN low ELSE text END) END)) AS seen
+  FROM head),
+up(lev, g, pos, dig, n) AS (
+  SELECT 0, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, dig) - 1, dig, count(*) OVER (PARTITION BY g) FROM leaf
+  UNION ALL
+  SELECT lev, g, p, dig, count(*) OVER (PARTITION BY g) FROM (
+    SELECT lev + 1 AS lev, g, pos // 16 AS p, sha256(string_agg(dig, '' ORDER BY pos)) AS dig FROM up WHERE n > 1
+    GROUP BY lev, g, pos // 16)),
+subroot AS (SELECT g, dig, lev FROM up WHERE n = 1),
+top(lev, pos, dig, n) AS (
+  SELECT 0, row_number() OVER (ORDER BY g) - 1, dig, count(*) OVER () FROM subroot
+  UNION ALL
+  SELECT lev, p, dig, count(*) OVER () FROM (
+    SELECT lev + 1 AS lev, pos // 16 AS p, sha256(string_agg(dig, '' ORDER BY pos)) AS dig FROM top WHERE n > 1
+    GROUP BY lev, pos // 16)),
+place AS (SELECT g, row_number() OVER (ORDER BY g) - 1 AS pos FROM subroot),
+steps AS (
+  SELECT lev, g, pos, n, string_agg(dig, '' ORDER BY pos) OVER r AS dig, list(dig) OVER r AS run,
+         row_number() OVER (PARTITION BY lev, g, pos // 16 ORDER BY pos) AS slot
+  FROM (SELECT lev, g, pos, dig, n FROM up WHERE n > 1 UNION ALL SELECT 1000 + lev, '', pos, dig, n FROM top WHERE n > 1)
+  WINDOW r AS (PARTITION BY lev, g, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+walk(rid, g, lev, pos, cur, sib) AS (
+  SELECT l.rid, l.g, 0, u.pos, l.seen, '' FROM (
+      SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, dig) - 1 AS pos FROM leaf) l
+    JOIN up u ON u.lev = 0 AND u.g = l.g AND u.pos = l.pos
+  UNION ALL
+  SELECT w.rid, w.g, CASE WHEN s.pos IS NULL THEN 1000 ELSE w.lev + 1 END,
+    CASE WHEN s.pos IS NULL THEN p.pos ELSE w.pos // 16 END,
+    CASE WHEN s.pos IS NULL THEN w.cur ELSE sha256(concat(array_to_string(s.run[:s.slot - 1], ''), w.cur, array_to_string(s.run[s.slot + 1:], ''))) END,
+    CASE WHEN s.pos IS NULL THEN w.sib ELSE concat(w.sib, array_to_string(s.run[:s.slot - 1], ''), array_to_string(s.run[s.slot + 1:], '')) END
+  FROM walk w LEFT JOIN steps s ON s.lev = w.lev AND s.g = (CASE WHEN w.lev < 1000 THEN w.g ELSE '' END) AND s.pos = w.pos
+    LEFT JOIN place p ON p.g = w.g
+  WHERE w.lev < 1000 OR s.pos IS NOT NULL),
+ends AS (SELECT rid, arg_max(cur, lev) AS cur, arg_max(sib, lev) AS sib FROM walk WHERE lev >= 1000 GROUP BY rid),
+root AS (SELECT dig FROM top WHERE n = 1)
+SELECT l.doc_id, l.dig AS leaf, sr.dig AS subroot, root.dig AS root, sha256(e.sib) AS proof_sha256, e.cur AS folded_root,
+  e.cur = root.dig AS verified
+FROM leaf l JOIN subroot sr ON sr.g = l.g JOIN ends e ON e.rid = l.rid, root"""
+
+
+@register("op13_merkle", sql=_OP13_SQL)
+def op13(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from churnlens.llm.common import held_out
+    from churnlens.llm.merkle import build, fold_proofs
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = F.translate("text", upper, upper.lower())
+    # the rows whose crc32 five divides are the ones whose text is seen in lower case
+    return fold_proofs(build(read_table(spark, sf_dir, "documents"), changes={"text": lowered}, changed_where=held_out()))
