@@ -246,3 +246,24 @@ def op13(spark, sf_dir):
     lowered = F.translate("text", upper, upper.lower())
     # the rows whose crc32 five divides are the ones whose text is seen in lower case
     return fold_proofs(build(read_table(spark, sf_dir, "documents"), changes={"text": lowered}, changed_where=held_out()))
+
+
+#: All pairs of a query and another vector, best products first.
+_OP11_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, e FROM v
+      WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x <> 0]) > 0
+        AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0),
+near AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.e, b.e) + 0.0 AS score
+         FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 20 = 0),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                  vec_id, score FROM near)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
+@register("op11_vp_tree", sql=_OP11_SQL)
+def op11(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from churnlens.llm.vp_tree import nearest
+    return nearest(read_table(spark, sf_dir, "embeddings"), where=F.col("vec_id") % 20 == 0, k=20, factor=1.0)
