@@ -267,3 +267,10 @@ def op11(spark, sf_dir):
 
     from churnlens.llm.vp_tree import nearest
     return nearest(read_table(spark, sf_dir, "embeddings"), where=F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
+@register("op12_token_alignment")
+def op12(spark, sf_dir):
+    from churnlens.llm.token_alignment import align_tokens
+    return align_tokens(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                        tokenizer_file("piece_bpe_32k.model"))
