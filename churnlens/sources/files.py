@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.schemas import FEATURE_COLUMNS, PROFILE, RAW_USERS, REPO
+from churnlens.sources.csv_records import read_quoted_csv
 
 # Text tokens that a CSV reader treats as missing (pandas defaults).
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -35,12 +36,17 @@ def _typed(c: str, dtype: T.DataType) -> F.Column:
     return s
 
 
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file, or of the first file of a folder."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV read as text, then typed column by column; extra columns are ignored.
 
-    Quotes inside a quoted cell are doubled, and a quoted cell may hold commas and line breaks."""
-    raw = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-           .option("multiLine", True).csv(path))
+    Quotes inside a quoted cell are doubled, and a quoted cell may hold commas and line breaks; a large
+    file is read by many tasks all the same (:mod:`churnlens.sources.csv_records`)."""
+    raw = read_quoted_csv(spark, path, _header(spark, path))
     cols = [(_typed(f.name, f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields]
     return raw.select(*cols)  # absent optional columns arrive as NULL
@@ -83,7 +89,7 @@ def is_csv(spark: SparkSession, path: str) -> bool:
 
 def read_feature_table(spark: SparkSession, path: str, key: str = "username") -> DataFrame:
     """A feature table written as CSV: the key, the known features that it has, and the label."""
-    names = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+    names = _header(spark, path)
     kinds = {key: T.StringType(), "churn": T.IntegerType()} | {c: T.DoubleType() for c in FEATURE_COLUMNS}
     return read_csv_table(spark, path, T.StructType([T.StructField(c, kinds[c]) for c in names if c in kinds]))
 
