@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from churnlens.functions.scalars import (
     clean_count, days_since, finite_or_null, parse_ts, safe_years, text_present,
 )
-from churnlens.operators.quantiles import exact_medians
+from churnlens.operators.quantiles import interpolate, order_statistics, quantile_ranks
 from churnlens.schemas import FEATURE_COLUMNS, REQUIRED_RAW, require_columns
 from churnlens.session import materialize
 
@@ -74,14 +74,18 @@ def raw_feature_frame(raw: DataFrame, as_of, key: str = "username") -> DataFrame
 def fill_values(frame: DataFrame) -> dict[str, float]:
     """Per-column fill value for columns with missing entries: median, else 0.0."""
     doubles = [c for c in FEATURE_COLUMNS if c not in ("has_no_repos", "has_complete_profile")]
-    # one pass: missing and present counts (NaN/Inf are already NULL in the frame)
-    r = frame.agg(*[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in doubles],
-                  *[F.count(c).alias(f"n_{c}") for c in doubles]).first()
-    gappy = [c for c in doubles if r[f"m_{c}"] > 0]
-    if not gappy:
-        return {}
-    med = exact_medians(frame, gappy, counts={c: r[f"n_{c}"] for c in gappy})
-    return {c: (0.0 if med[c] is None else float(med[c])) for c in gappy}
+    # missing and present counts come with the first pass of the medians (NaN/Inf are already NULL in the frame)
+    counts = {f"{kind}_{c}": (agg, "sum") for c in doubles for kind, agg in
+              (("m", F.count_if(F.col(c).isNull())), ("n", F.count(c)))}
+    middle = quantile_ranks([0.5])
+    values, row, _ = order_statistics(frame, {c: F.col(c) for c in doubles},
+                                      lambda c, n, seen: middle(c, n, seen) if seen[f"m_{c}"] else [], first=counts)
+    out = {}
+    for c in doubles:
+        if row[f"m_{c}"]:
+            median = interpolate(values[c], row[f"n_{c}"], [0.5])[0]
+            out[c] = 0.0 if median is None else float(median)
+    return out
 
 
 def apply_fill(frame: DataFrame, fills: dict[str, float]) -> DataFrame:

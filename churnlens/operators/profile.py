@@ -8,10 +8,13 @@ distributed exact order statistics in :mod:`churnlens.operators.quantiles`.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.quantiles import exact_quantiles
+from churnlens.operators.quantiles import finite, interpolate, order_statistics, quantile_ranks
+from churnlens.session import materialize
 
 
 def null_profile(df: DataFrame, only_gappy: bool = True) -> DataFrame:
@@ -40,25 +43,35 @@ def column_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (interpolated), max per column.
 
-    NULL is skipped as in the reference; one aggregate for the moments, the
-    distributed order-statistic search for the quartiles (three values per
-    column reach the driver).
+    NULL and NaN are skipped as in the reference, and quartiles skip ±Inf too.  The moments share the two
+    passes of the order statistics: sums and extremes come with the sketches, squared distances from the
+    mean with the counts that close the brackets.
     """
-    spark = df.sparkSession
+    spark, probs = df.sparkSession, [0.25, 0.5, 0.75]
     # NaN counts as missing (as in pandas); Spark's count/avg would include it
     dbl = df.select(*[F.when(F.isnan(F.col(c).cast("double")), F.lit(None)).otherwise(F.col(c).cast("double"))
                       .alias(c) for c in cols])
-    aggs = []
-    for c in cols:
-        aggs += [F.count(c).cast("long").alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
-                 F.stddev_samp(c).alias(f"{c}__std"), F.min(c).alias(f"{c}__min"),
-                 F.max(c).alias(f"{c}__max")]
-        aggs.append(F.count_if(F.abs(c) < F.lit(float("inf"))).alias(f"{c}__finite"))
-    m = dbl.agg(*aggs).first()
-    q = exact_quantiles(dbl, cols, [0.25, 0.5, 0.75], counts={c: m[f"{c}__finite"] for c in cols})
+    first = {}
+    for i, c in enumerate(cols):
+        first |= {f"count{i}": (F.count(c), "sum"), f"sum{i}": (F.sum(c), "sum"), f"min{i}": (F.min(c), "min"),
+                  f"max{i}": (F.max(c), "max"), f"finite{i}": (F.count(finite(F.col(c))), "sum")}
+
+    def mean(row, i):
+        return row[f"sum{i}"] / row[f"count{i}"] if row[f"count{i}"] else None
+
+    def second(row):
+        return {f"m2{i}": (F.sum((F.col(c) - F.lit(mean(row, i))) * (F.col(c) - F.lit(mean(row, i)))), "sum")
+                for i, c in enumerate(cols) if row[f"count{i}"]}
+
+    values, one, two = order_statistics(dbl, {c: finite(F.col(c)) for c in cols}, quantile_ranks(probs), first=first, second=second)
+    rows = []
+    for i, c in enumerate(cols):
+        n = one[f"count{i}"] or 0
+        std = math.sqrt(two[f"m2{i}"] / (n - 1)) if n > 1 else None
+        rows.append((c, n, mean(one, i) if n else None, std, one[f"min{i}"],
+                     *interpolate(values[c], one[f"finite{i}"] or 0, probs), one[f"max{i}"]))
     schema = "field string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
-    return spark.createDataFrame([(c, m[f"{c}__count"], m[f"{c}__mean"], m[f"{c}__std"], m[f"{c}__min"], *q[c], m[f"{c}__max"])
-                                  for c in cols], schema)
+    return spark.createDataFrame(rows, schema)
 
 
 def means_by_label(df: DataFrame, cols: list[str], label: str = "churn") -> DataFrame:
@@ -73,24 +86,23 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 40, by: str | None = N
     With ``by`` (a low-cardinality label), every group gets its own range, as
     one histogram call per group would.  Bin i covers [lo + i·w, lo + (i+1)·w); the maximum lands in the last bin.
     A constant column is spread over [v − 0.5, v + 0.5] as numpy does.  Empty
-    bins are not listed.  Range = one global aggregate; counting = one
-    aggregate keyed by (column, bin) with map-side combining.
+    bins are not listed.  Ranges are one aggregate, written and joined (broadcast where small); values are
+    counted by (column, bin) with map-side combining, so only counts are shuffled.
     """
     keys = [by] if by else []
     long = (df.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in cols])))
         .where(F.col("v").isNotNull() & ~F.isnan("v")))
     rng = long.groupBy(*keys, "field").agg(F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-    rng = rng.select(*keys, "field",
+    # written, so that the planner knows its size before it chooses how to join: tiny unless ``by`` has many values
+    rng = materialize(rng.select(*keys, "field",
                      F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")).alias("lo"),
-                     F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi"))
-    # equal values are counted first, so a (group, column) that holds most rows meets its range as
-    # its distinct values; how to join is left to the planner, which knows the range table's size
-    j = long.groupBy(*keys, "field", "v").agg(F.count(F.lit(1)).alias("_c")).join(rng, [*keys, "field"])
+                     F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi")), "histogram-ranges")
+    j = long.join(rng, [*keys, "field"])
     b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(bins)).cast("int"),
                 F.lit(bins - 1))
     w = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    return (j.groupBy(*keys, "field", b.alias("bin"), "lo", "hi").agg(F.sum("_c").alias("count"))
+    return (j.groupBy(*keys, "field", b.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
             .select(*keys, "field", "bin",
                     (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
                     (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
