@@ -12,10 +12,13 @@ partition to one row per map task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.operators.latent import user_index
 from churnlens.operators.sampling import hash_key
 from churnlens.session import ensure_checkpoint_dir, materialize
 
@@ -81,64 +84,92 @@ def degree_centrality(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                     .alias("degree_centrality")))
 
 
+#: Targets of a source that one row of the adjacency table holds at most.
+BLOCK_TARGETS = 4096
+
+
+@dataclass
+class Adjacency:
+    """A graph over dense ids: ``ids`` (username, id), ``blocks`` (src, block, outdeg, targets), the targets of a
+    source cut at a fixed length, and ``counts`` (src, outdeg, blocks) of every source.
+
+    A hot source is many rows of one size under keys of their own, (src, block), so its edges lie in
+    as many tasks as they need; 8-byte ids travel in place of names."""
+
+    ids: DataFrame
+    blocks: DataFrame
+    counts: DataFrame
+    n: int
+
+
+def adjacency(nodes: DataFrame, edges: DataFrame, block: int = BLOCK_TARGETS) -> Adjacency:
+    """The adjacency of the edges between ``nodes`` (unique by username); edges that repeat count as often."""
+    ids = materialize(user_index(nodes.select("username"), name="id"), "graph-ids")
+    src = ids.select(F.col("username").alias("src"), F.col("id").alias("_s"))
+    dst = ids.select(F.col("username").alias("dst"), F.col("id").alias("_d"))
+    # a name with many edges meets its id in a join whose hot partitions AQE splits
+    e = materialize(edges.join(src, "src").join(dst, "dst").select(F.col("_s").alias("src"), F.col("_d").alias("dst")), "graph-id-edges")
+    counts = materialize(e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
+                         .withColumn("blocks", F.ceil(F.col("outdeg") / F.lit(block)).cast("int")), "graph-degrees")
+    # a target's block is its hash's: a block holds about ``block`` targets, and no source is in one task
+    blocks = (e.join(counts, "src").withColumn("block", F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int"))
+              .groupBy("src", "block").agg(F.first("outdeg").alias("outdeg"), F.collect_list("dst").alias("targets")))
+    return Adjacency(ids, materialize(blocks, "graph-blocks"), counts, ids.count())
+
+
+def _per_block(rows: DataFrame, node: str, counts: DataFrame) -> DataFrame:
+    """``rows`` once per block of their node's targets; rows whose node has none are left out."""
+    few = counts.select(F.col("src").alias(node), "blocks")
+    return rows.join(few, node).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+
+
 def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
              tol: float | None = 1.0e-6, checkpoint_every: int = 5,
-             fair_share: int | None = None) -> DataFrame:
+             fair_share: int | None = None, graph: Adjacency | None = None) -> DataFrame:
     """Power iteration with uniform teleport; dangling mass is spread uniformly.
 
     Stops when the L1 change is below ``n · tol`` and raises if ``max_iter`` rounds do not
     get there; ``tol=None`` runs exactly ``max_iter`` rounds and then reads only the
-    dangling mass of each round.  The edge table is partitioned once by (source, salt)
-    and kept; each round's rank table is the static node table joined with that round's
+    dangling mass of each round.  Targets lie in blocks of at most about ``fair_share`` under (source,
+    block), partitioned once and kept; a rank is repeated once per block of its source.
+    What a round shuffles is ranks to blocks and sums to targets, both under 8-byte ids.
+    Each round's rank table is the static node table joined with that round's
     contributions (it refers to the previous table once, so the plan grows linearly).
     Lineage is cut by writing the rank table every ``checkpoint_every`` rounds.
-
-    Skew: every source's edges are spread over ⌈out-degree / fair share⌉ salts by
-    destination hash (fair share: edges / partitions, so one salt for all but hot
-    sources), and its rank row is repeated once per salt: no more than sources plus
-    partitions rows in all.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")).persist(StorageLevel.MEMORY_AND_DISK)
-    n_edges = outdeg.agg(F.coalesce(F.sum("outdeg"), F.lit(0))).first()[0]
-    share = fair_share or max(1, -(-n_edges // parts))
-    salts = F.ceil(F.col("outdeg") / F.lit(share)).cast("int")
-    e = (edges.join(outdeg.withColumn("salts", salts), "src")
-         .select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w"),
-                 F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"))
-         .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK))
-    ids = (nodes.select("username").join(outdeg.select(F.col("src").alias("username"), salts.alias("salts")), "username", "left")
-           .select("username", "salts").repartition(parts, "username").persist(StorageLevel.MEMORY_AND_DISK))
-    stats = ids.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("salts").isNull()).alias("nd")).first()
-    n = stats["n"]
+    g = graph or adjacency(nodes, edges, fair_share or BLOCK_TARGETS)
+    n = g.n
     if n == 0:
-        for x in (e, ids, outdeg):
-            x.unpersist()
         return nodes.select("username", F.lit(0.0).alias("pagerank"))
+    e = g.blocks.withColumnRenamed("src", "id").repartition(parts, "id", "block").persist(StorageLevel.MEMORY_AND_DISK)
+    ids = (g.ids.select("id").join(g.counts.select(F.col("src").alias("id"), "blocks"), "id", "left")
+           .repartition(parts, "id").persist(StorageLevel.MEMORY_AND_DISK))
+    dsum = ids.agg(F.count_if(F.col("blocks").isNull()).alias("nd")).first()["nd"] / n
     x = ids.withColumn("rank", F.lit(1.0 / n))
-    dsum, converged, held = stats["nd"] / n, tol is None, []
+    converged, held = tol is None, []
     for it in range(1, max_iter + 1):
-        # rank rows meet their edges on (source, salt); a node without edges sends none
-        sent = x.where(F.col("salts").isNotNull()).select(
-            F.col("username").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        contrib = (e.join(sent, ["src", "salt"])
-                   .groupBy(F.col("dst").alias("username")).agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
+        # ranks meet their targets on (source, block); a node without edges sends none
+        sent = x.where(F.col("blocks").isNotNull()).select(
+            "id", "rank", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        contrib = (e.join(sent, ["id", "block"])
+                   .select(F.explode("targets").alias("id"), (F.col("rank") / F.col("outdeg")).alias("c"))
+                   .groupBy("id").agg(F.sum("c").alias("c")))
         base = alpha * dsum / n + (1.0 - alpha) / n
-        new = (ids.join(contrib, "username", "left")
-               .select("username", "salts",
-                       (F.lit(alpha) * F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(base)).alias("rank")))
+        new = (ids.join(contrib, "id", "left")
+               .select("id", "blocks", (F.lit(alpha) * F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(base)).alias("rank")))
         if it % checkpoint_every == 0 or it == max_iter:
             new = materialize(new, "pagerank")
         else:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
             held.append(new)
-        dangling = F.coalesce(F.sum(F.when(F.col("salts").isNull(), F.col("rank"))), F.lit(0.0)).alias("d")
+        dangling = F.coalesce(F.sum(F.when(F.col("blocks").isNull(), F.col("rank"))), F.lit(0.0)).alias("d")
         if tol is None:
             row = new.agg(dangling).first()
         else:  # the join with the previous ranks serves the L1 change only and never feeds later rounds
-            row = (new.join(x.select("username", F.col("rank").alias("old")), "username")
+            row = (new.join(x.select("id", F.col("rank").alias("old")), "id")
                    .agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"), dangling).first())
         x, dsum = new, row["d"]
         while len(held) > 1:
@@ -148,10 +179,10 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
             break
     if not converged:
         raise RuntimeError(f"PageRank did not converge to {tol} in {max_iter} rounds")
-    out = x if not held or x is not held[-1] else materialize(x, "pagerank")
-    for y in (*held, e, ids, outdeg):
+    out = materialize(x.join(g.ids, "id").select("username", F.col("rank").alias("pagerank")), "pagerank")
+    for y in (*held, e, ids):
         y.unpersist()
-    return out.select("username", F.col("rank").alias("pagerank"))
+    return out
 
 
 def sample_sources(nodes: DataFrame, k: int = 50, seed: int = 42) -> DataFrame:
@@ -160,68 +191,85 @@ def sample_sources(nodes: DataFrame, k: int = 50, seed: int = 42) -> DataFrame:
         .select(F.col("username").alias("source"))
 
 
+#: Sources that are followed at once: one bit each of a node's mark.
+SOURCES_AT_ONCE = 62
+
+
 def betweenness(nodes: DataFrame, edges: DataFrame, k: int = 50, seed: int = 42,
-                normalized: bool = True) -> DataFrame:
+                normalized: bool = True, graph: Adjacency | None = None) -> DataFrame:
     """Directed shortest-path betweenness from sampled sources (Brandes).
 
-    Forward: level-synchronous BFS over (source, node, dist, sigma) — one
-    join with the edge table and one aggregate per level, until no new node is
-    found (each level is written once, and later ones are checked against all of
-    them).  ``k`` sources are always given; all nodes only where there are no more.  Backward: for each
-    level, deltas flow from a level to the one before it through the same
-    join.  State grows with sources × reachable nodes, not with n².
+    Forward: level-synchronous BFS over (source, node, sigma) — the frontier meets the adjacency
+    on (node, block), so a hub's targets are dealt to many tasks, and one aggregate per
+    level sums the paths.  Which sources have reached a node is one bit each of the node's mark, so a
+    level is checked against one (node, mark) row per node and not against all earlier levels.  Backward:
+    deltas flow from a level to the one before it through the same join.  ``k`` sources are always given, all
+    nodes only where there are no more.  State grows with sources × reachable nodes, not with n².
     Scaling: 1 / ((n−1)(n−2)), times n/k when sampling.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
-    n = nodes.count()
-    sources = sample_sources(nodes, k, seed)
+    g = graph or adjacency(nodes, edges)
+    n = g.n
     k_used = k if k < n else None
-    e = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    frontier = materialize(sources.select("source", F.col("source").alias("node"), F.lit(1.0).alias("sigma")),
-                           "brandes-level")
-    levels = [frontier]
+    chosen = [r["id"] for r in sample_sources(nodes, k, seed).join(g.ids, F.col("source") == F.col("username"))
+              .select("id").orderBy("id").collect()]  # k rows
+    total = None
+    for first in range(0, len(chosen), SOURCES_AT_ONCE):
+        part = _deltas(spark, g, chosen[first:first + SOURCES_AT_ONCE])
+        if part is not None:
+            total = part if total is None else total.unionByName(part)
+    scale = 1.0
+    if normalized:
+        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
+        if k_used is not None:
+            scale = scale * n / k_used
+    if total is None:
+        return nodes.select("username", F.lit(0.0).alias("betweenness_centrality"))
+    agg = total.groupBy(F.col("node").alias("id")).agg(F.sum("delta").alias("b"))
+    return g.ids.join(agg, "id", "left").select(
+        "username", (F.coalesce("b", F.lit(0.0)) * F.lit(scale)).alias("betweenness_centrality"))
+
+
+def _steps(rows: DataFrame, g: Adjacency) -> DataFrame:
+    """Rows (source, node, sigma) with each target of the node as ``dst``."""
+    blocks = g.blocks.select(F.col("src").alias("node"), "block", "targets")
+    return _per_block(rows, "node", g.counts).join(blocks, ["node", "block"]) \
+        .select("source", "node", "sigma", F.explode("targets").alias("dst"))
+
+
+def _deltas(spark, g: Adjacency, sources: list[int]) -> DataFrame | None:
+    """(node, delta) of one group of sources; a source is known by its place in the list."""
+    frontier = spark.createDataFrame([(i, s, 1.0) for i, s in enumerate(sources)], "source int, node long, sigma double")
+    frontier = materialize(frontier, "brandes-level")
+    levels, marks = [frontier], None
+    bit = F.expr("shiftleft(1L, source)")
     while True:
-        visited = levels[0].select("source", "node")
-        for x in levels[1:]:
-            visited = visited.unionByName(x.select("source", "node"))
-        nxt = (frontier.join(e.withColumnRenamed("src", "node"), "node")
-               .groupBy("source", F.col("dst").alias("node")).agg(F.sum("sigma").alias("sigma"))
-               .join(visited, ["source", "node"], "left_anti"))
-        nxt = materialize(nxt, "brandes-level")
+        fresh = frontier.groupBy("node").agg(F.bit_or(bit).alias("mark"))
+        if marks is not None:
+            fresh = marks.unionByName(fresh).groupBy("node").agg(F.bit_or("mark").alias("mark"))
+        marks = materialize(fresh, "brandes-marks")
+        found = _steps(frontier, g).groupBy("source", F.col("dst").alias("node")).agg(F.sum("sigma").alias("sigma"))
+        new = F.coalesce(F.col("mark"), F.lit(0)).bitwiseAND(bit) == 0
+        nxt = materialize(found.join(marks, "node", "left").where(new).select("source", "node", "sigma"), "brandes-level")
         if nxt.isEmpty():
             break
         levels.append(nxt)
         frontier = nxt
     # backward sweep: delta(v) = Σ_{v→w, dist(w)=dist(v)+1} sigma_v / sigma_w · (1 + delta_w)
-    delta_next = None  # (source, node, sigma, delta) for the deeper level
-    total = None
-    for d in range(len(levels) - 1, 0, -1):
-        deeper = levels[d].withColumn("delta", F.lit(0.0)) if delta_next is None else delta_next
-        here = levels[d - 1]
-        contrib = (here.join(e.withColumnRenamed("src", "node"), "node")
+    own = F.element_at(F.array(*[F.lit(s) for s in sources]), F.col("source") + 1)
+    deeper, total = levels[-1].withColumn("delta", F.lit(0.0)), None
+    for here in reversed(levels[:-1]):
+        contrib = (_steps(here, g)
                    .join(deeper.select("source", F.col("node").alias("dst"), F.col("sigma").alias("sw"),
                                        F.col("delta").alias("dw")), ["source", "dst"])
                    .groupBy("source", "node")
                    .agg(F.sum(F.col("sigma") / F.col("sw") * (F.lit(1.0) + F.col("dw"))).alias("delta")))
-        cur = (here.join(contrib, ["source", "node"], "left")
-               .select("source", "node", "sigma", F.coalesce("delta", F.lit(0.0)).alias("delta")))
-        cur = materialize(cur, "brandes-delta")
-        part = cur.where(F.col("node") != F.col("source")).select("node", "delta")
+        deeper = materialize(here.join(contrib, ["source", "node"], "left")
+                             .select("source", "node", "sigma", F.coalesce("delta", F.lit(0.0)).alias("delta")), "brandes-delta")
+        part = deeper.where(F.col("node") != own).select("node", "delta")
         total = part if total is None else total.unionByName(part)
-        delta_next = cur
-    scale = 1.0
-    if normalized:
-        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-        if k_used is not None:
-            scale = scale * n / k_used
-    ids = nodes.select("username")
-    e.unpersist()
-    if total is None:
-        return ids.select("username", F.lit(0.0).alias("betweenness_centrality"))
-    agg = total.groupBy(F.col("node").alias("username")).agg(F.sum("delta").alias("b"))
-    return ids.join(agg, "username", "left").select(
-        "username", (F.coalesce("b", F.lit(0.0)) * F.lit(scale)).alias("betweenness_centrality"))
+    return total
 
 
 def network_features(users: DataFrame, degree: DataFrame, between: DataFrame, pr: DataFrame) -> DataFrame:
@@ -240,10 +288,10 @@ def subgraph(nodes: DataFrame, edges: DataFrame, keep: DataFrame):
 
 
 def aligned_features(features: DataFrame, network: DataFrame, label: str = "churn") -> DataFrame:
-    """Inner join of the feature table and the network table on the key; labels must agree."""
+    """Inner join of the feature table and the network table on the key; a row whose labels differ raises."""
     j = features.join(network.select("username", F.col(label).alias("_label2"), "degree_centrality",
                                      "betweenness_centrality", "pagerank"), "username")
-    bad = j.where(F.col(label) != F.col("_label2")).limit(1).count()
-    if bad:
-        raise ValueError("label mismatch between the feature table and the network table")
-    return j.drop("_label2")
+    told = F.lit("label mismatch between the feature table and the network table")
+    # checked in the row itself, so the join runs once
+    checked = F.when(F.col(label) != F.col("_label2"), F.raise_error(told).cast(j.schema[label].dataType)).otherwise(F.col(label))
+    return j.withColumn(label, checked).drop("_label2")

@@ -564,8 +564,9 @@ def q_subgraph(spark, sf_dir):
 def network_frame(spark, sf_dir, raw=None):
     raw, nodes, edges = graph_frames(spark, sf_dir, raw)
     deg = G.degree_centrality(nodes, edges)
-    btw = G.betweenness(nodes, edges, k=50)
-    pr = G.pagerank(nodes, edges)
+    graph = G.adjacency(nodes, edges)
+    btw = G.betweenness(nodes, edges, k=50, graph=graph)
+    pr = G.pagerank(nodes, edges, graph=graph)
     return materialize(G.network_features(nodes, deg, btw, pr), "network")
 
 

@@ -140,3 +140,35 @@ def test_subgraph_of_given_nodes(spark):
     n, sub = G.subgraph(nodes, e, spark.createDataFrame([(x,) for x in names], "username string"))
     assert {r["username"] for r in n.collect()} == names
     assert {tuple(r) for r in sub.collect()} == {(a, b) for a, b in EDGES if a in names and b in names}
+
+
+def test_hub_targets_lie_in_many_blocks(spark):
+    leaves = [f"l{i}" for i in range(3000)]
+    names = ["hub", *leaves, "end"]
+    edges = [("hub", x) for x in leaves] + [(x, "end") for x in leaves[:50]] + [("end", "hub")]
+    nodes, e = _graph(spark, names, edges)
+    g = G.adjacency(nodes, e, block=100)
+    sizes = [r["n"] for r in g.blocks.selectExpr("size(targets) as n").collect()]
+    assert sum(sizes) == len(edges) and max(sizes) < 150 and len(sizes) > 30
+    src = [r["source"] for r in G.sample_sources(nodes, 70).collect()]  # more than one group of sources
+    got = {r["username"]: r["betweenness_centrality"] for r in G.betweenness(nodes, e, k=70, graph=g).collect()}
+    bf, n = brandes(names, edges, src), len(names)
+    for v in names:
+        assert got[v] == pytest.approx(bf[v] / ((n - 1) * (n - 2)) * n / 70)
+
+
+def test_repeated_edges_and_empty_graph(spark):
+    nodes, e = _graph(spark, list("ab"), [("a", "b"), ("a", "b"), ("b", "a")])
+    assert {r["username"]: round(r["pagerank"], 9) for r in G.pagerank(nodes, e).collect()} == {"a": 0.5, "b": 0.5}
+    none, no_edges = nodes.limit(0), e.limit(0)
+    assert G.pagerank(none, no_edges).count() == 0 and G.betweenness(none, no_edges).count() == 0
+
+
+def test_aligned_features_raise_on_other_labels(spark):
+    fx = spark.createDataFrame([("a", 0, 1.0), ("b", 1, 2.0)], "username string, churn int, x double")
+    def net(label):
+        return spark.createDataFrame([("a", 0, 0.1, 0.2, 0.3), ("b", label, 0.1, 0.2, 0.3)],
+                                     "username string, churn int, degree_centrality double, betweenness_centrality double, pagerank double")
+    assert G.aligned_features(fx, net(1)).count() == 2
+    with pytest.raises(Exception, match="label mismatch"):
+        G.aligned_features(fx, net(0)).collect()
