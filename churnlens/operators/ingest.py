@@ -49,15 +49,21 @@ PASS1_STEP = 90
 PASS1_FLOOR = 90
 
 
-def _predicate(c: Cohort, lang_col: str | None = None):
-    """Column predicate of one cohort; the language test reads ``lang_col`` when given."""
-    cond = F.col("type") == "User"
+def _conditions(c: Cohort):
+    """A cohort's ranges and creation bound, on profiles and raw users alike."""
+    cond = F.lit(True)
     if c.followers is not None:
         cond = cond & F.coalesce(F.col("followers"), F.lit(0)).between(*c.followers)
     if c.repos is not None:
         cond = cond & F.coalesce(F.col("public_repos"), F.lit(0)).between(*c.repos)
     if c.created_before is not None:
         cond = cond & (parse_ts("created_at") < as_of_lit(c.created_before))
+    return cond
+
+
+def _predicate(c: Cohort, lang_col: str | None = None):
+    """Column predicate of one cohort; the language test reads ``lang_col`` when given."""
+    cond = (F.col("type") == "User") & _conditions(c)
     if c.language is not None and lang_col is not None:
         cond = cond & F.coalesce(F.col(lang_col), F.lit(False))
     return cond
@@ -138,6 +144,15 @@ def collect_dataset(profiles: DataFrame, repos: DataFrame | None, as_of, cohorts
     return assign_labels(parse_users(users, repos if fetch_repos else None, as_of), threshold_days)
 
 
+def _capped(extras: DataFrame, match: list, cap: int) -> DataFrame:
+    """The first ``cap`` users, in login order, of each cohort in turn among those that no earlier batch took."""
+    taken = extras.limit(0)
+    for b, m in enumerate(match, start=1):
+        here = extras.where(m).join(taken.select("username"), "username", "left_anti")
+        taken = taken.unionByName(here.orderBy("username").limit(cap).withColumn("_batch", F.lit(b)))
+    return taken
+
+
 @dataclass
 class BalanceResult:
     df: DataFrame
@@ -158,7 +173,8 @@ def fix_low_churn_ratio(df: DataFrame, profiles: DataFrame, as_of, current_thres
             labelled from the update date only, and keep batches up to the first one
             after which the share reaches the minimum.
     The collected table is written once; one aggregate over it gives the shares at both
-    thresholds, and pass 2 reads one 3-row summary.
+    thresholds.  Pass 2 marks each unseen user with the first cohort that matches it, in one plan with one
+    anti-join, and reads one summary row per cohort.
     """
     adjusted = current_threshold - PASS1_STEP
     can_adjust = adjusted >= PASS1_FLOOR
@@ -175,25 +191,18 @@ def fix_low_churn_ratio(df: DataFrame, profiles: DataFrame, as_of, current_thres
     if can_adjust and share(s["a"]) >= min_churn_ratio:
         return BalanceResult(relabelled, share(s["a"]), adjusted, 1)
     base = relabelled
-    # the pool is read once per batch: write the few columns' rows that any cohort can match once
+    if any(c.language is not None for c in inactive_cohorts):
+        raise ValueError("an inactivity cohort has no language test")
+    # all cohorts in one plan: the users that any of them matches and the base does not know, written once
+    match = [_conditions(c) for c in inactive_cohorts]
     any_ = F.lit(False)
-    for c in inactive_cohorts:
-        any_ = any_ | _predicate(c)
-    pool = materialize(profiles.where(any_), "balance-pool")
-    known = base.select("username")
-    batches = []
-    for b, cohort in enumerate(inactive_cohorts, start=1):
-        fresh = (cohort_members(pool, None, cohort)
-                 .join(known.withColumnRenamed("username", "login"), "login", "left_anti"))
-        if batch_cap is not None:
-            fresh = fresh.orderBy("login").limit(int(batch_cap))
-        added = assign_labels(parse_users(user_accounts(fresh), None, as_of), effective)
-        added = materialize(added.withColumn("_batch", F.lit(b)), "balance-batch")
-        batches.append(added)
-        known = known.union(added.select("username"))
-    extras = batches[0]
-    for x in batches[1:]:
-        extras = extras.unionByName(x)
+    for m in match:
+        any_ = any_ | m
+    fresh = user_accounts(profiles.where(any_)).join(base.select(F.col("username").alias("login")), "login", "left_anti")
+    first = F.coalesce(*[F.when(m, F.lit(b)) for b, m in enumerate(match, start=1)], F.lit(None).cast("int"))
+    extras = materialize(assign_labels(parse_users(fresh, None, as_of), effective).withColumn("_batch", first), "balance-extras")
+    if batch_cap is not None:
+        extras = _capped(extras, match, int(batch_cap))
     stats = {r["_batch"]: (r["n"], r["c"]) for r in
              extras.groupBy("_batch").agg(F.count(F.lit(1)).alias("n"), F.sum("churn").alias("c")).collect()}
     n, c = s["n"], s["a"]

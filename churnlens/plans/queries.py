@@ -296,10 +296,10 @@ def q_fresh_candidates(spark, sf_dir):
     return I.fresh_candidates(inactive, I.candidate_users(profiles, repos))
 
 
-def _balanced(spark, sf_dir, min_ratio):
+def _balanced(spark, sf_dir, min_ratio, cap=None):
     _, profiles, repos = base_frames(spark, sf_dir)
     collected = I.collect_dataset(profiles, repos, AS_OF)
-    res = I.fix_low_churn_ratio(collected, profiles, AS_OF, 365, min_ratio)
+    res = I.fix_low_churn_ratio(collected, profiles, AS_OF, 365, min_ratio, batch_cap=cap)
     return res.df.withColumn("balance_pass", F.lit(res.passes)).withColumn("threshold", F.lit(res.threshold))
 
 
@@ -308,6 +308,12 @@ for _name, _min in (("collect_dataset", 0.10), ("balance_pass1", 0.50), ("balanc
         lambda spark, sf_dir, _m=_min: _balanced(spark, sf_dir, _m))
 
 
+@register("balance_capped", sql=f"WITH {balance_sql(I.DEFAULT_COHORTS, I.INACTIVE_COHORTS, 0.70, cap=15)} SELECT * FROM final")
+def q_balance_capped(spark, sf_dir):
+    """At most 15 users of each inactivity cohort, as a collection under a quota takes them."""
+    return _balanced(spark, sf_dir, 0.70, 15)
+
+
 @register("collect_no_repos", sql=f"""WITH {raw_users_sql(repos=False)},
 cand AS ({" UNION ".join(f"SELECT login AS username FROM profiles WHERE {cohort_sql(c)}" for c in I.DEFAULT_COHORTS)})
 SELECT * FROM raw_users WHERE username IN (SELECT username FROM cand)""")

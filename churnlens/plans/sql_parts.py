@@ -178,14 +178,15 @@ cand AS (
 base AS (SELECT * FROM raw_users WHERE username IN (SELECT username FROM cand))"""
 
 
-def balance_sql(cohorts, inactive, min_ratio: float, threshold: int = 365) -> str:
+def balance_sql(cohorts, inactive, min_ratio: float, threshold: int = 365, cap: int | None = None) -> str:
     adj = threshold - 90
     eff = adj if adj >= 90 else threshold
     batches = []
     seen = ["SELECT username FROM base"]
     for b, c in enumerate(inactive, start=1):
         excl = " AND ".join(f"login NOT IN ({s})" for s in seen)
-        batches.append(f"b{b} AS (SELECT login FROM profiles WHERE {cohort_sql(c)} AND {excl})")
+        limit = "" if cap is None else f" ORDER BY login LIMIT {cap}"
+        batches.append(f"b{b} AS (SELECT login FROM profiles WHERE {cohort_sql(c)} AND {excl}{limit})")
         seen.append(f"SELECT login FROM b{b}")
     bunion = " UNION ALL ".join(f"SELECT login, {b} AS batch FROM b{b}" for b in range(1, len(inactive) + 1))
     relabel_ok = "CASE WHEN adj_ok THEN 1 ELSE 0 END"

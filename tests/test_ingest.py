@@ -88,3 +88,17 @@ def test_label_sources(profiles, repos):
     r = repos([{"owner": "a", "pushed_at": "2020-01-01T00:00:00Z"}])
     got = {x["label_source"]: (x["n"], x["churned"]) for x in L.label_sources(L.raw_users(p, r, AS_OF)).collect()}
     assert got == {"push": (1, 1), "update": (1, 0), "none": (1, 0)}
+
+
+def test_no_inactivity_cohorts(profiles):
+    res = I.fix_low_churn_ratio(_labelled(profiles, 0, 10), profiles([{"login": "zz"}]), AS_OF, 170, 0.5, [])
+    assert (res.passes, res.ratio, res.df.count()) == (2, 0.0, 10)
+
+
+def test_caps_take_each_cohort_in_turn(profiles):
+    # x matches both cohorts; the first takes a, b and leaves x to the second
+    pool = profiles([{"login": n, "followers": f, "public_repos": 1, "created_at": "1990-01-01T00:00:00Z",
+                      "updated_at": "2023-12-31T00:00:00Z"} for n, f in (("a", 0), ("b", 0), ("x", 0), ("y", 4), ("z", 4))])
+    cohorts = [I.Cohort(followers=(0, 3)), I.Cohort(followers=(0, 5))]
+    res = I.fix_low_churn_ratio(_labelled(profiles, 0, 3), pool, AS_OF, 170, 0.9, cohorts, batch_cap=2)
+    assert sorted(r["username"] for r in res.df.collect() if len(r["username"]) == 1) == ["a", "b", "x", "y"]
