@@ -7,15 +7,15 @@ segments that are aligned once per distinct segment.
 
 The count of a pair is the number of documents that hold it linked:
 
-1. A first pass aligns the documents in blocks of about ``BLOCK_CHARS`` characters and writes each block with
-   its distinct pairs and in how many of its documents each occurs.
+1. A first pass encodes and aligns the documents in blocks of about ``BLOCK_CHARS`` characters and writes each block
+   with its segments' ids, its distinct pairs and in how many of its documents each occurs.
 2. The distinct pairs of all blocks are dealt to parts by A id, some ``PART_KEYS`` each, and every part
    gets a minimal perfect hash with its keys kept for verification.
 3. Blocks are dealt to branches.  For a part and a branch one task adds the branch's counts into a dense vector
    indexed by the hash; the vectors are summed as a tree, ``FAN`` at a time.  All pairs of an A id are in one
    part, so the part knows the highest count of each A id.
 4. The blocks' pairs are looked up by the same hashes, and a second pass aligns every block's documents
-   again and adds up the counts of their links.
+   again, from the ids that the first pass wrote, and adds up the counts of their links.
 
 No table is broadcast and nothing but numbers of rows reaches the driver; a task holds a block, or a part with
 the pairs of one branch.  A block may be any mixture of documents, so a hot source or text is spread by
@@ -44,14 +44,11 @@ from churnlens.session import materialize
 
 BLOCK_CHARS = 8 << 20
 #: Documents in a block at most, so that many short ones make no long list.
-BLOCK_ROWS = 32_768
+BLOCK_ROWS = 16_384
 PART_KEYS = 65_536
 #: Blocks in a branch (about), and vectors that are summed at once.
 BRANCH_BLOCKS = 64
 FAN = 8
-#: Segments that a task keeps aligned.
-KEPT_SEGMENTS = 200_000
-_LONG_SEGMENT = 4096
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -65,6 +62,19 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Vocabulary:
+    """Bytes and decimal ids of a tokenizer's tokens, to be taken by arrays of ids."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.bytes = pa.array(tokens, pa.large_binary())
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.names = pa.array([str(i) for i in range(len(tokens))], pa.string())
+        self.dtype = np.uint16 if len(tokens) <= 1 << 16 else np.int32
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        return self.bytes.take(pa.array(ids)).buffers()[2].to_pybytes() if len(ids) else b""
+
+
 class Tokenizers:
     """A byte-level tokenizer file (``.json``) and a SentencePiece file (``.model``) with byte pieces, which
     normalises nothing but puts a blank before the text."""
@@ -79,57 +89,37 @@ class Tokenizers:
         self.a.encode_special_tokens = True  # their strings inside a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         chars = byte_characters()
-        self.bytes_a = [bytes(chars[c] for c in t) if t is not None and all(c in chars for c in t) else (t or "").encode()
-                        for t in map(self.a.id_to_token, range(self.a.get_vocab_size(with_added_tokens=True)))]
+        self.words_a = Vocabulary([bytes(chars[c] for c in t) if all(c in chars for c in t) else t.encode()
+                                   for t in ((self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size()))])
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(pieces)]
+        self.words_b = Vocabulary([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode()
+                                   for i, p in enumerate(pieces)])
         #: Merges never reach over a blank after a visible character if no piece holds one there.
-        self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.cuts = not any(re.search("[^\u2581]\u2581", p) for p in pieces)
 
     def segments(self, text: str) -> list[str]:
-        """Pieces of the text that both tokenizers encode apart from each other; blanks between them are left out."""
+        """Parts of the text that both tokenizers encode apart from each other; the blanks between them are left out."""
         if not self.cuts:
             return [text]
         words = text.split(" ")
         return words if words == text.split() else _BETWEEN.split(text)
 
-    def align(self, segments: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, groups, pair keys, times) of each segment with a blank before it; None for
-        ``groups`` where the tokens' bytes are not the text's."""
-        out, a_ids, b_ids = [], [], []
-        for s in range(0, len(segments), 1024):
-            part = segments[s:s + 1024]
-            a_ids += [e.ids for e in self.a.encode_batch_fast([" " + x for x in part], add_special_tokens=False)]
-            b_ids += self.b.encode(part, num_threads=1)
-        for text, a, b in zip(segments, a_ids, b_ids):
-            out.append(self._align(text, a, b))
-        return out
-
-    def _align(self, text: str, a: list[int], b: list[int]) -> tuple:
-        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if not b"".join(bytes_a) == b"".join(bytes_b) == b" " + text.encode():
-            return 0, 0, 0, None, b"", b""
-        groups, links = [], Counter()
-        i = j = first_i = first_j = 0
-        end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
-        while True:  # each step is one stretch of bytes between two ends, and so one link
-            links[(a[i] << 32) | b[j]] += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_i:i + 1]))}|{','.join(map(str, b[first_j:j + 1]))}")
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    break
-                first_i, first_j = i, j
-                end_a, end_b = end_a + len(bytes_a[i]), end_b + len(bytes_b[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(bytes_a[i])
-            else:
-                j += 1
-                end_b += len(bytes_b[j])
-        return (len(a), len(b), len(groups), ";".join(groups), np.array(list(links), np.int64).tobytes(),
-                np.array(list(links.values()), np.int32).tobytes())
+    def encode(self, segments: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids by A of each segment with a blank before it, and by B of the segment."""
+        ids = [e.ids for e in self.a.encode_batch_fast([" " + x for x in segments], add_special_tokens=False)] if segments else []
+        return [(np.array(a, np.int64), np.array(b, np.int64)) for a, b in zip(ids, self.b.encode(segments, num_threads=1))]
+
+    def encode_joined(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain segments, one after the other in one array each."""
+        a, b = [], []
+        for i in range(0, len(segments), 256):
+            text = " ".join(segments[i:i + 256])
+            a.append(np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64))
+            b.append(np.array(self.b.encode(text), np.int64))
+        return np.concatenate(a or [_NONE]), np.concatenate(b or [_NONE])
+
+
+_NONE = np.zeros(0, np.int64)
 
 
 @lru_cache(maxsize=4)
@@ -137,80 +127,141 @@ def _tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
 
 
-class Cache:
-    """Aligned segments that a task keeps between its blocks; long ones are not kept."""
-
-    def __init__(self, tokenizers: Tokenizers):
-        self.tokenizers, self.known = tokenizers, {}
-
-    def get(self, segments: list[str]) -> list[tuple]:
-        new = [s for s in segments if s not in self.known]
-        if len(self.known) + len(new) > KEPT_SEGMENTS:
-            self.known, new = {}, segments
-        fresh = dict(zip(new, self.tokenizers.align(new)))
-        self.known.update((s, v) for s, v in fresh.items() if len(s) <= _LONG_SEGMENT)
-        return [fresh[s] if s in fresh else self.known[s] for s in segments]
-
-
-class Block:
-    """The aligned distinct texts of a block.
-
-    ``pairs`` are the distinct pairs of the block's documents that have tokens, ``docs`` how many documents have each."""
-
-    def __init__(self, texts: list[str | None], cache: Cache):
-        self.texts = Counter(t for t in texts if t)
-        number: dict[str, int] = {}
-        self.parts = {}
-        for t in self.texts:
-            self.parts[t] = np.array([number.setdefault(s, len(number)) for s in cache.tokenizers.segments(t)], np.int64)
-        got = cache.get(list(number))
-        self.sizes = np.array([g[:3] for g in got], np.int64).reshape(-1, 3)
-        self.groups = [g[3] for g in got]
-        fits = np.array([g is not None for g in self.groups], bool)
-        self.parts = {t: p for t, p in self.parts.items() if fits[p].all()}
-        lengths = np.array([len(g[4]) // 8 for g in got], np.int64)
-        self.ends = np.cumsum(lengths)
-        self.starts = self.ends - lengths
-        keys = np.frombuffer(b"".join(g[4] for g in got), np.int64)
-        self.times = np.frombuffer(b"".join(g[5] for g in got), np.int32).astype(np.int64)
-        self.all_pairs, self.local = np.unique(keys, return_inverse=True)
-        docs = np.zeros(len(self.all_pairs), np.int64)
-        for t, p in self.parts.items():
-            docs[np.unique(self.local[self._within(np.unique(p))])] += self.texts[t]
-        self.pairs, self.docs = self.all_pairs[docs > 0], docs[docs > 0]
-
-    def _within(self, segments: np.ndarray) -> np.ndarray:
-        """Places of all pairs of some segments."""
+class Segments:
+    """The distinct segments of some texts, encoded.
+
+    ``parts`` has the segments' numbers of every distinct text, ``a`` and ``b`` the ids of all segments one after
+    the other and ``lengths`` the bytes of each with its blank: 0, and no ids, where the tokens' bytes are not its own."""
+
+    def __init__(self, texts: list[str | None], tokenizers: Tokenizers):
+        self.tokenizers = tokenizers
+        distinct = dict.fromkeys(t for t in texts if t)
+        parts = [tokenizers.segments(t) for t in distinct]
+        words = pa.array([s for p in parts for s in p], pa.large_string()).dictionary_encode()
+        names = words.dictionary.to_pylist()
+        # a segment can be encoded beside others if it is one there too: no blank at its ends (inside a
+        # text it has none), nor the character that stands for a blank
+        odd = pc.match_substring(words.dictionary, "\u2581").to_numpy(zero_copy_only=False).astype(bool)
+        ends = {s for p in parts for s in (p[0], p[-1]) if s[0].isspace() or s[-1].isspace()}
+        if ends:
+            odd |= pc.is_in(words.dictionary, pa.array(list(ends), pa.large_string())).to_numpy(zero_copy_only=False)
+        if not tokenizers.cuts:
+            odd[:] = True
+        order = np.argsort(odd, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        names = [names[i] for i in order]
+        at = place[words.indices.to_numpy()] if names else _NONE
+        stops = np.cumsum([len(p) for p in parts])
+        self.parts = {t: at[e - len(p):e] for t, p, e in zip(distinct, parts, stops)}
+        self.lengths = pc.binary_length(words.dictionary).to_numpy()[order].astype(np.int64) + 1
+        self._encode(names, int((~odd).sum()))
+
+    def _encode(self, names: list[str], n_plain: int) -> None:
+        t, plain, first = self.tokenizers, names[:n_plain], n_plain
+        a, b = t.encode_joined(plain)
+        text = "".join(" " + s for s in plain).encode()
+        if t.words_a.joined(a) == text == t.words_b.joined(b):
+            a, b = [a], [b]
+        else:  # some segment's bytes are lost; each is looked at by itself
+            a, b, first = [], [], 0
+        for s in range(first, len(names), 1024):
+            for i, (x, y) in enumerate(t.encode(names[s:s + 1024]), s):
+                if t.words_a.joined(x) == b" " + names[i].encode() == t.words_b.joined(y):
+                    a.append(x)
+                    b.append(y)
+                else:
+                    self.lengths[i] = 0
+        self.a, self.b = np.concatenate(a or [_NONE]), np.concatenate(b or [_NONE])
+
+
+class Aligned:
+    """Links and groups of encoded segments: all their bytes, one after the other, cut at the ends of the tokens."""
+
+    def __init__(self, tokenizers: Tokenizers, a: np.ndarray, b: np.ndarray, lengths: np.ndarray):
+        self.tokenizers, self.a, self.b, self.fits, n = tokenizers, a, b, lengths > 0, len(lengths)
+        ends = np.cumsum(lengths)
+        end_a, end_b = np.cumsum(tokenizers.words_a.lengths[a]), np.cumsum(tokenizers.words_b.lengths[b])
+        # each stretch between two ends of either is one link
+        stops = np.union1d(end_a, end_b)
+        i, j = np.searchsorted(end_a, stops), np.searchsorted(end_b, stops)
+        both = (end_a[i] == stops) & (end_b[j] == stops) if len(stops) else np.zeros(0, bool)
+        if not np.isin(ends[self.fits], stops[both]).all():
+            raise ValueError("a segment does not end with a token of both tokenizers")
+        self.group_a, self.group_b = i[both] + 1, j[both] + 1  # tokens up to the end of each group
+        seg = np.searchsorted(ends, stops)
+        self.n_a = np.bincount(np.searchsorted(ends, end_a), minlength=n)
+        self.n_b = np.bincount(np.searchsorted(ends, end_b), minlength=n)
+        self.n_groups = np.bincount(seg[both], minlength=n)
+        links = np.bincount(seg, minlength=n)
+        self.ends = np.cumsum(links)
+        self.starts = self.ends - links
+        #: distinct pairs of all segments, and for each link the number of its pair
+        self.pairs, self.local = np.unique((a[i].astype(np.int64) << 32) | b[j], return_inverse=True)
+
+    def pairs_of(self, segments: np.ndarray) -> np.ndarray:
+        """Numbers of the pairs that some segments link (with repeats)."""
         n = self.ends[segments] - self.starts[segments]
-        return np.arange(n.sum()) + np.repeat(self.starts[segments] - (np.cumsum(n) - n), n)
+        return self.local[np.arange(n.sum()) + np.repeat(self.starts[segments] - (np.cumsum(n) - n), n)]
 
     def summed(self, per_pair: np.ndarray) -> np.ndarray:
         """For every segment the sum over its links of a value of ``pairs``."""
-        full = np.zeros(len(self.all_pairs), np.int64)
-        full[np.searchsorted(self.all_pairs, self.pairs)] = per_pair
-        run = np.concatenate(([0], np.cumsum(full[self.local] * self.times)))
+        run = np.concatenate(([0], np.cumsum(per_pair[self.local])))
         return run[self.ends] - run[self.starts]
 
+    def groups(self) -> list[str]:
+        """The groups of every segment as text: ids of A, a bar, ids of B, a semicolon between groups."""
+        def lists(ids, words, ends):
+            offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+            return pc.binary_join(pa.ListArray.from_arrays(offsets, words.names.take(pa.array(ids))), ",")
+        each = pc.binary_join_element_wise(lists(self.a, self.tokenizers.words_a, self.group_a),
+                                           lists(self.b, self.tokenizers.words_b, self.group_b), "|")
+        offsets = pa.array(np.concatenate(([0], np.cumsum(self.n_groups))), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, each), ";").to_pylist()
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Non-negative numbers in as few whole bytes each as the largest needs, which the first byte tells."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(numbers, "<i8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + raw.tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(packed, np.uint8, offset=1).reshape(-1, packed[0])
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :packed[0]] = raw
+    return out.view("<i8").ravel()
+
 
 # ---- tables -------------------------------------------------------------------------------------------
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, files: tuple[str, str], block_chars: int) -> DataFrame:
-    """The documents with their block's number; a block's first row has its pairs and their documents."""
+    """The documents with their block's number and their segments (null: no tokens); a block's first row
+    has its pairs, their documents, and the ids and lengths of its segments."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, held, chars, rows = Cache(_tokenizers(*files)), [], 0, 0
+        tokenizers, held, chars, rows = _tokenizers(*files), [], 0, 0
         number = TaskContext.get().partitionId() << 32
 
         def done() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
-            b = Block(table.column("_text").to_pylist(), cache)
-            n = table.num_rows
+            texts, n = table.column("_text").to_pylist(), table.num_rows
+            got = Segments(texts, tokenizers)
+            aligned = Aligned(tokenizers, got.a, got.b, got.lengths)
+            parts = {t: p for t, p in got.parts.items() if aligned.fits[p].all()}
+            docs = np.zeros(len(aligned.pairs), np.int64)
+            for t, times in Counter(t for t in texts if t in parts).items():
+                docs[aligned.pairs_of(parts[t])] += times  # a pair that a text repeats is added to once
+            some = docs > 0
+            own = [aligned.pairs[some].tobytes(), docs[some].tobytes(), pack(got.a), pack(got.b), pack(got.lengths)]
+            packed = {t: pack(p) for t, p in parts.items()}
             return pa.RecordBatch.from_arrays(
-                [pa.array([number] * n, pa.int64()), table.column("_id").chunk(0), table.column("_text").chunk(0),
-                 pa.array([b.pairs.tobytes()] + [None] * (n - 1), pa.binary()),
-                 pa.array([b.docs.astype(np.int32).tobytes()] + [None] * (n - 1), pa.binary())],
-                names=["_block", "_id", "_text", "_pairs", "_docs"])
+                [pa.array([number] * n, pa.int64()), table.column("_id").chunk(0),
+                 pa.array([packed.get(t) for t in texts], pa.binary()),
+                 *[pa.array([x] + [None] * (n - 1), pa.binary()) for x in own]],
+                names=["_block", "_id", "_parts", "_pairs", "_docs", "_a", "_b", "_lengths"])
 
         for batch in batches:
             sizes = pc.fill_null(pc.utf8_length(batch.column("_text")), 0).to_numpy()
@@ -227,7 +278,8 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, files: tuple[str, str],
             yield done()
 
     narrow = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    got = narrow.mapInArrow(run, f"_block bigint, _id {id_type}, _text string, _pairs binary, _docs binary")
+    got = narrow.mapInArrow(run, f"_block bigint, _id {id_type}, _parts binary, _pairs binary, _docs binary, "
+                                "_a binary, _b binary, _lengths binary")
     return materialize(got, "align-blocks")
 
 
@@ -236,7 +288,7 @@ def _requests(blocks: DataFrame, parts: int, branches: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                pairs, docs = np.frombuffer(r["_pairs"], np.int64), np.frombuffer(r["_docs"], np.int32)
+                pairs, docs = np.frombuffer(r["_pairs"], np.int64), np.frombuffer(r["_docs"], np.int64)
                 part = (pairs >> 32) % parts
                 which = np.unique(part)
                 yield pa.RecordBatch.from_arrays(
@@ -292,7 +344,7 @@ def _counted(requests: DataFrame, hashes: DataFrame, branches: int) -> DataFrame
             return empty
         one = right.to_pylist()[0]
         pairs = np.frombuffer(b"".join(left.column("_pairs").to_pylist()), np.int64)
-        docs = np.frombuffer(b"".join(left.column("_docs").to_pylist()), np.int32)
+        docs = np.frombuffer(b"".join(left.column("_docs").to_pylist()), np.int64)
         vector = np.zeros(len(one["_keys"]) // 8, np.int64)
         np.add.at(vector, _numbers(one, pairs), docs)
         return pa.table({"_part": pa.array([one["_part"]]), "_branch": pa.array([one["_branch"]]),
@@ -375,22 +427,31 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, *, id_col: str = "do
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = left.column("_text").to_pylist()
-        b = Block(texts, Cache(_tokenizers(*files)))
+        tokenizers, parts = _tokenizers(*files), left.column("_parts").to_pylist()
+        a_ids, b_ids, lengths = (next(unpack(x) for x in left.column(c).to_pylist() if x is not None) for c in ("_a", "_b", "_lengths"))
+        aligned = Aligned(tokenizers, a_ids, b_ids, lengths)
         keys = np.frombuffer(b"".join(right.column("_pairs").to_pylist()), np.int64)
-        count = np.frombuffer(b"".join(right.column("_counts").to_pylist()), np.int64)
-        best = np.frombuffer(b"".join(right.column("_best").to_pylist()), np.bool_)
         order = np.argsort(keys)
-        if not np.array_equal(keys[order], b.pairs):
+        at = np.searchsorted(aligned.pairs, keys[order])
+        if not np.array_equal(aligned.pairs[at], keys[order]):
             raise ValueError("a block's pairs are not the ones that were looked up")
-        count, best = b.summed(count[order]), b.summed(best[order].astype(np.int64))
-        result, zero = {}, ([0] * 6, "", "")
-        for t, p in b.parts.items():
-            n_a, n_b, n_groups = b.sizes[p].sum(0).tolist()
-            text = ";".join([b.groups[i] for i in p])
-            result[t] = ([n_a, n_b, n_groups, n_a + n_b - n_groups, int(best[p].sum()), int(count[p].sum())],
-                         hashlib.sha256(text.encode()).hexdigest(), text if groups else None)
-        rows = [result.get(t, zero) for t in texts]
+
+        def told(column, dtype):
+            """What was looked up for the pairs, summed over each segment's links (pairs of no document have no part)."""
+            values = np.zeros(len(aligned.pairs), np.int64)
+            values[at] = np.frombuffer(b"".join(right.column(column).to_pylist()), dtype)[order]
+            return aligned.summed(values)
+
+        count, best, named = told("_counts", np.int64), told("_best", np.bool_), aligned.groups()
+        rows, known = [], {None: ([0] * 6, "", "")}
+        for packed in parts:
+            if packed not in known:
+                p = unpack(packed)
+                n_a, n_b, n_groups = (int(x[p].sum()) for x in (aligned.n_a, aligned.n_b, aligned.n_groups))
+                text = ";".join([named[i] for i in p])
+                known[packed] = ([n_a, n_b, n_groups, n_a + n_b - n_groups, int(best[p].sum()), int(count[p].sum())],
+                                 hashlib.sha256(text.encode()).hexdigest(), text if groups else None)
+            rows.append(known[packed])
         cols = {"_id": left.column("_id")}
         for i, name in enumerate(numbers):
             cols[name] = pa.array([r[0][i] for r in rows], pa.int64())
@@ -401,5 +462,5 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, *, id_col: str = "do
 
     schema = f"_id {id_type}, " + ", ".join(f"{n} bigint" for n in numbers) + ", groups_sha256 string" + \
         (", groups string" if groups else "")
-    got = blocks.select("_block", "_id", "_text").groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(run, schema)
+    got = blocks.drop("_pairs", "_docs").groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(run, schema)
     return got.withColumnRenamed("_id", id_col)
