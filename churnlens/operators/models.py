@@ -7,19 +7,20 @@ per-fold (four counts), never per-user.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.functions.scalars import risk_level
 from churnlens.operators import profile as P
 from churnlens.operators.sampling import (
-    apply_standard, fit_standard, kfold_assignment, stratified_split, with_class_weights,
+    apply_standard, fit_standard, hash_key, kfold_assignment, stratified_split,
 )
 from churnlens.operators.selection import filter_method
 from churnlens.schemas import FEATURE_COLUMNS, FINAL_FEATURES, require_columns
@@ -30,7 +31,11 @@ SEED = 42
 RF_TREES = 100
 RF_MAX_DEPTH = 30       # trees grow without a depth bound; 30 is the most that Spark allows
 DT_MAX_DEPTH = 5
-MAX_BINS = 64           # split candidates per feature, for the tree and the forests alike
+MAX_BINS = 256          # bins per feature, for the tree and the forests alike
+BIN_SAMPLE = 50_000     # rows (in expectation) whose values the bins are taken from
+# A leaf of a forest's tree holds at least this share of the training weight, so a tree has at most 1 / share
+# leaves however many rows there are, and the model in the driver does not grow with them.
+LEAF_SHARE = 0.002
 RFE_KEEP = 5
 TOP_K = 5
 FOLDS = 5
@@ -98,27 +103,92 @@ def dt_importance(train: DataFrame, cols=FEATURE_COLUMNS, label: str = "churn",
                    "dt_importance", "dt_rank")
 
 
-def forest(cols, seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH,
-           weighted: bool = True) -> Pipeline:
-    """VectorAssembler → balanced random forest, as one Pipeline."""
-    # node ids cached per row: each pass reads the cached ids instead of re-walking every tree
-    rf = RandomForestClassifier(featuresCol="features_vec", labelCol="label", numTrees=trees,
-                                maxDepth=max_depth, maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed,
-                                maxMemoryInMB=RF_PASS_MB, cacheNodeIds=True, checkpointInterval=10,
-                                **({"weightCol": "weight"} if weighted else {}))
-    return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features_vec",
-                                            handleInvalid="error"), rf])
-
-
-def _weighted(df: DataFrame, label: str) -> DataFrame:
-    return with_class_weights(with_label(df, label), label)
+# ------------------------------------------------------------------ forests on binned features
+def bin_edges(values: np.ndarray, bins: int = MAX_BINS) -> list[float]:
+    """Inner edges that cut a column into at most ``bins`` bins of about equal weight, each halfway between
+    two neighbouring values; every value has its own bin if there are no more than ``bins``."""
+    distinct, counts = np.unique(values, return_counts=True)
+    if len(distinct) > bins:
+        upto = np.cumsum(counts)
+        wanted = upto[-1] * np.arange(1, bins) / bins
+        last = np.unique(np.searchsorted(upto, wanted))  # a bin ends with one of these values
+        last = last[last < len(distinct) - 1]
+    else:
+        last = np.arange(len(distinct) - 1)
+    low, high = distinct[last], distinct[last + 1]
+    edges = low + (high - low) / 2
+    return np.where(edges > low, edges, high).tolist()  # a value at an edge lies above it
+
+
+def fit_bins(df: DataFrame, cols, key: str = "username", seed: int = SEED, bins: int = MAX_BINS,
+             sample: int = BIN_SAMPLE) -> Bucketizer:
+    """The bins of each feature, from the values of about ``sample`` rows chosen by a hash of their key."""
+    cols, rows = list(cols), df
+    n = df.count()
+    if n > sample:
+        rows = df.where(hash_key(key, seed, 1) < F.lit(int(sample / n * 16 ** 13)))
+    values = rows.select(*[F.col(c).cast("double").alias(c) for c in cols]).toPandas()
+    inf = float("inf")
+    splits = []
+    for c in cols:
+        v = values[c].dropna().to_numpy()
+        edges = bin_edges(v, bins) if len(v) else []
+        splits.append([-inf, *(edges or [float(v[0]) if len(v) else 0.0]), inf])
+    return Bucketizer(inputCols=cols, outputCols=[f"{c}__bin" for c in cols], splitsArray=splits, handleInvalid="error")
+
+
+class Binned:
+    """A table whose features are binned once, for any number of forests on subsets of its rows.
+
+    The written table holds the label, the bins as small integers, and the ``marks`` (split, fold) that
+    choose the rows; ``counts`` are its rows by label and marks."""
+
+    def __init__(self, df: DataFrame, cols, label: str = "churn", marks=(), keep=()):
+        self.cols, self.label, self.marks = list(cols), label, list(marks)
+        self.bucketizer = fit_bins(df, self.cols)
+        names = self.bucketizer.getOutputCols()
+        raw = with_label(df, label)
+        raw = raw.select(*dict.fromkeys([*keep, label, "label", *self.marks]), *[F.col(c).cast("double").alias(c) for c in self.cols])
+        out = self.bucketizer.transform(raw)
+        self.table = materialize(out.select(*dict.fromkeys([*keep, label, "label", *self.marks]),
+                                            *[F.col(c).cast("smallint").alias(c) for c in names]), "binned")
+        self.assembler = VectorAssembler(inputCols=names, outputCol="features_vec", handleInvalid="error")
+        self.counts = self.table.groupBy(label, *self.marks).agg(F.count(F.lit(1)).alias("n")).collect()
+
+    def weighted(self, where: Column, chosen) -> DataFrame:
+        """The rows that ``where`` (a condition) and ``chosen`` (the same on a row of ``counts``) name, with
+        balanced class weights."""
+        by_class: dict = {}
+        for r in self.counts:
+            if chosen(r):
+                by_class[r[self.label]] = by_class.get(r[self.label], 0) + r["n"]
+        total, weight = sum(by_class.values()), F.lit(None).cast("double")
+        for c, n in by_class.items():
+            same = F.col(self.label).isNull() if c is None else F.col(self.label) == F.lit(c)
+            weight = F.when(same, F.lit(total / (len(by_class) * n))).otherwise(weight)
+        return self.table.where(where).withColumn("weight", weight)
+
+    def fit(self, rows: DataFrame, seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH,
+            leaf_share: float = LEAF_SHARE) -> PipelineModel:
+        """A class-balanced forest on binned rows, as a pipeline that takes the raw features."""
+        # node ids cached per row: each pass reads the cached ids instead of re-walking every tree
+        rf = RandomForestClassifier(featuresCol="features_vec", labelCol="label", weightCol="weight", numTrees=trees,
+                                    maxDepth=max_depth, maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed,
+                                    minWeightFractionPerNode=leaf_share, maxMemoryInMB=RF_PASS_MB, cacheNodeIds=True,
+                                    checkpointInterval=10)
+        return PipelineModel(stages=[self.bucketizer, self.assembler, rf.fit(self.assembler.transform(rows))])
+
+    def predict(self, model: PipelineModel, where: Column) -> DataFrame:
+        """The model's predictions on binned rows: the binning is not done again."""
+        return predict(PipelineModel(stages=model.stages[1:]), self.table.where(where))
 
 
 def rf_importance(train: DataFrame, cols=FEATURE_COLUMNS, label: str = "churn", seed: int = SEED,
                   trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> DataFrame:
     """Mean impurity importances of a class-balanced forest, ranked."""
     cols = list(cols)
-    m = forest(cols, seed, trees, max_depth).fit(_weighted(train, label))
+    binned = Binned(train, cols, label)
+    m = binned.fit(binned.weighted(F.lit(True), lambda r: True), seed, trees, max_depth)
     imp = m.stages[-1].featureImportances.toArray()
     return _ranked(train.sparkSession, {c: float(imp[i]) for i, c in enumerate(cols)}, cols,
                    "rf_importance", "rf_rank")
@@ -171,25 +241,19 @@ def keep_list(table: DataFrame) -> list[str]:
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Adds ``prediction`` (int) and ``churn_probability`` (class-1 probability)."""
     out = model.transform(df)
+    added = [c for s in model.stages if isinstance(s, Bucketizer) for c in s.getOutputCols()]
     return (out.withColumn("churn_probability", vector_to_array("probability")[1])
             .withColumn("prediction", F.col("prediction").cast("int"))
-            .drop("features_vec", "rawPrediction", "probability"))
+            .drop("features_vec", "rawPrediction", "probability", *added))
 
 
-def cv_metrics(fx: DataFrame, cols=FINAL_FEATURES, label: str = "churn", folds: int = FOLDS,
-               seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> DataFrame:
-    """Stratified k-fold accuracy / precision / recall / F1 (class 1), averaged over folds.
-
-    One forest per fold; all four metrics come from that fold's confusion
-    aggregate (the reference refits the same folds once per metric).
-    """
-    spark = fx.sparkSession
-    data = materialize(kfold_assignment(fx.select("username", label, *cols), folds, seed=seed, label=label), "folds")
+def _fold_metrics(binned: Binned, folds: int, seed: int, trees: int, max_depth: int) -> DataFrame:
+    """Averages over the folds of the metrics of one forest per fold."""
+    spark = binned.table.sparkSession
 
     def one(k):
-        tr, te = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
-        model = forest(cols, seed, trees, max_depth).fit(_weighted(tr, label))
-        m = P.binary_metrics(predict(model, te), label, "prediction").first()
+        model = binned.fit(binned.weighted(F.col("fold") != k, lambda r: r["fold"] != k), seed, trees, max_depth)
+        m = P.binary_metrics(binned.predict(model, F.col("fold") == k), binned.label, "prediction").first()
         return (k, m["accuracy"], m["precision"], m["recall"], m["f1"])
 
     rows = _concurrently(one, range(folds))
@@ -198,6 +262,17 @@ def cv_metrics(fx: DataFrame, cols=FINAL_FEATURES, label: str = "churn", folds:
                         F.avg("recall").alias("cv_recall"), F.avg("f1").alias("cv_f1"))
 
 
+def cv_metrics(fx: DataFrame, cols=FINAL_FEATURES, label: str = "churn", folds: int = FOLDS,
+               seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH) -> DataFrame:
+    """Stratified k-fold accuracy / precision / recall / F1 (class 1), averaged over folds.
+
+    Features are binned once for all folds.  One forest per fold; all four metrics come from that fold's
+    confusion aggregate (the reference refits the same folds once per metric).
+    """
+    data = kfold_assignment(fx.select("username", label, *cols), folds, seed=seed, label=label)
+    return _fold_metrics(Binned(data, cols, label, ["fold"]), folds, seed, trees, max_depth)
+
+
 def _concurrently(fn, items):
     """Run independent fits from driver threads; Spark interleaves their jobs."""
     from concurrent.futures import ThreadPoolExecutor
@@ -209,20 +284,22 @@ def _concurrently(fn, items):
 def train_and_save(fx: DataFrame, selected=None, label: str = "churn", model_path: str | None = None,
                    seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH, cv: bool = False) -> dict:
     """Final forest on the stratified 80 %, hold-out metrics and report, optional save; with ``cv`` also
-    the cross-validation figures of the same forest (``cv_metrics``, one row)."""
+    the cross-validation figures of the same forest (``cv_metrics``, one row), on the same bins."""
     selected = list(selected or FINAL_FEATURES)
     require_columns(fx, selected, "selected features")
-    split = stratified_split(fx.select("username", label, *selected), label)
-    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-    model = forest(selected, seed, trees, max_depth).fit(_weighted(train, label))
-    scored = predict(model, test)
+    split, marks = stratified_split(fx.select("username", label, *selected), label), ["is_test"]
+    if cv:
+        split, marks = kfold_assignment(split, FOLDS, seed=seed, label=label), ["is_test", "fold"]
+    binned = Binned(split, selected, label, marks, keep=["username"])
+    model = binned.fit(binned.weighted(~F.col("is_test"), lambda r: not r["is_test"]), seed, trees, max_depth)
+    scored = binned.predict(model, F.col("is_test"))
     if model_path:
         model.write().overwrite().save(model_path)
     return {"model": model, "selected_features": selected,
             "metrics": P.binary_metrics(scored, label, "prediction"),
             "report": P.classification_report(scored, label, "prediction"),
             "test_predictions": scored,
-            **({"cv_metrics": cv_metrics(fx, selected, label, FOLDS, seed, trees, max_depth)} if cv else {})}
+            **({"cv_metrics": _fold_metrics(binned, FOLDS, seed, trees, max_depth)} if cv else {})}
 
 
 def model_inputs(model: PipelineModel) -> list[str]:
@@ -262,22 +339,23 @@ def model_comparison(fx: DataFrame, network: DataFrame | None = None, selected=N
     spark = fx.sparkSession
     selected = list(selected or FINAL_FEATURES)
 
-    def pca_of(train, frame):
-        """Components reaching the target share of the training rows' variance, applied to a frame."""
-        pfit = fit_pca(train)
-        names = [f"pc{j + 1}" for j in range(pfit.n_for())]
-        return pca_project(frame, pfit, len(names), keep=("username", label, *parts)), names
+    def f1_of(binned, test, chosen):
+        m = binned.fit(binned.weighted(~test, lambda r: not chosen(r)), seed, trees, max_depth)
+        return P.binary_metrics(binned.predict(m, test), label, "prediction").first()["f1"]
 
-    def evaluate(name, data, cols, reduce=False):
+    def evaluate(name, data, cols):
         # the hold-out fit and the fold fits are independent: one bounded pool for all six
+        once = Binned(data, cols, label, parts) if cols else None
+
         def fit(task):
             test = F.col("is_test") if task == "holdout" else F.col("fold") == task
-            tr, frame, inputs = data.where(~test), data, cols
-            if reduce:  # fitted on this split's training rows alone
-                frame, inputs = pca_of(tr, data)
-                tr = frame.where(~test)
-            m = forest(inputs, seed, trees, max_depth).fit(_weighted(tr, label))
-            return len(inputs), P.binary_metrics(predict(m, frame.where(test)), label, "prediction").first()["f1"]
+            binned = once
+            if binned is None:  # components are fitted on this split's training rows alone
+                pfit = fit_pca(data.where(~test))
+                names = [f"pc{j + 1}" for j in range(pfit.n_for())]
+                binned = Binned(pca_project(data, pfit, len(names), keep=("username", label, *parts)), names, label, parts)
+            chosen = (lambda r: r["is_test"]) if task == "holdout" else (lambda r: r["fold"] == task)
+            return len(binned.cols), f1_of(binned, test, chosen)
 
         res = _concurrently(fit, ["holdout", *range(FOLDS)])
         return name, res[0][0], float(res[0][1]), float(sum(f1 for _, f1 in res[1:]) / FOLDS)
@@ -287,7 +365,7 @@ def model_comparison(fx: DataFrame, network: DataFrame | None = None, selected=N
     data = fx if network is None else fx.join(network.select("username", *net_cols), "username")
     data = materialize(kfold_assignment(stratified_split(data, label), FOLDS, seed=seed, label=label), "comparison")
     # sets run one after another; inside each, the fold fits run concurrently (bounded)
-    rows = [evaluate("selected", data, selected), evaluate("pca", data, None, reduce=True)]
+    rows = [evaluate("selected", data, selected), evaluate("pca", data, None)]
     if network is not None:
         rows.append(evaluate("all_plus_network", data, list(FEATURE_COLUMNS) + net_cols))
     return spark.createDataFrame(rows, "feature_set string, n_features int, holdout_f1 double, cv_f1 double")
