@@ -198,3 +198,13 @@ def summarize_features(pre_fill: DataFrame, filled: DataFrame, cols, label: str
     if label and label in filled.columns:
         out["means_by_label"] = means_by_label(filled, cols, label)
     return out
+
+
+def feature_summary(pre_fill: DataFrame, filled: DataFrame, cols, label: str = "churn", classes=(0, 1)) -> DataFrame:
+    """The parts of :func:`summarize_features` side by side, one row per feature: its statistics, its missing and
+    odd values, and its mean for each class of the label.  Every part has a row per feature, so the joins are small."""
+    parts = summarize_features(pre_fill, filled, cols, label)
+    out = parts["describe"].withColumnRenamed("field", "feature").join(parts["health"], "feature")
+    means = parts["means_by_label"].groupBy("feature").agg(
+        *[F.max(F.when(F.col(label) == F.lit(c), F.col("mean"))).alias(f"mean_{c}") for c in classes])
+    return out.join(means, "feature", "left")

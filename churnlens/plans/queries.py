@@ -151,6 +151,20 @@ def q_matrix_health(spark, sf_dir):
     return P.matrix_health(pre, generate_features(raw, AS_OF), FEATURE_COLUMNS)
 
 
+_SUMMARY = f"""ds AS ({describe_sql('features', FEATURE_NAMES)}), mh AS ({_HEALTH}),
+ml AS ({_MEANS})
+SELECT ds.field AS feature, ds.count, ds.mean, ds.std, ds.min, ds.p25, ds.p50, ds.p75, ds.max,
+       mh.missing_before_fill, mh.nan_after, mh.inf_after,
+       max(ml.mean) FILTER (WHERE churn = 0) AS mean_0, max(ml.mean) FILTER (WHERE churn = 1) AS mean_1
+FROM ds JOIN mh ON mh.feature = ds.field JOIN ml ON ml.feature = ds.field GROUP BY ALL"""
+
+
+@register("feature_summary", sql=f"WITH {features_sql()}, {_SUMMARY}")
+def q_feature_summary(spark, sf_dir):
+    raw = shared_raw(spark, sf_dir)
+    return round_doubles(P.feature_summary(raw_feature_frame(raw, AS_OF), generate_features(raw, AS_OF), FEATURE_COLUMNS))
+
+
 def _corr_long_sql(table_cte: str, cols) -> str:
     """CTEs ``cm`` (moments) and ``cl`` (a, b, ia, ib, r unrounded)."""
     aggs = []
@@ -806,6 +820,28 @@ def q_recommend_gate(spark, sf_dir):
                        F.array_join(F.transform("recommendations", lambda s: s["feature"]), ",").alias("features"))
 
 
+_ADVICE_SQL = "CASE {f} " + " ".join(f"WHEN '{f}' THEN '{t}'" for f, t in LT.ADVICE.items()) + " END"
+_RISK_HEAD, _RISK_REST = LT.MSG_AT_RISK.split("{pct}")
+
+
+@register("recommend_texts", sql=f"""WITH {_GAP_CTES}, p AS (SELECT username, {_SHARE} AS p FROM sc),
+t AS (SELECT username, k, gap, {_NAMES_SQL}[i] AS feature FROM r WHERE k <= 3)
+SELECT p.username, round(p, 3) AS churn_probability,
+       CASE WHEN p >= 0.5 THEN concat('{_RISK_HEAD}', printf('%.1f', p * 100), '{_RISK_REST.replace("{n}", "3")}')
+            ELSE '{LT.MSG_NOT_AT_RISK}' END AS message,
+       CASE WHEN p >= 0.5 THEN (SELECT string_agg({_ADVICE_SQL.format(f="feature")}, ' | ' ORDER BY k) FROM t WHERE t.username = p.username)
+            ELSE '' END AS actions,
+       CASE WHEN p >= 0.5 THEN (SELECT round(sum(round(gap, 4)), 4) FROM t WHERE t.username = p.username) ELSE 0.0 END AS gap_sum
+FROM p""")
+def q_recommend_texts(spark, sf_dir):
+    """What a user is told: the message with the probability in per cent, and the advice for the three widest gaps."""
+    rows = LT.advise(LT.user_index(_gap_frame(spark, sf_dir)), top_n=3)
+    gaps = F.aggregate("recommendations", F.lit(0.0), lambda a, x: a + x["gap_score"])
+    return rows.select("username", "churn_probability", "message",
+                       F.array_join(F.transform("recommendations", lambda x: x["action"]), " | ").alias("actions"),
+                       F.round(gaps, 4).alias("gap_sum"))
+
+
 @register("svd_trace", sql=f"""WITH {features_sql()},
 st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in FEATURE_NAMES)} FROM features),
 mm AS (SELECT {_MM} FROM features)
@@ -853,6 +889,14 @@ def q_vote_decision(spark, sf_dir):
                               t.where("ordinal < 8").select("feature", F.col("by_var").alias("rf_rank")))
 
 
+@register("keep_list", sql=f"""WITH {_VOTE_CTES}
+SELECT feature, CAST(row_number() OVER (ORDER BY ordinal) - 1 AS BIGINT) AS place FROM vt WHERE votes >= 3""")
+def q_keep_list(spark, sf_dir):
+    """The features that training takes from the vote table, in contract order."""
+    kept = M.keep_list(q_vote_decision(spark, sf_dir))
+    return spark.createDataFrame([(f, i) for i, f in enumerate(kept)], "feature string, place bigint")
+
+
 @register("training_result")
 def q_training_result(spark, sf_dir):
     """The figures that training returns: hold-out and cross-validation side by side."""
