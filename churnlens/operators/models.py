@@ -8,10 +8,9 @@ per-fold (four counts), never per-user.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,32 +57,85 @@ def with_label(df: DataFrame, label: str = "churn") -> DataFrame:
     return df.withColumn("label", F.col(label).cast("double"))
 
 
+# ------------------------------------------------------------------ logistic regression by Newton steps
+NEWTON_STEPS = 50
+NEWTON_TOL = 1e-9
+
+
+def logistic_statistics(rows: DataFrame, cols, label: str, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Gradient, Hessian and value of the summed log-loss at ``weights`` (intercept first), from one pass.
+
+    Every task adds up its rows' statistics with matrix products and sends one row of (d+1)(d+2)/2 + d + 2
+    numbers; Spark adds these up."""
+    d = len(cols) + 1
+    upper = np.triu_indices(d)
+    names = [f"s{i}" for i in range(1 + d + len(upper[0]))]
+
+    def run(batches):
+        total = np.zeros(len(names))
+        for batch in batches:
+            n = batch.num_rows
+            x = np.column_stack([np.ones(n), *[batch.column(c).to_numpy() for c in cols]])
+            y = batch.column(label).to_numpy()
+            z = x @ weights
+            p = 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
+            total[0] += float((np.logaddexp(0.0, z) - y * z).sum())
+            total[1:1 + d] += (p - y) @ x
+            total[1 + d:] += (x.T @ (x * (p * (1.0 - p))[:, None]))[upper]
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], names=names)
+
+    parts = rows.select(label, *cols).mapInArrow(run, ", ".join(f"{n} double" for n in names))
+    v = np.array([x or 0.0 for x in parts.agg(*[F.sum(n) for n in names]).first()])
+    h = np.zeros((d, d))
+    h[upper] = v[1 + d:]
+    return v[1:1 + d], h + np.triu(h, 1).T, float(v[0])
+
+
+def logistic_newton(rows: DataFrame, cols, label: str, start: np.ndarray | None = None, ridge: float = 1.0) -> np.ndarray:
+    """Weights (intercept first) that minimise the summed log-loss plus ``ridge`` / 2 times the squared weights (not
+    the intercept's), by Newton steps with one pass each; a step that does not lower the value is halved."""
+    d = len(cols) + 1
+    w = np.zeros(d) if start is None else start.copy()
+    keep = np.full(d, ridge)
+    keep[0] = 0.0
+
+    def at(w):
+        g, h, loss = logistic_statistics(rows, cols, label, w)
+        return g + keep * w, h + np.diag(keep), loss + 0.5 * float(keep @ (w * w))
+
+    g, h, value = at(w)
+    for _ in range(NEWTON_STEPS):
+        # a class that is absent leaves the intercept without curvature
+        step = np.linalg.solve(h + 1e-12 * np.eye(d), g)
+        while True:
+            new = w - step
+            g2, h2, value2 = at(new)
+            if value2 <= value + 1e-9 * abs(value) or np.abs(step).max() < NEWTON_TOL:
+                break
+            step = step / 2
+        w, g, h, value = new, g2, h2, value2
+        if np.abs(step).max() < NEWTON_TOL:
+            break
+    return w
+
+
 def rfe_ranking(train: DataFrame, cols=FEATURE_COLUMNS, n_keep: int = RFE_KEEP, label: str = "churn") -> DataFrame:
-    """Recursive elimination with L2 logistic regression on standardised data.
+    """Recursive elimination with L2 logistic regression (unit inverse regularisation) on standardised data.
 
-    One feature leaves per round (smallest squared coefficient; ties: lower
-    ordinal leaves first).  Rank 1 = kept; the last one out gets 2, the first
-    one out gets ``len(cols) - n_keep + 1``.  ``regParam = 1/n`` reproduces a
-    unit inverse-regularisation strength on the summed log-loss.
+    One feature leaves per round: the smallest squared coefficient, to ten digits after the point, and of
+    features that tie there the one with the lower ordinal.  Rank 1 = kept; the last one out gets 2, the
+    first one out gets ``len(cols) - n_keep + 1``.  Each fit starts from the one before it.
     """
     spark = train.sparkSession
     cols = list(cols)
     data = with_label(train.select(label, *[F.col(c).cast("double").alias(c) for c in cols]), label)
-    st = fit_standard(data, cols)
-    data = apply_standard(data, st, keep=["label"])
-    data = materialize(data, "rfe-train")
-    n = data.count()
-    remaining = list(cols)
-    out_order: list[str] = []
+    data = materialize(apply_standard(data, fit_standard(data, cols), keep=["label"]), "rfe-train")
+    remaining, out_order, w = list(cols), [], None
     while len(remaining) > n_keep:
-        lr = LogisticRegression(featuresCol="fv", labelCol="label", regParam=1.0 / max(n, 1),
-                                elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-6)
-        m = lr.fit(assembled(data, remaining, "fv"))
-        coef = m.coefficients.toArray()
-        imp = {c: float(coef[i]) ** 2 for i, c in enumerate(remaining)}
-        loser = min(remaining, key=lambda c: (imp[c], cols.index(c)))
-        out_order.append(loser)
-        remaining.remove(loser)
+        w = logistic_newton(data, remaining, "label", w)
+        loser = min(range(len(remaining)), key=lambda i: (round(float(w[i + 1]) ** 2, 10), i))
+        out_order.append(remaining.pop(loser))
+        w = np.delete(w, loser + 1)
     ranks = {c: 1 for c in remaining}
     for i, c in enumerate(reversed(out_order)):
         ranks[c] = i + 2

@@ -484,8 +484,7 @@ def q_minmax_features(spark, sf_dir):
 _HASH_SQL = "CAST(('0x' || substr(md5('42:' || username), 1, 13)) AS BIGINT)"
 
 
-@register("stratified_split", sql=f"""WITH {features_sql()},
-hx AS (SELECT username, churn, {_HASH_SQL} AS h FROM features),
+_SPLIT_CTES = f"""hx AS (SELECT username, churn, {_HASH_SQL} AS h FROM features),
 cc AS (SELECT churn, count(*) AS c FROM hx GROUP BY churn),
 tot AS (SELECT sum(c) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * sum(c)) AS BIGINT) AS n_test FROM cc),
 q1 AS (SELECT churn, c, (SELECT n - n_test FROM tot) AS n_train,
@@ -493,9 +492,12 @@ q1 AS (SELECT churn, c, (SELECT n - n_test FROM tot) AS n_train,
               (SELECT n - n_test FROM tot) * c / (SELECT n FROM tot) - floor((SELECT n - n_test FROM tot) * c / (SELECT n FROM tot)) AS rem
        FROM cc),
 q2 AS (SELECT churn, c, fl, n_train - sum(fl) OVER () AS need, row_number() OVER (ORDER BY rem DESC, churn) AS rk FROM q1),
-quota AS (SELECT churn, c - (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) AS t FROM q2)
-SELECT username, churn, row_number() OVER (PARTITION BY hx.churn ORDER BY h, username) <= t AS is_test
-FROM hx JOIN quota USING (churn)""")
+quota AS (SELECT churn, c - (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) AS t FROM q2),
+split AS (SELECT username, churn, row_number() OVER (PARTITION BY hx.churn ORDER BY h, username) <= t AS is_test
+          FROM hx JOIN quota USING (churn))"""
+
+
+@register("stratified_split", sql=f"WITH {features_sql()}, {_SPLIT_CTES} SELECT username, churn, is_test FROM split")
 def q_stratified_split(spark, sf_dir):
     return S.stratified_split(shared_raw(spark, sf_dir).select("username", "churn"))
 
@@ -635,7 +637,51 @@ def _train_split(fx):
     return S.stratified_split(fx).where(~F.col("is_test"))
 
 
-@register("rfe_ranking")
+def _rfe_sql(steps: int = 14, keep: int = 5) -> str:
+    """Elimination by Newton steps: a recursive step adds up gradient and Hessian over the training rows (``it`` has
+    one row) and solves for the step by elimination; after ``steps`` of them the weakest feature is masked."""
+    d = len(FEATURE_NAMES) + 1
+    z = ", ".join(f"({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () > 0 THEN stddev_pop({c}) OVER () ELSE 1 END)"
+                  for c in FEATURE_NAMES)
+    zeros, ones = ", ".join(["0.0::DOUBLE"] * d), ", ".join(["1.0::DOUBLE"] * d)
+    pivots = ", ".join(f"[[{k}.0::DOUBLE]]" for k in range(1, d + 1))
+    return f"""{features_sql()}, {_SPLIT_CTES},
+tr AS (SELECT features.* FROM features JOIN split USING (username) WHERE NOT is_test),
+z AS (SELECT CAST([1.0, {z}] AS DOUBLE[]) AS x, CAST(churn AS DOUBLE) AS y FROM tr),
+it(r, t, w, mask, gone) AS (
+  SELECT 1, 0, [{zeros}], [{ones}], CAST([] AS INTEGER[])
+  UNION ALL
+  SELECT CASE WHEN t = {steps - 1} THEN r + 1 ELSE r END, (t + 1) % {steps},
+         CASE WHEN t = {steps - 1} THEN list_transform(nw, lambda v, i: CASE WHEN i = loser + 1 THEN 0.0 ELSE v END) ELSE nw END,
+         CASE WHEN t = {steps - 1} THEN list_transform(mask, lambda v, i: CASE WHEN i = loser + 1 THEN 0.0 ELSE v END) ELSE mask END,
+         CASE WHEN t = {steps - 1} THEN list_append(gone, loser) ELSE gone END
+  FROM (SELECT *, CAST(list_position(imp, list_min(imp)) AS INTEGER) AS loser FROM (
+    SELECT *, list_transform(nw[2:], lambda v, i: CASE WHEN mask[i + 1] = 0 THEN 1e300 ELSE round(v * v, 10) END) AS imp FROM (
+    SELECT r, t, mask, gone, list_transform(w, lambda v, i: v - solved[i][{d + 1}]) AS nw FROM (
+    SELECT r, t, w, mask, gone, list_reduce(list_prepend(list(hrow ORDER BY i), [{pivots}]), lambda m, k:
+        list_transform(m, lambda row, i: CASE WHEN i = CAST(k[1][1] AS INTEGER)
+          THEN list_transform(row, lambda v: v / m[CAST(k[1][1] AS INTEGER)][CAST(k[1][1] AS INTEGER)])
+          ELSE list_transform(row, lambda v, j: v - row[CAST(k[1][1] AS INTEGER)] * m[CAST(k[1][1] AS INTEGER)][j]
+                              / m[CAST(k[1][1] AS INTEGER)][CAST(k[1][1] AS INTEGER)]) END)) AS solved
+    FROM (SELECT r, t, w, mask, gone, i, list_append(list(h ORDER BY j), any_value(g)) AS hrow
+      FROM (SELECT r, t, w, mask, gone, i, j, sum(p * (1 - p) * x[i] * x[j]) * mask[i] * mask[j] + CASE WHEN i = j AND i > 1 THEN 1 ELSE 0 END AS h,
+                   sum((p - y) * x[i]) * mask[i] + CASE WHEN i > 1 THEN w[i] ELSE 0 END AS g
+            FROM (SELECT it.*, x, y, 1 / (1 + exp(-list_inner_product(x, w))) AS p FROM it, z WHERE r <= {d - 1 - keep}) s,
+                 (SELECT unnest(range(1, {d + 1})) AS i) a, (SELECT unnest(range(1, {d + 1})) AS j) b
+            GROUP BY r, t, w, mask, gone, i, j)
+      GROUP BY r, t, w, mask, gone, i)
+    GROUP BY r, t, w, mask, gone)))) ),
+fin AS (SELECT gone FROM it WHERE r = {d - keep})
+SELECT feature, CAST(o AS INTEGER) AS ordinal,
+       CAST(CASE WHEN p > 0 THEN {d - keep} - p + 1 ELSE 1 END AS INTEGER) AS rfe_rank, p IS NULL OR p = 0 AS rfe_selected
+FROM (SELECT feature, o, coalesce(list_position(gone, o + 1), 0) AS p
+      FROM (SELECT unnest({_NAMES_LIST}) AS feature, unnest(range(0, {d - 1})) AS o) n, fin)"""
+
+
+_NAMES_LIST = "[" + ", ".join(f"'{c}'" for c in FEATURE_NAMES) + "]"
+
+
+@register("rfe_ranking", sql=f"WITH RECURSIVE {_rfe_sql()}")
 def q_rfe_ranking(spark, sf_dir):
     return M.rfe_ranking(_train_split(feature_frame(spark, sf_dir)))
 

@@ -97,3 +97,21 @@ def test_comparison_vote_rule(spark):
     assert (t["x"]["methods_agreeing"], t["x"]["decision"]) == (4, "Keep")
     assert (t["y"]["methods_agreeing"], t["y"]["decision"]) == (2, "Optional")
     assert (t["z"]["rf_rank"], t["z"]["decision"]) == (99, "Drop")
+
+
+def test_newton_reaches_the_minimum(data):
+    rows = M.with_label(data)
+    x = np.array([[r[c] for c in COLS] for r in data.collect()])
+    y = np.array([r["churn"] for r in data.collect()], float)
+    w = M.logistic_newton(rows, COLS, "label")
+    full = np.column_stack([np.ones(len(x)), x])
+
+    def gradient(w):
+        return full.T @ (1 / (1 + np.exp(-full @ w)) - y) + np.r_[0.0, w[1:]]
+    assert np.abs(gradient(w)).max() < 1e-7
+    # from a far start the halved steps arrive at the same place
+    assert np.abs(M.logistic_newton(rows, COLS, "label", np.full(len(COLS) + 1, 25.0)) - w).max() < 1e-7
+    # separable rows and a single class have a minimum too
+    apart = rows.where("(a > 1 and churn = 1) or (a < 0 and churn = 0)")
+    assert np.isfinite(M.logistic_newton(apart, ["a"], "label")).all()
+    assert np.isfinite(M.logistic_newton(rows.where("churn = 1"), ["a"], "label")).all()
