@@ -79,9 +79,11 @@ def main(argv=None, stop: bool = True) -> int:
     t.add_argument("--select", default=None, help="comma-separated feature list")
     t.add_argument("--use-keep", default=None, help="selection folder: train on its Keep features")
     t.add_argument("--metrics-out", default=None)
+    t.add_argument("--versioned", action="store_true", help="publish under --model as the next version")
     la = sub.add_parser("latent")
     la.add_argument("--features", required=True)
     la.add_argument("--out", required=True)
+    la.add_argument("--versioned", action="store_true", help="publish under --out as the next version")
     sc = sub.add_parser("score")
     sc.add_argument("--model", required=True)
     sc.add_argument("--requests", required=True)
@@ -142,7 +144,9 @@ def _run(a, spark) -> None:
         cols = a.select.split(",") if a.select else None
         if a.use_keep:
             cols = M.keep_list(spark.read.parquet(f"{a.use_keep}/table")) or None
-        res = M.train_and_save(fx, cols or FINAL_FEATURES, model_path=a.model, cv=True)
+        from churnlens.sources.artefacts import Artefacts
+        where = {"store": Artefacts(spark, a.model)} if a.versioned else {"model_path": a.model}
+        res = M.train_and_save(fx, cols or FINAL_FEATURES, cv=True, **where)
         out = {"selected_features": res["selected_features"], **res["cv_metrics"].first().asDict(),
                **res["metrics"].first().asDict()}
         if a.metrics_out:
@@ -150,12 +154,17 @@ def _run(a, spark) -> None:
         print(json.dumps(out))
     elif a.cmd == "latent":
         from churnlens.operators import latent as LT
-        from churnlens.sources.files import save_latent
+        from churnlens.sources.artefacts import Artefacts
+        from churnlens.sources.files import publish_latent, save_latent
         fx = spark.read.parquet(a.features)
         fit = LT.fit_svd(fx)
         v_rows = spark.createDataFrame([(i, [float(x) for x in fit.v[i]]) for i in range(len(fit.cols))],
                                        "row int, v array<double>")
-        save_latent(LT.svd_reconstruct(fx, fit), v_rows, a.out)
+        latent = LT.svd_reconstruct(fx, fit)
+        if a.versioned:
+            publish_latent(Artefacts(spark, a.out), latent, v_rows)
+        else:
+            save_latent(latent, v_rows, a.out)
     elif a.cmd == "score":
         from churnlens.operators import models as M
         from churnlens.operators.scoring import validate_score_requests

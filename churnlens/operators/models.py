@@ -24,6 +24,7 @@ from churnlens.operators.sampling import (
 from churnlens.operators.selection import filter_method
 from churnlens.schemas import FEATURE_COLUMNS, FINAL_FEATURES, require_columns
 from churnlens.session import materialize
+from churnlens.sources.artefacts import Artefacts
 from churnlens.sources.files import path_exists
 
 SEED = 42
@@ -334,9 +335,12 @@ def _concurrently(fn, items):
 
 
 def train_and_save(fx: DataFrame, selected=None, label: str = "churn", model_path: str | None = None,
-                   seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH, cv: bool = False) -> dict:
+                   seed: int = SEED, trees: int = RF_TREES, max_depth: int = RF_MAX_DEPTH, cv: bool = False,
+                   store: Artefacts | None = None) -> dict:
     """Final forest on the stratified 80 %, hold-out metrics and report, optional save; with ``cv`` also
-    the cross-validation figures of the same forest (``cv_metrics``, one row), on the same bins."""
+    the cross-validation figures of the same forest (``cv_metrics``, one row), on the same bins.
+
+    ``model_path`` is written in place; with ``store`` the model is published as a part of its next version."""
     selected = list(selected or FINAL_FEATURES)
     require_columns(fx, selected, "selected features")
     split, marks = stratified_split(fx.select("username", label, *selected), label), ["is_test"]
@@ -347,6 +351,8 @@ def train_and_save(fx: DataFrame, selected=None, label: str = "churn", model_pat
     scored = binned.predict(model, F.col("is_test"))
     if model_path:
         model.write().overwrite().save(model_path)
+    if store:
+        store.publish({"model": lambda path: model.write().save(path)}, {"selected_features": selected})
     return {"model": model, "selected_features": selected,
             "metrics": P.binary_metrics(scored, label, "prediction"),
             "report": P.classification_report(scored, label, "prediction"),
@@ -366,8 +372,12 @@ def request_schema(model: PipelineModel):
 
 
 def load_model(path: str, spark: SparkSession | None = None) -> PipelineModel:
-    """A saved model from any file system; a path without a scheme lies on the session's default one."""
+    """A saved model from any file system (a path without a scheme lies on the session's default one), or the
+    current model of a folder of versioned artefacts."""
     spark = spark or SparkSession.active()
+    published = Artefacts(spark, path).current() if path else None
+    if published and "model" in published.parts:
+        path = published.parts["model"]
     if not path or not path_exists(spark, path):
         raise FileNotFoundError(f"no saved model at {path!r}; train and save one first")
     return PipelineModel.load(path)

@@ -1121,14 +1121,15 @@ def q_model_roundtrip(spark, sf_dir):
 
 @register("latent_roundtrip")
 def q_latent_roundtrip(spark, sf_dir):
-    """Write the latent artefact (per-user arrays + factor matrix), read it back and recommend from it."""
+    """Publish model and latent tables as one set of versioned artefacts, read the current set back and recommend from it."""
+    from churnlens.sources.artefacts import Artefacts
     fx = feature_frame(spark, sf_dir)
     fit = LT.fit_svd(fx)
-    path = _scratch(spark, "latent", track=True)
+    store = Artefacts(spark, _scratch(spark, "artefacts", track=True))
+    M.train_and_save(fx, FINAL_FEATURES, store=store)
     v_rows = spark.createDataFrame([(i, [float(x) for x in fit.v[i]]) for i in range(len(fit.cols))],
                                    "row int, v array<double>")
-    FS.save_latent(LT.svd_reconstruct(fx, fit), v_rows, path)
-    latent = FS.load_latent(spark, path)
-    model = M.train_and_save(fx, FINAL_FEATURES)["model"]
+    FS.publish_latent(store, LT.svd_reconstruct(fx, fit), v_rows)
+    latent, model = FS.load_latent(spark, store.root), M.load_model(store.root, spark)
     scores = M.predict(model, fx.select("username", *FINAL_FEATURES))
     return LT.recommend(LT.user_index(fx.select("username")), scores, latent, FEATURE_COLUMNS, 5)

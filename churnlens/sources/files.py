@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.schemas import FEATURE_COLUMNS, PROFILE, RAW_USERS, REPO
+from churnlens.sources.artefacts import Artefacts, Version
 from churnlens.sources.csv_records import read_quoted_csv
 
 # Text tokens that a CSV reader treats as missing (pandas defaults).
@@ -121,7 +122,16 @@ def save_latent(latent: DataFrame, v_rows: DataFrame, path: str) -> str:
     return path
 
 
+def publish_latent(store: Artefacts, latent: DataFrame, v_rows: DataFrame) -> Version:
+    """The latent arrays and the factor matrix as parts of the store's next version."""
+    return store.publish({"users": lambda path: latent.write.parquet(path), "factors": lambda path: v_rows.write.parquet(path)})
+
+
 def load_latent(spark: SparkSession, path: str) -> DataFrame | None:
-    """The saved per-user latent table, or None when absent (scoring still works without it)."""
+    """The saved per-user latent table, or None when absent (scoring still works without it); from a folder
+    of versioned artefacts, that of the current version."""
+    published = Artefacts(spark, path).table("users")
+    if published is not None:
+        return published
     p = f"{path}/users"
     return spark.read.parquet(p) if path_exists(spark, p) else None
