@@ -1,8 +1,9 @@
 """PCA, truncated SVD, latent coordinates and gap recommendations (PCA1-3, REC1-4, WIN2, WIN4, WIN7).
 
-Both decompositions only need a d×d matrix (d = number of features, 10):
-the Gram matrix XᵀX or the correlation matrix, built by one distributed
-aggregate of pairwise sums.  Its eigen-decomposition runs on the driver (size
+Both decompositions need the triangular factor R of the matrix X = QR (d×d, d = number of
+features, 10): every task factors its rows, and factors are merged pairwise in a tree, stacked
+and factored again.  R has the singular values and right singular vectors of X to full
+precision, which the Gram matrix XᵀX halves.  The last factor's SVD runs on the driver (size
 independent of the user count); projections and reconstructions are then
 linear column expressions evaluated per row, so no user data is collected.
 """
@@ -12,6 +13,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,30 +57,53 @@ MSG_AT_RISK = "User is at risk ({pct}%). Top {n} re-engagement actions returned.
 
 
 def _sign_fix(vecs: np.ndarray) -> np.ndarray:
-    """Make the largest-magnitude entry of every column positive."""
+    """Make the largest-magnitude entry of every column positive (the first of those that tie to nine digits)."""
     v = vecs.copy()
     for j in range(v.shape[1]):
-        i = int(np.argmax(np.abs(v[:, j])))
+        size = np.abs(v[:, j])
+        i = int(np.argmax(size >= size.max() - 1e-9))
         if v[i, j] < 0:
             v[:, j] = -v[:, j]
     return v
 
 
-def pair_sums(df: DataFrame, cols, kind: str = "gram") -> np.ndarray:
-    """d×d matrix from one aggregate: Σ x_a x_b ("gram") or population covariance ("cov")."""
-    aggs = []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            e = F.sum(F.col(a) * F.col(b)) if kind == "gram" else F.covar_pop(a, b)
-            aggs.append(e.alias(f"p_{i}_{j}"))
-    r = df.agg(*aggs).first()
-    d = len(cols)
-    m = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            m[i, j] = m[j, i] = r[f"p_{i}_{j}"] or 0.0
-    return m
+#: Factors that one task of the tree merges.
+MERGED_FACTORS = 64
+
+
+def r_factor(df: DataFrame, cols) -> np.ndarray:
+    """The d×d triangular factor of the matrix of ``cols`` (doubles), by a tree of small factorisations."""
+    cols, d = list(cols), len(cols)
+    names = [f"r{i}" for i in range(d * d)]
+    schema = "level int, " + ", ".join(f"{n} double" for n in names)
+
+    def merged(r, rows):
+        return np.linalg.qr(np.vstack([r, rows]), mode="r")
+
+    def batch_of(level, r):
+        full = np.zeros((d, d))
+        full[:len(r)] = r
+        return pa.RecordBatch.from_arrays([pa.array([level], pa.int32()), *[pa.array([v]) for v in full.ravel()]],
+                                          names=["level", *names])
+
+    def leaf(batches):
+        r = np.zeros((0, d))
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy() for c in cols]) if batch.num_rows else np.zeros((0, d))
+            for s in range(0, len(x), 65536):
+                r = merged(r, x[s:s + 65536])
+        yield batch_of(TaskContext.get().partitionId(), r)
+
+    def join(table: pa.Table) -> pa.Table:
+        x = np.column_stack([table.column(n).to_numpy() for n in names]).reshape(-1, d)
+        return pa.Table.from_batches([batch_of(table.column("level")[0].as_py(), np.linalg.qr(x, mode="r"))])
+
+    factors = df.select(*cols).mapInArrow(leaf, schema)
+    seats = (F.col("level") % F.lit(MERGED_FACTORS)).cast("int")
+    rows = factors.withColumn("level", seats).groupBy("level").applyInArrow(join, schema).collect()  # so many d×d factors at most
+    if not rows:
+        return np.zeros((d, d))
+    return np.linalg.qr(np.array([r[1:] for r in sorted(rows)]).reshape(-1, d), mode="r")
 
 
 # ------------------------------------------------------------------ PCA
@@ -94,15 +120,12 @@ class PcaFit:
 
 
 def fit_pca(df: DataFrame, cols=FEATURE_COLUMNS) -> PcaFit:
-    """PCA of standardised columns = eigen-decomposition of their covariance (the correlation matrix)."""
+    """PCA of standardised columns = SVD of their matrix; its squared singular values are the variances (times n)."""
     cols = list(cols)
     dbl = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     stats = fit_standard(dbl, cols)
-    z = apply_standard(dbl, stats)
-    cov = pair_sums(z, cols, "cov")
-    vals, vecs = np.linalg.eigh(cov)
-    order = np.argsort(-vals, kind="stable")
-    vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order]
+    _, sigma, vt = np.linalg.svd(r_factor(apply_standard(dbl, stats), cols))
+    vals, vecs = sigma ** 2, vt.T
     total = vals.sum()
     ratios = vals / total if total > 0 else np.zeros_like(vals)
     return PcaFit(cols, stats, ratios, _sign_fix(vecs))
@@ -146,16 +169,12 @@ class SvdFit:
 
 
 def fit_svd(df: DataFrame, cols=FEATURE_COLUMNS, k: int = LATENT_FACTORS) -> SvdFit:
-    """Rank-k SVD of the min-max scaled matrix (not centred) via its Gram matrix."""
+    """Rank-k SVD of the min-max scaled matrix (not centred)."""
     cols = list(cols)
     dbl = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     bounds = fit_minmax(dbl, cols)
-    x = apply_minmax(dbl, bounds)
-    g = pair_sums(x, cols, "gram")
-    vals, vecs = np.linalg.eigh(g)
-    order = np.argsort(-vals, kind="stable")
-    vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order]
-    return SvdFit(cols, bounds, np.sqrt(vals[:k]), _sign_fix(vecs[:, :k]), float(vals.sum()))
+    _, sigma, vt = np.linalg.svd(r_factor(apply_minmax(dbl, bounds), cols))
+    return SvdFit(cols, bounds, sigma[:k], _sign_fix(vt.T[:, :k]), float((sigma ** 2).sum()))
 
 
 def _scaled_exprs(fit: SvdFit) -> list:

@@ -729,16 +729,30 @@ def q_score_users(spark, sf_dir):
     return M.score_users(model, fx.select("username", *FINAL_FEATURES))
 
 
+from churnlens.plans.sql_parts import eigen_ctes  # noqa: E402
+
+
 def _pca_fit(spark, sf_dir):
     return LT.fit_pca(feature_frame(spark, sf_dir))
 
 
-@register("pca_variance")
+_Z = ", ".join(f"(CAST({c} AS DOUBLE) - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () > 0 THEN stddev_pop({c}) OVER () ELSE 1 END) AS {c}"
+               for c in FEATURE_NAMES)
+_PCA_CTES = f"""{features_sql()}, zs AS (SELECT username, churn, {_Z} FROM features), {eigen_ctes("zs", FEATURE_NAMES)},
+pcr AS (SELECT k, vec, greatest(value, 0) / sum(greatest(value, 0)) OVER () AS ratio FROM eig),
+pcc AS (SELECT *, sum(ratio) OVER (ORDER BY k) AS cum FROM pcr)"""
+
+
+@register("pca_variance", sql=f"""WITH RECURSIVE {_PCA_CTES}
+SELECT CAST(k AS INTEGER) AS component, round(ratio, 6) AS variance_ratio, round(cum, 6) AS cumulative,
+       CAST((SELECT min(k) FROM pcc WHERE cum >= 0.9 - 1e-12) AS INTEGER) AS n_for_target FROM pcc""")
 def q_pca_variance(spark, sf_dir):
     return round_doubles(LT.pca_variance(spark, _pca_fit(spark, sf_dir)))
 
 
-@register("pca_loadings")
+@register("pca_loadings", sql=f"""WITH RECURSIVE {_PCA_CTES}
+SELECT feature, CAST(i - 1 AS INTEGER) AS ordinal, {", ".join(f"round((SELECT vec FROM eig WHERE k = {j})[i], 6) AS pc{j}" for j in range(1, 11))}
+FROM (SELECT unnest({_NAMES_LIST}) AS feature, unnest(range(1, 11)) AS i)""")
 def q_pca_loadings(spark, sf_dir):
     return round_doubles(LT.pca_loadings(spark, _pca_fit(spark, sf_dir)))
 
@@ -750,6 +764,15 @@ def q_pca_projection(spark, sf_dir):
     return round_doubles(LT.pca_project(fx, fit, fit.n_for(), keep=("username", "churn")))
 
 
+@register("pca_scores", sql=f"""WITH RECURSIVE {_PCA_CTES}
+SELECT username, churn, {", ".join(f"round(list_inner_product([{', '.join(FEATURE_NAMES)}], (SELECT vec FROM eig WHERE k = {j})), 6) AS pc{j}" for j in range(1, 4))}
+FROM zs""")
+def q_pca_scores(spark, sf_dir):
+    """Users on the first three components."""
+    fx = feature_frame(spark, sf_dir)
+    return round_doubles(LT.pca_project(fx, LT.fit_pca(fx), 3, keep=("username", "churn")))
+
+
 _MM = ", ".join(
     f"({c} - (SELECT lo_{c} FROM st)) / (SELECT CASE WHEN hi_{c} > lo_{c} THEN hi_{c} - lo_{c} ELSE 1 END FROM st) AS {c}"
     for c in FEATURE_NAMES)
@@ -777,7 +800,17 @@ def _svd(spark, sf_dir):
     return fx, LT.fit_svd(fx)
 
 
-@register("svd_variance")
+_SVD_CTES = f"""{features_sql()},
+st AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in FEATURE_NAMES)} FROM features),
+mm AS (SELECT username, churn, {_MM} FROM features), {eigen_ctes("mm", FEATURE_NAMES)},
+sv AS (SELECT k, greatest(value, 0) AS s2, vec FROM eig)"""
+_ROW = "CAST([" + ", ".join(FEATURE_NAMES) + "] AS DOUBLE[])"
+
+
+@register("svd_variance", sql=f"""WITH RECURSIVE {_SVD_CTES}
+SELECT CAST(k AS INTEGER) AS factor, round(sqrt(s2), 6) AS singular_value, round(s2 / sum(s2) OVER (), 6) AS share_of_kept,
+       round(sum(s2) OVER (ORDER BY k) / sum(s2) OVER (), 6) AS cumulative_kept,
+       round(s2 / (SELECT sum(s2) FROM sv), 6) AS share_of_total FROM sv WHERE k <= {LT.LATENT_FACTORS}""")
 def q_svd_variance(spark, sf_dir):
     return round_doubles(LT.svd_variance(spark, _svd(spark, sf_dir)[1]))
 
@@ -790,7 +823,28 @@ def q_svd_reconstruction(spark, sf_dir):
                       F.transform("reconstructed", lambda v: F.round(v, 6)).alias("reconstructed"))
 
 
-@register("svd_coordinates")
+_REC = [" + ".join(f"c{j} * (SELECT vec FROM sv WHERE k = {j})[{i}]" for j in range(1, LT.LATENT_FACTORS + 1))
+        for i in range(1, len(FEATURE_NAMES) + 1)]
+
+
+@register("svd_rest", sql=f"""WITH RECURSIVE {_SVD_CTES},
+sr AS (SELECT username, {_ROW} AS x FROM mm),
+co AS (SELECT username, x, {", ".join(f"list_inner_product(x, (SELECT vec FROM sv WHERE k = {j})) AS c{j}" for j in range(1, LT.LATENT_FACTORS + 1))} FROM sr)
+SELECT username, {", ".join(f"round({e}, 6) AS {c}" for e, c in zip(_REC, FEATURE_NAMES))},
+       round({" + ".join(f"(x[{i + 1}] - ({e})) * (x[{i + 1}] - ({e}))" for i, e in enumerate(_REC))}, 6) AS rest
+FROM co""")
+def q_svd_rest(spark, sf_dir):
+    """The rank-5 reconstruction of each user's features, and its squared distance from them."""
+    fx, fit = _svd(spark, sf_dir)
+    out = LT.svd_reconstruct(fx, fit)
+    rest = F.aggregate(F.zip_with("scaled", "reconstructed", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
+    return round_doubles(out.select("username", *[F.col("reconstructed")[i].alias(c) for i, c in enumerate(FEATURE_COLUMNS)],
+                                    rest.alias("rest")))
+
+
+@register("svd_coordinates", sql=f"""WITH RECURSIVE {_SVD_CTES}
+SELECT username, churn, {", ".join(f"round(list_inner_product({_ROW}, (SELECT vec FROM sv WHERE k = {j})) / (SELECT CASE WHEN s2 > 0 THEN sqrt(s2) ELSE 1 END FROM sv WHERE k = {j}), 6) AS factor{j}" for j in (1, 2))}
+FROM mm""")
 def q_svd_coordinates(spark, sf_dir):
     fx, fit = _svd(spark, sf_dir)
     return round_doubles(LT.svd_coordinates(fx, fit))

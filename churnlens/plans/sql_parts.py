@@ -309,3 +309,38 @@ def network_ctes() -> str:
     return f"""{graph_sql()}, {DEGREE_CTES}, {pagerank_ctes()}, {betweenness_ctes()},
 net AS MATERIALIZED (SELECT nodes.*, degree_centrality, betweenness_centrality, pagerank
         FROM nodes JOIN dg USING (username) JOIN bt USING (username) JOIN pr USING (username))"""
+
+
+def eigen_ctes(table: str, cols, sweeps: int = 12) -> str:
+    """CTEs ``gram`` (a: the matrix of sums of products of the columns of ``table``) and ``eig`` (k from 1, value,
+    vec): its eigenvalues, largest first, and eigenvectors by cyclic Jacobi rotations, one a recursive step.
+    The largest entry of a vector (the first of those that tie) is positive.  Needs WITH RECURSIVE."""
+    d = len(cols)
+    pairs = [(p, q) for p in range(1, d + 1) for q in range(p + 1, d + 1)]
+    rows = ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in cols) + "]" for a in cols)
+    unit = ", ".join("[" + ", ".join("1.0::DOUBLE" if i == j else "0.0::DOUBLE" for j in range(d)) + "]" for i in range(d))
+
+    def columns(m):  # columns p and q of a matrix turned
+        return (f"list_transform({m}, lambda row: list_transform(row, lambda x, j: CASE WHEN j = p THEN c * row[p] - s * row[q] "
+                "WHEN j = q THEN s * row[p] + c * row[q] ELSE x END))")
+
+    return f"""gram AS (SELECT CAST([{rows}] AS DOUBLE[][]) AS a FROM {table}),
+turn AS (SELECT list_extract([{", ".join(str(p) for p, _ in pairs)}], n + 1) AS p,
+                list_extract([{", ".join(str(q) for _, q in pairs)}], n + 1) AS q, n FROM (SELECT unnest(range(0, {len(pairs)})) AS n)),
+jac(step, a, v) AS (
+  SELECT 0, a, [{unit}] FROM gram
+  UNION ALL
+  SELECT step + 1, list_transform(b, lambda row, i: CASE WHEN i = p THEN list_transform(b[p], lambda x, j: c * x - s * b[q][j])
+           WHEN i = q THEN list_transform(b[q], lambda x, j: s * b[p][j] + c * x) ELSE row END), w
+  FROM (SELECT step, p, q, c, s, {columns("a")} AS b, {columns("v")} AS w
+    FROM (SELECT *, t / sqrt(t * t + 1) AS s, 1 / sqrt(t * t + 1) AS c
+      FROM (SELECT step, a, v, p, q, CASE WHEN abs(a[p][q]) < 1e-300 THEN 0.0 ELSE
+              (CASE WHEN a[q][q] >= a[p][p] THEN 1.0 ELSE -1.0 END)
+              / (abs(a[q][q] - a[p][p]) / (2 * abs(a[p][q])) + sqrt(1 + ((a[q][q] - a[p][p]) / (2 * a[p][q])) ** 2))
+              * sign(a[p][q]) END AS t
+            FROM jac JOIN turn ON turn.n = step % {len(pairs)} WHERE step < {sweeps * len(pairs)})))),
+eig0 AS (SELECT i, a[i][i] AS value, [row[i] FOR row IN v] AS vec FROM jac, (SELECT unnest(range(1, {d + 1})) AS i) n
+         WHERE step = {sweeps * len(pairs)}),
+eig AS (SELECT row_number() OVER (ORDER BY value DESC) AS k, value,
+               list_transform(vec, lambda x: x * sign(vec[list_position([abs(y) >= list_max([abs(z) FOR z IN vec]) - 1e-9 FOR y IN vec], true)])) AS vec
+        FROM eig0)"""

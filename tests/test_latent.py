@@ -62,3 +62,26 @@ def test_recommend_gate_and_ties(spark):
     assert len(out["edge"]["recommendations"]) == 2
     only = LT.recommend(users, scores, latent, ["x", "y", "z"], 2, positive_only=True)
     assert only.where(F.col("username") == "edge").first()["recommendations"] == []
+
+
+def test_small_singular_values_keep_their_digits(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(500, 2))
+    x = np.column_stack([base[:, 0], base[:, 0] + 1e-10 * base[:, 1], base[:, 1]])  # nearly collinear
+    df = spark.createDataFrame([(*map(float, r),) for r in x], "a double, b double, c double").repartition(7)
+    r = LT.r_factor(df, ["a", "b", "c"])
+    want = np.linalg.svd(x, compute_uv=False)
+    assert np.allclose(np.linalg.svd(r, compute_uv=False), want, rtol=1e-5)  # the Gram matrix loses the last one
+    assert abs(np.sqrt(abs(np.linalg.eigvalsh(x.T @ x)[0])) / want[-1] - 1) > 1e-3
+    assert np.allclose(LT.r_factor(df.limit(0), ["a", "b"]), 0) and LT.r_factor(df.limit(1), ["a", "b", "c"]).shape == (3, 3)
+
+
+def test_loadings_are_orthogonal_and_leave_the_least_rest(mat):
+    x, df = mat
+    fit = LT.fit_svd(df, COLS, k=2)
+    xs = (x - x.min(0)) / (x.max(0) - x.min(0))
+    assert np.allclose(fit.v.T @ fit.v, np.eye(2), atol=1e-12)
+    rest = np.linalg.norm(xs - xs @ fit.v @ fit.v.T) ** 2
+    assert rest == pytest.approx(fit.trace - (fit.sigma ** 2).sum(), abs=1e-9)
+    p = LT.fit_pca(df, COLS)
+    assert np.allclose(p.components.T @ p.components, np.eye(4), atol=1e-12)
