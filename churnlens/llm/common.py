@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.session import size_shuffle_partitions
+
 
 def make_importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, whatever their working folder
@@ -21,8 +23,17 @@ def make_importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+#: Compressed input that a shuffle partition stands for: operators shuffle up to about three times their input.
+SHUFFLE_BYTES = 48 * 1024 * 1024
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, sized: bool = True) -> DataFrame:
+    """A table of the folder; unless the user set their number, shuffle partitions follow its size (with
+    ``sized=False``, for a table beside a query's main one, they stay)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if sized:
+        size_shuffle_partitions(spark, [path], SHUFFLE_BYTES)
+    return spark.read.parquet(path)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

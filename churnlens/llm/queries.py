@@ -76,7 +76,7 @@ def op2(spark, sf_dir):
     from pyspark.sql import functions as F
 
     from churnlens.llm.decontaminate import decontaminate
-    got = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    got = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark", sized=False))
     named = F.array_sort(F.array_distinct(F.transform("items", lambda x: x.cast("string"))))
     return got.select("doc_id", "n_words", "n_hit", F.size(named).cast("bigint").alias("n_items"),
                       F.sha2(F.array_join(named, ","), 256).alias("items_sha256"),
@@ -87,7 +87,7 @@ def quality_net(spark, sf_dir, docs):
     """The quality network, learned from the labelled rows outside the held-out fold."""
     from churnlens.llm.common import learnable
     from churnlens.llm.quality import train
-    return train(docs.where(learnable()), read_table(spark, sf_dir, "labels").where(learnable()))
+    return train(docs.where(learnable()), read_table(spark, sf_dir, "labels", sized=False).where(learnable()))
 
 
 #: A document is good from this probability on.

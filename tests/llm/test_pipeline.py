@@ -11,6 +11,7 @@ from churnlens.llm import bpe_words, decontaminate, simhash
 from churnlens.llm.common import read_table
 from churnlens.llm.queries import quality_net, tokenizer_file
 from churnlens.llm.quality import score
+from churnlens.session import materialize
 from test_fuzzy_lines import brute as brute_lines
 from test_simhash import brute_components
 
@@ -101,3 +102,33 @@ def test_odd_rows(spark, outputs):
 def test_run(spark, outputs):
     got = C.run(spark, SF)
     assert {(r.doc_id, r.ids_sha256) for r in got.collect()} == {(r.doc_id, r.ids_sha256) for r in outputs[5].collect()}
+
+
+def test_columns_with_the_stages_own_names(spark, outputs):
+    docs = outputs[1].limit(20).selectExpr("*", "'keep' || doc_id as _ROW_number", "'also' as _quality_score")
+    docs = materialize(docs, "own-names")
+    for stage in (C.quality, C.simhash):
+        got = stage(spark, docs, SF)
+        assert got.dtypes == docs.dtypes
+        rows_ = got.collect()
+        assert rows_ and all(r["_ROW_number"] == f"keep{r.doc_id}" and r["_quality_score"] == "also" for r in rows_)
+
+
+def test_larger_inputs_get_more_partitions(spark, tmp_path):
+    key, own = "spark.sql.shuffle.partitions", "churnlens.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(own, old)  # as if the library had set it
+        spark.range(1).write.parquet(str(tmp_path / "documents.parquet"))
+        sizes = []
+        for mb in (1, 3000):
+            with open(tmp_path / "documents.parquet" / "_pad", "wb") as f:
+                f.truncate(mb << 20)
+            read_table(spark, str(tmp_path), "documents")
+            sizes.append(int(spark.conf.get(key)))
+        assert sizes[1] == 63 > sizes[0]
+        read_table(spark, SF, "benchmark", sized=False)
+        assert int(spark.conf.get(key)) == sizes[1]
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.unset(own)
