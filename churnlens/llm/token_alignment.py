@@ -25,6 +25,7 @@ where its rows lie.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections import Counter
@@ -49,6 +50,10 @@ PART_KEYS = 65_536
 #: Blocks in a branch (about), and vectors that are summed at once.
 BRANCH_BLOCKS = 64
 FAN = 8
+#: The last character whose class in the pattern is the same in all versions of Unicode (Latin, its marks and signs).
+SETTLED = "\u036f"
+# Fixed value: the pattern of byte-level pre-tokenizers.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -94,9 +99,32 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.words_b = Vocabulary([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode()
                                    for i, p in enumerate(pieces)])
+        self.quick = self._quick(path_a)
         #: Merges never reach over a blank after a visible character if no piece holds one there.
         self.cuts = not any(re.search("[^\u2581]\u2581", p) for p in pieces)
 
+    def _quick(self, path_a: str):
+        """A's vocabulary as ranks, if its merges are the ranks' order and nothing is done before its pattern.
+
+        Merging by ranks then gives A's ids, three times as fast; it is used for texts of characters before
+        ``SETTLED``, whose classes in the pattern are the same in all versions of Unicode."""
+        import tiktoken
+        with open(path_a, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, before = spec["model"], spec.get("pre_tokenizer") or {}
+        if spec.get("normalizer") or model.get("type") != "BPE" or model.get("dropout") or model.get("ignore_merges") \
+                or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+            return None
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [model["vocab"].get(a + b, -1) for a, b in merges]
+        chars = byte_characters()
+        single = {t: i for t, i in model["vocab"].items() if len(t) == 1}
+        if set(single) != set(chars) or ids != sorted(set(ids)) or ids[:1] != [256] or sorted(single.values()) != list(range(256)):
+            return None
+        made = set(ids)
+        ranks = {bytes(chars[c] for c in t): i for t, i in model["vocab"].items() if len(t) == 1 or i in made}
+        return tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def segments(self, text: str) -> list[str]:
         """Parts of the text that both tokenizers encode apart from each other; the blanks between them are left out."""
         if not self.cuts:
@@ -109,12 +137,13 @@ class Tokenizers:
         ids = [e.ids for e in self.a.encode_batch_fast([" " + x for x in segments], add_special_tokens=False)] if segments else []
         return [(np.array(a, np.int64), np.array(b, np.int64)) for a, b in zip(ids, self.b.encode(segments, num_threads=1))]
 
-    def encode_joined(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for plain segments, one after the other in one array each."""
+    def encode_joined(self, segments: list[str], settled: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain segments, one after the other in one array each; ``settled`` ones by ranks."""
         a, b = [], []
         for i in range(0, len(segments), 256):
             text = " ".join(segments[i:i + 256])
-            a.append(np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64))
+            a.append(np.array(self.quick.encode_ordinary(" " + text) if settled else
+                              self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64))
             b.append(np.array(self.b.encode(text), np.int64))
         return np.concatenate(a or [_NONE]), np.concatenate(b or [_NONE])
 
@@ -147,7 +176,11 @@ class Segments:
             odd |= pc.is_in(words.dictionary, pa.array(list(ends), pa.large_string())).to_numpy(zero_copy_only=False)
         if not tokenizers.cuts:
             odd[:] = True
-        order = np.argsort(odd, kind="stable")
+        kind = np.where(odd, 2, 1)  # the settled ones come first, the odd ones last
+        if tokenizers.quick:
+            late = pc.match_substring_regex(words.dictionary, f"[^\\x00-{SETTLED}]").to_numpy(zero_copy_only=False).astype(bool)
+            kind[~odd & ~late] = 0
+        order = np.argsort(kind, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         names = [names[i] for i in order]
@@ -155,11 +188,12 @@ class Segments:
         stops = np.cumsum([len(p) for p in parts])
         self.parts = {t: at[e - len(p):e] for t, p, e in zip(distinct, parts, stops)}
         self.lengths = pc.binary_length(words.dictionary).to_numpy()[order].astype(np.int64) + 1
-        self._encode(names, int((~odd).sum()))
+        self._encode(names, int((kind == 0).sum()), int((~odd).sum()))
 
-    def _encode(self, names: list[str], n_plain: int) -> None:
+    def _encode(self, names: list[str], n_settled: int, n_plain: int) -> None:
         t, plain, first = self.tokenizers, names[:n_plain], n_plain
-        a, b = t.encode_joined(plain)
+        both = [t.encode_joined(names[:n_settled], True), t.encode_joined(names[n_settled:n_plain], False)]
+        a, b = (np.concatenate(x) for x in zip(*both))
         text = "".join(" " + s for s in plain).encode()
         if t.words_a.joined(a) == text == t.words_b.joined(b):
             a, b = [a], [b]

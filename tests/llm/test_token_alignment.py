@@ -110,3 +110,15 @@ def test_registered_query(spark, tmp_path):
     assert got.dtypes == [(c, "bigint") for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")] + \
         [("groups_sha256", "string")]
     assert sorted(map(tuple, got.collect())) == sorted(r[:8] for r in brute(rows))
+
+
+def test_ranks_give_the_tokenizers_ids():
+    from churnlens.llm.token_alignment import Tokenizers
+    t = Tokenizers(A, B)
+    r = random.Random(3)
+    chars = [chr(c) for c in range(1, 0x370)]
+    some = [" " + "".join(r.choice(chars) for _ in range(r.randrange(1, 60))) for _ in range(3000)]
+    some += [" " + "".join(r.choice("ab'stlve 1é \n,.") for _ in range(40)) for _ in range(3000)]
+    some += [x.decode() for x in t.words_a.bytes.to_pylist() if x.isascii()]
+    want = [e.ids for e in t.a.encode_batch_fast(some, add_special_tokens=False)]
+    assert t.quick and [t.quick.encode_ordinary(x) for x in some] == want
