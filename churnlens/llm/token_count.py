@@ -1,21 +1,24 @@
 """Token counts of whole texts, long ones by overlapping chunks that resynchronise.
 
-A text up to ``chunk`` characters is encoded at once.  A longer one is cut into
+Texts up to ``chunk`` characters are cut at their single blanks, and the distinct parts of a batch are
+encoded (SentencePiece files: the whole texts).  A longer one is cut into
 chunks that overlap; each is encoded with offsets and neighbours are spliced at a
 place inside their overlap that is proven stable.  A place is a candidate when a
-visible character stands before it and exactly one blank followed by a visible
-character stands after it: the pre-token pattern cannot match across a change from a
-visible character to white space, so whatever stands left of the place has no
+visible character stands before it and exactly one white space followed by a visible
+character stands after it, or a letter before it and a full-width punctuation mark after
+it: the pre-token pattern cannot match across a change from a visible character to white
+space, nor from a letter to such a mark, so whatever stands left of the place has no
 influence on the tokens right of it and the other way round, and no added token
-holds white space.  It is proven when no token of either encoding lies across it
+holds white space.  (SentencePiece files: single blanks only.)  It is proven when no token of either encoding lies across it
 and both encodings give the same ids between it and the end of the overlap's
-agreed stretch.  Where an overlap holds no such place, it is widened (doubled)
-until one is found or the rest of the text is in one chunk.
+agreed stretch.  Where an overlap holds no such place, it is widened (doubled), and where the whole
+chunk holds none, the chunk is.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 
@@ -30,6 +33,9 @@ CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
 #: Ids compared on each side of a splice.
 AGREE = 8
+# Marks that end a run of letters in pre-token patterns and begin no contraction.
+_MARKS = "\u3002\uff01\uff1f\uff0c\u3001\uff1b\uff1a"
+_PLACE, _BLANK = re.compile(rf"[ \n\t\r{_MARKS}]"), re.compile(" ")
 
 
 class Encoded:
@@ -78,13 +84,17 @@ class TokenizerFile:
         return Encoded(e.ids, e.offsets)
 
 
-def candidates(text: str, a: int, b: int) -> Iterator[int]:
-    """Places x in (a, b) with a visible character, then one blank, then a visible character."""
-    x = text.find(" ", a + 1, b - 1)
-    while x != -1:
-        if text[x - 1] != " " != text[x + 1] and text[x - 1].isprintable() and text[x + 1].isprintable():
+def candidates(text: str, a: int, b: int, blanks_only: bool = False) -> Iterator[int]:
+    """Places x in (a, b) where a pre-token ends whatever stands on either side of its neighbours: a visible character,
+    then one white space, then a visible character; or a letter before a full-width punctuation mark."""
+    for m in (_BLANK if blanks_only else _PLACE).finditer(text, a + 1, b - 1):
+        x = m.start()
+        before, after = text[x - 1], text[x + 1]
+        if m.group() in _MARKS:
+            if before.isalpha():
+                yield x
+        elif before != " " != after and before.isprintable() and after.isprintable():
             yield x
-        x = text.find(" ", x + 1, b - 1)
 
 
 def splice(left: Encoded, right: Encoded, places: Iterable[int]) -> int | None:
@@ -100,8 +110,11 @@ def splice(left: Encoded, right: Encoded, places: Iterable[int]) -> int | None:
 
 
 def chunked_ids(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK_CHARS,
-                overlap: int = OVERLAP_CHARS) -> list[int]:
-    """Ids of ``text``, the same as encoding it whole, from chunks of about ``chunk`` characters."""
+                overlap: int = OVERLAP_CHARS, blanks_only: bool = False) -> list[int]:
+    """Ids of ``text``, the same as encoding it whole, from chunks of about ``chunk`` characters.
+
+    Where a chunk has no place to splice at it is made twice as long, so that a text without any is
+    encoded at most twice over."""
     n, out = len(text), []
     start, end = 0, min(chunk, n)
     current = encode(text[:end])
@@ -110,26 +123,24 @@ def chunked_ids(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK_
         width, x, follow = overlap, None, None
         while True:
             begin = max(end - width, taken)
-            places = list(candidates(text, max(begin, taken) + 1, end - min(overlap // 4, width // 4)))
-            if not places and begin > taken:  # nothing to align at: no need to encode before widening
+            places = list(candidates(text, max(begin, taken) + 1, end - min(overlap // 4, width // 4), blanks_only))
+            if places:
+                stop = min(end + chunk, n)
+                follow = encode(text[begin:stop])
+                follow.base = begin
+                # half of the overlap lies before the place, so that tokens on both sides are seen by both
+                x = splice(current, follow, places)
+                if x is not None:
+                    break
+            if begin > taken:  # no place, or none that is proven: look further back
                 width *= 2
                 continue
-            stop = min(end + chunk, n)
-            follow = encode(text[begin:stop])
-            follow.base = begin
-            # half of the overlap lies before the place, so that tokens on both sides are seen by both
-            x = splice(current, follow, places)
-            if x is not None:
+            end = min(end + max(chunk, end - taken), n)  # nothing left of the chunk to fall back on: lengthen it instead
+            current = encode(text[taken:end])
+            current.base = taken
+            if end == n:
                 break
-            if begin == taken:  # nothing left of the chunk to fall back on: lengthen it instead
-                end = min(end + chunk, n)
-                current = encode(text[taken:end])
-                current.base = taken
-                if end == n:
-                    break
-                width = overlap
-                continue
-            width *= 2
+            width = overlap
         if x is None:
             break
         out.extend(current.ids[current.until(taken) if taken else 0:current.until(x)])
@@ -138,9 +149,43 @@ def chunked_ids(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK_
     return out
 
 
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+
+
+def part_counts(texts: list[str], counts: Callable[[list[str]], list[int]]) -> np.ndarray:
+    """Token counts of non-empty texts: they are cut at all blanks between visible characters, where a pre-token begins
+    whatever stands beside it, and every distinct part is encoded once."""
+    parts = []
+    for t in texts:
+        words = t.split(" ")
+        parts.append(words if words == t.split() else _BETWEEN.split(t))
+
+    def each(names: list[str]) -> np.ndarray:
+        return np.array([n for s in range(0, len(names), 1024) for n in counts(names[s:s + 1024])], np.int64)
+
+    words = pa.array([w for p in parts for w in p], pa.large_string()).dictionary_encode()
+    first = pa.array([p[0] for p in parts], pa.large_string()).dictionary_encode()
+    inner = each([" " + w for w in words.dictionary.to_pylist()])[words.indices.to_numpy()]
+    starts = np.cumsum([0, *(len(p) for p in parts)])[:-1]
+    # only a text's first part has no blank before it
+    return np.add.reduceat(inner, starts) - inner[starts] + each(first.dictionary.to_pylist())[first.indices.to_numpy()]
+
+
 _LOADED: dict[str, TokenizerFile] = {}
 
 
+def _slices(sizes: list[int], most: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``most`` characters."""
+    a, total = 0, 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= most:
+            yield a, i + 1
+            a, total = i + 1, 0
+    if a < len(sizes):
+        yield a, len(sizes)
+
+
 def _tokenizer(path: str) -> TokenizerFile:
     if path not in _LOADED:
         _LOADED[path] = TokenizerFile(path)
@@ -167,12 +212,13 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
             texts = batch.column("_text").to_pylist()
             known = {t: 0 for t in texts}  # a text that a batch repeats is encoded once
             short = [t for t in known if t and len(t) <= chunk]
-            for a in range(0, len(short), 256):
-                known.update(zip(short[a:a + 256], tok.counts(short[a:a + 256])))
+            for a, b in _slices([len(t) for t in short]):
+                found = tok.counts(short[a:b]) if tok.sentencepiece else part_counts(short[a:b], tok.counts).tolist()
+                known.update(zip(short[a:b], found))
             for t in known:
                 if t and len(t) > chunk:
                     whole = tok.sentencepiece and t != " ".join(t.split())
-                    known[t] = tok.counts([t])[0] if whole else len(chunked_ids(t, tok.offsets, chunk, overlap))
+                    known[t] = tok.counts([t])[0] if whole else len(chunked_ids(t, tok.offsets, chunk, overlap, tok.sentencepiece))
             counts = np.array([known[t] for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(np.diff(byte_view(batch.column("_text"))[1])),
