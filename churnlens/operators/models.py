@@ -35,7 +35,7 @@ MAX_BINS = 256          # bins per feature, for the tree and the forests alike
 BIN_SAMPLE = 50_000     # rows (in expectation) whose values the bins are taken from
 # A leaf of a forest's tree holds at least this share of the training weight, so a tree has at most 1 / share
 # leaves however many rows there are, and the model in the driver does not grow with them.
-LEAF_SHARE = 0.002
+LEAF_SHARE = 0.003
 RFE_KEEP = 5
 TOP_K = 5
 FOLDS = 5
