@@ -115,3 +115,46 @@ def test_newton_reaches_the_minimum(data):
     apart = rows.where("(a > 1 and churn = 1) or (a < 0 and churn = 0)")
     assert np.isfinite(M.logistic_newton(apart, ["a"], "label")).all()
     assert np.isfinite(M.logistic_newton(rows.where("churn = 1"), ["a"], "label")).all()
+
+
+def _bins(binned):
+    return [f"{c}__bin" for c in binned.cols]
+
+
+def test_large_binned_tables_are_laid_out(data, monkeypatch):
+    plain = M.Binned(data, COLS[:3], keep=["username"])
+    monkeypatch.setattr(M, "LAID_ROWS", 100)
+    laid = M.Binned(data, COLS[:3], keep=["username"])
+    parts = [list(p) for p in laid.table.rdd.glom().collect() if p]
+    assert len(parts) == 3 and all(90 <= len(p) <= 110 for p in parts)
+    for p in parts:
+        bins = [tuple(r[c] for c in _bins(laid)) for r in p]
+        assert bins == sorted(bins)
+    assert sorted(laid.table.collect()) == sorted(plain.table.collect())
+    assert laid.counts and {r["churn"]: r["n"] for r in laid.counts} == {r["churn"]: r["n"] for r in plain.counts}
+
+
+@pytest.mark.parametrize("rows,most", [(10 ** 9, 3), (600, 2), (300, 1), (10, 1)])
+def test_forests_at_once_follow_the_rows(data, monkeypatch, rows, most):
+    """All six fits share one pool, which is the smaller the more rows a fit holds."""
+    import threading
+    running, seen, lock, all_in = [0], [], threading.Lock(), threading.Barrier(most)
+
+    def fit(self, *a):
+        with lock:
+            running[0] += 1
+            seen.append(running[0])
+        all_in.wait(60)  # six fits come in whole groups
+        with lock:
+            running[0] -= 1
+        return "model"
+
+    metrics = data.sparkSession.createDataFrame([(1.0, 1.0, 1.0, 1.0)], "accuracy double, precision double, recall double, f1 double")
+    monkeypatch.setattr(M, "FITTED_ROWS", rows)
+    monkeypatch.setattr(M.Binned, "fit", fit)
+    monkeypatch.setattr(M.Binned, "predict", lambda self, model, where: data)
+    monkeypatch.setattr(M.P, "binary_metrics", lambda *a: metrics)
+    monkeypatch.setattr(M.P, "classification_report", lambda *a: metrics)
+    res = M.train_and_save(data, COLS[:2], cv=True)
+    assert res["model"] == "model" and len(seen) == 6 and max(seen) == most
+    assert tuple(res["cv_metrics"].first()) == (1.0, 1.0, 1.0, 1.0)
